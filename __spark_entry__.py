@@ -151,6 +151,16 @@ def q_client_financials(spark, sf):
     return client_financials(_stmts(spark, sf), fixture_customers(spark, sf))
 
 
+def q_client_financials_all_snapshots(spark, sf):
+    return client_financials(_stmts(spark, sf), fixture_customers(spark, sf), snapshots="all")
+
+
+def q_cohort_chain(spark, sf):
+    from finwater.plans.all_snapshots import select_statements_all
+
+    return co.cohort_rows(select_statements_all(_stmts(spark, sf)))
+
+
 COHORT_KEYS = {
     "cohort_annual_24": "A",
     "cohort_monthly_24": "B",
@@ -165,6 +175,8 @@ COHORT_KEYS = {
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "client_financials": q_client_financials,
+        "client_financials_all_snapshots": q_client_financials_all_snapshots,
+        "cohort_chain": q_cohort_chain,
         "scan_statements": q_scan_statements,
         "latest_snapshot": q_latest_snapshot,
         "statement_ranks": q_statement_ranks,
@@ -252,6 +264,14 @@ def oracle_sql() -> dict[str, str]:
             sqlref.metrics_ctes("latest") + sqlref.TOTAL_CTES,
         ),
         "client_financials": _sql(sqlref.report_select(), sqlref.metrics_ctes("latest") + sqlref.TOTAL_CTES),
+        "client_financials_all_snapshots": _sql(
+            sqlref.report_select(), sqlref.metrics_ctes("all") + sqlref.TOTAL_CTES, dedup="keyset"
+        ),
+        "cohort_chain": _sql(
+            "SELECT entityid, pkid_, statementdatekey_, statment_date, statementtype, statementmonths, ranked_order, "
+            "CF_Type FROM un",
+            dedup="keyset",
+        ),
     }
     for key, tag in COHORT_KEYS.items():
         s[key] = _sql(

@@ -123,3 +123,51 @@ def cohort_rows(tagged: DataFrame, tag: str | None = None) -> DataFrame:
 def entity_cohorts(tagged: DataFrame) -> DataFrame:
     """One row per eligible entity with the cohort that holds it."""
     return tagged.select("entityid", "CF_Type").distinct()
+
+
+def cohort_chain(dd: DataFrame, worklist: DataFrame, cut_lineage=None) -> DataFrame:
+    """The waterfall stated literally: a shrinking work list of entities.
+
+    Each cohort ranks the m-month statements of entities still on the list,
+    keeps the newest N, takes entities whose kept months reach the target
+    and removes them from the list; the single-annual cohort matches on the
+    statement key alone (so a colliding key of another listed entity is
+    taken along, as in the source batch).  ``cut_lineage`` (for example
+    ``lambda df: df.checkpoint()``) is applied to each work list, otherwise
+    every stage would re-plan all earlier ones.
+    """
+    cut = cut_lineage or (lambda df: df)
+    wl = cut(worklist.select("entityid").distinct())
+    parts = []
+    for tag, m, n, t in WATERFALL:
+        src = dd.join(wl, "entityid", "left_semi")
+        if tag in SINGLE_STATEMENT:
+            keys = (
+                src.filter(F.col("statementmonths") == m)
+                .groupBy("entityid", "pkid_")
+                .agg(F.sum("statementmonths").alias("_months"))
+                .filter(F.col("_months") == t)
+                .select("pkid_")
+                .distinct()
+            )
+            got = src.join(keys, "pkid_", "left_semi").withColumn("ranked_order", F.lit(1).cast("bigint"))
+            leaving = got.select("entityid").distinct()
+        else:
+            ranked = src.filter(F.col("statementmonths") == m).withColumn(
+                "ranked_order", F.row_number().over(newest_first_window("entityid")).cast("bigint")
+            )
+            kept = ranked.filter(F.col("ranked_order") <= n)
+            covered = kept.groupBy("entityid").agg(F.sum("statementmonths").alias("_months")).filter(
+                F.col("_months") == t
+            )
+            got = kept.join(covered.select("entityid"), "entityid", "left_semi")
+            leaving = got.groupBy("entityid").count().filter(F.col("count") > 1).select("entityid")
+        parts.append(got.withColumn("CF_Type", F.lit(tag)))
+        wl = cut(wl.join(leaving, "entityid", "left_anti"))
+    residual = (
+        dd.join(wl, "entityid", "left_semi")
+        .withColumn("ranked_order", F.row_number().over(newest_first_window("entityid")).cast("bigint"))
+        .withColumn("CF_Type", F.lit(RESIDUAL))
+    )
+    parts.append(residual)
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -93,9 +93,18 @@ def selection_ctes(dedup: str = "group") -> list[str]:
   FROM elig GROUP BY entityid, statementdatekey_, statementtype) g
   ON e.entityid = g.entityid AND e.statementdatekey_ = g.statementdatekey_ AND e.statementtype = g.statementtype
   AND e.pkid_ = g.mx)"""
-    else:  # the key-set form: IN over every group's max key
-        dd = """dd AS (SELECT DISTINCT * FROM elig WHERE pkid_ IN (SELECT max(pkid_) FROM elig
+    else:  # the key-set form: IN over every group's max key; DISTINCT on key columns
+        dd = """dd AS (SELECT DISTINCT asofdate, entityid, statementid, pkid_, statementdatekey_, statementmonths,
+  auditmethod, statementtype FROM elig WHERE pkid_ IN (SELECT max(pkid_) FROM elig
   GROUP BY entityid, statementdatekey_, statementtype))"""
+    if dedup == "group":
+        c_sel = """c_sel AS (SELECT c.*, CAST(1 AS BIGINT) AS ranked_order, 'C' AS CF_Type FROM c_src c
+  JOIN (SELECT entityid, pkid_ FROM c_src WHERE statementmonths = 12 GROUP BY entityid, pkid_
+        HAVING sum(CAST(statementmonths AS INTEGER)) = 12) k ON c.entityid = k.entityid AND c.pkid_ = k.pkid_)"""
+    else:
+        c_sel = """c_sel AS (SELECT c.*, CAST(1 AS BIGINT) AS ranked_order, 'C' AS CF_Type FROM c_src c
+  WHERE pkid_ IN (SELECT pkid_ FROM c_src WHERE statementmonths = 12 GROUP BY entityid, pkid_
+        HAVING sum(CAST(statementmonths AS INTEGER)) = 12))"""
     ctes = [
         "latest AS (SELECT * FROM statements WHERE asofdate = (SELECT max(CAST(asofdate AS DATE)) FROM statements))",
         f"elig AS (SELECT * FROM latest WHERE {ELIGIBLE_WHERE} AND entityid IS NOT NULL)",
@@ -111,9 +120,7 @@ def selection_ctes(dedup: str = "group") -> list[str]:
         _covered("d_sel", "d_rk", 12, 12, "D"),
         _shrink("wl3", "wl2", "d_sel"),
         "c_src AS (SELECT * FROM dd WHERE entityid IN (SELECT entityid FROM wl3))",
-        """c_sel AS (SELECT c.*, CAST(1 AS BIGINT) AS ranked_order, 'C' AS CF_Type FROM c_src c
-  JOIN (SELECT entityid, pkid_ FROM c_src WHERE statementmonths = 12 GROUP BY entityid, pkid_
-        HAVING sum(CAST(statementmonths AS INTEGER)) = 12) k ON c.entityid = k.entityid AND c.pkid_ = k.pkid_)""",
+        c_sel,
         _shrink("wl4", "wl3", "c_sel", having=""),
         _ranked("f_rk", "dd", 3, "wl4"),
         _covered("f_sel", "f_rk", 8, 24, "F"),
