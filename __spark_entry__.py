@@ -161,6 +161,71 @@ def q_cohort_chain(spark, sf):
     return co.cohort_rows(select_statements_all(_stmts(spark, sf)))
 
 
+def _validated(spark, sf):
+    from finwater.operators.loads import validate_fields
+    from finwater.sources.csv_drop import read_drop_text, sales_target_drop
+
+    return validate_fields(read_drop_text(spark, sales_target_drop(spark, sf)))
+
+
+def q_csv_typed_scan(spark, sf):
+    from finwater.sources.csv_drop import read_drop_typed, sales_target_drop
+
+    df = read_drop_typed(spark, sales_target_drop(spark, sf), mode="DROPMALFORMED")
+    return df.select(
+        F.coalesce("FirstName", F.lit("")).alias("FirstName"),
+        F.coalesce("LastName", F.lit("")).alias("LastName"),
+        F.coalesce("SalesQuantity", F.lit(0).cast("smallint")).alias("SalesQuantity"),
+        F.coalesce(F.col("`SalesRevenue `"), F.lit(0)).alias("SalesRevenue "),
+        F.coalesce("Year", F.lit(0).cast("smallint")).alias("Year"),
+    )
+
+
+def q_csv_strict_checks(spark, sf):
+    return _validated(spark, sf).select(
+        F.col("_line").alias("raw_line"), "FirstName_fits", "LastName_fits", "SalesQuantity_converts",
+        "SalesRevenue_converts", "Year_converts",
+    )
+
+
+def q_csv_quarantine(spark, sf):
+    from finwater.operators.loads import quarantine
+
+    return quarantine(_validated(spark, sf))
+
+
+def q_csv_empty_defaults(spark, sf):
+    text = _validated(spark, sf)
+    return text.filter(F.col("_line").contains(",,") | F.col("_line").startswith(",") | F.col("_line").endswith(",")).select(
+        F.col("_line").alias("raw_line"), F.col("_typed_SalesQuantity").alias("SalesQuantity")
+    )
+
+
+def q_map_rep_columns(spark, sf):
+    from finwater.operators.loads import good_lines, map_rep_columns
+
+    return _doubles(map_rep_columns(good_lines(_validated(spark, sf))))
+
+
+def q_surrogate_key(spark, sf):
+    from finwater.operators.loads import good_lines
+    from finwater.plans.rep_load import prepare_targets
+
+    return prepare_targets(good_lines(_validated(spark, sf))).select("ID", "LastName")
+
+
+def q_load_rep_targets(spark, sf):
+    from finwater.plans.rep_load import load_rep_targets
+    from finwater.session import shared_scratch
+    from finwater.sources.csv_drop import sales_target_drop
+
+    target = shared_scratch(spark, "tables/rep_performance_target", unique=True)
+    loaded = load_rep_targets(
+        spark, sales_target_drop(spark, sf), target, policy="quarantine", quarantine_path=target + "_quarantine"
+    )
+    return _doubles(loaded)
+
+
 COHORT_KEYS = {
     "cohort_annual_24": "A",
     "cohort_monthly_24": "B",
@@ -195,6 +260,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for key, tag in COHORT_KEYS.items():
         qs[key] = _cohort(tag)
+    qs.update(
+        {
+            "csv_typed_scan": q_csv_typed_scan,
+            "csv_strict_checks": q_csv_strict_checks,
+            "csv_quarantine": q_csv_quarantine,
+            "csv_empty_defaults": q_csv_empty_defaults,
+            "map_rep_columns": q_map_rep_columns,
+            "surrogate_key": q_surrogate_key,
+            "load_rep_targets": q_load_rep_targets,
+        }
+    )
     return qs
 
 
@@ -273,6 +349,32 @@ def oracle_sql() -> dict[str, str]:
             dedup="keyset",
         ),
     }
+    drop = sqlref.DROP_CTES
+    s.update(
+        {
+            "csv_typed_scan": sqlref.with_ctes(
+                drop,
+                'SELECT fn AS FirstName, ln AS LastName, q AS SalesQuantity, r AS "SalesRevenue ", y AS Year FROM drop_err '
+                "WHERE q IS NOT NULL AND r IS NOT NULL AND y IS NOT NULL",
+            ),
+            "csv_strict_checks": sqlref.with_ctes(
+                drop,
+                "SELECT raw_line, FirstName_fits, LastName_fits, SalesQuantity_converts, SalesRevenue_converts, "
+                "Year_converts FROM drop_err",
+            ),
+            "csv_quarantine": sqlref.with_ctes(
+                drop, "SELECT raw_line, ErrorColumn, ErrorCode FROM drop_err WHERE ErrorColumn IS NOT NULL"
+            ),
+            "csv_empty_defaults": sqlref.with_ctes(drop, "SELECT raw_line, q AS SalesQuantity FROM drop_err WHERE has_empty"),
+            "map_rep_columns": sqlref.with_ctes(
+                drop, "SELECT * REPLACE (CAST(TargetSalesRevenue AS DOUBLE) AS TargetSalesRevenue) FROM targets"
+            ),
+            "surrogate_key": sqlref.with_ctes(drop, "SELECT ID, LastName FROM targets_id"),
+            "load_rep_targets": sqlref.with_ctes(
+                drop, "SELECT * REPLACE (CAST(TargetSalesRevenue AS DOUBLE) AS TargetSalesRevenue) FROM targets_id"
+            ),
+        }
+    )
     for key, tag in COHORT_KEYS.items():
         s[key] = _sql(
             "SELECT entityid, pkid_, statementdatekey_, statment_date, statementtype, statementmonths, ranked_order, "

@@ -60,7 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shared_scratch(spark: SparkSession, name: str, unique: bool = False) -> str:
     """A folder under the shared checkpoint location for job-written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    # the configured folder itself (getCheckpointDir adds a per-app subfolder)
+    base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{base}/finwater/{leaf}"
 

@@ -259,3 +259,34 @@ def with_ctes(ctes: list[str], select: str) -> str:
 
 def base_ctes(dedup: str = "group") -> list[str]:
     return statements_ctes() + selection_ctes(dedup)
+
+
+# ------------------------------------------------------------ sales-target drop
+
+DROP_CTES = [
+    """drop_text AS (SELECT replace(n_name, '_', '') AS FirstName, 'Rep' || CAST(c_custkey AS VARCHAR) AS LastName,
+  CASE WHEN c_acctbal >= 0 THEN CAST(CAST(floor(c_acctbal*5) AS BIGINT) AS VARCHAR) END AS SalesQuantity,
+  CAST(CAST(floor(c_acctbal*100) AS BIGINT) AS VARCHAR) AS "SalesRevenue ",
+  CAST(2000 + n_regionkey AS VARCHAR) AS Year
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
+    """drop_checked AS (SELECT concat_ws(',', coalesce(FirstName,''), coalesce(LastName,''), coalesce(SalesQuantity,''),
+    coalesce("SalesRevenue ",''), coalesce(Year,'')) AS raw_line,
+  coalesce(FirstName,'') AS fn, coalesce(LastName,'') AS ln,
+  SalesQuantity IS NULL OR "SalesRevenue " IS NULL OR Year IS NULL OR FirstName IS NULL OR LastName IS NULL AS has_empty,
+  TRY_CAST(coalesce(SalesQuantity,'0') AS SMALLINT) AS q, TRY_CAST(coalesce("SalesRevenue ",'0') AS INTEGER) AS r,
+  TRY_CAST(coalesce(Year,'0') AS SMALLINT) AS y FROM drop_text)""",
+    """drop_flags AS (SELECT *, length(fn) <= 7 AS FirstName_fits, length(ln) <= 17 AS LastName_fits,
+  q IS NOT NULL AS SalesQuantity_converts, r IS NOT NULL AS SalesRevenue_converts, y IS NOT NULL AS Year_converts
+  FROM drop_checked)""",
+    """drop_err AS (SELECT *,
+  CASE WHEN NOT FirstName_fits THEN 'FirstName' WHEN NOT LastName_fits THEN 'LastName'
+       WHEN NOT SalesQuantity_converts THEN 'SalesQuantity' WHEN NOT SalesRevenue_converts THEN 'SalesRevenue'
+       WHEN NOT Year_converts THEN 'Year' END AS ErrorColumn,
+  CASE WHEN NOT FirstName_fits OR NOT LastName_fits THEN 'truncation'
+       WHEN NOT (SalesQuantity_converts AND SalesRevenue_converts AND Year_converts) THEN 'conversion' END AS ErrorCode
+  FROM drop_flags)""",
+    """targets AS (SELECT fn AS FirstName, ln AS LastName, CAST(q AS INTEGER) AS TargetSalesQuantity,
+  CAST(r AS DECIMAL(19,4)) AS TargetSalesRevenue, CAST(y AS INTEGER) AS TargetYear FROM drop_err WHERE ErrorColumn IS NULL)""",
+    """targets_id AS (SELECT CAST(row_number() OVER (ORDER BY LastName, FirstName, TargetYear, TargetSalesQuantity,
+  TargetSalesRevenue) AS INTEGER) AS ID, * FROM targets)""",
+]
