@@ -226,6 +226,48 @@ def q_load_rep_targets(spark, sf):
     return _doubles(loaded)
 
 
+DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def q_find_columns(spark, sf):
+    from finwater.operators.columns import find_columns
+    from finwater.sources.catalog import columns_from_parquet_dir
+
+    return find_columns(columns_from_parquet_dir(spark, sf), "%key%")
+
+
+def q_find_columns_by_object(spark, sf):
+    from finwater.operators.columns import find_columns_by_object
+    from finwater.sources.catalog import columns_from_parquet_dir
+
+    return find_columns_by_object(columns_from_parquet_dir(spark, sf), "%NAME%")
+
+
+def q_trailing_window(spark, sf):
+    from finwater.operators.extras import newest_statement_date, trailing_window
+
+    elig = eligible(_latest(spark, sf))
+    return trailing_window(elig, newest_statement_date(elig), 12).select(
+        "entityid", "pkid_", "statementdatekey_", "statementmonths", "statementtype"
+    )
+
+
+def q_contiguous_coverage(spark, sf):
+    from finwater.operators.extras import contiguous_coverage
+
+    return contiguous_coverage(_dd(spark, sf))
+
+
+def q_entity_system_ids(spark, sf):
+    from finwater.operators.extras import entity_bridge_from_customer, entity_system_ids
+    from finwater.sources.tables import read_table
+
+    latest = _latest(spark, sf).select(*KEY_COLUMNS)
+    bridge = entity_bridge_from_customer(read_table(spark, sf, "customer"))
+    return entity_system_ids(latest, bridge)
+
+
 COHORT_KEYS = {
     "cohort_annual_24": "A",
     "cohort_monthly_24": "B",
@@ -269,6 +311,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "map_rep_columns": q_map_rep_columns,
             "surrogate_key": q_surrogate_key,
             "load_rep_targets": q_load_rep_targets,
+            "find_columns": q_find_columns,
+            "find_columns_by_object": q_find_columns_by_object,
+            "trailing_window": q_trailing_window,
+            "contiguous_coverage": q_contiguous_coverage,
+            "entity_system_ids": q_entity_system_ids,
         }
     )
     return qs
@@ -375,6 +422,39 @@ def oracle_sql() -> dict[str, str]:
             ),
         }
     )
+    tables = ", ".join(f"'{t}'" for t in DRIVER_TABLES)
+    keys = ", ".join(KEY_COLUMNS)
+    s.update(
+        {
+            "find_columns": "SELECT table_name AS TableName, column_name AS ColumnName FROM information_schema.columns "
+            f"WHERE table_name IN ({tables}) AND column_name ILIKE '%key%' ORDER BY TableName, ColumnName",
+            "find_columns_by_object": "SELECT table_name AS TableName, column_name AS ColumnName FROM "
+            f"information_schema.columns WHERE table_name IN ({tables}) AND column_name ILIKE '%NAME%' "
+            "ORDER BY TableName, ColumnName",
+            "trailing_window": _sql(
+                "SELECT entityid, pkid_, statementdatekey_, statementmonths, statementtype FROM elig WHERE statementdatekey_ "
+                "BETWEEN CAST((SELECT max(statementdatekey_) FROM elig) - INTERVAL 12 MONTH AS DATE) "
+                "AND (SELECT max(statementdatekey_) FROM elig)"
+            ),
+            "contiguous_coverage": _sql(
+                """SELECT entityid, statementmonths, max(statementdatekey_) AS newest_date, min(statementdatekey_) AS oldest_date,
+  count(*) AS run_statements, CAST(count(*) * statementmonths AS BIGINT) AS run_months,
+  count(*) * statementmonths >= 24 AS covers_24, count(*) * statementmonths >= 12 AS covers_12
+FROM (SELECT *, sum(_breaks) OVER (PARTITION BY entityid, statementmonths ORDER BY statementdatekey_ DESC, pkid_ DESC
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _broken
+      FROM (SELECT *, CASE WHEN lag(statementdatekey_) OVER w IS NULL THEN 0
+              WHEN statementdatekey_ = last_day(CAST(lag(statementdatekey_) OVER w - to_months(statementmonths) AS DATE))
+              THEN 0 ELSE 1 END AS _breaks
+            FROM dd WINDOW w AS (PARTITION BY entityid, statementmonths ORDER BY statementdatekey_ DESC, pkid_ DESC)))
+WHERE _broken = 0 GROUP BY entityid, statementmonths"""
+            ),
+            "entity_system_ids": _sql(
+                f"SELECT DISTINCT B.systemid, {', '.join('A.' + c for c in KEY_COLUMNS)} FROM latest A LEFT JOIN "
+                "(SELECT DISTINCT 'SYS' || CAST(c_nationkey AS VARCHAR) AS systemid, CAST(floor(c_custkey/3) AS BIGINT) "
+                "AS entityid FROM customer) B ON A.entityid = B.entityid"
+            ),
+        }
+    )
     for key, tag in COHORT_KEYS.items():
         s[key] = _sql(
             "SELECT entityid, pkid_, statementdatekey_, statment_date, statementtype, statementmonths, ranked_order, "
