@@ -16,9 +16,13 @@ def _c(name: str):
     return F.col(f"`{name}`")
 
 
+CORRUPT = "_corrupt_record"
+
+
 def raw_line(df: DataFrame) -> F.Column:
     """The delimited line as delivered (no qualifier, empty for NULL)."""
-    return F.concat_ws(",", *[F.coalesce(_c(c), F.lit("")) for c in df.columns if not c.startswith("_")])
+    joined = F.concat_ws(",", *[F.coalesce(_c(c), F.lit("")) for c in df.columns if not c.startswith("_")])
+    return F.coalesce(F.col(CORRUPT), joined) if CORRUPT in df.columns else joined
 
 
 def empty_defaults(df: DataFrame) -> DataFrame:
@@ -49,13 +53,17 @@ def validate_fields(text_df: DataFrame) -> DataFrame:
         df = df.withColumn(f"_typed_{name.strip()}", _c(name).try_cast(typ))
         df = df.withColumn(flag, F.col(f"_typed_{name.strip()}").isNotNull())
         checks.append((name, flag, "conversion"))
+    if CORRUPT in df.columns:  # wrong number of fields: the line's layout is bad
+        df = df.withColumn("_layout_ok", F.col(CORRUPT).isNull())
+        checks.insert(0, ("line", "_layout_ok", "layout"))
     err_col = None
     err_code = None
     for name, flag, code in checks:
         bad = ~F.col(flag)
         err_col = F.when(bad, F.lit(name.strip())) if err_col is None else err_col.when(bad, F.lit(name.strip()))
         err_code = F.when(bad, F.lit(code)) if err_code is None else err_code.when(bad, F.lit(code))
-    return df.withColumn("ErrorColumn", err_col).withColumn("ErrorCode", err_code)
+    out = df.withColumn("ErrorColumn", err_col).withColumn("ErrorCode", err_code)
+    return out.drop(CORRUPT, "_layout_ok") if CORRUPT in df.columns else out
 
 
 def strict(validated: DataFrame) -> DataFrame:

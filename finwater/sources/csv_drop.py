@@ -20,11 +20,16 @@ from finwater.sources.tables import read_table
 # reads every byte and equals 1252 outside 0x80-0x9F.
 DEFAULT_ENCODING = "ISO-8859-1"
 
-TEXT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in CSV_FIELDS])
+CORRUPT = "_corrupt_record"
+TEXT_SCHEMA = T.StructType(
+    [T.StructField(n, T.StringType()) for n in CSV_FIELDS] + [T.StructField(CORRUPT, T.StringType())]
+)
 
 
 def read_drop_text(spark: SparkSession, path: str, encoding: str = DEFAULT_ENCODING, check_header: bool = True) -> DataFrame:
-    """All five fields as text; an empty field reads as NULL."""
+    """All five fields as text; an empty field reads as NULL.  A line with
+    the wrong number of fields keeps its raw text in ``_corrupt_record``
+    (a wrong header still fails the read)."""
     return (
         spark.read.schema(TEXT_SCHEMA)
         .option("header", True)
@@ -32,7 +37,8 @@ def read_drop_text(spark: SparkSession, path: str, encoding: str = DEFAULT_ENCOD
         .option("quote", "\u0000")
         .option("encoding", encoding)
         .option("enforceSchema", not check_header)
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
 
