@@ -76,9 +76,11 @@ def assign_cohorts(dd: DataFrame, include_residual: bool = True, partitioned: bo
         dd = dd.repartition("entityid")
     w_entity = Window.partitionBy("entityid")
     kinds = sorted({m for _, m, _, _ in WATERFALL})
-    for m in kinds:
-        dd = dd.withColumn(_count_col(m), F.sum((F.col("statementmonths") == m).cast("int")).over(w_entity))
-    dd = dd.withColumn("_rn_kind", F.row_number().over(newest_first_window("entityid", "statementmonths")))
+    cols = {_count_col(m): F.sum((F.col("statementmonths") == m).cast("int")).over(w_entity) for m in kinds}
+    cols["_rn_kind"] = F.row_number().over(newest_first_window("entityid", "statementmonths"))
+    if include_residual:
+        cols["_rn_all"] = F.row_number().over(newest_first_window("entityid"))
+    dd = dd.withColumns(cols)
 
     ladder: Column | None = None
     for tag, m, n, t in WATERFALL:
@@ -97,7 +99,6 @@ def assign_cohorts(dd: DataFrame, include_residual: bool = True, partitioned: bo
     for tag in SINGLE_STATEMENT:
         rank = F.when(F.col("CF_Type") == tag, F.lit(1)).otherwise(rank)
     if include_residual:
-        dd = dd.withColumn("_rn_all", F.row_number().over(newest_first_window("entityid")))
         keep = keep | (F.col("CF_Type") == RESIDUAL)
         rank = F.when(F.col("CF_Type") == RESIDUAL, F.col("_rn_all")).otherwise(rank)
     out = dd.filter(keep).withColumn("ranked_order", rank.cast("bigint"))

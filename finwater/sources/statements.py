@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 
 from finwater.functions import key_concat, to_statement_date
 from finwater.schema import MEASURES, STATEMENT_SCHEMA
+from finwater.session import path_exists, rename_path, shared_scratch
 from finwater.sources.tables import read_table
+from pyspark.sql import types as T
+
+# bump when the derivation rule changes (the materialised copy is keyed on it)
+FIXTURE_VERSION = 1
 
 NEWER_SNAPSHOT = dt.date(2024, 12, 31)
 OLDER_SNAPSHOT = dt.date(2024, 11, 30)
@@ -33,9 +38,13 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
     """
     df = spark.read.parquet(path)
     cols = set(df.columns)
-    df = df.withColumn("asofdate", F.to_date("asofdate")).withColumn(
-        "statementdatekey_", to_statement_date("statementdatekey_")
-    )
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if not isinstance(types["asofdate"], T.DateType):
+        df = df.withColumn("asofdate", F.to_date("asofdate"))
+    if isinstance(types["statementdatekey_"], T.TimestampType | T.TimestampNTZType):
+        df = df.withColumn("statementdatekey_", F.to_date("statementdatekey_"))
+    elif not isinstance(types["statementdatekey_"], T.DateType):
+        df = df.withColumn("statementdatekey_", to_statement_date("statementdatekey_"))
     if "pkid_" not in cols:
         df = df.withColumn("pkid_", key_concat("entityid", "statementid"))
     return df.select(*[F.col(f.name).cast(f.dataType) for f in STATEMENT_SCHEMA.fields if f.name in df.columns])
@@ -94,7 +103,10 @@ def statements_from_orders(orders: DataFrame) -> DataFrame:
     for i, name in enumerate(MEASURES):
         shift = 10000 if name in SIGNED_MEASURES else 0
         value = ((F.col("c") * (i + 3)) % 40009 - shift).cast("double") / 4
-        measures.append(F.when((sid + i) % 7 == 0, F.lit(None).cast("double")).otherwise(value).alias(name))
+        # value times (1 or NULL): ``c`` stays outside any conditional branch,
+        # so codegen computes it once per row instead of once per measure
+        gate = F.when((sid + i) % 7 == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0))
+        measures.append((value * gate).alias(name))
     out = s.select(
         "asofdate",
         "entityid",
@@ -109,12 +121,39 @@ def statements_from_orders(orders: DataFrame) -> DataFrame:
     return out
 
 
-def fixture_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statements_from_orders(
         read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
     )
 
 
+def materialize_history(df: DataFrame, path: str, files_per_snapshot: int | None = None) -> str:
+    """Write a statement history as parquet partitioned by ``asofdate``.
+
+    Written to a staging folder and renamed into place, so a reader never
+    sees a half-written history and a lost executor only re-runs tasks.
+    """
+    spark = df.sparkSession
+    if path_exists(spark, path + "/_SUCCESS"):
+        return path
+    n = files_per_snapshot or spark.sparkContext.defaultParallelism
+    staging = shared_scratch(spark, "staging/history", unique=True)
+    df.repartition(n).write.mode("overwrite").partitionBy("asofdate").parquet(staging)
+    if not path_exists(spark, path + "/_SUCCESS"):
+        rename_path(spark, staging, path)
+    return path
+
+
+def fixture_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived history, materialised once per scale factor under the
+    shared checkpoint folder and then read like a production table."""
+    tag = sf_dir.rstrip("/").split("/")[-1]
+    path = shared_scratch(spark, f"fixtures/statements_v{FIXTURE_VERSION}_{tag}")
+    if not path_exists(spark, path + "/_SUCCESS"):
+        materialize_history(derived_statements(spark, sf_dir), path)
+    return read_statements(spark, path)
+
+
 def customers_from_customer(customer: DataFrame) -> DataFrame:
     """Customer stand-in: ``customerid`` repeats each id three times, which
     also exercises the row multiplication of the report's customer join."""

@@ -22,6 +22,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.ansi.enabled", "true")
+        .config("spark.sql.codegen.aggregate.sortAggregate.enabled", "true")
         .config("spark.checkpoint.dir", ckpt)
         .getOrCreate()
     )
