@@ -158,6 +158,19 @@ def q_client_financials_all_snapshots(spark, sf):
 def q_cohort_chain(spark, sf):
     from finwater.plans.all_snapshots import select_statements_all
 
+    return co.cohort_rows(select_statements_all(_stmts(spark, sf), literal_chain=True))
+
+
+def q_statement_snapshots(spark, sf):
+    from finwater.plans.all_snapshots import select_statements_all, statement_snapshots
+
+    st = _stmts(spark, sf)
+    return statement_snapshots(st, assign_period(select_statements_all(st)))
+
+
+def q_cohort_waterfall_by_key(spark, sf):
+    from finwater.plans.all_snapshots import select_statements_all
+
     return co.cohort_rows(select_statements_all(_stmts(spark, sf)))
 
 
@@ -284,6 +297,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "client_financials": q_client_financials,
         "client_financials_all_snapshots": q_client_financials_all_snapshots,
         "cohort_chain": q_cohort_chain,
+        "cohort_waterfall_by_key": q_cohort_waterfall_by_key,
+        "statement_snapshots": q_statement_snapshots,
         "scan_statements": q_scan_statements,
         "latest_snapshot": q_latest_snapshot,
         "statement_ranks": q_statement_ranks,
@@ -390,6 +405,12 @@ def oracle_sql() -> dict[str, str]:
         "client_financials_all_snapshots": _sql(
             sqlref.report_select(), sqlref.metrics_ctes("all") + sqlref.TOTAL_CTES, dedup="keyset"
         ),
+        "statement_snapshots": _sql("SELECT * FROM snap", sqlref.metrics_ctes("all"), dedup="keyset"),
+        "cohort_waterfall_by_key": _sql(
+            "SELECT entityid, pkid_, statementdatekey_, statment_date, statementtype, statementmonths, ranked_order, "
+            "CF_Type FROM un",
+            dedup="keyset",
+        ),
         "cohort_chain": _sql(
             "SELECT entityid, pkid_, statementdatekey_, statment_date, statementtype, statementmonths, ranked_order, "
             "CF_Type FROM un",

@@ -172,3 +172,73 @@ def cohort_chain(dd: DataFrame, worklist: DataFrame, cut_lineage=None) -> DataFr
     )
     parts.append(residual)
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def assign_cohorts_by_key(dd: DataFrame) -> DataFrame:
+    """The waterfall with the source batch's key-only single-annual step.
+
+    Equal to ``cohort_chain`` row for row, without its stage-by-stage work
+    list: cohorts before the single-annual one are decided by per-entity
+    counts; that cohort takes, among entities still open, every row whose key
+    text is the key of a lone 12-month statement of *any* open entity (so a
+    colliding key carries another entity along); later cohorts are decided
+    by counts again.  The cross-entity step is a window over the key text,
+    so the plan is a straight line of windows over entity / key partitions
+    (every group small: an entity's deduplicated statements, or one key).
+    """
+    split = next(i for i, (tag, *_rest) in enumerate(WATERFALL) if tag in SINGLE_STATEMENT)
+    single_tag, single_m, _, single_t = WATERFALL[split]
+    before, after = WATERFALL[:split], WATERFALL[split + 1 :]
+    kinds = sorted({m for _, m, _, _ in WATERFALL})
+
+    def ladder(stages):
+        expr = None
+        for tag, m, n, t in stages:
+            cond = F.lit(m) * F.least(F.lit(n), F.col(_count_col(m))) == F.lit(t)
+            expr = F.when(cond, F.lit(tag)) if expr is None else expr.when(cond, F.lit(tag))
+        return expr
+
+    def kept(stages):
+        return reduce(
+            lambda a, b: a | b,
+            [(F.col("CF_Type") == tag) & (F.col("statementmonths") == m) & (F.col("_rn_kind") <= n) for tag, m, n, _ in stages],
+        )
+
+    w_entity = Window.partitionBy("entityid")
+    cols = {_count_col(m): F.sum((F.col("statementmonths") == m).cast("int")).over(w_entity) for m in kinds}
+    cols["_rn_kind"] = F.row_number().over(newest_first_window("entityid", "statementmonths"))
+    cols["_rn_all"] = F.row_number().over(newest_first_window("entityid"))
+    cols["_same_key_single"] = F.sum((F.col("statementmonths") == single_m).cast("int")).over(
+        Window.partitionBy("entityid", "pkid_")
+    )
+    staged = dd.repartition("entityid").withColumns(cols).withColumn("_early", ladder(before))
+    lone = (
+        staged["_early"].isNull()
+        & (F.col("statementmonths") == single_m)
+        & (F.lit(single_m) * F.col("_same_key_single") == F.lit(single_t))
+    )
+    # key text held by a lone single-kind statement of any open entity
+    hit = F.max(lone.cast("int")).over(Window.partitionBy("pkid_")) == 1
+    staged = staged.repartition("pkid_").withColumn("_hit", F.col("_early").isNull() & hit)
+    staged = staged.repartition("entityid").withColumn(
+        "_single", F.max(F.col("_hit").cast("int")).over(w_entity) == 1
+    )
+    tag = (
+        F.when(F.col("_early").isNotNull(), F.col("_early"))
+        .when(F.col("_single"), F.lit(single_tag))
+        .otherwise(ladder(after).otherwise(F.lit(RESIDUAL)))
+    )
+    tagged = staged.withColumn("CF_Type", tag)
+    keep = (
+        (F.col("_early").isNotNull() & kept(before))
+        | ((F.col("CF_Type") == single_tag) & F.col("_hit"))
+        | (F.col("_early").isNull() & ~F.col("_single") & (kept(after) | (F.col("CF_Type") == RESIDUAL)))
+    )
+    rank = (
+        F.when(F.col("CF_Type") == single_tag, F.lit(1))
+        .when(F.col("CF_Type") == RESIDUAL, F.col("_rn_all"))
+        .otherwise(F.col("_rn_kind"))
+    )
+    out = tagged.filter(keep).withColumn("ranked_order", rank.cast("bigint"))
+    drop = [_count_col(m) for m in kinds] + ["_rn_kind", "_rn_all", "_same_key_single", "_early", "_hit", "_single"]
+    return out.drop(*drop)

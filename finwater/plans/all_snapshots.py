@@ -13,11 +13,11 @@ key-set dedup, so key collisions behave as in the source.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finwater.functions import key_concat
-from finwater.operators.cohorts import cohort_chain
+from finwater.operators.cohorts import assign_cohorts_by_key, cohort_chain
 from finwater.operators.eligibility import dedup_statements_by_key_set, eligible
 from finwater.operators.metrics import metric_columns
 from finwater.operators.periods import assign_period
@@ -36,27 +36,46 @@ def reliable_cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def select_statements_all(stmts: DataFrame) -> DataFrame:
+def select_statements_all(stmts: DataFrame, literal_chain: bool = False) -> DataFrame:
+    """Newest snapshot -> eligible -> key-set dedup -> waterfall.
+
+    ``literal_chain`` runs the work-list chain stage by stage (lineage cut
+    by checkpoints); the default computes the same rows in one job.
+    """
     latest = latest_snapshot(stmts.select(*KEY_COLUMNS))
     elig = eligible(latest)
-    dd = reliable_cut(dedup_statements_by_key_set(elig).distinct())
-    return cohort_chain(dd, elig, cut_lineage=reliable_cut)
+    dd = dedup_statements_by_key_set(elig).distinct()
+    if literal_chain:
+        return cohort_chain(reliable_cut(dd), elig, cut_lineage=reliable_cut)
+    return assign_cohorts_by_key(dd)
+
+
+def statement_snapshots(stmts: DataFrame, periods: DataFrame) -> DataFrame:
+    """Each period-tagged statement with every snapshot date holding its key
+    text (a left join into the whole history, as the source batch does)."""
+    hist = stmts.select(key_concat("entityid", "statementid").alias("_key"), F.col("asofdate").alias("AOD"))
+    slices = periods.select(*SLICE_KEYS).distinct()
+    return slices.join(hist, slices["pkid_"] == hist["_key"], "left").select(*SLICE_KEYS, "AOD").distinct()
 
 
 def slice_metrics_all(stmts: DataFrame, periods: DataFrame) -> DataFrame:
-    """Per slice row: its distinct metric rows and the number of snapshot
-    dates of its key (the weight)."""
-    hist = stmts.withColumn("_key", key_concat("entityid", "statementid"))
-    n_aod = hist.select("_key", "asofdate").distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("_aod"))
-    measures = hist.select("_key", *MEASURES).distinct()
+    """Per slice row: its distinct metric rows, weighted by the number of
+    snapshot dates of its key.
+
+    One join of the (small) slice rows with the history on the key text; the
+    distinct snapshot dates are counted with a ``dense_rank`` window and the
+    metric rows de-duplicated after the join, both on the join's own key
+    partitioning (no further exchange).  Groups are one statement's rows
+    across snapshots, bounded by the number of snapshots.
+    """
+    hist = stmts.select(key_concat("entityid", "statementid").alias("_key"), F.col("asofdate").alias("_aod"), *MEASURES)
     slices = periods.select(*SLICE_KEYS).distinct()
-    joined = (
-        slices.join(n_aod, slices["pkid_"] == n_aod["_key"], "left")
-        .drop("_key")
-        .join(measures, slices["pkid_"] == measures["_key"], "left")
-    )
-    lines = joined.select(*SLICE_KEYS, F.coalesce(F.col("_aod"), F.lit(1)).alias("_weight"), *metric_columns())
-    return lines.distinct()
+    joined = slices.join(hist, slices["pkid_"] == hist["_key"], "left")
+    lines = joined.select(*SLICE_KEYS, "_aod", *metric_columns())
+    per_slice = Window.partitionBy(*SLICE_KEYS)
+    lines = lines.withColumn("_aod_rank", F.dense_rank().over(per_slice.orderBy("_aod")))
+    lines = lines.withColumn("_weight", F.max("_aod_rank").over(per_slice))
+    return lines.drop("_aod", "_aod_rank").distinct()
 
 
 def client_financials_all_snapshots(stmts: DataFrame, customers: DataFrame | None = None) -> DataFrame:

@@ -39,6 +39,7 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, STATEMENT_SCHEMA)
 
 
-def run_of(entity, first_stmt, months, count, step=None, **kw):
+def run_of(entity, first_stmt, months, count, step=None, start=(2024, 12), **kw):
     step = step or months
-    return [row(entity, first_stmt + i, d, months, **kw) for i, d in enumerate(months_back(count, step))]
+    start = start or (2024, 9)
+    return [row(entity, first_stmt + i, d, months, **kw) for i, d in enumerate(months_back(count, step, start))]

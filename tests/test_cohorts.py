@@ -117,3 +117,21 @@ def test_partition_count_does_not_change_result(spark):
     a = client_financials(st, fixture_customers(spark, "/root/testdata/sf0.001"))
     b = client_financials(st.repartition(3).sortWithinPartitions(F.rand(7)), fixture_customers(spark, "/root/testdata/sf0.001"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_key_only_single_annual_step_matches_chain(spark):
+    from finwater.operators.cohorts import assign_cohorts_by_key
+    from finwater.operators.eligibility import dedup_statements_by_key_set
+    from finwater.schema import KEY_COLUMNS
+
+    # entity 1 has one annual statement, key '123'; entity 12's quarterly
+    # statement 3 has the same key text, so the key lookup takes entity 12
+    # into the single-annual cohort although it has eight quarterly ones.
+    rows = run_of(1, 23, 12, 1) + [row(12, 3, d, 3) for d in months_back(1, 3)] + run_of(12, 40, 3, 7, start=None)
+    df = eligible(frame(spark, rows).select(*KEY_COLUMNS))
+    dd = dedup_statements_by_key_set(df).distinct()
+    by_key = assign_cohorts_by_key(dd).select("entityid", "pkid_", "ranked_order", "CF_Type")
+    chain = cohort_chain(dd, df, cut_lineage=reliable_cut).select("entityid", "pkid_", "ranked_order", "CF_Type")
+    assert by_key.exceptAll(chain).count() == 0 and chain.exceptAll(by_key).count() == 0
+    got = {(r["entityid"], r["CF_Type"]) for r in by_key.collect()}
+    assert got == {(1, "C"), (12, "C")}
