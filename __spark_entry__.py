@@ -32,7 +32,11 @@ from finwater.operators.snapshot import (  # noqa: E402
 from finwater.operators.totals import period_totals  # noqa: E402
 from finwater.plans.client_financials import client_financials, select_statements  # noqa: E402
 from finwater.schema import KEY_COLUMNS, MEASURES  # noqa: E402
-from finwater.sources.statements import fixture_customers, fixture_statements  # noqa: E402
+from finwater.sources.statements import (  # noqa: E402
+    fixture_customers,
+    fixture_latest_asof,
+    fixture_statements,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -51,8 +55,13 @@ def _stmts(spark: SparkSession, sf: str) -> DataFrame:
     return fixture_statements(spark, sf)
 
 
+def _asof(spark, sf):
+    """Newest snapshot from the history's partition folders (no scan)."""
+    return fixture_latest_asof(spark, sf)
+
+
 def _latest(spark, sf):
-    return latest_snapshot(_stmts(spark, sf))
+    return latest_snapshot(_stmts(spark, sf), _asof(spark, sf))
 
 
 def _dd(spark, sf):
@@ -60,7 +69,7 @@ def _dd(spark, sf):
 
 
 def _tagged(spark, sf):
-    return select_statements(_stmts(spark, sf))
+    return select_statements(_stmts(spark, sf), _asof(spark, sf))
 
 
 def q_scan_statements(spark, sf):
@@ -132,46 +141,46 @@ def q_cohort_union(spark, sf):
 
 
 def q_period_assignment(spark, sf):
-    return assign_period(select_statements(_stmts(spark, sf), include_residual=False)).select(
+    return assign_period(select_statements(_stmts(spark, sf), _asof(spark, sf), include_residual=False)).select(
         "TimeFrame", "entityid", "pkid_", "statementdatekey_", "statementmonths", "CF_Type", "ranked_order"
     )
 
 
 def q_statement_metrics(spark, sf):
-    periods = assign_period(select_statements(_stmts(spark, sf), include_residual=False))
+    periods = assign_period(select_statements(_stmts(spark, sf), _asof(spark, sf), include_residual=False))
     return _doubles(statement_metrics(periods))
 
 
 def q_period_totals(spark, sf):
-    periods = assign_period(select_statements(_stmts(spark, sf), include_residual=False))
+    periods = assign_period(select_statements(_stmts(spark, sf), _asof(spark, sf), include_residual=False))
     return _doubles(period_totals(statement_metrics(periods)))
 
 
 def q_client_financials(spark, sf):
-    return client_financials(_stmts(spark, sf), fixture_customers(spark, sf))
+    return client_financials(_stmts(spark, sf), fixture_customers(spark, sf), as_of=_asof(spark, sf))
 
 
 def q_client_financials_all_snapshots(spark, sf):
-    return client_financials(_stmts(spark, sf), fixture_customers(spark, sf), snapshots="all")
+    return client_financials(_stmts(spark, sf), fixture_customers(spark, sf), as_of=_asof(spark, sf), snapshots="all")
 
 
 def q_cohort_chain(spark, sf):
     from finwater.plans.all_snapshots import select_statements_all
 
-    return co.cohort_rows(select_statements_all(_stmts(spark, sf), literal_chain=True))
+    return co.cohort_rows(select_statements_all(_stmts(spark, sf), literal_chain=True, as_of=_asof(spark, sf)))
 
 
 def q_statement_snapshots(spark, sf):
     from finwater.plans.all_snapshots import select_statements_all, statement_snapshots
 
     st = _stmts(spark, sf)
-    return statement_snapshots(st, assign_period(select_statements_all(st)))
+    return statement_snapshots(st, assign_period(select_statements_all(st, as_of=_asof(spark, sf))))
 
 
 def q_cohort_waterfall_by_key(spark, sf):
     from finwater.plans.all_snapshots import select_statements_all
 
-    return co.cohort_rows(select_statements_all(_stmts(spark, sf)))
+    return co.cohort_rows(select_statements_all(_stmts(spark, sf), as_of=_asof(spark, sf)))
 
 
 def _validated(spark, sf):

@@ -36,13 +36,13 @@ def reliable_cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def select_statements_all(stmts: DataFrame, literal_chain: bool = False) -> DataFrame:
+def select_statements_all(stmts: DataFrame, literal_chain: bool = False, as_of=None) -> DataFrame:
     """Newest snapshot -> eligible -> key-set dedup -> waterfall.
 
     ``literal_chain`` runs the work-list chain stage by stage (lineage cut
     by checkpoints); the default computes the same rows in one job.
     """
-    latest = latest_snapshot(stmts.select(*KEY_COLUMNS))
+    latest = latest_snapshot(stmts.select(*KEY_COLUMNS), as_of)
     elig = eligible(latest)
     dd = dedup_statements_by_key_set(elig).distinct()
     if literal_chain:
@@ -78,10 +78,10 @@ def slice_metrics_all(stmts: DataFrame, periods: DataFrame) -> DataFrame:
     return lines.drop("_aod", "_aod_rank").distinct()
 
 
-def client_financials_all_snapshots(stmts: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+def client_financials_all_snapshots(stmts: DataFrame, customers: DataFrame | None = None, as_of=None) -> DataFrame:
     from finwater.plans.client_financials import attach_customers, report_columns
 
-    periods = assign_period(select_statements_all(stmts))
+    periods = assign_period(select_statements_all(stmts, as_of=as_of))
     lines = slice_metrics_all(stmts, periods)
     report = report_columns(period_totals(lines, weight_col="_weight"))
     if customers is not None:

@@ -79,7 +79,7 @@ def client_financials(
     if snapshots == "all":
         from finwater.plans.all_snapshots import client_financials_all_snapshots
 
-        return client_financials_all_snapshots(stmts, customers)
+        return client_financials_all_snapshots(stmts, customers, as_of)
     if snapshots != "latest":
         raise ValueError(f"snapshots must be 'latest' or 'all', not {snapshots!r}")
     tagged = select_statements(stmts, as_of, include_residual=False)

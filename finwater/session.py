@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="finwater-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -63,7 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_scratch(spark: SparkSession, name: str, unique: bool = False) -> str:
     """A folder under the shared checkpoint location for job-written tables."""
     # the configured folder itself (getCheckpointDir adds a per-app subfolder)
-    base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    base = (configured or ensure_checkpoint_dir(spark)).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{base}/finwater/{leaf}"
 

@@ -50,6 +50,21 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in STATEMENT_SCHEMA.fields if f.name in df.columns])
 
 
+def snapshot_dates(spark: SparkSession, path: str, column: str = "asofdate") -> list[dt.date]:
+    """Snapshot dates of a history partitioned by ``column``, from the
+    partition folder names alone (no file is opened)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{column}="
+    dates = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            dates.append(dt.date.fromisoformat(name[len(prefix):][:10]))
+    return sorted(dates)
+
+
 def statements_from_orders(orders: DataFrame) -> DataFrame:
     """Statement history stand-in built from ``orders`` (about 30 statements per
     entity, two snapshots; the older holds the even statement ids with shifted
@@ -144,14 +159,22 @@ def materialize_history(df: DataFrame, path: str, files_per_snapshot: int | None
     return path
 
 
-def fixture_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_history_path(spark: SparkSession, sf_dir: str) -> str:
     """The derived history, materialised once per scale factor under the
-    shared checkpoint folder and then read like a production table."""
+    shared checkpoint folder (then read like a production table)."""
     tag = sf_dir.rstrip("/").split("/")[-1]
     path = shared_scratch(spark, f"fixtures/statements_v{FIXTURE_VERSION}_{tag}")
     if not path_exists(spark, path + "/_SUCCESS"):
         materialize_history(derived_statements(spark, sf_dir), path)
-    return read_statements(spark, path)
+    return path
+
+
+def fixture_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_statements(spark, fixture_history_path(spark, sf_dir))
+
+
+def fixture_latest_asof(spark: SparkSession, sf_dir: str) -> dt.date:
+    return snapshot_dates(spark, fixture_history_path(spark, sf_dir))[-1]
 
 
 def customers_from_customer(customer: DataFrame) -> DataFrame:
