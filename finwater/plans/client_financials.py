@@ -9,8 +9,7 @@ Default plan (``snapshots='latest'``):
 3. one repartition on ``entityid`` (exchange 2) serves the cohort ladder's
    windows, the period tags and the per-entity conditional sums;
 4. constant columns; the customer join only multiplies rows when a customer
-   id repeats, and is done as inner join + anti join so a hot customer id can
-   be split by AQE.
+   id repeats: ids are counted first and the copies made in spread chunks.
 
 ``snapshots='all'`` reproduces the reference's lookups into every snapshot
 (see ``finwater.plans.all_snapshots``).
@@ -57,17 +56,27 @@ def report_columns(totals: DataFrame) -> DataFrame:
     return totals.select(*cols)
 
 
-def attach_customers(report: DataFrame, customers: DataFrame) -> DataFrame:
+COPY_CHUNK = 4096
+
+
+def attach_customers(report: DataFrame, customers: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
     """LEFT JOIN customers on id, none of whose columns are used.
 
-    Written as (inner join) + (anti join) so the skew-join rule of AQE may
-    split a customer id that repeats very often; a left outer join could
-    only split the report side, which has one row per entity.
+    Its only effect is one copy of the report row per matching customer
+    row.  Customers are first counted per id (a map-side combined
+    aggregate, so a very frequent id arrives as one row), joined once to the
+    report, and the copies are made in chunks of ``chunk`` that are spread
+    over tasks before they are expanded -- a repeated id is split, never
+    handled by one task.
     """
-    ids = customers.select(F.col("customerid").alias("ENTITYID"))
-    matched = report.join(ids, "ENTITYID", "inner")
-    unmatched = report.join(ids, "ENTITYID", "left_anti")
-    return matched.unionByName(unmatched)
+    counts = customers.groupBy(F.col("customerid").alias("ENTITYID")).agg(F.count(F.lit(1)).alias("_n"))
+    joined = report.join(counts, "ENTITYID", "left").withColumn("_n", F.coalesce(F.col("_n"), F.lit(1)))
+    chunks = joined.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk))))
+    spread = chunks.repartition("ENTITYID", "_chunk")
+    copies = spread.withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(chunk), F.col("_n") - F.col("_chunk") * chunk)))
+    )
+    return copies.drop("_n", "_chunk", "_copy")
 
 
 def client_financials(

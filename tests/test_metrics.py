@@ -35,3 +35,15 @@ def test_current_prior_split_and_date(spark):
     out = report(spark, rows)[54]
     assert out["NetSalesCurrent"] == 10.0 and out["NetSalesPriorYear"] == 20.0
     assert str(out["DateOfFinancials"]) == "2024-12-31" and out["DateLastAudit"] == "12/31/9999"
+
+
+def test_customer_copies_split_in_chunks(spark):
+    from pyspark.sql import functions as F
+
+    from finwater.plans.client_financials import attach_customers
+
+    report = spark.range(5).select(F.col("id").alias("ENTITYID"), F.lit(1.0).alias("x"))
+    customers = spark.range(10_000).select(F.when(F.col("id") < 9_000, F.lit(2)).otherwise(F.col("id") % 3).alias("customerid"))
+    out = attach_customers(report, customers, chunk=1000)
+    got = {r["ENTITYID"]: r["n"] for r in out.groupBy("ENTITYID").agg(F.count("*").alias("n")).collect()}
+    assert got == {0: 334, 1: 333, 2: 9_333, 3: 1, 4: 1}
