@@ -97,6 +97,23 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(s, d))
 
 
+def publish_once(spark: SparkSession, staging: str, dst: str) -> str:
+    """Move a finished staging folder to ``dst`` unless another writer got
+    there first; readers of an existing ``dst`` are never disturbed."""
+    jvm = spark.sparkContext._jvm
+    s = jvm.org.apache.hadoop.fs.Path(staging)
+    d = jvm.org.apache.hadoop.fs.Path(dst)
+    fs = s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(d):
+        parent = d.getParent()
+        if parent is not None and not fs.exists(parent):
+            fs.mkdirs(parent)
+        fs.rename(s, d)  # fails (returns False) if dst appeared meanwhile
+    if fs.exists(s):
+        fs.delete(s, True)
+    return dst
+
+
 __all__ = [
     "JOB_CONF",
     "local_session",
@@ -105,4 +122,5 @@ __all__ = [
     "local_path",
     "path_exists",
     "rename_path",
+    "publish_once",
 ]

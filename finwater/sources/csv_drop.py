@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finwater.schema import CSV_FIELDS, CSV_SCHEMA
-from finwater.session import path_exists, shared_scratch
+from finwater.session import path_exists, publish_once, shared_scratch
 from finwater.sources.tables import read_table
 
 # Windows-1252 needs spark.sql.legacy.javaCharsets=true on Spark 4; ISO-8859-1
@@ -106,5 +106,7 @@ def sales_target_drop(spark: SparkSession, sf_dir: str) -> str:
     tag = sf_dir.rstrip("/").split("/")[-1]
     path = shared_scratch(spark, f"drops/sales_target_{tag}.csv")
     if not path_exists(spark, path + "/_SUCCESS"):
-        write_drop(sales_target_rows(spark, sf_dir), path)
+        staging = shared_scratch(spark, "staging/drop", unique=True)
+        write_drop(sales_target_rows(spark, sf_dir), staging)
+        publish_once(spark, staging, path)
     return path

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from finwater.functions import key_concat, to_statement_date
 from finwater.schema import MEASURES, STATEMENT_SCHEMA
-from finwater.session import path_exists, rename_path, shared_scratch
+from finwater.session import path_exists, publish_once, shared_scratch
 from finwater.sources.tables import read_table
 from pyspark.sql import types as T
 
@@ -154,9 +154,7 @@ def materialize_history(df: DataFrame, path: str, files_per_snapshot: int | None
     n = files_per_snapshot or spark.sparkContext.defaultParallelism
     staging = shared_scratch(spark, "staging/history", unique=True)
     df.repartition(n).write.mode("overwrite").partitionBy("asofdate").parquet(staging)
-    if not path_exists(spark, path + "/_SUCCESS"):
-        rename_path(spark, staging, path)
-    return path
+    return publish_once(spark, staging, path)
 
 
 def fixture_history_path(spark: SparkSession, sf_dir: str) -> str:
