@@ -266,6 +266,14 @@ def q_find_columns_by_object(spark, sf):
     return find_columns_by_object(columns_from_parquet_dir(spark, sf), "%NAME%")
 
 
+def q_find_columns_in_catalog(spark, sf):
+    from finwater.operators.columns import find_columns
+    from finwater.sources.catalog import columns_from_parquet_dir
+
+    meta = columns_from_parquet_dir(spark, sf, catalog="files")
+    return find_columns(meta, "%name%", catalog="files", order=("TableName",))
+
+
 def q_trailing_window(spark, sf):
     from finwater.operators.extras import newest_statement_date, trailing_window
 
@@ -337,6 +345,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "load_rep_targets": q_load_rep_targets,
             "find_columns": q_find_columns,
             "find_columns_by_object": q_find_columns_by_object,
+            "find_columns_in_catalog": q_find_columns_in_catalog,
             "trailing_window": q_trailing_window,
             "contiguous_coverage": q_contiguous_coverage,
             "entity_system_ids": q_entity_system_ids,
@@ -461,6 +470,9 @@ def oracle_sql() -> dict[str, str]:
             "find_columns_by_object": "SELECT table_name AS TableName, column_name AS ColumnName FROM "
             f"information_schema.columns WHERE table_name IN ({tables}) AND column_name ILIKE '%NAME%' "
             "ORDER BY TableName, ColumnName",
+            "find_columns_in_catalog": "SELECT table_name AS TableName, column_name AS ColumnName FROM "
+            f"information_schema.columns WHERE table_catalog = current_database() AND table_name IN ({tables}) "
+            "AND column_name ILIKE '%name%' ORDER BY TableName",
             "trailing_window": _sql(
                 "SELECT entityid, pkid_, statementdatekey_, statementmonths, statementtype FROM elig WHERE statementdatekey_ "
                 "BETWEEN CAST((SELECT max(statementdatekey_) FROM elig) - INTERVAL 12 MONTH AS DATE) "

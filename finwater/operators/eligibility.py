@@ -10,17 +10,22 @@ from finwater.schema import AUDIT_METHODS, EXCLUDED_TYPES
 DEDUP_KEYS = ["entityid", "statementdatekey_", "statementtype"]
 
 
-def eligible(df: DataFrame, methods=AUDIT_METHODS, excluded_types=EXCLUDED_TYPES) -> DataFrame:
+def eligible(
+    df: DataFrame, methods=AUDIT_METHODS, excluded_types=EXCLUDED_TYPES, collation: str | None = None
+) -> DataFrame:
     """Accepted audit method and a type outside the excluded list.
 
     ``NOT IN`` drops a NULL type as well (three-valued logic, same in Spark).
     A NULL entity never matches the work list, so it is dropped here.
+    Comparison is exact by default; ``collation`` (e.g. ``UTF8_LCASE_RTRIM``:
+    case-insensitive, trailing blanks ignored, as a database collation would
+    compare) applies to both lists.  Exact matching keeps the filter
+    pushable to the parquet scan.
     """
-    return df.filter(
-        F.col("auditmethod").isin(list(methods))
-        & ~F.col("statementtype").isin(list(excluded_types))
-        & F.col("entityid").isNotNull()
-    )
+    method, stype = F.col("auditmethod"), F.col("statementtype")
+    if collation:
+        method, stype = F.collate(method, collation), F.collate(stype, collation)
+    return df.filter(method.isin(list(methods)) & ~stype.isin(list(excluded_types)) & F.col("entityid").isNotNull())
 
 
 def distinct_entities(df: DataFrame) -> DataFrame:

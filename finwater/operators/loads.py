@@ -84,14 +84,15 @@ def quarantine(validated: DataFrame) -> DataFrame:
     )
 
 
-def map_rep_columns(validated: DataFrame) -> DataFrame:
+def map_rep_columns(validated: DataFrame, name_width: int = TARGET_NAME_WIDTH) -> DataFrame:
     """Source -> target names and widened types.
 
     SalesQuantity -> TargetSalesQuantity (int), "SalesRevenue " ->
     TargetSalesRevenue (decimal(19,4), currency), Year -> TargetYear (int);
-    names keep their text, checked against the 50-wide target columns.
+    names keep their text, checked against the target's name width (50; an
+    older target build had 255).
     """
-    width = F.lit(TARGET_NAME_WIDTH)
+    width = F.lit(name_width)
     return validated.select(
         F.when(F.length("FirstName") <= width, F.col("FirstName")).otherwise(F.raise_error(F.lit("FirstName too long"))).alias("FirstName"),
         F.when(F.length("LastName") <= width, F.col("LastName")).otherwise(F.raise_error(F.lit("LastName too long"))).alias("LastName"),

@@ -18,6 +18,7 @@ Default plan (``snapshots='latest'``):
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ from finwater.operators.snapshot import latest_snapshot
 from finwater.operators.totals import period_totals
 from finwater.schema import DATE_LAST_AUDIT, KEY_COLUMNS, MEASURES, REPORT_COLUMNS
 
+log = logging.getLogger(__name__)
+
 
 def select_statements(stmts: DataFrame, as_of: dt.date | None = None, include_residual: bool = True) -> DataFrame:
     """Newest snapshot -> eligible -> dedup -> cohort ladder (tagged rows)."""
@@ -91,6 +94,7 @@ def client_financials(
         return client_financials_all_snapshots(stmts, customers, as_of)
     if snapshots != "latest":
         raise ValueError(f"snapshots must be 'latest' or 'all', not {snapshots!r}")
+    log.info("client financials: snapshot %s", as_of if as_of is not None else "newest")
     tagged = select_statements(stmts, as_of, include_residual=False)
     totals = period_totals(statement_metrics(assign_period(tagged)))
     report = report_columns(totals)

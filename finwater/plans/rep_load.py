@@ -12,24 +12,46 @@ leave it empty).
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from finwater.operators.loads import dense_ids, good_lines, map_rep_columns, quarantine, strict, validate_fields
-from finwater.schema import TARGET_COLUMNS
-from finwater.session import rename_path
-from finwater.sources.csv_drop import read_drop_text
+from finwater.schema import TARGET_COLUMNS, TARGET_NAME_WIDTH
+from finwater.session import rename_path, shared_scratch
+from finwater.sources.csv_drop import DEFAULT_ENCODING, read_drop_text
 
 ID_ORDER = ["LastName", "FirstName", "TargetYear", "TargetSalesQuantity", "TargetSalesRevenue"]
+log = logging.getLogger(__name__)
+
 
+def prepare_targets(validated: DataFrame, name_width: int = TARGET_NAME_WIDTH) -> DataFrame:
+    return dense_ids(map_rep_columns(validated, name_width), ID_ORDER).select(*TARGET_COLUMNS)
 
-def prepare_targets(validated: DataFrame) -> DataFrame:
-    return dense_ids(map_rep_columns(validated), ID_ORDER).select(*TARGET_COLUMNS)
+
+def load_rep_target_table(
+    spark: SparkSession, drop_path: str, table: str, policy: str = "strict", name_width: int = TARGET_NAME_WIDTH
+) -> DataFrame:
+    """Same load into a catalog table: the new content is fully written and
+    checked in a staging folder first, then copied over the table, so a bad
+    drop never truncates it."""
+    staging = shared_scratch(spark, "staging/rep_target", unique=True)
+    staged = load_rep_targets(spark, drop_path, staging, policy=policy, name_width=name_width)
+    staged.write.mode("overwrite").saveAsTable(table)
+    return spark.table(table)
 
 
 def load_rep_targets(
-    spark: SparkSession, drop_path: str, target_path: str, policy: str = "strict", quarantine_path: str | None = None
+    spark: SparkSession,
+    drop_path: str,
+    target_path: str,
+    policy: str = "strict",
+    quarantine_path: str | None = None,
+    name_width: int = TARGET_NAME_WIDTH,
+    encoding: str = DEFAULT_ENCODING,
 ) -> DataFrame:
-    validated = validate_fields(read_drop_text(spark, drop_path))
+    log.info("loading %s into %s (policy %s)", drop_path, target_path, policy)
+    validated = validate_fields(read_drop_text(spark, drop_path, encoding=encoding))
     if policy == "strict":
         rows = strict(validated)
     elif policy == "quarantine":
@@ -37,7 +59,7 @@ def load_rep_targets(
     else:
         raise ValueError(f"policy must be 'strict' or 'quarantine', not {policy!r}")
     staging = target_path.rstrip("/") + "._staging"
-    prepare_targets(rows).write.mode("overwrite").parquet(staging)
+    prepare_targets(rows, name_width).write.mode("overwrite").parquet(staging)
     if policy == "quarantine" and quarantine_path:
         quarantine(validated).write.mode("overwrite").parquet(quarantine_path)
     rename_path(spark, staging, target_path)

@@ -24,6 +24,7 @@ def spark():
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.codegen.aggregate.sortAggregate.enabled", "true")
         .config("spark.checkpoint.dir", ckpt)
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="finwater-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

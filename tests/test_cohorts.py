@@ -135,3 +135,13 @@ def test_key_only_single_annual_step_matches_chain(spark):
     assert by_key.exceptAll(chain).count() == 0 and chain.exceptAll(by_key).count() == 0
     got = {(r["entityid"], r["CF_Type"]) for r in by_key.collect()}
     assert got == {(1, "C"), (12, "C")}
+
+
+def test_eligibility_collation_option(spark):
+    d = months_back(1, 12)
+    rows = [row(61, 1, d[0], 12, audit="qualified "), row(62, 1, d[0], 12, stype="fy-to-date")]
+    df = frame(spark, rows)
+    # exact match: 'qualified ' is not an accepted method, 'fy-to-date' is not an excluded type
+    assert {r["entityid"] for r in eligible(df).collect()} == {62}
+    got = {r["entityid"] for r in eligible(df, collation="UTF8_LCASE_RTRIM").collect()}
+    assert got == {61}  # method matches ignoring case/trailing blank; the excluded type is excluded

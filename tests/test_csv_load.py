@@ -103,3 +103,16 @@ def test_streaming_drop_loader(spark, scratch):
     assert sorted(r["ID"] for r in target.collect()) == [1, 2, 3]
     assert spark.read.parquet(scratch + "/sq").count() == 1
     assert PySparkException is not None
+
+
+def test_load_into_catalog_table_and_wider_names(spark, scratch):
+    from finwater.plans.rep_load import load_rep_target_table
+
+    p = drop(scratch, "t.csv", GOOD)
+    out = load_rep_target_table(spark, p, "rep_performance_target_test")
+    assert out.count() == 2
+    bad = drop(scratch + "/b", "b.csv", GOOD + ["Annabell,Lee,10,1000,2019"])
+    with pytest.raises(Exception):
+        load_rep_target_table(spark, bad, "rep_performance_target_test")
+    assert spark.table("rep_performance_target_test").count() == 2
+    spark.sql("DROP TABLE rep_performance_target_test")
