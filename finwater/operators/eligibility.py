@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finwater.schema import AUDIT_METHODS, EXCLUDED_TYPES
@@ -55,8 +55,7 @@ def dedup_statements_by_key_set(df: DataFrame) -> DataFrame:
     statement 23 and entity 12 + statement 3 both read '123') a row can pass
     through another group's max.  Used by the reference-faithful mode.
     """
-    is_max = F.col("pkid_") == F.max("pkid_").over(Window.partitionBy(*DEDUP_KEYS))
-    flagged = df.repartition("entityid").withColumn("_is_max", is_max.cast("int"))
-    # a key passes if it is the max of any group: a window over the key text
-    any_max = F.max("_is_max").over(Window.partitionBy("pkid_")) == 1
-    return flagged.repartition("pkid_").withColumn("_keep", any_max).filter("_keep").drop("_is_max", "_keep")
+    # group maxima combine map-side (a hot entity sends one key per group);
+    # the semi-join then moves rows by key text, which spreads a hot entity
+    maxima = df.groupBy(*DEDUP_KEYS).agg(F.max("pkid_").alias("pkid_")).select("pkid_").distinct()
+    return df.join(maxima, "pkid_", "left_semi")

@@ -110,8 +110,11 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "ID") -> DataF
     its size is bounded by the partition count, not the data) gives each
     partition its first ID, and rows add their index inside the partition.
     """
+    # a unique last sort key: rows equal on ``order_cols`` (a file delivered
+    # twice) still spread over range partitions instead of one
     ordered = (
-        df.orderBy(*order_cols)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .orderBy(*order_cols, "_tie")
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mono", F.monotonically_increasing_id())
     )
@@ -123,4 +126,4 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "ID") -> DataF
     out = ordered.join(F.broadcast(offsets), "_pid").withColumn(
         id_col, (F.col("_offset") + F.col("_mono") - F.col("_first") + 1).cast("int")
     )
-    return out.drop("_pid", "_mono", "_first", "_offset")
+    return out.drop("_pid", "_mono", "_first", "_offset", "_tie")
