@@ -298,6 +298,21 @@ def q_entity_system_ids(spark, sf):
     return entity_system_ids(latest, bridge)
 
 
+def q_stream_rep_targets(spark, sf):
+    """The drop-folder loader (Structured Streaming, availableNow) over the
+    derived drop; returns the loaded target."""
+    from finwater.session import shared_scratch
+    from finwater.sources.csv_drop import sales_target_drop
+    from finwater.streaming import start_drop_loader
+
+    base = shared_scratch(spark, "streams/rep_performance_target", unique=True)
+    query = start_drop_loader(spark, sales_target_drop(spark, sf), base + "/target", base + "/quarantine", base + "/ckpt")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return _doubles(spark.read.parquet(base + "/target").drop("epoch"))
+
+
 COHORT_KEYS = {
     "cohort_annual_24": "A",
     "cohort_monthly_24": "B",
@@ -343,6 +358,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "map_rep_columns": q_map_rep_columns,
             "surrogate_key": q_surrogate_key,
             "load_rep_targets": q_load_rep_targets,
+            "stream_rep_targets": q_stream_rep_targets,
             "find_columns": q_find_columns,
             "find_columns_by_object": q_find_columns_by_object,
             "find_columns_in_catalog": q_find_columns_in_catalog,
@@ -456,6 +472,9 @@ def oracle_sql() -> dict[str, str]:
                 drop, "SELECT * REPLACE (CAST(TargetSalesRevenue AS DOUBLE) AS TargetSalesRevenue) FROM targets"
             ),
             "surrogate_key": sqlref.with_ctes(drop, "SELECT ID, LastName FROM targets_id"),
+            "stream_rep_targets": sqlref.with_ctes(
+                drop, "SELECT * REPLACE (CAST(TargetSalesRevenue AS DOUBLE) AS TargetSalesRevenue) FROM targets_id"
+            ),
             "load_rep_targets": sqlref.with_ctes(
                 drop, "SELECT * REPLACE (CAST(TargetSalesRevenue AS DOUBLE) AS TargetSalesRevenue) FROM targets_id"
             ),
