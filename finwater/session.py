@@ -71,15 +71,6 @@ def shared_scratch(spark: SparkSession, name: str, unique: bool = False) -> str:
     return f"{base}/finwater/{leaf}"
 
 
-def local_path(uri: str) -> str | None:
-    """Path on this machine for a ``file:`` URI (None for remote stores)."""
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    if uri.startswith("/"):
-        return uri
-    return None
-
-
 def path_exists(spark: SparkSession, uri: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(uri)
@@ -119,7 +110,6 @@ __all__ = [
     "local_session",
     "ensure_checkpoint_dir",
     "shared_scratch",
-    "local_path",
     "path_exists",
     "rename_path",
     "publish_once",
