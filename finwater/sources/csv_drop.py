@@ -21,6 +21,17 @@ from finwater.sources.tables import read_table
 DEFAULT_ENCODING = "ISO-8859-1"
 
 CORRUPT = "_corrupt_record"
+LEGACY_CHARSETS = {"windows-1252", "cp1252"}
+
+
+def _encoding(spark: SparkSession, encoding: str) -> str:
+    """Spark 4 accepts Windows code pages only with its legacy-charset flag;
+    turn it on for the session when one is asked for."""
+    if encoding.lower() in LEGACY_CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    return encoding
+
+
 TEXT_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in CSV_FIELDS] + [T.StructField(CORRUPT, T.StringType())]
 )
@@ -35,7 +46,7 @@ def read_drop_text(spark: SparkSession, path: str, encoding: str = DEFAULT_ENCOD
         .option("header", True)
         .option("sep", ",")
         .option("quote", "\u0000")
-        .option("encoding", encoding)
+        .option("encoding", _encoding(spark, encoding))
         .option("enforceSchema", not check_header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -56,7 +67,7 @@ def read_drop_typed(
         .option("header", True)
         .option("sep", ",")
         .option("quote", "\u0000")
-        .option("encoding", encoding)
+        .option("encoding", _encoding(spark, encoding))
         .option("enforceSchema", not check_header)
         .option("mode", mode)
         .csv(path)

@@ -116,3 +116,10 @@ def test_load_into_catalog_table_and_wider_names(spark, scratch):
         load_rep_target_table(spark, bad, "rep_performance_target_test")
     assert spark.table("rep_performance_target_test").count() == 2
     spark.sql("DROP TABLE rep_performance_target_test")
+
+
+def test_windows_1252_code_page(spark, scratch):
+    raw = (HEADER + "\r\n").encode("ascii") + b"\x80uro,Lee,1,2,2020\r\n"
+    p = drop(scratch, "w.csv", [], raw=raw)
+    assert read_drop_text(spark, p).first()["FirstName"] == "\x80uro"  # ISO-8859-1 default
+    assert read_drop_text(spark, p, encoding="windows-1252").first()["FirstName"] == "€uro"
