@@ -23,7 +23,7 @@ from finwater.operators.metrics import metric_columns
 from finwater.operators.periods import assign_period
 from finwater.operators.snapshot import latest_snapshot
 from finwater.operators.totals import period_totals
-from finwater.schema import KEY_COLUMNS, MEASURES, METRIC_COLUMNS
+from finwater.schema import KEY_COLUMNS, MEASURES
 from finwater.session import ensure_checkpoint_dir
 
 SLICE_KEYS = ["TimeFrame", "entityid", "statementdatekey_", "statementmonths", "pkid_", "CF_Type"]
@@ -89,4 +89,4 @@ def client_financials_all_snapshots(stmts: DataFrame, customers: DataFrame | Non
     return report
 
 
-__all__ = ["client_financials_all_snapshots", "select_statements_all", "slice_metrics_all", "METRIC_COLUMNS"]
+__all__ = ["client_financials_all_snapshots", "select_statements_all", "slice_metrics_all", "statement_snapshots"]
