@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from finwater.operators.cohorts import assign_cohorts
 from finwater.operators.eligibility import dedup_statements, eligible
+from finwater.operators.extras import trailing_window
 from finwater.operators.metrics import statement_metrics
 from finwater.operators.periods import assign_period
 from finwater.operators.snapshot import latest_snapshot
@@ -34,9 +35,21 @@ from finwater.schema import DATE_LAST_AUDIT, KEY_COLUMNS, MEASURES, REPORT_COLUM
 log = logging.getLogger(__name__)
 
 
-def select_statements(stmts: DataFrame, as_of: dt.date | None = None, include_residual: bool = True) -> DataFrame:
-    """Newest snapshot -> eligible -> dedup -> cohort ladder (tagged rows)."""
+def select_statements(
+    stmts: DataFrame,
+    as_of: dt.date | None = None,
+    include_residual: bool = True,
+    window: tuple[dt.date, int] | None = None,
+) -> DataFrame:
+    """Newest snapshot -> eligible -> dedup -> cohort ladder (tagged rows).
+
+    ``window=(report_date, months)`` keeps only statements dated within that
+    many months up to the report date before selection (the batch declares
+    such a window but never applies it, so the default is none).
+    """
     latest = latest_snapshot(stmts.select(*KEY_COLUMNS, *MEASURES), as_of)
+    if window is not None:
+        latest = trailing_window(latest, window[0], window[1])
     return assign_cohorts(dedup_statements(eligible(latest)), include_residual=include_residual)
 
 
@@ -87,15 +100,18 @@ def client_financials(
     customers: DataFrame | None = None,
     as_of: dt.date | None = None,
     snapshots: str = "latest",
+    window: tuple[dt.date, int] | None = None,
 ) -> DataFrame:
     if snapshots == "all":
         from finwater.plans.all_snapshots import client_financials_all_snapshots
 
+        if window is not None:
+            raise ValueError("the trailing window applies to the latest-snapshot mode")
         return client_financials_all_snapshots(stmts, customers, as_of)
     if snapshots != "latest":
         raise ValueError(f"snapshots must be 'latest' or 'all', not {snapshots!r}")
     log.info("client financials: snapshot %s", as_of if as_of is not None else "newest")
-    tagged = select_statements(stmts, as_of, include_residual=False)
+    tagged = select_statements(stmts, as_of, include_residual=False, window=window)
     totals = period_totals(statement_metrics(assign_period(tagged)))
     report = report_columns(totals)
     if customers is not None:
