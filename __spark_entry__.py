@@ -274,6 +274,15 @@ def q_find_columns_in_catalog(spark, sf):
     return find_columns(meta, "%name%", catalog="files", order=("TableName",))
 
 
+def q_find_columns_metadata(spark, sf):
+    from finwater.operators.columns import column_metadata
+    from finwater.sources.catalog import columns_from_parquet_dir
+
+    return column_metadata(columns_from_parquet_dir(spark, sf), "%key%").select(
+        "table_name", "column_name", F.col("ordinal_position").cast("bigint").alias("ordinal_position")
+    )
+
+
 def q_trailing_window(spark, sf):
     from finwater.operators.extras import newest_statement_date, trailing_window
 
@@ -362,6 +371,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "find_columns": q_find_columns,
             "find_columns_by_object": q_find_columns_by_object,
             "find_columns_in_catalog": q_find_columns_in_catalog,
+            "find_columns_metadata": q_find_columns_metadata,
             "trailing_window": q_trailing_window,
             "contiguous_coverage": q_contiguous_coverage,
             "entity_system_ids": q_entity_system_ids,
@@ -492,6 +502,9 @@ def oracle_sql() -> dict[str, str]:
             "find_columns_in_catalog": "SELECT table_name AS TableName, column_name AS ColumnName FROM "
             f"information_schema.columns WHERE table_catalog = current_database() AND table_name IN ({tables}) "
             "AND column_name ILIKE '%name%' ORDER BY TableName",
+            "find_columns_metadata": "SELECT table_name, column_name, CAST(ordinal_position AS BIGINT) AS ordinal_position "
+            f"FROM information_schema.columns WHERE table_name IN ({tables}) AND column_name ILIKE '%key%' "
+            "ORDER BY table_name",
             "trailing_window": _sql(
                 "SELECT entityid, pkid_, statementdatekey_, statementmonths, statementtype FROM elig WHERE statementdatekey_ "
                 "BETWEEN CAST((SELECT max(statementdatekey_) FROM elig) - INTERVAL 12 MONTH AS DATE) "

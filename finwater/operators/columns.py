@@ -36,3 +36,10 @@ def find_columns_by_object(meta: DataFrame, pattern: str, case_sensitive: bool =
         .select(F.col("t.name").alias("TableName"), F.col("c.name").alias("ColumnName"))
         .orderBy("TableName", "ColumnName")
     )
+
+
+def column_metadata(meta: DataFrame, pattern: str, case_sensitive: bool = False) -> DataFrame:
+    """Full metadata rows of matching columns, ordered by table name."""
+    col = F.col("column_name")
+    cond = col.like(pattern) if case_sensitive else col.ilike(pattern)
+    return meta.filter(cond).drop("object_id").orderBy("table_name", "ordinal_position")
