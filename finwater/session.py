@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # no per-call call-site capture while building plans (error context only)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
