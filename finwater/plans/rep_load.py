@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from finwater.operators.loads import dense_ids, good_lines, map_rep_columns, quarantine, strict, validate_fields
 from finwater.schema import TARGET_COLUMNS, TARGET_NAME_WIDTH
-from finwater.session import rename_path, shared_scratch
+from finwater.session import replace_path, shared_scratch
 from finwater.sources.csv_drop import DEFAULT_ENCODING, read_drop_text
 
 ID_ORDER = ["LastName", "FirstName", "TargetYear", "TargetSalesQuantity", "TargetSalesRevenue"]
@@ -62,5 +62,5 @@ def load_rep_targets(
     prepare_targets(rows, name_width).write.mode("overwrite").parquet(staging)
     if policy == "quarantine" and quarantine_path:
         quarantine(validated).write.mode("overwrite").parquet(quarantine_path)
-    rename_path(spark, staging, target_path)
+    replace_path(spark, staging, target_path)
     return spark.read.parquet(target_path)

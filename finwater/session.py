@@ -80,14 +80,22 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
+def replace_path(spark: SparkSession, staging: str, dst: str) -> str:
+    """Swap a finished staging folder in for ``dst``: the old content is
+    renamed aside first and deleted only after the new one is in place."""
     jvm = spark.sparkContext._jvm
-    s = jvm.org.apache.hadoop.fs.Path(src)
+    s = jvm.org.apache.hadoop.fs.Path(staging)
     d = jvm.org.apache.hadoop.fs.Path(dst)
+    old = jvm.org.apache.hadoop.fs.Path(f"{dst.rstrip('/')}._old_{uuid.uuid4().hex[:8]}")
     fs = s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(d):
-        fs.delete(d, True)
-    return bool(fs.rename(s, d))
+    had_old = bool(fs.exists(d)) and bool(fs.rename(d, old))
+    if not fs.rename(s, d):
+        if had_old:
+            fs.rename(old, d)
+        raise RuntimeError(f"could not move {staging} to {dst}")
+    if had_old:
+        fs.delete(old, True)
+    return dst
 
 
 def publish_once(spark: SparkSession, staging: str, dst: str) -> str:
@@ -113,6 +121,6 @@ __all__ = [
     "ensure_checkpoint_dir",
     "shared_scratch",
     "path_exists",
-    "rename_path",
     "publish_once",
+    "replace_path",
 ]

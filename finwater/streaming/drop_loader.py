@@ -39,11 +39,18 @@ def drop_stream(spark: SparkSession, drop_dir: str, encoding: str = DEFAULT_ENCO
     return reader.csv(drop_dir)
 
 
+def _ids_path(target_path: str) -> str:
+    # a hidden folder: parquet readers of the target skip names starting with '_'
+    return f"{target_path.rstrip('/')}/_ids"
+
+
 def _max_id_before(spark: SparkSession, target_path: str, epoch_id: int) -> int:
-    if not path_exists(spark, target_path):
+    """Largest ID of earlier epochs, from one-row markers (not from the
+    target itself, whose size grows with every batch)."""
+    ids = _ids_path(target_path)
+    if not path_exists(spark, ids):
         return 0
-    prior = spark.read.parquet(target_path).filter(F.col("epoch") < epoch_id)
-    value = prior.agg(F.max("ID").alias("m")).first()["m"]
+    value = spark.read.parquet(ids).filter(F.col("epoch") < epoch_id).agg(F.max("max_id").alias("m")).first()["m"]
     return int(value or 0)
 
 
@@ -52,8 +59,12 @@ def load_batch(batch: DataFrame, epoch_id: int, target_path: str, quarantine_pat
     validated = validate_fields(batch)
     base = _max_id_before(spark, target_path, epoch_id)
     rows = dense_ids(map_rep_columns(good_lines(validated)), ID_ORDER).withColumn("ID", F.col("ID") + F.lit(base))
-    rows.select(*TARGET_COLUMNS).write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/epoch={epoch_id}")
+    out = f"{target_path.rstrip('/')}/epoch={epoch_id}"
+    rows.select(*TARGET_COLUMNS).write.mode("overwrite").parquet(out)
     quarantine(validated).write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/epoch={epoch_id}")
+    # the marker is written last: a replayed batch rewrites data and marker
+    top = spark.read.parquet(out).agg(F.max("ID").alias("max_id")).withColumn("max_id", F.coalesce("max_id", F.lit(base)))
+    top.coalesce(1).write.mode("overwrite").parquet(f"{_ids_path(target_path)}/epoch={epoch_id}")
 
 
 def start_drop_loader(
