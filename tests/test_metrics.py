@@ -47,3 +47,25 @@ def test_customer_copies_split_in_chunks(spark):
     out = attach_customers(report, customers, chunk=1000)
     got = {r["ENTITYID"]: r["n"] for r in out.groupBy("ENTITYID").agg(F.count("*").alias("n")).collect()}
     assert got == {0: 334, 1: 333, 2: 9_333, 3: 1, 4: 1}
+
+
+def test_all_snapshots_totals_by_hand(spark):
+    """Entity 5: statements 1 (newest, annual) and 2 (annual, year before).
+    Statement 1 sits in two snapshots with different net sales, statement 2
+    in one.  Current = 2 dates x (100 + 110); prior = 1 date x 40."""
+    from golden import OLDER, months_back
+
+    d = months_back(2, 12)
+    rows = [
+        row(5, 1, d[0], 12, netsales=100.0, totalassets=7.0),
+        row(5, 1, d[0], 12, netsales=110.0, totalassets=7.0, asof=OLDER),
+        row(5, 2, d[1], 12, netsales=40.0, totalassets=3.0),
+    ]
+    out = {r["ENTITYID"]: r for r in client_financials(frame(spark, rows), snapshots="all").collect()}[5]
+    assert out["NetSalesCurrent"] == 2 * (100.0 + 110.0)
+    assert out["NetSalesPriorYear"] == 40.0
+    # DISTINCT runs over the whole metric row: the two rows differ in net
+    # sales, so an equal metric still counts twice per snapshot date
+    assert out["TotalAssetsCurrent"] == 2 * 2 * 7.0
+    latest = {r["ENTITYID"]: r for r in client_financials(frame(spark, rows)).collect()}[5]
+    assert latest["NetSalesCurrent"] == 100.0 and latest["TotalAssetsCurrent"] == 7.0
