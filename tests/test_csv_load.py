@@ -121,3 +121,10 @@ def test_windows_1252_code_page(spark, scratch):
     p = drop(scratch, "w.csv", [], raw=raw)
     assert read_drop_text(spark, p).first()["FirstName"] == "\x80uro"  # ISO-8859-1 default
     assert read_drop_text(spark, p, encoding="windows-1252").first()["FirstName"] == "€uro"
+
+
+def test_target_name_width_parameter(spark, scratch):
+    p = drop(scratch, "nw.csv", GOOD)
+    assert load_rep_targets(spark, p, scratch + "/t255", name_width=255).count() == 2
+    with pytest.raises(Exception):  # 'Ann' does not fit a 2-wide target column
+        load_rep_targets(spark, p, scratch + "/t2", name_width=2).collect()
