@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finwater.operators.ranking import newest_first_window
+from finwater.operators.ranking import newest_first, newest_first_window
 from finwater.schema import COHORT_COLUMNS
 
 # --- fixed values: the cohort waterfall, in placement order ---
@@ -76,11 +76,16 @@ def assign_cohorts(dd: DataFrame, include_residual: bool = True, partitioned: bo
         dd = dd.repartition("entityid")
     w_entity = Window.partitionBy("entityid")
     kinds = sorted({m for _, m, _, _ in WATERFALL})
+    # One sort serves every window: rank within the entity by (months, newest
+    # first); the other windows need only a prefix of that order.  The rank
+    # within a statement kind is the position inside its block of months.
+    by_kind = Window.partitionBy("entityid").orderBy(F.col("statementmonths"), *newest_first())
+    dd = dd.withColumn("_rn_e", F.row_number().over(by_kind))
     cols = {_count_col(m): F.sum((F.col("statementmonths") == m).cast("int")).over(w_entity) for m in kinds}
-    cols["_rn_kind"] = F.row_number().over(newest_first_window("entityid", "statementmonths"))
+    cols["_start"] = F.min("_rn_e").over(Window.partitionBy("entityid", "statementmonths"))
+    dd = dd.withColumns(cols).withColumn("_rn_kind", F.col("_rn_e") - F.col("_start") + 1)
     if include_residual:
-        cols["_rn_all"] = F.row_number().over(newest_first_window("entityid"))
-    dd = dd.withColumns(cols)
+        dd = dd.withColumn("_rn_all", F.row_number().over(newest_first_window("entityid")))
 
     ladder: Column | None = None
     for tag, m, n, t in WATERFALL:
@@ -102,7 +107,7 @@ def assign_cohorts(dd: DataFrame, include_residual: bool = True, partitioned: bo
         keep = keep | (F.col("CF_Type") == RESIDUAL)
         rank = F.when(F.col("CF_Type") == RESIDUAL, F.col("_rn_all")).otherwise(rank)
     out = dd.filter(keep).withColumn("ranked_order", rank.cast("bigint"))
-    return out.drop(*[_count_col(m) for m in kinds], "_rn_kind", "_rn_all")
+    return out.drop(*[_count_col(m) for m in kinds], "_rn_e", "_start", "_rn_kind", "_rn_all")
 
 
 def cohort_rows(tagged: DataFrame, tag: str | None = None) -> DataFrame:
