@@ -34,6 +34,8 @@ def test_report_plan_one_scan_two_exchanges(spark):
     assert len(ex) == 2, ex
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan  # no join back into the history
+    # the dedup's sort aggregate (partial + final) and one sort for all entity windows
+    assert plan.count("Sort [") <= 3
 
 
 def test_eligibility_reaches_the_scan(spark, scratch):
