@@ -494,15 +494,16 @@ def oracle_sql() -> dict[str, str]:
     keys = ", ".join(KEY_COLUMNS)
     s.update(
         {
-            "find_columns": "SELECT table_name AS TableName, column_name AS ColumnName FROM information_schema.columns "
+            "find_columns": "SELECT DISTINCT table_name AS TableName, column_name AS ColumnName FROM information_schema.columns "
             f"WHERE table_name IN ({tables}) AND column_name ILIKE '%key%' ORDER BY TableName, ColumnName",
-            "find_columns_by_object": "SELECT table_name AS TableName, column_name AS ColumnName FROM "
+            "find_columns_by_object": "SELECT DISTINCT table_name AS TableName, column_name AS ColumnName FROM "
             f"information_schema.columns WHERE table_name IN ({tables}) AND column_name ILIKE '%NAME%' "
             "ORDER BY TableName, ColumnName",
-            "find_columns_in_catalog": "SELECT table_name AS TableName, column_name AS ColumnName FROM "
-            f"information_schema.columns WHERE table_catalog = current_database() AND table_name IN ({tables}) "
+            "find_columns_in_catalog": "SELECT DISTINCT table_name AS TableName, column_name AS ColumnName FROM "
+            "information_schema.columns WHERE table_catalog = (SELECT min(table_catalog) FROM information_schema.tables "
+            f"WHERE table_name = 'orders') AND table_name IN ({tables}) "
             "AND column_name ILIKE '%name%' ORDER BY TableName",
-            "find_columns_metadata": "SELECT table_name, column_name, CAST(ordinal_position AS BIGINT) AS ordinal_position "
+            "find_columns_metadata": "SELECT DISTINCT table_name, column_name, CAST(ordinal_position AS BIGINT) AS ordinal_position "
             f"FROM information_schema.columns WHERE table_name IN ({tables}) AND column_name ILIKE '%key%' "
             "ORDER BY table_name",
             "trailing_window": _sql(
