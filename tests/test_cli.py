@@ -40,3 +40,18 @@ def test_report_entities_are_the_non_residual_ones(spark):
     report = {r["ENTITYID"] for r in client_financials(st).select("ENTITYID").collect()}
     placed = {r["entityid"] for r in entity_cohorts(select_statements(st)).filter("CF_Type != 'R'").collect()}
     assert report == placed
+
+
+def test_load_cli(spark, scratch):
+    import os
+
+    os.makedirs(scratch + "/d", exist_ok=True)
+    with open(scratch + "/d/a.csv", "wb") as fh:
+        fh.write(b"FirstName,LastName,SalesQuantity,SalesRevenue ,Year\r\nAnn,Lee,10,1000,2019\r\nAnnabell,Lee,1,1,2019\r\n")
+    res = main(["load", "--drop", scratch + "/d", "--target", scratch + "/t", "--policy", "quarantine",
+                "--quarantine", scratch + "/q"], spark=spark)
+    assert res == {"job": "load", "rows": 1}
+    assert spark.read.parquet(scratch + "/q").count() == 1
+    res = main(["load", "--drop", scratch + "/d", "--table", "cli_target_test", "--policy", "quarantine"], spark=spark)
+    assert res["rows"] == 1
+    spark.sql("DROP TABLE cli_target_test")
