@@ -210,21 +210,29 @@ def assign_cohorts_by_key(dd: DataFrame) -> DataFrame:
         )
 
     w_entity = Window.partitionBy("entityid")
+    # entity stage: counts and the rank within a statement kind share one
+    # (entity; months, newest first) order; the residual rank needs its own
+    by_kind = Window.partitionBy("entityid").orderBy(F.col("statementmonths"), *newest_first())
+    staged = dd.repartition("entityid").withColumn("_rn_e", F.row_number().over(by_kind))
     cols = {_count_col(m): F.sum((F.col("statementmonths") == m).cast("int")).over(w_entity) for m in kinds}
-    cols["_rn_kind"] = F.row_number().over(newest_first_window("entityid", "statementmonths"))
-    cols["_rn_all"] = F.row_number().over(newest_first_window("entityid"))
-    cols["_same_key_single"] = F.sum((F.col("statementmonths") == single_m).cast("int")).over(
-        Window.partitionBy("entityid", "pkid_")
+    cols["_start"] = F.min("_rn_e").over(Window.partitionBy("entityid", "statementmonths"))
+    staged = staged.withColumns(cols).withColumn("_rn_kind", F.col("_rn_e") - F.col("_start") + 1)
+    staged = staged.withColumn("_rn_all", F.row_number().over(newest_first_window("entityid")))
+    staged = staged.withColumn("_early", ladder(before))
+    # key stage: both windows below share one (key, entity) order
+    staged = staged.repartition("pkid_").withColumn(
+        "_same_key_single",
+        F.sum((F.col("statementmonths") == single_m).cast("int")).over(Window.partitionBy("pkid_", "entityid")),
     )
-    staged = dd.repartition("entityid").withColumns(cols).withColumn("_early", ladder(before))
     lone = (
-        staged["_early"].isNull()
+        F.col("_early").isNull()
         & (F.col("statementmonths") == single_m)
         & (F.lit(single_m) * F.col("_same_key_single") == F.lit(single_t))
     )
     # key text held by a lone single-kind statement of any open entity
-    hit = F.max(lone.cast("int")).over(Window.partitionBy("pkid_")) == 1
-    staged = staged.repartition("pkid_").withColumn("_hit", F.col("_early").isNull() & hit)
+    staged = staged.withColumn("_lone", lone.cast("int"))
+    hit = F.max("_lone").over(Window.partitionBy("pkid_")) == 1
+    staged = staged.withColumn("_hit", F.col("_early").isNull() & hit)
     staged = staged.repartition("entityid").withColumn(
         "_single", F.max(F.col("_hit").cast("int")).over(w_entity) == 1
     )
@@ -245,5 +253,7 @@ def assign_cohorts_by_key(dd: DataFrame) -> DataFrame:
         .otherwise(F.col("_rn_kind"))
     )
     out = tagged.filter(keep).withColumn("ranked_order", rank.cast("bigint"))
-    drop = [_count_col(m) for m in kinds] + ["_rn_kind", "_rn_all", "_same_key_single", "_early", "_hit", "_single"]
+    drop = [_count_col(m) for m in kinds] + [
+        "_rn_e", "_start", "_rn_kind", "_rn_all", "_same_key_single", "_lone", "_early", "_hit", "_single"
+    ]
     return out.drop(*drop)
