@@ -4,11 +4,13 @@ The source batch selects statements in the newest snapshot but looks them
 up by text key (``entityid || statementid``, no separator) in the whole
 history, once for the snapshot dates and once for the measures, and then
 keeps DISTINCT rows.  So a statement present in S snapshots with K distinct
-metric rows weighs S x K.  Here that product is not materialised: the
-snapshot dates are counted per key (a map-side combined aggregate), the
-distinct metric rows are joined once, and the count becomes a weight of
-the sums.  The cohort selection uses the literal work-list chain and the
-key-set dedup, so key collisions behave as in the source.
+metric rows weighs S x K.  Here that product is not materialised: the slice
+rows are joined to the history once on the key, the distinct snapshot dates
+of each slice row are counted with a window on the join's partitioning, the
+metric rows are de-duplicated there, and the count becomes a weight of the
+sums.  The selection uses the key-set dedup and the key-only single-annual
+step (``assign_cohorts_by_key``), so key collisions behave as in the source;
+``literal_chain=True`` runs the stage-by-stage work-list chain instead.
 """
 
 from __future__ import annotations
