@@ -57,9 +57,12 @@ def contiguous_coverage(dd: DataFrame) -> DataFrame:
 
 def entity_system_ids(statements: DataFrame, bridge: DataFrame) -> DataFrame:
     """Statements with the system ids of their entity (left join on the
-    distinct bridge; an entity with several ids repeats its rows)."""
+    distinct bridge; an entity with several ids repeats its rows), as
+    DISTINCT rows.  The DISTINCT follows the join: the join output is already
+    hash-partitioned by ``entityid``, one of the distinct columns, so it
+    needs no further shuffle when the join is a shuffle join."""
     ids = bridge.select("systemid", "entityid").distinct()
-    return statements.join(ids, "entityid", "left")
+    return statements.join(ids, "entityid", "left").distinct()
 
 
 def entity_bridge_from_customer(customer: DataFrame) -> DataFrame:
