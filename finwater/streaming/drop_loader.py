@@ -75,10 +75,12 @@ def start_drop_loader(
     checkpoint_location: str,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the loader; ``available_now`` processes what is there and stops."""
+    """Start the loader; ``available_now`` processes what is there and stops
+    (in several micro-batches when ``max_files_per_trigger`` is set)."""
     writer = (
-        drop_stream(spark, drop_dir)
+        drop_stream(spark, drop_dir, max_files=max_files_per_trigger)
         .writeStream.foreachBatch(lambda df, epoch: load_batch(df, epoch, target_path, quarantine_path))
         .option("checkpointLocation", checkpoint_location)
     )

@@ -128,3 +128,17 @@ def test_target_name_width_parameter(spark, scratch):
     assert load_rep_targets(spark, p, scratch + "/t255", name_width=255).count() == 2
     with pytest.raises(Exception):  # 'Ann' does not fit a 2-wide target column
         load_rep_targets(spark, p, scratch + "/t2", name_width=2).collect()
+
+
+def test_streaming_several_batches_in_one_run(spark, scratch):
+    from finwater.streaming import start_drop_loader
+
+    folder = scratch + "/drops3"
+    drop(folder, "a.csv", GOOD)
+    drop(folder, "b.csv", ["Cy,Wu,5,50,2021"])
+    drop(folder, "c.csv", ["Di,Xu,6,60,2022", "Ed,Yu,7,70,2023"])
+    q = start_drop_loader(spark, folder, scratch + "/st3", scratch + "/sq3", scratch + "/ck3", max_files_per_trigger=1)
+    q.awaitTermination(180)
+    target = spark.read.parquet(scratch + "/st3")
+    assert target.select("epoch").distinct().count() == 3  # one micro-batch per file
+    assert sorted(r["ID"] for r in target.collect()) == [1, 2, 3, 4, 5]
