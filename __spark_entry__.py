@@ -38,6 +38,11 @@ from finwater.sources.statements import (  # noqa: E402
     fixture_statements,
 )
 
+try:  # the training-data operators are an optional subpackage
+    from finwater.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -377,6 +382,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "entity_system_ids": q_entity_system_ids,
         }
     )
+    if llm_queries is not None:
+        qs.update(llm_queries.queries())
     return qs
 
 
@@ -535,6 +542,8 @@ WHERE _broken = 0 GROUP BY entityid, statementmonths"""
             "SELECT entityid, pkid_, statementdatekey_, statment_date, statementtype, statementmonths, ranked_order, "
             f"CF_Type FROM un WHERE CF_Type = '{tag}'"
         )
+    if llm_queries is not None:
+        s.update(llm_queries.oracle_sql())
     return s
 
 
