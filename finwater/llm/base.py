@@ -48,13 +48,17 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: list[T.Stru
     of rows inside Arrow batches; the ``keep`` columns pass through by
     position, so that input names may clash with result names."""
     names = [f"_k{i}" for i in range(len(keep))]
-    source = df.select(*[col(k).alias(n) for k, n in zip(keep, names)], col(text_col).cast("string").alias("_text"))
+    source = df.select(*[col(k).alias(n) for k, n in zip(keep, names)])
+    if text_col in keep:
+        at = keep.index(text_col)
+    else:
+        at, source = len(keep), df.select(*[col(k).alias(n) for k, n in zip(keep, names)], col(text_col).alias("_text"))
     out = T.StructType([T.StructField(n, df.schema[k].dataType) for k, n in zip(keep, names)] + list(fields))
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(len(names)))
+            texts = texts_of(batch.column(at))
             for a, b in groups(map(len, texts)):
                 made = work(texts[a:b])
                 kept = [batch.column(i).slice(a, b - a) for i in range(len(names))]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from finwater.sources.tables import read_table
 
-from . import bytebpe, urltrie
+from . import apportion, bytebpe, langid, mcd, simhash, urltrie
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -31,6 +31,25 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op3_quality_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    return mcd.judge(read_table(spark, sf, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    marked = docs.select("doc_id", "text", langid.held_out().alias("held_out"))
+    return langid.predict(marked, langid.fit(docs), keep=["doc_id", "held_out"])
+
+
+def op6_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return apportion.mix(read_table(spark, sf, "documents"), keep=["doc_id"]).drop("place")
+
+
+def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf, "documents"), shingle=3, radius=3)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf, "documents"))
 
@@ -66,8 +85,13 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "pipeline": pipeline,
+        "op3_quality_outliers": op3_quality_outliers,
+        "op4_language_id": op4_language_id,
+        "op6_source_mix": op6_source_mix,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_url_filter": op8_url_filter,
+        "op9_simhash": op9_simhash,
     }
 
 
