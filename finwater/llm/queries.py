@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from finwater.sources.tables import read_table
 
-from . import apportion, bytebpe, langid, mcd, simhash, urltrie
+from . import apportion, bytebpe, langid, mcd, projections, simhash, urltrie
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -77,6 +77,10 @@ FROM u LEFT JOIN m ON u.host = m.host AND u.path = m.path
 """
 
 
+def op10_projection_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return projections.near_duplicates(read_table(spark, sf, "embeddings"), threshold=0.98)
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,6 +96,7 @@ def queries() -> dict:
         "op7_byte_bpe": op7_byte_bpe,
         "op8_url_filter": op8_url_filter,
         "op9_simhash": op9_simhash,
+        "op10_projection_dedup": op10_projection_dedup,
     }
 
 
