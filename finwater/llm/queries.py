@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from finwater.sources.tables import read_table
 
-from . import apportion, bytebpe, langid, mcd, projections, simhash, urltrie
+from . import apportion, bytebpe, langid, mcd, projections, simhash, toolcalls, urltrie, warc_revisit
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -31,6 +31,11 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op2_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
+    calls, results = toolcalls.derived_records(read_table(spark, sf, "conversations"))
+    return toolcalls.link(calls, results, toolcalls.TOOLS)
+
+
 def op3_quality_outliers(spark: SparkSession, sf: str) -> DataFrame:
     return mcd.judge(read_table(spark, sf, "documents"))
 
@@ -41,6 +46,12 @@ def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.predict(marked, langid.fit(docs), keep=["doc_id", "held_out"])
 
 
+def op5_warc_revisit(spark: SparkSession, sf: str) -> DataFrame:
+    found = warc_revisit.resolve(warc_revisit.capture_records(read_table(spark, sf, "pages")))
+    shown = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit("="), h["value"])), "|")
+    return found.withColumn("headers", shown)
+
+
 def op6_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return apportion.mix(read_table(spark, sf, "documents"), keep=["doc_id"]).drop("place")
 
@@ -81,6 +92,57 @@ def op10_projection_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return projections.near_duplicates(read_table(spark, sf, "embeddings"), threshold=0.98)
 
 
+OP5_SQL = r"""
+WITH b AS (
+  SELECT page_id, url, html, '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag, 'day ' || (page_id % 28) AS modified,
+         page_id * 1000 AS start, regexp_replace(url, '[?#].*$', '') AS plain, length(coalesce(html, '')) AS n FROM pages),
+caps AS (
+  SELECT page_id * 4 AS record_id, url, start AS ts, 'response' AS kind, tag AS etag, modified AS lm,
+    [{'name': 'content-type', 'value': 'text/html'}, {'name': 'etag', 'value': tag},
+     {'name': 'content-length', 'value': n::VARCHAR}, {'name': 'cache-control', 'value': 'max-age=60'}] AS headers,
+    html AS payload FROM b
+  UNION ALL
+  SELECT page_id * 4 + 1, plain || '?utm_medium=crawl#again', start + 90000, 'revisit', 'W/' || tag, NULL,
+    [{'name': 'cache-control', 'value': 'max-age=600'}, {'name': 'date', 'value': (start + 90000)::VARCHAR},
+     {'name': 'set-cookie', 'value': 'a=1'}], NULL FROM b
+  UNION ALL
+  SELECT page_id * 4 + 2, plain, start + 40, 'revisit', CASE WHEN page_id % 3 = 0 THEN '"stale"' END,
+    CASE WHEN page_id % 3 = 1 THEN modified END,
+    [{'name': 'expires', 'value': (start + 500)::VARCHAR}, {'name': 'content-length', 'value': '0'}], NULL FROM b
+  UNION ALL
+  SELECT page_id * 4 + 3, url, CASE WHEN page_id % 7 = 0 THEN start - 5 ELSE start + 200000 END, 'revisit', tag, modified,
+    [{'name': 'vary', 'value': 'Accept'}, {'name': 'vary', 'value': 'Origin'}], NULL FROM b),
+cut AS (
+  SELECT *, regexp_replace(regexp_replace(coalesce(url, ''), '#[\s\S]*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM caps),
+parts AS (
+  SELECT *, regexp_replace(translate(regexp_extract(rest, '^([^/?]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      ':(80|443)?$', '') || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS page,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*\?([\s\S]*)$', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(split_part(p, '=', 1), '^(utm_.*|gclid|fbclid|ref)$'))), '&') AS query FROM cut),
+named AS (SELECT * EXCLUDE (rest, page, query), page || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canonical_url FROM parts),
+full_ AS (
+  SELECT canonical_url, ts, max(record_id) AS target_id, arg_max(etag, record_id) AS t_etag, arg_max(lm, record_id) AS t_lm,
+    arg_max(headers, record_id) AS t_headers, arg_max(payload, record_id) AS t_payload
+  FROM named WHERE kind = 'response' AND payload IS NOT NULL AND canonical_url <> '' GROUP BY canonical_url, ts),
+found AS (
+  SELECT r.record_id, r.canonical_url, r.ts, r.headers, f.target_id, f.t_headers, f.t_payload,
+    CASE WHEN f.target_id IS NULL THEN 'no_response'
+         WHEN r.etag IS NOT NULL AND t_etag IS NOT NULL THEN
+           CASE WHEN regexp_replace(r.etag, '^W/', '') = regexp_replace(t_etag, '^W/', '') THEN 'resolved' ELSE 'mismatch' END
+         WHEN r.lm IS NOT NULL AND t_lm IS NOT NULL THEN CASE WHEN r.lm = t_lm THEN 'resolved' ELSE 'mismatch' END
+         ELSE 'unverified' END AS outcome
+  FROM (SELECT * FROM named WHERE kind = 'revisit') r ASOF LEFT JOIN full_ f ON r.canonical_url = f.canonical_url AND r.ts > f.ts),
+ok AS (
+  SELECT *, list_filter(headers, lambda h: list_contains(['cache-control', 'content-location', 'date', 'etag', 'expires', 'vary'], h.name)) AS new_ FROM found)
+SELECT record_id, canonical_url, ts, outcome, target_id,
+  CASE WHEN outcome = 'resolved' THEN array_to_string(list_transform(list_sort(list_concat(
+    list_filter(t_headers, lambda h: NOT list_contains(list_transform(new_, lambda x: x.name), h.name)), new_)),
+    lambda h: h.name || '=' || h.value), '|') END AS headers,
+  CASE WHEN outcome = 'resolved' THEN md5(t_payload) END AS payload_md5
+FROM ok
+"""
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,8 +152,10 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict:
     return {
         "pipeline": pipeline,
+        "op2_tool_calls": op2_tool_calls,
         "op3_quality_outliers": op3_quality_outliers,
         "op4_language_id": op4_language_id,
+        "op5_warc_revisit": op5_warc_revisit,
         "op6_source_mix": op6_source_mix,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_url_filter": op8_url_filter,
@@ -101,4 +165,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": OP8_SQL}
+    return {"op5_warc_revisit": OP5_SQL, "op8_url_filter": OP8_SQL}
