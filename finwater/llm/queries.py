@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from finwater.sources.tables import read_table
 
-from . import apportion, bytebpe, langid, mcd, projections, simhash, toolcalls, urltrie, warc_revisit
+from . import apportion, bytebpe, katz, langid, mcd, projections, simhash, toolcalls, urltrie, warc_revisit
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -31,6 +31,10 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_katz(spark: SparkSession, sf: str) -> DataFrame:
+    return katz.score(katz.fit(read_table(spark, sf, "documents")), spark)
+
+
 def op2_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
     calls, results = toolcalls.derived_records(read_table(spark, sf, "conversations"))
     return toolcalls.link(calls, results, toolcalls.TOOLS)
@@ -152,6 +156,7 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict:
     return {
         "pipeline": pipeline,
+        "op1_katz": op1_katz,
         "op2_tool_calls": op2_tool_calls,
         "op3_quality_outliers": op3_quality_outliers,
         "op4_language_id": op4_language_id,
