@@ -86,7 +86,7 @@ def sainte_lague(votes: np.ndarray, seats: int, caps: np.ndarray) -> np.ndarray:
             low = middle
         else:
             high = middle
-    quota = dealt(high)
+    quota = dealt(high * (1 + 1e-9))  # clear of ties, which rounding could deal wrongly
     line = [(-votes[i] / (2 * quota[i] + 1), i) for i in range(len(votes)) if quota[i] < caps[i] and votes[i] > 0]
     heapq.heapify(line)
     for _ in range(int(seats - quota.sum())):

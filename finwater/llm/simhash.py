@@ -173,22 +173,24 @@ def keep_first(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``df`` without near-duplicates: of each group the row that
     names it stays. Rows that share the naming id, and groups without any id,
     keep their row with the least text."""
-    groups = near_duplicates(df, id_col=id_col, text_col=text_col, shingle=shingle, radius=radius)
-    own = groups.filter(col(id_col) == F.col("component_id")).groupBy(col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    kept = df.join(own, col(id_col) == F.col("_id"))
-    once = kept.filter("_n = 1").select(*[col(c) for c in df.columns])
-    whole = F.struct(*[col(c) for c in [text_col, *[x for x in df.columns if x != text_col]]])
-    odd = own.agg(F.max("_n")).first()[0]
-    if odd is not None and odd > 1:
-        again = kept.filter("_n > 1").groupBy("_id").agg(F.min(whole).alias("r"))
-        once = once.union(again.select(*[F.col("r")[c].alias(c) for c in df.columns]))
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    ident, text = (names[df.columns.index(c)] for c in (id_col, text_col))
+    plain = df.select(*[col(c).alias(n) for c, n in zip(df.columns, names)])
+    groups = near_duplicates(plain, id_col=ident, text_col=text, shingle=shingle, radius=radius)
+    own = groups.filter(F.col(ident) == F.col("component_id")).groupBy(F.col(ident).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    kept = plain.join(own, F.col(ident) == F.col("_id"))
+    once = kept.filter("_n = 1").select(*names)
+    least = F.struct(text, *[n for n in names if n != text])
+    unpacked = [F.col("r")[n].alias(n) for n in names]
+    most = own.agg(F.max("_n")).first()[0]
+    if most is not None and most > 1:
+        once = once.union(kept.filter("_n > 1").groupBy("_id").agg(F.min(least).alias("r")).select(*unpacked))
     nameless = groups.filter(F.col("component_id").isNull()).select("fp", "root").distinct()
     if not nameless.isEmpty():
-        rows = fingerprints(df.filter(col(id_col).isNull()), keep=df.columns, text_col=text_col, shingle=shingle)
-        rows = rows.select(whole.alias("r"), F.col("fp").alias("_fp"))
-        first = rows.join(nameless, F.col("_fp") == F.col("fp")).groupBy("root").agg(F.min("r").alias("r"))
-        once = once.union(first.select(*[F.col("r")[c].alias(c) for c in df.columns]))
-    return once
+        rows = fingerprints(plain.filter(F.col(ident).isNull()), keep=names, text_col=text, shingle=shingle)
+        first = rows.join(nameless, "fp").groupBy("root").agg(F.min(least).alias("r"))
+        once = once.union(first.select(*unpacked))
+    return once.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns)])
 
 
 __all__ = ["cover", "fingerprint", "fingerprints", "keep_first", "links", "near_duplicates"]
