@@ -69,12 +69,21 @@ def _latest(spark, sf):
     return latest_snapshot(_stmts(spark, sf), _asof(spark, sf))
 
 
+def _keys(spark, sf):
+    """Newest snapshot, key columns only: no measure is read or shuffled."""
+    return _latest(spark, sf).select(*KEY_COLUMNS)
+
+
 def _dd(spark, sf):
-    return dedup_statements(eligible(_latest(spark, sf)))
+    return dedup_statements(eligible(_keys(spark, sf)))
 
 
 def _tagged(spark, sf):
-    return select_statements(_stmts(spark, sf), _asof(spark, sf))
+    return select_statements(_stmts(spark, sf), _asof(spark, sf), measures=False)
+
+
+def _periods(spark, sf, measures=True):
+    return assign_period(select_statements(_stmts(spark, sf), _asof(spark, sf), include_residual=False, measures=measures))
 
 
 def q_scan_statements(spark, sf):
@@ -109,7 +118,7 @@ def q_distinct_entities(spark, sf):
 
 
 def q_dedup_statements(spark, sf):
-    return _dd(spark, sf)
+    return dedup_statements(eligible(_latest(spark, sf)))
 
 
 def q_ranked_statements(spark, sf):
@@ -146,19 +155,17 @@ def q_cohort_union(spark, sf):
 
 
 def q_period_assignment(spark, sf):
-    return assign_period(select_statements(_stmts(spark, sf), _asof(spark, sf), include_residual=False)).select(
+    return _periods(spark, sf, measures=False).select(
         "TimeFrame", "entityid", "pkid_", "statementdatekey_", "statementmonths", "CF_Type", "ranked_order"
-    )
+    ).distinct()
 
 
 def q_statement_metrics(spark, sf):
-    periods = assign_period(select_statements(_stmts(spark, sf), _asof(spark, sf), include_residual=False))
-    return _doubles(statement_metrics(periods))
+    return _doubles(statement_metrics(_periods(spark, sf)))
 
 
 def q_period_totals(spark, sf):
-    periods = assign_period(select_statements(_stmts(spark, sf), _asof(spark, sf), include_residual=False))
-    return _doubles(period_totals(statement_metrics(periods)))
+    return _doubles(period_totals(statement_metrics(_periods(spark, sf))))
 
 
 def q_client_financials(spark, sf):
@@ -169,12 +176,6 @@ def q_client_financials_all_snapshots(spark, sf):
     return client_financials(_stmts(spark, sf), fixture_customers(spark, sf), as_of=_asof(spark, sf), snapshots="all")
 
 
-def q_cohort_chain(spark, sf):
-    from finwater.plans.all_snapshots import select_statements_all
-
-    return co.cohort_rows(select_statements_all(_stmts(spark, sf), literal_chain=True, as_of=_asof(spark, sf)))
-
-
 def q_statement_snapshots(spark, sf):
     from finwater.plans.all_snapshots import select_statements_all, statement_snapshots
 
@@ -196,15 +197,17 @@ def _validated(spark, sf):
 
 
 def q_csv_typed_scan(spark, sf):
-    from finwater.sources.csv_drop import read_drop_typed, sales_target_drop
-
-    df = read_drop_typed(spark, sales_target_drop(spark, sf), mode="DROPMALFORMED")
-    return df.select(
-        F.coalesce("FirstName", F.lit("")).alias("FirstName"),
-        F.coalesce("LastName", F.lit("")).alias("LastName"),
-        F.coalesce("SalesQuantity", F.lit(0).cast("smallint")).alias("SalesQuantity"),
-        F.coalesce(F.col("`SalesRevenue `"), F.lit(0)).alias("SalesRevenue "),
-        F.coalesce("Year", F.lit(0).cast("smallint")).alias("Year"),
+    """Every line of the drop: converted values of the good ones, raw text,
+    column and kind of error of the others."""
+    return _validated(spark, sf).select(
+        F.col("_line").alias("raw_line"),
+        *[
+            F.when(F.col("ErrorColumn").isNull(), F.col(c)).alias(n)
+            for n, c in (("FirstName", "FirstName"), ("LastName", "LastName"), ("SalesQuantity", "_typed_SalesQuantity"),
+                         ("SalesRevenue ", "_typed_SalesRevenue"), ("Year", "_typed_Year"))
+        ],
+        "ErrorColumn",
+        "ErrorCode",
     )
 
 
@@ -224,7 +227,8 @@ def q_csv_quarantine(spark, sf):
 def q_csv_empty_defaults(spark, sf):
     text = _validated(spark, sf)
     return text.filter(F.col("_line").contains(",,") | F.col("_line").startswith(",") | F.col("_line").endswith(",")).select(
-        F.col("_line").alias("raw_line"), F.col("_typed_SalesQuantity").alias("SalesQuantity")
+        F.col("_line").alias("raw_line"), "FirstName", "LastName", F.col("_typed_SalesQuantity").alias("SalesQuantity"),
+        F.col("_typed_SalesRevenue").alias("SalesRevenue "), F.col("_typed_Year").alias("Year"),
     )
 
 
@@ -253,41 +257,6 @@ def q_load_rep_targets(spark, sf):
     return _doubles(loaded)
 
 
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-
-
-def q_find_columns(spark, sf):
-    from finwater.operators.columns import find_columns
-    from finwater.sources.catalog import columns_from_parquet_dir
-
-    return find_columns(columns_from_parquet_dir(spark, sf), "%key%")
-
-
-def q_find_columns_by_object(spark, sf):
-    from finwater.operators.columns import find_columns_by_object
-    from finwater.sources.catalog import columns_from_parquet_dir
-
-    return find_columns_by_object(columns_from_parquet_dir(spark, sf), "%NAME%")
-
-
-def q_find_columns_in_catalog(spark, sf):
-    from finwater.operators.columns import find_columns
-    from finwater.sources.catalog import columns_from_parquet_dir
-
-    meta = columns_from_parquet_dir(spark, sf, catalog="files")
-    return find_columns(meta, "%name%", catalog="files", order=("TableName",))
-
-
-def q_find_columns_metadata(spark, sf):
-    from finwater.operators.columns import column_metadata
-    from finwater.sources.catalog import columns_from_parquet_dir
-
-    return column_metadata(columns_from_parquet_dir(spark, sf), "%key%").select(
-        "table_name", "column_name", F.col("ordinal_position").cast("bigint").alias("ordinal_position")
-    )
-
-
 def q_trailing_window(spark, sf):
     from finwater.operators.extras import newest_statement_date, trailing_window
 
@@ -342,7 +311,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "client_financials": q_client_financials,
         "client_financials_all_snapshots": q_client_financials_all_snapshots,
-        "cohort_chain": q_cohort_chain,
         "cohort_waterfall_by_key": q_cohort_waterfall_by_key,
         "statement_snapshots": q_statement_snapshots,
         "scan_statements": q_scan_statements,
@@ -373,10 +341,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "surrogate_key": q_surrogate_key,
             "load_rep_targets": q_load_rep_targets,
             "stream_rep_targets": q_stream_rep_targets,
-            "find_columns": q_find_columns,
-            "find_columns_by_object": q_find_columns_by_object,
-            "find_columns_in_catalog": q_find_columns_in_catalog,
-            "find_columns_metadata": q_find_columns_metadata,
             "trailing_window": q_trailing_window,
             "contiguous_coverage": q_contiguous_coverage,
             "entity_system_ids": q_entity_system_ids,
@@ -414,7 +378,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "eligible_statements": _sql(f"SELECT {_ALL_COLS} FROM elig"),
         "distinct_entities": _sql("SELECT DISTINCT entityid FROM elig"),
-        "dedup_statements": _sql(f"SELECT {_ALL_COLS} FROM dd"),
+        "dedup_statements": _sql(f"SELECT {_ALL_COLS} FROM dd_rows"),
         "ranked_statements": _sql(
             "SELECT entityid, pkid_, statementdatekey_, statementtype, statementmonths, CAST(row_number() OVER "
             "(PARTITION BY entityid ORDER BY statementdatekey_ DESC, pkid_ DESC) AS BIGINT) AS ranked_order FROM dd"
@@ -462,19 +426,15 @@ def oracle_sql() -> dict[str, str]:
             "CF_Type FROM un",
             dedup="keyset",
         ),
-        "cohort_chain": _sql(
-            "SELECT entityid, pkid_, statementdatekey_, statment_date, statementtype, statementmonths, ranked_order, "
-            "CF_Type FROM un",
-            dedup="keyset",
-        ),
     }
     drop = sqlref.DROP_CTES
     s.update(
         {
             "csv_typed_scan": sqlref.with_ctes(
                 drop,
-                'SELECT fn AS FirstName, ln AS LastName, q AS SalesQuantity, r AS "SalesRevenue ", y AS Year FROM drop_err '
-                "WHERE q IS NOT NULL AND r IS NOT NULL AND y IS NOT NULL",
+                "SELECT raw_line, CASE WHEN ErrorColumn IS NULL THEN fn END AS FirstName, CASE WHEN ErrorColumn IS NULL THEN ln END AS "
+                'LastName, CASE WHEN ErrorColumn IS NULL THEN q END AS SalesQuantity, CASE WHEN ErrorColumn IS NULL THEN r END AS '
+                '"SalesRevenue ", CASE WHEN ErrorColumn IS NULL THEN y END AS Year, ErrorColumn, ErrorCode FROM drop_err',
             ),
             "csv_strict_checks": sqlref.with_ctes(
                 drop,
@@ -484,7 +444,11 @@ def oracle_sql() -> dict[str, str]:
             "csv_quarantine": sqlref.with_ctes(
                 drop, "SELECT raw_line, ErrorColumn, ErrorCode FROM drop_err WHERE ErrorColumn IS NOT NULL"
             ),
-            "csv_empty_defaults": sqlref.with_ctes(drop, "SELECT raw_line, q AS SalesQuantity FROM drop_err WHERE has_empty"),
+            "csv_empty_defaults": sqlref.with_ctes(
+                drop,
+                'SELECT raw_line, fn AS FirstName, ln AS LastName, q AS SalesQuantity, r AS "SalesRevenue ", y AS Year '
+                "FROM drop_err WHERE has_empty",
+            ),
             "map_rep_columns": sqlref.with_ctes(
                 drop, "SELECT * REPLACE (CAST(TargetSalesRevenue AS DOUBLE) AS TargetSalesRevenue) FROM targets"
             ),
@@ -497,22 +461,9 @@ def oracle_sql() -> dict[str, str]:
             ),
         }
     )
-    tables = ", ".join(f"'{t}'" for t in DRIVER_TABLES)
     keys = ", ".join(KEY_COLUMNS)
     s.update(
         {
-            "find_columns": "SELECT DISTINCT table_name AS TableName, column_name AS ColumnName FROM information_schema.columns "
-            f"WHERE table_name IN ({tables}) AND column_name ILIKE '%key%' ORDER BY TableName, ColumnName",
-            "find_columns_by_object": "SELECT DISTINCT table_name AS TableName, column_name AS ColumnName FROM "
-            f"information_schema.columns WHERE table_name IN ({tables}) AND column_name ILIKE '%NAME%' "
-            "ORDER BY TableName, ColumnName",
-            "find_columns_in_catalog": "SELECT DISTINCT table_name AS TableName, column_name AS ColumnName FROM "
-            "information_schema.columns WHERE table_catalog = (SELECT min(table_catalog) FROM information_schema.tables "
-            f"WHERE table_name = 'orders') AND table_name IN ({tables}) "
-            "AND column_name ILIKE '%name%' ORDER BY TableName",
-            "find_columns_metadata": "SELECT DISTINCT table_name, column_name, CAST(ordinal_position AS BIGINT) AS ordinal_position "
-            f"FROM information_schema.columns WHERE table_name IN ({tables}) AND column_name ILIKE '%key%' "
-            "ORDER BY table_name",
             "trailing_window": _sql(
                 "SELECT entityid, pkid_, statementdatekey_, statementmonths, statementtype FROM elig WHERE statementdatekey_ "
                 "BETWEEN CAST((SELECT max(statementdatekey_) FROM elig) - INTERVAL 12 MONTH AS DATE) "

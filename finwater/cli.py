@@ -55,14 +55,14 @@ def cmd_report(spark: SparkSession, a) -> dict:
 
 def cmd_load(spark: SparkSession, a) -> dict:
     from finwater.plans.rep_load import load_rep_target_table, load_rep_targets
-
-    if a.table:
-        df = load_rep_target_table(spark, a.drop, a.table, policy=a.policy, name_width=a.name_width)
-    else:
-        df = load_rep_targets(
-            spark, a.drop, a.target, policy=a.policy, quarantine_path=a.quarantine,
-            name_width=a.name_width, encoding=a.encoding,
-        )
+    from finwater.sources.csv_drop import DropFormat
+
+    fmt = DropFormat(
+        encoding=a.encoding, sep=a.sep, header=a.header, quote=a.quote, line_sep=a.line_sep,
+        skip_header_rows=a.skip_header_rows, skip_rows=a.skip_rows,
+    )
+    load, to = (load_rep_target_table, a.table) if a.table else (load_rep_targets, a.target)
+    df = load(spark, a.drop, to, policy=a.policy, quarantine_path=a.quarantine, name_width=a.name_width, fmt=fmt)
     return {"job": "load", "rows": df.count()}
 
 
@@ -100,7 +100,13 @@ def parser() -> argparse.ArgumentParser:
     ld.add_argument("--policy", choices=["strict", "quarantine"], default="strict")
     ld.add_argument("--quarantine")
     ld.add_argument("--name-width", type=int, default=50)
-    ld.add_argument("--encoding", default="ISO-8859-1")
+    ld.add_argument("--encoding", default="windows-1252")
+    ld.add_argument("--sep", default=",", help="column delimiter")
+    ld.add_argument("--quote", help="text qualifier (default: none)")
+    ld.add_argument("--line-sep", help="row delimiter, one character (default: CR, LF or both)")
+    ld.add_argument("--no-header", dest="header", action="store_false", help="no column names in the first row")
+    ld.add_argument("--skip-header-rows", type=int, default=0, help="lines to leave out before the header")
+    ld.add_argument("--skip-rows", type=int, default=0, help="data lines to leave out after the header")
 
     f = sub.add_parser("find-columns", help="tables holding a column matching a LIKE pattern")
     f.add_argument("--pattern", required=True)
@@ -114,6 +120,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     a = parser().parse_args(argv)
     if a.cmd == "load" and not (a.target or a.table):
         raise SystemExit("load needs --target or --table")
+    if a.cmd == "load" and a.policy == "quarantine" and not a.quarantine:
+        raise SystemExit("--policy quarantine needs --quarantine")
     spark = spark or _session(a.local)
     result = {"report": cmd_report, "load": cmd_load, "find-columns": cmd_find_columns}[a.cmd](spark, a)
     print(json.dumps(result))

@@ -7,6 +7,7 @@ from finwater.functions.scalar import (  # noqa: F401
     sql_round,
     statement_type_rank,
     to_statement_date,
+    try_statement_date,
     yyyymmdd,
     zero_if_null,
 )

@@ -1,7 +1,7 @@
 """Scalar expressions.
 
-All are built from ``pyspark.sql.functions`` so they stay inside whole-stage
-codegen; none is a Python UDF.
+All are built from ``pyspark.sql.functions``: they run in the JVM; none is a
+Python UDF.
 """
 
 from __future__ import annotations
@@ -43,23 +43,32 @@ def yyyymmdd(col) -> Column:
     return F.date_format(_c(col), "yyyyMMdd")
 
 
-def to_statement_date(col, text_format: str = "yyyyMMdd") -> Column:
-    """Statement dates may come as DATE, TIMESTAMP or ``yyyymmdd`` text."""
+def try_statement_date(col, text_format: str = "yyyyMMdd") -> Column:
+    """A statement date given as DATE, TIMESTAMP or ``yyyymmdd`` text; NULL if
+    it cannot be read."""
     c = _c(col)
     return F.coalesce(F.try_to_date(c.cast("string"), text_format), c.cast("string").try_cast("date"))
 
 
-def _rank_ladder(col, values: list[str]) -> Column:
+def to_statement_date(col, text_format: str = "yyyyMMdd") -> Column:
+    """The same, failing the job on a value that is given but is no date."""
     c = _c(col)
+    date = try_statement_date(col, text_format)
+    bad = c.isNotNull() & date.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit("not a statement date: "), c.cast("string"))).cast("date")).otherwise(date)
+
+
+def _rank_ladder(col, values: list[str], collation: str | None = None) -> Column:
+    c = _c(col) if collation is None else F.collate(_c(col), collation)
     expr = None
     for i, v in enumerate(values, start=1):
         expr = F.when(c == v, F.lit(i)) if expr is None else expr.when(c == v, F.lit(i))
     return expr  # no otherwise(): unknown values rank NULL
 
 
-def audit_rank(col="auditmethod") -> Column:
-    return _rank_ladder(col, AUDIT_METHODS)
+def audit_rank(col="auditmethod", collation: str | None = None) -> Column:
+    return _rank_ladder(col, AUDIT_METHODS, collation)
 
 
-def statement_type_rank(col="statementtype") -> Column:
-    return _rank_ladder(col, STATEMENT_TYPES)
+def statement_type_rank(col="statementtype", collation: str | None = None) -> Column:
+    return _rank_ladder(col, STATEMENT_TYPES, collation)

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finwater.operators.ranking import newest_first, newest_first_window
+from finwater.operators.ranking import KEY_TIES, key_order, newest_first
 from finwater.schema import COHORT_COLUMNS
 
 # --- fixed values: the cohort waterfall, in placement order ---
@@ -47,15 +47,16 @@ def coverage_filter(df: DataFrame, months: int, n: int, target: int, tag: str |
     Rows of ``months``-month statements, ranked newest first per entity, the
     newest ``n`` kept, and only entities whose kept months sum to ``target``.
     """
-    w_rank = newest_first_window("entityid")
+    w_rank = Window.partitionBy("entityid").orderBy(*key_order(df))
     kept = (
         df.filter(F.col("statementmonths") == months)
-        .withColumn("ranked_order", F.row_number().over(w_rank).cast("bigint"))
+        .withColumn("ranked_order", F.dense_rank().over(w_rank).cast("bigint"))
         .filter(F.col("ranked_order") <= n)
     )
-    covered = kept.withColumn("_cover", F.sum("statementmonths").over(Window.partitionBy("entityid"))).filter(
-        F.col("_cover") == target
-    )
+    # each kept statement counts ``months``, however many measure rows it has
+    covered = kept.withColumn(
+        "_cover", F.max("ranked_order").over(Window.partitionBy("entityid")) * F.lit(months)
+    ).filter(F.col("_cover") == target)
     out = covered.drop("_cover")
     if tag is not None:
         out = out.withColumn("CF_Type", F.lit(tag))
@@ -79,13 +80,19 @@ def assign_cohorts(dd: DataFrame, include_residual: bool = True, partitioned: bo
     # One sort serves every window: rank within the entity by (months, newest
     # first); the other windows need only a prefix of that order.  The rank
     # within a statement kind is the position inside its block of months.
-    by_kind = Window.partitionBy("entityid").orderBy(F.col("statementmonths"), *newest_first())
-    dd = dd.withColumn("_rn_e", F.row_number().over(by_kind))
-    cols = {_count_col(m): F.sum((F.col("statementmonths") == m).cast("int")).over(w_entity) for m in kinds}
-    cols["_start"] = F.min("_rn_e").over(Window.partitionBy("entityid", "statementmonths"))
-    dd = dd.withColumns(cols).withColumn("_rn_kind", F.col("_rn_e") - F.col("_start") + 1)
+    # Ranks are dense over distinct key rows, so a statement with several
+    # measure rows is ranked and counted once.
+    ties = [F.col(c) for c in KEY_TIES if c in dd.columns and c != "statementmonths"]
+    by_kind = Window.partitionBy("entityid").orderBy(F.col("statementmonths"), *newest_first(), *ties)
+    dd = dd.withColumn("_rn_e", F.dense_rank().over(by_kind))
+    dd = dd.withColumn("_start", F.min("_rn_e").over(Window.partitionBy("entityid", "statementmonths")))
+    dd = dd.withColumn("_rn_kind", F.col("_rn_e") - F.col("_start") + 1)
+    dd = dd.withColumns({
+        _count_col(m): F.coalesce(F.max(F.when(F.col("statementmonths") == m, F.col("_rn_kind"))).over(w_entity), F.lit(0))
+        for m in kinds
+    })
     if include_residual:
-        dd = dd.withColumn("_rn_all", F.row_number().over(newest_first_window("entityid")))
+        dd = dd.withColumn("_rn_all", F.dense_rank().over(Window.partitionBy("entityid").orderBy(*key_order(dd))))
 
     ladder: Column | None = None
     for tag, m, n, t in WATERFALL:
@@ -111,7 +118,8 @@ def assign_cohorts(dd: DataFrame, include_residual: bool = True, partitioned: bo
 
 
 def cohort_rows(tagged: DataFrame, tag: str | None = None) -> DataFrame:
-    """The cohort table layout (8 columns), optionally one cohort only."""
+    """The cohort table layout (8 columns), optionally one cohort only, as
+    DISTINCT rows (the union of the cohorts removes repeats)."""
     if tag is not None:
         tagged = tagged.filter(F.col("CF_Type") == tag)
     return tagged.select(
@@ -123,7 +131,7 @@ def cohort_rows(tagged: DataFrame, tag: str | None = None) -> DataFrame:
         "statementmonths",
         "ranked_order",
         "CF_Type",
-    ).select(*COHORT_COLUMNS)
+    ).select(*COHORT_COLUMNS).distinct()
 
 
 def entity_cohorts(tagged: DataFrame) -> DataFrame:
@@ -143,6 +151,7 @@ def cohort_chain(dd: DataFrame, worklist: DataFrame, cut_lineage=None) -> DataFr
     every stage would re-plan all earlier ones.
     """
     cut = cut_lineage or (lambda df: df)
+    order = Window.partitionBy("entityid").orderBy(*key_order(dd))
     wl = cut(worklist.select("entityid").distinct())
     parts = []
     for tag, m, n, t in WATERFALL:
@@ -160,7 +169,7 @@ def cohort_chain(dd: DataFrame, worklist: DataFrame, cut_lineage=None) -> DataFr
             leaving = got.select("entityid").distinct()
         else:
             ranked = src.filter(F.col("statementmonths") == m).withColumn(
-                "ranked_order", F.row_number().over(newest_first_window("entityid")).cast("bigint")
+                "ranked_order", F.row_number().over(order).cast("bigint")
             )
             kept = ranked.filter(F.col("ranked_order") <= n)
             covered = kept.groupBy("entityid").agg(F.sum("statementmonths").alias("_months")).filter(
@@ -172,7 +181,7 @@ def cohort_chain(dd: DataFrame, worklist: DataFrame, cut_lineage=None) -> DataFr
         wl = cut(wl.join(leaving, "entityid", "left_anti"))
     residual = (
         dd.join(wl, "entityid", "left_semi")
-        .withColumn("ranked_order", F.row_number().over(newest_first_window("entityid")).cast("bigint"))
+        .withColumn("ranked_order", F.row_number().over(order).cast("bigint"))
         .withColumn("CF_Type", F.lit(RESIDUAL))
     )
     parts.append(residual)
@@ -212,12 +221,13 @@ def assign_cohorts_by_key(dd: DataFrame) -> DataFrame:
     w_entity = Window.partitionBy("entityid")
     # entity stage: counts and the rank within a statement kind share one
     # (entity; months, newest first) order; the residual rank needs its own
-    by_kind = Window.partitionBy("entityid").orderBy(F.col("statementmonths"), *newest_first())
+    ties = [F.col(c) for c in KEY_TIES if c in dd.columns and c != "statementmonths"]
+    by_kind = Window.partitionBy("entityid").orderBy(F.col("statementmonths"), *newest_first(), *ties)
     staged = dd.repartition("entityid").withColumn("_rn_e", F.row_number().over(by_kind))
     cols = {_count_col(m): F.sum((F.col("statementmonths") == m).cast("int")).over(w_entity) for m in kinds}
     cols["_start"] = F.min("_rn_e").over(Window.partitionBy("entityid", "statementmonths"))
     staged = staged.withColumns(cols).withColumn("_rn_kind", F.col("_rn_e") - F.col("_start") + 1)
-    staged = staged.withColumn("_rn_all", F.row_number().over(newest_first_window("entityid")))
+    staged = staged.withColumn("_rn_all", F.row_number().over(Window.partitionBy("entityid").orderBy(*key_order(dd))))
     staged = staged.withColumn("_early", ladder(before))
     # key stage: both windows below share one (key, entity) order
     staged = staged.repartition("pkid_").withColumn(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finwater.schema import AUDIT_METHODS, EXCLUDED_TYPES
@@ -34,18 +34,18 @@ def distinct_entities(df: DataFrame) -> DataFrame:
 
 
 def dedup_statements(df: DataFrame) -> DataFrame:
-    """One statement per (entity, statement date, type): the greatest key text.
-
-    ``pkid_`` is compared as text, so statement 9 beats statement 10.  The
-    pick is an aggregate of ``max(struct(pkid_, ...))``: it combines map-side
-    before the shuffle, so an entity holding a huge share of the rows
-    arrives at the next stage as at most one row per (date, type).  Ties on
-    the key (a statement delivered twice in one snapshot) resolve to the
-    greatest remaining columns, deterministically.
+    """The statements of the greatest key text per (entity, statement date, type).
+
+    ``pkid_`` is compared as text, so statement 9 beats statement 10.  A key
+    that occurs several times keeps each of its distinct rows (they differ in
+    other key columns or in measures).  ``rank() = 1`` plans a
+    ``WindowGroupLimit``: every map task ships only the rows of its own
+    greatest keys, so an entity holding a huge share of the rows arrives as a
+    few rows per task; the DISTINCT needs no further shuffle.
     """
-    rest = [c for c in df.columns if c not in DEDUP_KEYS and c != "pkid_"]
-    picked = df.groupBy(*DEDUP_KEYS).agg(F.max(F.struct("pkid_", *rest)).alias("_row"))
-    return picked.select(*DEDUP_KEYS, *[F.col(f"_row.{c}").alias(c) for c in ["pkid_", *rest]]).select(*df.columns)
+    newest_key = Window.partitionBy(*DEDUP_KEYS).orderBy(F.col("pkid_").desc())
+    top = df.withColumn("_rank", F.rank().over(newest_key)).filter(F.col("_rank") == 1).drop("_rank")
+    return top.distinct()
 
 
 def dedup_statements_by_key_set(df: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ def contiguous_coverage(dd: DataFrame) -> DataFrame:
     whether it covers 24 and 12 months.  Rows per entity are bounded after
     dedup, so the windows stay small.
     """
+    dd = dd.select("entityid", "statementmonths", "statementdatekey_", "pkid_").distinct()
     w = newest_first_window("entityid", "statementmonths")
     newer = F.lag("statementdatekey_").over(w)
     expected = F.last_day(F.add_months(newer, -F.col("statementmonths")))
@@ -58,11 +59,12 @@ def contiguous_coverage(dd: DataFrame) -> DataFrame:
 def entity_system_ids(statements: DataFrame, bridge: DataFrame) -> DataFrame:
     """Statements with the system ids of their entity (left join on the
     distinct bridge; an entity with several ids repeats its rows), as
-    DISTINCT rows.  The DISTINCT follows the join: the join output is already
-    hash-partitioned by ``entityid``, one of the distinct columns, so it
-    needs no further shuffle when the join is a shuffle join."""
+    DISTINCT rows.  Both sides are made distinct before the join -- the
+    statements by a hash over all their columns, which spreads a hot entity
+    -- so nothing after the join depends on its partitioning and adaptive
+    execution may split a hot entity there."""
     ids = bridge.select("systemid", "entityid").distinct()
-    return statements.join(ids, "entityid", "left").distinct()
+    return statements.distinct().join(ids, "entityid", "left")
 
 
 def entity_bridge_from_customer(customer: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finwater.schema import CSV_WIDTHS, TARGET_NAME_WIDTH
+from finwater.session import shared_scratch
 
 TEXT_FIELDS = ["FirstName", "LastName"]
 # (field, target type of the parse)
@@ -105,25 +106,29 @@ def map_rep_columns(validated: DataFrame, name_width: int = TARGET_NAME_WIDTH) -
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "ID") -> DataFrame:
     """Dense 1..n IDs in ``order_cols`` order without a single-partition window.
 
-    The rows are range-sorted (distributed); each sorted partition counts
-    its rows, a running sum over those counts (one row per partition, so
-    its size is bounded by the partition count, not the data) gives each
-    partition its first ID, and rows add their index inside the partition.
+    The rows are range-sorted (distributed) and stored once under the shared
+    checkpoint folder with their partition number and their position in it;
+    counts and rows are both taken from that stored copy, so they cannot
+    disagree.  A running sum over the counts (one row per partition: bounded
+    by the partition count, not the data) gives each partition its first ID.
+    The number of rows and the largest ID are checked against each other.
     """
+    spark = df.sparkSession
+    path = shared_scratch(spark, "sorted_ids", unique=True)
     # a unique last sort key: rows equal on ``order_cols`` (a file delivered
     # twice) still spread over range partitions instead of one
-    ordered = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .orderBy(*order_cols, "_tie")
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mono", F.monotonically_increasing_id())
-    )
-    per_part = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
-    offsets = per_part.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("_pid", "_first", "_offset")
-    out = ordered.join(F.broadcast(offsets), "_pid").withColumn(
-        id_col, (F.col("_offset") + F.col("_mono") - F.col("_first") + 1).cast("int")
-    )
-    return out.drop("_pid", "_mono", "_first", "_offset", "_tie")
+    ordered = df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order_cols, "_tie")
+    ordered.withColumns({"_pid": F.spark_partition_id(), "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}).drop(
+        "_tie"
+    ).write.parquet(path)
+    stored = spark.read.parquet(path)
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.max("_pos").alias("last")).orderBy("_pid").collect()
+    if any(r["n"] != r["last"] + 1 for r in counts):
+        raise RuntimeError("positions in the stored copy are not dense")
+    starts, total = [], 0
+    for r in counts:
+        starts.append((r["_pid"], total))
+        total += r["n"]
+    offsets = spark.createDataFrame(starts, "_pid int, _offset long")
+    number = (F.col("_offset") + F.col("_pos") + 1).cast("int" if total < 2**31 else "long")
+    return stored.join(F.broadcast(offsets), "_pid").withColumn(id_col, number).drop("_pid", "_pos", "_offset")

@@ -76,10 +76,12 @@ def metric_columns(months_col: str = "statementmonths") -> list:
 
 
 def statement_metrics(periods: DataFrame, aod_col: str = "asofdate") -> DataFrame:
-    """Line keys plus the 30 metric columns for each period-tagged statement.
+    """Line keys plus the 30 metric columns for each period-tagged statement,
+    as DISTINCT rows (a key with several measure rows has several lines).
 
     In the latest-snapshot mode the measures travel with the row, so no
-    lookup join back into the history is needed.
+    lookup join back into the history is needed; the rows are already
+    partitioned by entity, so the DISTINCT moves nothing.
     """
     return periods.select(
         "TimeFrame",
@@ -90,4 +92,4 @@ def statement_metrics(periods: DataFrame, aod_col: str = "asofdate") -> DataFram
         "CF_Type",
         F.col(aod_col).alias("AOD"),
         *metric_columns(),
-    )
+    ).distinct()

@@ -27,10 +27,11 @@ def latest_snapshot(stmts: DataFrame, as_of: dt.date | None = None) -> DataFrame
     return stmts.filter(F.col("asofdate") == F.lit(snap))
 
 
-def with_statement_ranks(df: DataFrame) -> DataFrame:
-    """Add ``Audit_Rank`` (1..5) and ``StatmentType_Rank`` (1..3); unknown -> NULL."""
-    return df.withColumn("Audit_Rank", audit_rank("auditmethod")).withColumn(
-        "StatmentType_Rank", statement_type_rank("statementtype")
+def with_statement_ranks(df: DataFrame, collation: str | None = None) -> DataFrame:
+    """Add ``Audit_Rank`` (1..5) and ``StatmentType_Rank`` (1..3); unknown -> NULL.
+    ``collation`` compares as ``eligible`` does."""
+    return df.withColumn("Audit_Rank", audit_rank("auditmethod", collation)).withColumn(
+        "StatmentType_Rank", statement_type_rank("statementtype", collation)
     )
 
 

@@ -4,8 +4,8 @@ Default plan (``snapshots='latest'``):
 
 1. newest snapshot only (literal date -> pushed filter / partition pruning),
    eligible rows, columns pruned to what the report reads;
-2. dedup to one statement per (entity, date, type) -- a map-side combined
-   aggregate (exchange 1);
+2. dedup to one statement key per (entity, date, type) -- a rank filter whose
+   limit is applied map-side first (exchange 1);
 3. one repartition on ``entityid`` (exchange 2) serves the cohort ladder's
    windows, the period tags and the per-entity conditional sums;
 4. constant columns; the customer join only multiplies rows when a customer
@@ -40,14 +40,17 @@ def select_statements(
     as_of: dt.date | None = None,
     include_residual: bool = True,
     window: tuple[dt.date, int] | None = None,
+    measures: bool = True,
 ) -> DataFrame:
     """Newest snapshot -> eligible -> dedup -> cohort ladder (tagged rows).
 
+    ``measures=False`` reads and shuffles the key columns only.
+
     ``window=(report_date, months)`` keeps only statements dated within that
     many months up to the report date before selection (the batch declares
     such a window but never applies it, so the default is none).
     """
-    latest = latest_snapshot(stmts.select(*KEY_COLUMNS, *MEASURES), as_of)
+    latest = latest_snapshot(stmts.select(*KEY_COLUMNS, *(MEASURES if measures else [])), as_of)
     if window is not None:
         latest = trailing_window(latest, window[0], window[1])
     return assign_cohorts(dedup_statements(eligible(latest)), include_residual=include_residual)

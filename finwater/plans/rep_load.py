@@ -2,24 +2,25 @@
 
 Policies: ``strict`` fails the whole load on one bad line (the package's
 behaviour); ``quarantine`` loads the good lines and writes the bad ones,
-with their raw text and error, beside the target.
+with their raw text and error, to a quarantine folder, which must be named.
 
-The target is replaced atomically: the new content is written to a staging
-folder next to it and renamed over it only after the write succeeded, so a
-failed load leaves the old table in place (a truncate-then-load would
-leave it empty).
+The new content is written to a staging folder of its own and checked before
+the target is touched, so a failed load leaves the old content in place (a
+truncate-then-load would leave it empty).  See ``session.replace_path`` for
+what the swap of a folder guarantees.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from finwater.operators.loads import dense_ids, good_lines, map_rep_columns, quarantine, strict, validate_fields
 from finwater.schema import TARGET_COLUMNS, TARGET_NAME_WIDTH
-from finwater.session import replace_path, shared_scratch
-from finwater.sources.csv_drop import DEFAULT_ENCODING, read_drop_text
+from finwater.session import delete_path, replace_path, shared_scratch
+from finwater.sources.csv_drop import DEFAULT_FORMAT, DropFormat, read_drop_text
 
 ID_ORDER = ["LastName", "FirstName", "TargetYear", "TargetSalesQuantity", "TargetSalesRevenue"]
 log = logging.getLogger(__name__)
@@ -29,15 +30,43 @@ def prepare_targets(validated: DataFrame, name_width: int = TARGET_NAME_WIDTH) -
     return dense_ids(map_rep_columns(validated, name_width), ID_ORDER).select(*TARGET_COLUMNS)
 
 
+def check_policy(policy: str, quarantine_path: str | None) -> None:
+    """A load that sets bad lines aside must be told where to put them."""
+    if policy not in ("strict", "quarantine"):
+        raise ValueError(f"policy must be 'strict' or 'quarantine', not {policy!r}")
+    if policy == "quarantine" and not quarantine_path:
+        raise ValueError("the quarantine policy needs a quarantine path")
+
+
+def _stage(
+    spark: SparkSession, drop_path: str, staging: str, policy: str, quarantine_path: str | None, name_width: int, fmt: DropFormat
+) -> None:
+    check_policy(policy, quarantine_path)
+    validated = validate_fields(read_drop_text(spark, drop_path, fmt))
+    rows = strict(validated) if policy == "strict" else good_lines(validated)
+    prepare_targets(rows, name_width).write.mode("overwrite").parquet(staging)
+    if policy == "quarantine":
+        quarantine(validated).write.mode("overwrite").parquet(quarantine_path)
+
+
 def load_rep_target_table(
-    spark: SparkSession, drop_path: str, table: str, policy: str = "strict", name_width: int = TARGET_NAME_WIDTH
+    spark: SparkSession,
+    drop_path: str,
+    table: str,
+    policy: str = "strict",
+    quarantine_path: str | None = None,
+    name_width: int = TARGET_NAME_WIDTH,
+    fmt: DropFormat = DEFAULT_FORMAT,
 ) -> DataFrame:
-    """Same load into a catalog table: the new content is fully written and
-    checked in a staging folder first, then copied over the table, so a bad
-    drop never truncates it."""
+    """Same load into a catalog table.  The new content is fully written and
+    checked in a staging folder first, so a bad drop never touches the table;
+    the overwrite that follows copies that content and is not atomic (a
+    reader may meet the table while it is replaced, and a failure in the
+    copy leaves it to be loaded again from the drop)."""
     staging = shared_scratch(spark, "staging/rep_target", unique=True)
-    staged = load_rep_targets(spark, drop_path, staging, policy=policy, name_width=name_width)
-    staged.write.mode("overwrite").saveAsTable(table)
+    _stage(spark, drop_path, staging, policy, quarantine_path, name_width, fmt)
+    spark.read.parquet(staging).write.mode("overwrite").saveAsTable(table)
+    delete_path(spark, staging)
     return spark.table(table)
 
 
@@ -48,19 +77,10 @@ def load_rep_targets(
     policy: str = "strict",
     quarantine_path: str | None = None,
     name_width: int = TARGET_NAME_WIDTH,
-    encoding: str = DEFAULT_ENCODING,
+    fmt: DropFormat = DEFAULT_FORMAT,
 ) -> DataFrame:
     log.info("loading %s into %s (policy %s)", drop_path, target_path, policy)
-    validated = validate_fields(read_drop_text(spark, drop_path, encoding=encoding))
-    if policy == "strict":
-        rows = strict(validated)
-    elif policy == "quarantine":
-        rows = good_lines(validated)
-    else:
-        raise ValueError(f"policy must be 'strict' or 'quarantine', not {policy!r}")
-    staging = target_path.rstrip("/") + "._staging"
-    prepare_targets(rows, name_width).write.mode("overwrite").parquet(staging)
-    if policy == "quarantine" and quarantine_path:
-        quarantine(validated).write.mode("overwrite").parquet(quarantine_path)
+    staging = f"{target_path.rstrip('/')}._staging_{uuid.uuid4().hex[:8]}"
+    _stage(spark, drop_path, staging, policy, quarantine_path, name_width, fmt)
     replace_path(spark, staging, target_path)
     return spark.read.parquet(target_path)

@@ -6,6 +6,7 @@ given.  ``local_session`` exists for tests and the bench only.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -80,9 +81,30 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def source_tag(spark: SparkSession, *paths: str) -> str:
+    """A short name for the files under ``paths`` as they are now: hash of
+    full paths, file names, lengths and modification times."""
+    jvm = spark.sparkContext._jvm
+    seen = []
+    for uri in paths:
+        root = jvm.org.apache.hadoop.fs.Path(uri)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        seen.append(fs.makeQualified(root).toString())
+        files = fs.listFiles(root, True)
+        while files.hasNext():
+            f = files.next()
+            seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()[:16]
+
+
 def replace_path(spark: SparkSession, staging: str, dst: str) -> str:
     """Swap a finished staging folder in for ``dst``: the old content is
-    renamed aside first and deleted only after the new one is in place."""
+    renamed aside first and deleted only after the new one is in place.
+
+    Two renames: between them there is a moment without a target, and an
+    object store copies instead of renaming.  A failed second rename puts the
+    old content back.  Readers that must never miss the target should read a
+    versioned folder or a catalog table instead."""
     jvm = spark.sparkContext._jvm
     s = jvm.org.apache.hadoop.fs.Path(staging)
     d = jvm.org.apache.hadoop.fs.Path(dst)
@@ -98,6 +120,12 @@ def replace_path(spark: SparkSession, staging: str, dst: str) -> str:
     return dst
 
 
+def delete_path(spark: SparkSession, uri: str) -> None:
+    """Remove a folder that this job made."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def publish_once(spark: SparkSession, staging: str, dst: str) -> str:
     """Move a finished staging folder to ``dst`` unless another writer got
     there first; readers of an existing ``dst`` are never disturbed."""
@@ -117,10 +145,12 @@ def publish_once(spark: SparkSession, staging: str, dst: str) -> str:
 
 __all__ = [
     "JOB_CONF",
+    "delete_path",
     "local_session",
     "ensure_checkpoint_dir",
     "shared_scratch",
     "path_exists",
     "publish_once",
     "replace_path",
+    "source_tag",
 ]

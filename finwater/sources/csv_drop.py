@@ -1,4 +1,4 @@
-"""Typed CSV drop (header row, comma, CRLF, no text qualifier).
+"""Typed CSV drop (header row, comma, CRLF, no text qualifier by default).
 
 The drop is read with every field as text first: that keeps the raw value
 for the quarantine, lets each field's conversion be tested on its own
@@ -8,86 +8,162 @@ layout (``enforceSchema=False``).  Everything runs in the CSV scan's tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finwater.schema import CSV_FIELDS, CSV_SCHEMA
-from finwater.session import path_exists, publish_once, shared_scratch
-from finwater.sources.tables import read_table
-
-# Windows-1252 needs spark.sql.legacy.javaCharsets=true on Spark 4; ISO-8859-1
-# reads every byte and equals 1252 outside 0x80-0x9F.
-DEFAULT_ENCODING = "ISO-8859-1"
+from finwater.schema import CSV_FIELDS, CSV_SCHEMA, CSV_WIDTHS
+from finwater.session import path_exists, publish_once, shared_scratch, source_tag
+from finwater.sources.tables import read_table, table_path
 
 CORRUPT = "_corrupt_record"
-LEGACY_CHARSETS = {"windows-1252", "cp1252"}
+CODE_PAGE_1252 = {"windows-1252", "cp1252", "1252"}
+
+
+@dataclass(frozen=True)
+class DropFormat:
+    """The reader parameters of a drop.
+
+    ``skip_header_rows`` lines are left out before the header,
+    ``skip_rows`` data lines after it, in every file. ``quote`` is the text
+    qualifier (none by default), ``line_sep`` one character (default: CR, LF
+    or both).
+    """
+
+    encoding: str = "windows-1252"
+    sep: str = ","
+    header: bool = True
+    quote: str | None = None
+    line_sep: str | None = None
+    skip_header_rows: int = 0
+    skip_rows: int = 0
+
+    @property
+    def charset(self) -> str:
+        """Code page 1252 is read as ISO-8859-1, which keeps every byte, and
+        its bytes 0x80-0x9F are mapped afterwards (``decoded``)."""
+        return "ISO-8859-1" if self.encoding.lower() in CODE_PAGE_1252 else self.encoding
 
+    def options(self) -> dict:
+        own = {
+            "header": self.header, "sep": self.sep, "quote": self.quote or "\u0000", "encoding": self.charset,
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+        }
+        return own | ({"lineSep": self.line_sep} if self.line_sep else {})
 
-def _encoding(spark: SparkSession, encoding: str) -> str:
-    """Spark 4 accepts Windows code pages only with its legacy-charset flag;
-    turn it on for the session when one is asked for."""
-    if encoding.lower() in LEGACY_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return encoding
 
+DEFAULT_FORMAT = DropFormat()
 
 TEXT_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in CSV_FIELDS] + [T.StructField(CORRUPT, T.StringType())]
 )
 
 
-def read_drop_text(spark: SparkSession, path: str, encoding: str = DEFAULT_ENCODING, check_header: bool = True) -> DataFrame:
-    """All five fields as text; an empty field reads as NULL.  A line with
-    the wrong number of fields keeps its raw text in ``_corrupt_record``
-    (a wrong header still fails the read)."""
-    return (
-        spark.read.schema(TEXT_SCHEMA)
-        .option("header", True)
-        .option("sep", ",")
-        .option("quote", "\u0000")
-        .option("encoding", _encoding(spark, encoding))
-        .option("enforceSchema", not check_header)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+def _map_1252() -> tuple[str, str]:
+    """Characters that code page 1252 gives to the bytes 0x80-0x9F (the few
+    bytes it leaves undefined stay control characters)."""
+    read = [chr(b) for b in range(0x80, 0xA0)]
+    meant = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)]
+    return "".join(read), "".join(meant)
 
 
-def read_drop_typed(
-    spark: SparkSession, path: str, mode: str = "FAILFAST", encoding: str = DEFAULT_ENCODING, check_header: bool = True
-) -> DataFrame:
-    """The declared typed layout straight from the CSV reader.
+def _decoded(c: Column, fmt: DropFormat) -> Column:
+    return F.translate(c, *_map_1252()) if fmt.encoding.lower() in CODE_PAGE_1252 else c
 
-    ``FAILFAST`` fails the job on the first field that does not convert
-    (the package's FailComponent); ``DROPMALFORMED`` skips such lines.
-    """
-    return (
-        spark.read.schema(CSV_SCHEMA)
-        .option("header", True)
-        .option("sep", ",")
-        .option("quote", "\u0000")
-        .option("encoding", _encoding(spark, encoding))
-        .option("enforceSchema", not check_header)
-        .option("mode", mode)
-        .csv(path)
+
+def decoded(df: DataFrame, fmt: DropFormat) -> DataFrame:
+    """Text columns with the characters of the drop's code page."""
+    return df.select(*[
+        _decoded(F.col(f"`{f.name}`"), fmt).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ])
+
+
+def read_drop_text(spark: SparkSession, path: str, fmt: DropFormat = DEFAULT_FORMAT, check_header: bool = True) -> DataFrame:
+    """All five fields as text; an empty field reads as NULL.  A line with
+    the wrong number of fields keeps its raw text in ``_corrupt_record``
+    (a wrong header still fails the read)."""
+    if fmt.skip_header_rows or fmt.skip_rows:
+        return _read_lines(spark, path, fmt, check_header)
+    reader = spark.read.schema(TEXT_SCHEMA).options(**fmt.options()).option("enforceSchema", not check_header)
+    return decoded(reader.csv(path), fmt)
+
+
+def _read_lines(spark: SparkSession, path: str, fmt: DropFormat, check_header: bool) -> DataFrame:
+    """The same for drops whose first lines are to be left out.  The task that
+    reads a file's first block leaves them out; a file whose lines to skip
+    reach beyond that block fails the read."""
+    reader = spark.read.option("lineSep", fmt.line_sep) if fmt.line_sep else spark.read
+    lines = reader.text(path).select(
+        F.col("value").cast("binary").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_block_length").alias("length"),
+        F.col("_metadata.file_size").alias("size"),
     )
+    first = fmt.skip_header_rows
+    out_of = first + int(fmt.header) + fmt.skip_rows
+    wanted = fmt.sep.join(CSV_FIELDS)
+
+    def skip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, seen, partial = None, 0, False
+        for batch in batches:
+            keep = []
+            for line, name, start, length, size in zip(*(c.to_pylist() for c in batch.columns)):
+                if (name, start) != file:
+                    if partial and seen < out_of:
+                        raise ValueError(f"{file[0]}: the lines to skip reach beyond the first block")
+                    file, seen, partial = (name, start), 0, start == 0 and length < size
+                if start == 0 and seen < out_of:
+                    if fmt.header and check_header and seen == first and line.decode(fmt.charset) != wanted:
+                        raise ValueError(f"{name}: header {line!r}")
+                    seen += 1
+                elif line:
+                    keep.append(line)
+            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.binary())], names=["line"])
+        if partial and seen < out_of:
+            raise ValueError(f"{file[0]}: the lines to skip reach beyond the first block")
+
+    text = F.decode(F.col("line"), fmt.charset)
+    options = {k: str(v) for k, v in fmt.options().items() if k not in ("header", "encoding", "lineSep")}
+    schema = ", ".join(f"`{f.name}` STRING" for f in TEXT_SCHEMA.fields)
+    parsed = lines.mapInArrow(skip, "line binary").select(F.from_csv(text, schema, options).alias("r"))
+    return decoded(parsed.select(*[F.col("r")[f.name].alias(f.name) for f in TEXT_SCHEMA.fields]), fmt)
+
+
+def read_drop_typed(spark: SparkSession, path: str, fmt: DropFormat = DEFAULT_FORMAT, check_header: bool = True) -> DataFrame:
+    """The declared typed layout straight from the CSV reader: the job fails
+    on the first field that does not convert or is wider than declared."""
+    options = fmt.options() | {"mode": "FAILFAST"}
+    options.pop("columnNameOfCorruptRecord")
+    reader = spark.read.schema(CSV_SCHEMA).options(**options).option("enforceSchema", not check_header)
+    df = decoded(reader.csv(path), fmt)
+    for name, width in CSV_WIDTHS.items():
+        wide = F.char_length(F.col(f"`{name}`")) > width
+        said = F.concat(F.lit(f"{name} is wider than {width}: "), F.col(f"`{name}`"))
+        df = df.filter(F.when(F.coalesce(wide, F.lit(False)), F.raise_error(said)).otherwise(F.lit(True)))
+    return df
 
 
 def sales_target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales-target lines derived from ``customer`` and ``nation``.
 
     Nation names run to 8 letters (over the 7-letter width), a quantity of
-    five times the balance overflows SMALLINT for rich customers, and a
-    negative balance leaves the quantity empty -- so the drop carries every
-    kind of line the load has to handle.
+    five times the balance overflows SMALLINT for rich customers, a negative
+    balance leaves the quantity empty, and some last names hold the bytes
+    0x80 and 0x9C -- so the drop carries every kind of line the load has to
+    handle.
     """
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     rows = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
     return rows.select(
         F.regexp_replace("n_name", "_", "").alias("FirstName"),
-        F.concat(F.lit("Rep"), F.col("c_custkey").cast("string")).alias("LastName"),
+        F.concat(
+            F.lit("Rep"), F.when(F.col("c_custkey") % 40 == 0, "\x80\x9c").otherwise(""), F.col("c_custkey").cast("string")
+        ).alias("LastName"),
         F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") * 5).cast("string")).alias("SalesQuantity"),
         F.floor(F.col("c_acctbal") * 100).cast("string").alias("SalesRevenue "),
         (F.lit(2000) + F.col("n_regionkey")).cast("string").alias("Year"),
@@ -104,6 +180,7 @@ def write_drop(df: DataFrame, path: str) -> str:
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("quote", "\u0000")
+        .option("encoding", "ISO-8859-1")
         .option("emptyValue", "")
         .option("nullValue", "")
         .csv(path)
@@ -111,11 +188,15 @@ def write_drop(df: DataFrame, path: str) -> str:
     return path
 
 
+# bump when the derivation rule changes
+DROP_VERSION = 2
+
+
 def sales_target_drop(spark: SparkSession, sf_dir: str) -> str:
     """Path of the derived drop for ``sf_dir`` under the shared scratch folder
-    (written once per scale factor)."""
-    tag = sf_dir.rstrip("/").split("/")[-1]
-    path = shared_scratch(spark, f"drops/sales_target_{tag}.csv")
+    (written once per state of the source files)."""
+    tag = source_tag(spark, table_path(sf_dir, "customer"), table_path(sf_dir, "nation"))
+    path = shared_scratch(spark, f"drops/sales_target_v{DROP_VERSION}_{tag}.csv")
     if not path_exists(spark, path + "/_SUCCESS"):
         staging = shared_scratch(spark, "staging/drop", unique=True)
         write_drop(sales_target_rows(spark, sf_dir), staging)

@@ -14,10 +14,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finwater.functions import key_concat, to_statement_date
+from finwater.functions import key_concat, to_statement_date, try_statement_date
 from finwater.schema import MEASURES, STATEMENT_SCHEMA
-from finwater.session import path_exists, publish_once, shared_scratch
-from finwater.sources.tables import read_table
+from finwater.session import path_exists, publish_once, shared_scratch, source_tag
+from finwater.sources.tables import read_table, table_path
 from pyspark.sql import types as T
 
 # bump when the derivation rule changes (the materialised copy is keyed on it)
@@ -29,13 +29,24 @@ OLDER_SNAPSHOT = dt.date(2024, 11, 30)
 SIGNED_MEASURES = ("netopprofit", "retainedearnings", "netprofit")
 
 
-def read_statements(spark: SparkSession, path: str) -> DataFrame:
+def unreadable_dates(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a history whose statement date is given but is no date."""
+    date = F.col("statementdatekey_")
+    return spark.read.parquet(path).filter(date.isNotNull() & try_statement_date("statementdatekey_").isNull())
+
+
+def read_statements(spark: SparkSession, path: str, bad_dates: str = "raise") -> DataFrame:
     """Read a statement history dataset and normalise its key columns.
 
     ``asofdate`` is truncated to a date (a time part on the newest day would
     otherwise miss the latest-snapshot filter); ``statementdatekey_`` may be a
-    date or ``yyyymmdd`` text; ``pkid_`` is derived when absent.
+    date or ``yyyymmdd`` text; ``pkid_`` is derived when absent.  Entity ids
+    given as text stay text (leading zeros are kept).  A statement date that
+    cannot be read fails the job, or, with ``bad_dates="quarantine"``, its row
+    is left out here and found by ``unreadable_dates``.
     """
+    if bad_dates not in ("raise", "quarantine"):
+        raise ValueError(f"bad_dates must be 'raise' or 'quarantine', not {bad_dates!r}")
     df = spark.read.parquet(path)
     cols = set(df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -44,10 +55,16 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
     if isinstance(types["statementdatekey_"], T.TimestampType | T.TimestampNTZType):
         df = df.withColumn("statementdatekey_", F.to_date("statementdatekey_"))
     elif not isinstance(types["statementdatekey_"], T.DateType):
+        if bad_dates == "quarantine":
+            df = df.filter(F.col("statementdatekey_").isNull() | try_statement_date("statementdatekey_").isNotNull())
         df = df.withColumn("statementdatekey_", to_statement_date("statementdatekey_"))
     if "pkid_" not in cols:
         df = df.withColumn("pkid_", key_concat("entityid", "statementid"))
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in STATEMENT_SCHEMA.fields if f.name in df.columns])
+    text_ids = isinstance(types["entityid"], T.StringType)
+    return df.select(*[
+        F.col(f.name) if f.name == "entityid" and text_ids else F.col(f.name).cast(f.dataType)
+        for f in STATEMENT_SCHEMA.fields if f.name in df.columns
+    ])
 
 
 def snapshot_dates(spark: SparkSession, path: str, column: str = "asofdate") -> list[dt.date]:
@@ -158,9 +175,10 @@ def materialize_history(df: DataFrame, path: str, files_per_snapshot: int | None
 
 
 def fixture_history_path(spark: SparkSession, sf_dir: str) -> str:
-    """The derived history, materialised once per scale factor under the
-    shared checkpoint folder (then read like a production table)."""
-    tag = sf_dir.rstrip("/").split("/")[-1]
+    """The derived history, materialised once per state of the source files
+    (full path, lengths, modification times) under the shared checkpoint
+    folder, then read like a production table."""
+    tag = source_tag(spark, table_path(sf_dir, "orders"))
     path = shared_scratch(spark, f"fixtures/statements_v{FIXTURE_VERSION}_{tag}")
     if not path_exists(spark, path + "/_SUCCESS"):
         materialize_history(derived_statements(spark, sf_dir), path)

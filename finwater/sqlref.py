@@ -9,8 +9,10 @@ They run on the driver's registered tables (``orders``, ``customer``, ...).
 
 from __future__ import annotations
 
-from finwater.schema import AUDIT_METHODS, EXCLUDED_TYPES, MEASURES
+from finwater.schema import AUDIT_METHODS, CURRENT_TOTALS, EXCLUDED_TYPES, MEASURES, PRIOR_TOTALS, REPORT_COLUMNS, STATEMENT_TYPES
 
+# The literals below (names, formulas, ladders of the selection and of the 30
+# metrics) are fixed values: they state the batch and must equal it.
 SIGNED = ("netopprofit", "retainedearnings", "netprofit")
 
 
@@ -53,11 +55,16 @@ def statements_ctes() -> list[str]:
     ]
 
 
-RANK_COLS = f"""CASE WHEN auditmethod = {_q(AUDIT_METHODS[0])} THEN 1 WHEN auditmethod = {_q(AUDIT_METHODS[1])} THEN 2
-    WHEN auditmethod = {_q(AUDIT_METHODS[2])} THEN 3 WHEN auditmethod = {_q(AUDIT_METHODS[3])} THEN 4
-    WHEN auditmethod = {_q(AUDIT_METHODS[4])} THEN 5 END AS Audit_Rank,
-  CASE WHEN statementtype = 'Annual' THEN 1 WHEN statementtype = 'Quarterly' THEN 2
-    WHEN statementtype = 'Monthly' THEN 3 END AS StatmentType_Rank"""
+def _ladder(column: str, values: list[str], name: str) -> str:
+    whens = " ".join(f"WHEN {column} = {_q(v)} THEN {i}" for i, v in enumerate(values, 1))
+    return f"CASE {whens} END AS {name}"
+
+
+RANK_COLS = _ladder("auditmethod", AUDIT_METHODS, "Audit_Rank") + ", " + _ladder("statementtype", STATEMENT_TYPES, "StatmentType_Rank")
+
+#: newest first, then key text, then the other key columns (a total order)
+NEWEST = "statementdatekey_ DESC, pkid_ DESC, statementmonths, statementtype, auditmethod, statementid"
+KEYS = "asofdate, entityid, statementid, pkid_, statementdatekey_, statementmonths, auditmethod, statementtype"
 
 ELIGIBLE_WHERE = (
     f"auditmethod IN ({_in_list(AUDIT_METHODS)}) AND statementtype NOT IN ({_in_list(EXCLUDED_TYPES)})"
@@ -66,7 +73,7 @@ ELIGIBLE_WHERE = (
 
 def _ranked(name: str, src: str, months: int, worklist: str) -> str:
     return (
-        f"{name} AS (SELECT *, row_number() OVER (PARTITION BY entityid ORDER BY statementdatekey_ DESC, pkid_ DESC)"
+        f"{name} AS (SELECT *, row_number() OVER (PARTITION BY entityid ORDER BY {NEWEST})"
         f" AS ranked_order FROM {src} WHERE statementmonths = {months} AND entityid IN (SELECT entityid FROM {worklist}))"
     )
 
@@ -89,10 +96,11 @@ def _shrink(name: str, prev: str, cohort: str, having: str = "HAVING count(*) >
 def selection_ctes(dedup: str = "group") -> list[str]:
     """latest -> eligible -> dedup -> the cohort chain -> union -> slices."""
     if dedup == "group":
-        dd = """dd AS (SELECT e.* FROM elig e JOIN (SELECT entityid, statementdatekey_, statementtype, max(pkid_) AS mx
+        dd = f"""dd_rows AS (SELECT DISTINCT e.* FROM elig e JOIN (SELECT entityid, statementdatekey_, statementtype, max(pkid_) AS mx
   FROM elig GROUP BY entityid, statementdatekey_, statementtype) g
   ON e.entityid = g.entityid AND e.statementdatekey_ = g.statementdatekey_ AND e.statementtype = g.statementtype
-  AND e.pkid_ = g.mx)"""
+  AND e.pkid_ = g.mx),
+dd AS (SELECT DISTINCT {KEYS} FROM dd_rows)"""
     else:  # the key-set form: IN over every group's max key; DISTINCT on key columns
         dd = """dd AS (SELECT DISTINCT asofdate, entityid, statementid, pkid_, statementdatekey_, statementmonths,
   auditmethod, statementtype FROM elig WHERE pkid_ IN (SELECT max(pkid_) FROM elig
@@ -128,12 +136,12 @@ def selection_ctes(dedup: str = "group") -> list[str]:
         _ranked("g_rk", "dd", 3, "wl5"),
         _covered("g_sel", "g_rk", 4, 12, "G"),
         _shrink("wl6", "wl5", "g_sel"),
-        """r_sel AS (SELECT *, row_number() OVER (PARTITION BY entityid ORDER BY statementdatekey_ DESC, pkid_ DESC)
+        f"""r_sel AS (SELECT *, row_number() OVER (PARTITION BY entityid ORDER BY {NEWEST})
   AS ranked_order, 'R' AS CF_Type FROM dd WHERE entityid IN (SELECT entityid FROM wl6))""",
         """tagged AS (SELECT * FROM a_sel UNION ALL SELECT * FROM b_sel UNION ALL SELECT * FROM d_sel
   UNION ALL SELECT * FROM c_sel UNION ALL SELECT * FROM f_sel UNION ALL SELECT * FROM g_sel
   UNION ALL SELECT * FROM r_sel)""",
-        """un AS (SELECT entityid, pkid_, statementdatekey_, CAST(statementdatekey_ AS DATE) AS statment_date,
+        """un AS (SELECT DISTINCT entityid, pkid_, statementdatekey_, CAST(statementdatekey_ AS DATE) AS statment_date,
   statementtype, statementmonths, CAST(ranked_order AS BIGINT) AS ranked_order, CF_Type FROM tagged)""",
         """slices AS (
   SELECT 'C' AS TimeFrame, * FROM un WHERE ranked_order = 1 AND CF_Type IN ('A','C')
@@ -207,24 +215,13 @@ def metrics_ctes(snapshots: str = "latest") -> list[str]:
     ]
 
 
-CURRENT_SUMS = """sum(CAST(CapitalExpenditures AS DECIMAL(18,0))) AS CapitalExpenditures,
-  sum(CashMarketableSecurities) AS CashMarketableSecurities,
-  sum(CurrentMaturitiesLongTermDebt) AS CurrentMaturitiesLongTermDebt,
-  sum(DepreciationAmortization) AS DepreciationAmortization, sum(FixedAssets) AS FixedAssets,
-  sum(InterestExpense) AS InterestExpense, sum(LongTermDebt) AS LongTermDebt,
-  sum(MinorityInterest) AS MinorityInterest, sum(OperatingIncome) AS OperatingIncome,
-  sum(RetainedEarnings) AS RetainedEarnings, sum(ShortTermDebt) AS ShortTermDebt,
-  sum(TangibleAssets) AS TangibleAssets, sum(TotalLiabilities) AS TotalLiabilities,
-  sum(AccountsPayableCurrent) AS AccountsPayableCurrent, sum(AccountsReceivableCurrent) AS AccountsReceivableCurrent,
-  sum("Inventory Current") AS "Inventory Current", sum(CurrentAssetsCurrent) AS CurrentAssetsCurrent,
-  sum(CurrentLiabilitiesCurrent) AS CurrentLiabilitiesCurrent, sum(NetIncomeCurrent) AS NetIncomeCurrent,
-  sum(NetSalesCurrent) AS NetSalesCurrent, sum(TotalAssetsCurrent) AS TotalAssetsCurrent"""
-
-PRIOR_SUMS = """sum("Accounts Payable (A/P) Prior Year") AS AccountsPayablePriorYear,
-  sum("Accounts Receivable (A/R) Prior Year") AS AccountsReceivablePriorYear,
-  sum("Inventory Prior Year") AS InventoryPriorYear, sum("Current Assets Prior Year") AS CurrentAssetsPriorYear,
-  sum("Net Income Prior Year") AS NetIncomePriorYear, sum("Net Sales Prior Year") AS NetSalesPriorYear,
-  sum("Total Assets Prior Year") AS TotalAssetsPriorYear, sum(CurrentLiabilitiesCurrent) AS CurrentLiabilitiesPriorYear"""
+def _sums(totals: list[tuple[str, str]], whole: tuple[str, ...] = ()) -> str:
+    value = lambda out, src: f'CAST("{src}" AS DECIMAL(18,0))' if out in whole else f'"{src}"'
+    return ", ".join(f'sum({value(out, src)}) AS "{out}"' for out, src in totals)
+
+
+CURRENT_SUMS = _sums(CURRENT_TOTALS, whole=("CapitalExpenditures",))
+PRIOR_SUMS = _sums(PRIOR_TOTALS)
 
 TOTAL_CTES = [
     f"ipe_c AS (SELECT entityid, {CURRENT_SUMS} FROM stage WHERE TimeFrame = 'C' GROUP BY entityid)",
@@ -233,15 +230,8 @@ TOTAL_CTES = [
     "totals AS (SELECT C.*, P.* EXCLUDE (entityid), D.DateOfFinancials FROM ipe_c C LEFT JOIN ipe_p P ON C.entityid = P.entityid LEFT JOIN maxd D ON C.entityid = D.entityid)",
 ]
 
-REPORT_DOUBLES = [
-    "NetSalesCurrent", "NetSalesPriorYear", "OperatingIncome", "DepreciationAmortization", "InterestExpense",
-    "NetIncomeCurrent", "NetIncomePriorYear", "CashMarketableSecurities", "AccountsReceivableCurrent",
-    "AccountsReceivablePriorYear", "Inventory Current", "InventoryPriorYear", "CurrentAssetsCurrent",
-    "CurrentAssetsPriorYear", "TangibleAssets", "FixedAssets", "TotalAssetsCurrent", "TotalAssetsPriorYear",
-    "AccountsPayableCurrent", "AccountsPayablePriorYear", "ShortTermDebt", "CurrentMaturitiesLongTermDebt",
-    "CurrentLiabilitiesCurrent", "CurrentLiabilitiesPriorYear", "LongTermDebt", "MinorityInterest",
-    "TotalLiabilities", "RetainedEarnings", "CapitalExpenditures",
-]
+NOT_SUMMED = ("ENTITYID", "Internal ID", "Original Internal ID", "ObligorName", "DateOfFinancials", "DateLastAudit")
+REPORT_DOUBLES = [c for c in REPORT_COLUMNS if c not in NOT_SUMMED]
 
 
 def report_select(src: str = "A", with_customers: bool = True) -> str:
@@ -264,7 +254,7 @@ def base_ctes(dedup: str = "group") -> list[str]:
 # ------------------------------------------------------------ sales-target drop
 
 DROP_CTES = [
-    """drop_text AS (SELECT replace(n_name, '_', '') AS FirstName, 'Rep' || CAST(c_custkey AS VARCHAR) AS LastName,
+    """drop_text AS (SELECT replace(n_name, '_', '') AS FirstName, 'Rep' || CASE WHEN c_custkey % 40 = 0 THEN '€œ' ELSE '' END || CAST(c_custkey AS VARCHAR) AS LastName,
   CASE WHEN c_acctbal >= 0 THEN CAST(CAST(floor(c_acctbal*5) AS BIGINT) AS VARCHAR) END AS SalesQuantity,
   CAST(CAST(floor(c_acctbal*100) AS BIGINT) AS VARCHAR) AS "SalesRevenue ",
   CAST(2000 + n_regionkey AS VARCHAR) AS Year

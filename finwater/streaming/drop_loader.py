@@ -20,23 +20,16 @@ from finwater.operators.loads import dense_ids, good_lines, map_rep_columns, qua
 from finwater.plans.rep_load import ID_ORDER
 from finwater.schema import TARGET_COLUMNS
 from finwater.session import path_exists
-from finwater.sources.csv_drop import DEFAULT_ENCODING, TEXT_SCHEMA
+from finwater.sources.csv_drop import DEFAULT_FORMAT, TEXT_SCHEMA, DropFormat, decoded
 
 
-def drop_stream(spark: SparkSession, drop_dir: str, encoding: str = DEFAULT_ENCODING, max_files: int | None = None) -> DataFrame:
-    reader = (
-        spark.readStream.schema(TEXT_SCHEMA)
-        .option("header", True)
-        .option("sep", ",")
-        .option("quote", "\u0000")
-        .option("encoding", encoding)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-    )
+def drop_stream(spark: SparkSession, drop_dir: str, fmt: DropFormat = DEFAULT_FORMAT, max_files: int | None = None) -> DataFrame:
+    if fmt.skip_header_rows or fmt.skip_rows:
+        raise ValueError("the streaming reader cannot skip lines")
+    reader = spark.readStream.schema(TEXT_SCHEMA).options(**fmt.options()).option("enforceSchema", False)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(drop_dir)
+    return decoded(reader.csv(drop_dir), fmt)
 
 
 def _ids_path(target_path: str) -> str:
@@ -76,11 +69,12 @@ def start_drop_loader(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    fmt: DropFormat = DEFAULT_FORMAT,
 ) -> StreamingQuery:
     """Start the loader; ``available_now`` processes what is there and stops
     (in several micro-batches when ``max_files_per_trigger`` is set)."""
     writer = (
-        drop_stream(spark, drop_dir, max_files=max_files_per_trigger)
+        drop_stream(spark, drop_dir, fmt, max_files=max_files_per_trigger)
         .writeStream.foreachBatch(lambda df, epoch: load_batch(df, epoch, target_path, quarantine_path))
         .option("checkpointLocation", checkpoint_location)
     )

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from finwater.cli import main
@@ -52,6 +53,9 @@ def test_load_cli(spark, scratch):
                 "--quarantine", scratch + "/q"], spark=spark)
     assert res == {"job": "load", "rows": 1}
     assert spark.read.parquet(scratch + "/q").count() == 1
-    res = main(["load", "--drop", scratch + "/d", "--table", "cli_target_test", "--policy", "quarantine"], spark=spark)
-    assert res["rows"] == 1
+    with pytest.raises(SystemExit):
+        main(["load", "--drop", scratch + "/d", "--table", "cli_target_test", "--policy", "quarantine"], spark=spark)
+    res = main(["load", "--drop", scratch + "/d", "--table", "cli_target_test", "--policy", "quarantine",
+                "--quarantine", scratch + "/q2", "--encoding", "ISO-8859-1"], spark=spark)
+    assert res["rows"] == 1 and spark.read.parquet(scratch + "/q2").count() == 1
     spark.sql("DROP TABLE cli_target_test")

@@ -145,3 +145,65 @@ def test_eligibility_collation_option(spark):
     assert {r["entityid"] for r in eligible(df).collect()} == {62}
     got = {r["entityid"] for r in eligible(df, collation="UTF8_LCASE_RTRIM").collect()}
     assert got == {61}  # method matches ignoring case/trailing blank; the excluded type is excluded
+
+
+def test_repeated_key_keeps_every_measure_row(spark):
+    d = months_back(3, 12)
+    rows = [
+        # the same statement twice, alike: one row
+        row(71, 1, d[0], 12, netsales=5.0), row(71, 1, d[0], 12, netsales=5.0),
+        # twice with different measures: one statement, both rows summed
+        row(72, 1, d[0], 12, netsales=5.0), row(72, 1, d[0], 12, netsales=7.0),
+        # two annual statements, the newest twice with different measures: cohort A, current is the newest alone
+        row(73, 2, d[0], 12, netsales=1.0), row(73, 2, d[0], 12, netsales=2.0), row(73, 1, d[1], 12, netsales=40.0),
+        # twice with different audit methods: two distinct key rows, which rank and count as two
+        row(74, 1, d[0], 12, audit="Qualified", netsales=3.0), row(74, 1, d[0], 12, audit="Reviewed", netsales=4.0),
+    ]
+    df = frame(spark, rows)
+    dd = dedup_statements(eligible(df))
+    assert {r["entityid"]: r["n"] for r in dd.groupBy("entityid").agg(F.count("*").alias("n")).collect()} == {71: 1, 72: 2, 73: 3, 74: 2}
+    got, tagged = cohorts_of(spark, rows)
+    assert got == {71: "C", 72: "C", 73: "A", 74: "A"}
+    ranks = {(r["entityid"], r["statementid"], r["auditmethod"], r["ranked_order"]) for r in tagged.collect()}
+    assert ranks == {(71, 1, "Qualified", 1), (72, 1, "Qualified", 1), (73, 2, "Qualified", 1), (73, 1, "Qualified", 2),
+                     (74, 1, "Qualified", 1), (74, 1, "Reviewed", 2)}
+    report = {r["ENTITYID"]: (r["NetSalesCurrent"], r["NetSalesPriorYear"]) for r in client_financials(df).collect()}
+    assert report == {71: (5.0, None), 72: (12.0, None), 73: (3.0, 40.0), 74: (3.0, 4.0)}
+
+
+def test_cohort_rows_are_distinct(spark):
+    """A lone 12-month key whose rows differ in the audit method only is one
+    row of the single-annual cohort (its rank is forced to 1)."""
+    from finwater.operators.cohorts import assign_cohorts_by_key, cohort_rows
+    from finwater.operators.eligibility import dedup_statements_by_key_set
+    from finwater.schema import KEY_COLUMNS
+
+    d = months_back(2, 12)
+    # entity 8's key '812' is also that of entity 81's lone annual statement 2
+    rows = [row(81, 2, d[0], 12), row(8, 12, d[0], 6), row(8, 12, d[0], 6, audit="Reviewed")]
+    df = eligible(frame(spark, rows).select(*KEY_COLUMNS))
+    dd = dedup_statements_by_key_set(df).distinct()
+    for tagged in (assign_cohorts_by_key(dd), cohort_chain(dd, df, cut_lineage=reliable_cut)):
+        got = sorted((r["entityid"], r["CF_Type"], r["ranked_order"]) for r in cohort_rows(tagged).collect())
+        assert got == [(8, "C", 1), (81, "C", 1)]
+
+
+def test_text_entity_ids(spark, scratch):
+    from finwater.sources.statements import read_statements
+
+    rows = run_of(1, 10, 12, 2) + run_of(2, 10, 12, 1)
+    df = frame(spark, rows).drop("pkid_").withColumn("entityid", F.concat(F.lit("00A"), F.col("entityid").cast("string")))
+    df.write.partitionBy("asofdate").parquet(scratch + "/h")
+    back = read_statements(spark, scratch + "/h")
+    assert {r["pkid_"] for r in back.collect()} == {"00A110", "00A111", "00A210"}
+    for mode in ("latest", "all"):
+        assert sorted(r["ENTITYID"] for r in client_financials(back, snapshots=mode).collect()) == ["00A1", "00A2"]
+
+
+def test_rank_columns_with_collation(spark):
+    from finwater.operators.snapshot import with_statement_ranks
+
+    df = frame(spark, [row(1, 1, months_back(1)[0], 12, stype="annual ", audit="QUALIFIED")])
+    exact, folded = (with_statement_ranks(df, c).first() for c in (None, "UTF8_LCASE_RTRIM"))
+    assert (exact["Audit_Rank"], exact["StatmentType_Rank"]) == (None, None)
+    assert (folded["Audit_Rank"], folded["StatmentType_Rank"]) == (2, 1)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from finwater.operators.loads import dense_ids, quarantine, validate_fields
 from finwater.plans.rep_load import load_rep_targets
-from finwater.sources.csv_drop import read_drop_text, read_drop_typed
+from finwater.sources.csv_drop import DropFormat, read_drop_text, read_drop_typed
 
 HEADER = "FirstName,LastName,SalesQuantity,SalesRevenue ,Year"
 
@@ -119,8 +119,8 @@ def test_load_into_catalog_table_and_wider_names(spark, scratch):
 def test_windows_1252_code_page(spark, scratch):
     raw = (HEADER + "\r\n").encode("ascii") + b"\x80uro,Lee,1,2,2020\r\n"
     p = drop(scratch, "w.csv", [], raw=raw)
-    assert read_drop_text(spark, p).first()["FirstName"] == "\x80uro"  # ISO-8859-1 default
-    assert read_drop_text(spark, p, encoding="windows-1252").first()["FirstName"] == "€uro"
+    assert read_drop_text(spark, p).first()["FirstName"] == "€uro"  # the default code page
+    assert read_drop_text(spark, p, DropFormat(encoding="ISO-8859-1")).first()["FirstName"] == "\x80uro"
 
 
 def test_target_name_width_parameter(spark, scratch):
@@ -142,3 +142,81 @@ def test_streaming_several_batches_in_one_run(spark, scratch):
     target = spark.read.parquet(scratch + "/st3")
     assert target.select("epoch").distinct().count() == 3  # one micro-batch per file
     assert sorted(r["ID"] for r in target.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_every_1252_byte_in_batch_table_and_stream(spark, scratch):
+    from finwater.plans.rep_load import load_rep_target_table
+    from finwater.streaming import start_drop_loader
+
+    undefined = {0x81, 0x8D, 0x8F, 0x90, 0x9D}
+    high = [b for b in range(0x80, 0x100) if b not in undefined]
+    raw = (HEADER + "\r\n").encode("ascii") + b"".join(b"A%c,L%d,1,2,2020\r\n" % (b, b) for b in high)
+    want = {f"L{b}": "A" + bytes([b]).decode("cp1252") for b in high}
+    p = drop(scratch + "/d", "w.csv", [], raw=raw)
+    names = lambda df: {r["LastName"]: r["FirstName"] for r in df.collect()}
+    assert names(load_rep_targets(spark, p, scratch + "/t")) == want
+    assert names(load_rep_target_table(spark, p, "rep_1252_test")) == want
+    spark.sql("DROP TABLE rep_1252_test")
+    start_drop_loader(spark, scratch + "/d", scratch + "/st", scratch + "/sq", scratch + "/ck").awaitTermination(120)
+    assert names(spark.read.parquet(scratch + "/st")) == want
+
+
+def test_reader_parameters(spark, scratch):
+    body = "Ann|'Le|e'|10|1000|2019;Bo|Ng|20|2000|2020;"
+    p = drop(scratch + "/a", "a.csv", [], raw=(HEADER.replace(",", "|") + ";" + body).encode())
+    fmt = DropFormat(sep="|", quote="'", line_sep=";")
+    assert [r["LastName"] for r in read_drop_text(spark, p, fmt).collect()] == ["Le|e", "Ng"]
+    bare = drop(scratch + "/b", "b.csv", [], raw=body.encode())
+    assert read_drop_text(spark, bare, DropFormat(sep="|", quote="'", line_sep=";", header=False)).count() == 2
+    # two files, each with a title line before the header and a unit line after it
+    lines = ["Report of May", HEADER, "text,text,pieces,euro,year", *GOOD, "Cy,Wu,5"]
+    for name in ("x.csv", "y.csv"):
+        drop(scratch + "/c", name, [], raw=("\r\n".join(lines) + "\r\n").encode())
+    skip = DropFormat(skip_header_rows=1, skip_rows=1)
+    rows = read_drop_text(spark, scratch + "/c", skip).collect()
+    assert sorted(r["LastName"] for r in rows) == ["Lee", "Lee", "Ng", "Ng", "Wu", "Wu"]
+    assert load_rep_targets(spark, scratch + "/c", scratch + "/t", "quarantine", scratch + "/q", fmt=skip).count() == 4
+    assert {r["raw_line"] for r in spark.read.parquet(scratch + "/q").collect()} == {"Cy,Wu,5"}
+    with pytest.raises(Exception):
+        read_drop_text(spark, scratch + "/c", DropFormat(skip_header_rows=2, skip_rows=1)).collect()
+
+
+def test_no_line_is_lost(spark, scratch):
+    """The policy needs a path; every line is then loaded or set aside."""
+    from finwater.plans.rep_load import load_rep_target_table
+
+    p = drop(scratch, "m.csv", GOOD + ["Annabell,Lee,10,1000,2019", "Ann,Lee,x,1,2019", "Ann"])
+    for load, to in ((load_rep_targets, scratch + "/t"), (load_rep_target_table, "rep_lost_test")):
+        with pytest.raises(ValueError):
+            load(spark, p, to, policy="quarantine")
+        done = load(spark, p, to, policy="quarantine", quarantine_path=scratch + "/q")
+        assert done.count() == 2 and spark.read.parquet(scratch + "/q").count() == 3
+    spark.sql("DROP TABLE rep_lost_test")
+
+
+def test_typed_read_fails_on_width(spark, scratch):
+    p = drop(scratch, "w.csv", GOOD + ["Annabell,Lee,10,1000,2019"])
+    with pytest.raises(Exception, match="FirstName is wider"):
+        read_drop_typed(spark, p).collect()
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_dense_ids_at_two_million_rows(spark, reuse, adaptive):
+    """A column outside the sort keys, more shuffle partitions than AQE keeps."""
+    conf = {"spark.sql.exchange.reuse": reuse, "spark.sql.adaptive.enabled": adaptive, "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 2_000_000
+        df = spark.range(0, n, numPartitions=16).select((F.col("id") * 7919 % 50_000).alias("k"), F.col("id").alias("v"))
+        ids = dense_ids(df, ["k"])
+        got = ids.agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct("ID").alias("ids"), F.min("ID").alias("least"), F.max("ID").alias("most"),
+            F.countDistinct("v").alias("rows"),
+        ).first()
+        assert tuple(got) == (n, n, 1, n, n)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

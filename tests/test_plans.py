@@ -66,3 +66,40 @@ def test_hot_entity_is_combined_before_the_entity_shuffle(spark):
     assert per[7] == 24  # one row per (date, type) reaches the entity stage
     plan = plan_of(dd)
     assert plan.count("SortAggregate") >= 2 or plan.count("HashAggregate") >= 2  # partial + final
+
+
+KEY_ONLY = [
+    "ranked_statements", "topn_per_entity", "coverage_filter", "cohort_union", "cohort_waterfall", "period_assignment",
+    "contiguous_coverage", "cohort_annual_24", "cohort_monthly_24", "cohort_monthly_12", "cohort_annual_12",
+    "cohort_quarterly_24", "cohort_quarterly_12", "cohort_residual",
+]
+
+
+def test_key_queries_read_no_measure(spark):
+    import __spark_entry__ as E
+
+    for key in KEY_ONLY:
+        scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan_of(E.queries()[key](spark, SF)))
+        read = {c.split("#")[0] for s in scans for c in s.split(",")}
+        assert scans and "more fields" not in str(scans) and not read & set(MEASURES), key
+
+
+def test_bridge_join_is_free_of_the_hot_entity(spark):
+    """One entity with a third of all (repeated) rows: both sides are distinct
+    before the join and nothing depends on its partitioning after it."""
+    from finwater.operators.extras import entity_system_ids
+    from golden import frame, months_back, row
+
+    dates = months_back(12, 1)
+    hot = [row(7, i, d, 1) for i, d in enumerate(dates)] * 50
+    cold = [row(100 + k, i, d, 1) for k in range(100) for i, d in enumerate(dates)]
+    st = frame(spark, hot + cold).select(*KEY_COLUMNS)
+    bridge = spark.createDataFrame([("S1", 7), ("S1", 7), ("S2", 7), ("S3", 101)], "systemid string, entityid long")
+    out = entity_system_ids(st, bridge)
+    assert out.filter("entityid = 7").count() == 24 and out.distinct().count() == out.count() == 24 + 1200
+    plan = plan_of(out)
+    join = min(plan.index(j) for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") if j in plan)
+    assert "Aggregate" not in plan[:join]
+    # the aggregate combines the copies before its exchange, which hashes all columns
+    parts = st.distinct().repartition(1).count()
+    assert parts == 12 + 1200

@@ -37,3 +37,41 @@ def test_history_read_normalises_text_dates(spark, scratch):
     assert back.filter(F.col("pkid_").isNull()).count() == 0
     ref = fixture_statements(spark, SF).select(*(KEY_COLUMNS + MEASURES))
     assert back.select(*(KEY_COLUMNS + MEASURES)).exceptAll(ref).count() == 0
+
+
+def test_copies_follow_path_and_content(spark, scratch):
+    """Two folders of the same leaf name, and a changed table, get copies of
+    their own."""
+    import os
+
+    from finwater.sources.csv_drop import sales_target_drop
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    counts = []
+    for k, n in (("a", 40), ("b", 70)):
+        os.makedirs(f"{scratch}/{k}/sf0.001")
+        orders.limit(n).coalesce(1).write.parquet(f"{scratch}/{k}/sf0.001/orders.parquet")
+        for t in ("customer", "nation"):
+            spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{scratch}/{k}/sf0.001/{t}.parquet")
+        counts.append(fixture_statements(spark, f"{scratch}/{k}/sf0.001").filter("asofdate = '2024-12-31'").count())
+    assert counts == [40, 70]
+    assert sales_target_drop(spark, f"{scratch}/a/sf0.001") != sales_target_drop(spark, f"{scratch}/b/sf0.001")
+    orders.limit(90).coalesce(1).write.mode("overwrite").parquet(f"{scratch}/a/sf0.001/orders.parquet")
+    assert fixture_statements(spark, f"{scratch}/a/sf0.001").filter("asofdate = '2024-12-31'").count() == 90
+
+
+def test_unreadable_statement_dates(spark, scratch):
+    import pytest
+
+    from finwater.sources.statements import read_statements, unreadable_dates
+
+    text = F.when(F.col("statementid") == 1, "2024013X").when(F.col("statementid") == 2, "31/01/2024").otherwise(
+        F.date_format("statementdatekey_", "yyyyMMdd")
+    )
+    src = derived_statements(spark, SF).withColumn("statementdatekey_", text)
+    src.write.parquet(scratch + "/h")
+    with pytest.raises(Exception, match="not a statement date"):
+        read_statements(spark, scratch + "/h").collect()
+    good, bad = read_statements(spark, scratch + "/h", bad_dates="quarantine"), unreadable_dates(spark, scratch + "/h")
+    assert {r["statementid"] for r in bad.collect()} <= {1, 2} and bad.count() > 0
+    assert good.count() + bad.count() == src.count() and good.filter("statementdatekey_ IS NULL").count() == 0
