@@ -15,7 +15,10 @@ estimates, and what is left is the unknown word's. A history whose counts are
 all above K leaves nothing: its denominator then gets one more.
 
 How it runs: texts are read once into chunks (about ``CHUNK_TOKENS`` tokens:
-distinct words as 64-bit hashes and token positions), stored as a table. Per
+distinct words as 64-bit hashes and token positions), stored as a table. Words
+are counted first and numbered by the buckets that count them (the number's
+remainder by the buckets is the bucket), so that later requests carry short
+differences of numbers instead of hashes. Per
 order, every chunk sends its distinct n-grams with their training counts to
 buckets by history; a bucket adds up, stores its part of the model (counts,
 and per history what the backoff weight is made of) and answers each chunk
@@ -37,7 +40,6 @@ import gc
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -56,8 +58,9 @@ from .base import col, texts_of
 ORDER, K = 2, 5
 #: Tokens of a chunk, and chunks per bucket: both bound a task's memory.
 CHUNK_TOKENS, CHUNKS_PER_BUCKET, MIN_BUCKETS = 1_500_000, 2, 16
-#: Hashes of the end and the start: of texts that no word equals.
-END, START = xxhash.xxh64_intdigest(b""), xxhash.xxh64_intdigest(b" ")
+#: Number of the start symbol, beyond those of words. The end is the hash of
+#: the empty text, which no word equals.
+START = 1 << 63
 
 
 # ------------------------------------------------------------ packed arrays
@@ -68,7 +71,7 @@ def pack(a: np.ndarray) -> bytes:
     a = np.ascontiguousarray(a)
     kind = a.dtype.str.encode()
     planes = a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if len(a) else b""
-    return kind + b";" + zstandard.ZstdCompressor(level=1).compress(planes)
+    return kind + b";" + zstandard.ZstdCompressor(level=3).compress(planes)
 
 
 def unpack(b: bytes) -> np.ndarray:
@@ -83,12 +86,20 @@ def small(a: np.ndarray) -> np.ndarray:
     return a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
 
 
-def pack_hashes(a: np.ndarray) -> bytes:
-    """64-bit hashes as differences (modulo 2**64; short when sorted)."""
-    return pack(np.diff(a.astype("<u8"), prepend=np.uint64(0)))
+def by_bucket(words: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    """(bucket, positions of its words by ascending hash)."""
+    bucket = (words % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((words, bucket))
+    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return [(b, order[a:z]) for b, (a, z) in enumerate(zip(edges, edges[1:])) if z > a]
 
 
-def unpack_hashes(b: bytes) -> np.ndarray:
+def pack_sorted(a: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as differences."""
+    return pack(small(np.diff(a.astype("<u8"), prepend=np.uint64(0))))
+
+
+def unpack_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(unpack(b), dtype=np.uint64)
 
 
@@ -149,18 +160,28 @@ class Globals:
 class Chunk:
     """One chunk's tokens and, per order, its distinct n-grams.
 
-    Words are sorted by hash; the start symbol follows them. The n-grams of
+    Words are stored as hashes, most frequent first, and renumbered by their
+    global numbers once these are known; the start symbol follows them. The n-grams of
     order k are numbered by (history, word); a history of order k is an
     (k-1)-gram, for k = 2 a word or the start."""
 
     def __init__(self, words: bytes, tokens: bytes, lengths: bytes, held: bytes):
-        self.words, self.tokens = unpack_hashes(words), unpack(tokens).astype(np.int64)
+        self.words, self.tokens = unpack(words), unpack(tokens).astype(np.int64)
         self.lengths, self.held = unpack(lengths).astype(np.int64), unpack(held).astype(bool)
         self.begin = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
         self.train = np.repeat(~self.held, self.lengths)
         self.place = np.arange(len(self.tokens)) - np.repeat(self.begin, self.lengths)
         self._grams: dict[int, dict] = {}
 
+    def renumber(self, numbers: np.ndarray) -> np.ndarray:
+        """Puts global numbers in place of hashes, ascending; returns the old
+        positions of the words."""
+        order = np.argsort(numbers, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        self.words, self.tokens = numbers[order], rank[self.tokens]
+        return order
+
     def grams(self, k: int) -> dict:
         if k not in self._grams:
             self._grams[k] = self._first() if k == 1 else self._next(k)
@@ -243,15 +264,12 @@ class Scorer:
 
     def __init__(self, chunk: Chunk, known: Globals, answers: dict[tuple[int, int], dict]):
         self.chunk, self.known, self.answers = chunk, known, answers
-
-    @cached_property
-    def word_count(self) -> np.ndarray:
-        """Training count of each of the chunk's words."""
-        out = np.zeros(len(self.chunk.words), dtype=np.int64)
-        bucket = self.chunk.words % np.uint64(self.known.buckets)
-        for b in np.unique(bucket):
-            out[bucket == b] = unpack(self.answers[1, int(b)]["count"])
-        return out
+        count, number = np.zeros(len(chunk.words), dtype=np.int64), np.zeros(len(chunk.words), dtype=np.uint64)
+        for b, at in by_bucket(chunk.words, known.buckets):
+            count[at] = unpack(answers[1, b]["count"])
+            number[at] = unpack_sorted(answers[1, b]["number"]) * np.uint64(known.buckets) + np.uint64(b)
+        #: Training count of each of the chunk's words.
+        self.word_count = count[chunk.renumber(number)]
 
     def history_count(self, k: int) -> np.ndarray:
         if k == 2:
@@ -312,9 +330,9 @@ class Scorer:
             words, index = np.unique(g["word"][part.grams], return_inverse=True)
             yield {
                 "bucket": part.bucket,
-                "histories": pack_hashes(g["history_hash"][asked.history[part.entries]]),
+                "histories": pack_sorted(g["history_hash"][asked.history[part.entries]]),
                 "followers": pack(small(part.followers)), "hot": pack(hot[part.entries].view(np.uint8)),
-                "words": pack_hashes(self.chunk.words[words]), "word_index": pack(small(index)),
+                "words": pack_sorted(self.chunk.words[words]), "word_index": pack(small(index)),
                 "count": pack(small(g["count"][part.grams])),
                 # P' of a word follows from its count; of longer n-grams it is sent
                 "word_count": pack(small(self.word_count[words])) if k == 2 else None,
@@ -327,8 +345,8 @@ class Scorer:
 
 def add_up(rows: list[dict], known: Globals, k: int) -> tuple[list[dict], dict, np.ndarray]:
     """One bucket: (answers, model part, counts of counts)."""
-    history_lists = [unpack_hashes(r["histories"]) for r in rows]
-    word_lists = [unpack_hashes(r["words"]) for r in rows]
+    history_lists = [unpack_sorted(r["histories"]) for r in rows]
+    word_lists = [unpack_sorted(r["words"]) for r in rows]
     histories, h_index = np.unique(np.concatenate(history_lists), return_inverse=True)
     words, w_first, w_index = np.unique(np.concatenate(word_lists), return_index=True, return_inverse=True)
     followers = [unpack(r["followers"]).astype(np.int64) for r in rows]
@@ -365,7 +383,7 @@ def add_up(rows: list[dict], known: Globals, k: int) -> tuple[list[dict], dict,
     kept_h, kept_followers = np.unique(key_h[seen], return_counts=True)
     kept_w, kept_index = np.unique(key_w[seen], return_inverse=True)
     model = {
-        "histories": pack_hashes(histories[kept_h]), "followers": pack(small(kept_followers)), "words": pack_hashes(words[kept_w]),
+        "histories": pack_sorted(histories[kept_h]), "followers": pack(small(kept_followers)), "words": pack_sorted(words[kept_w]),
         "word_index": pack(small(kept_index)), "count": pack(small(total[seen])), "low": pack(small(low[kept_h].reshape(-1))),
         "covered": pack(covered[kept_h]),
     }
@@ -374,14 +392,18 @@ def add_up(rows: list[dict], known: Globals, k: int) -> tuple[list[dict], dict,
 
 
 def add_up_words(rows: list[dict]) -> tuple[list[dict], dict, np.ndarray]:
-    lists = [unpack_hashes(r["words"]) for r in rows]
+    lists = [unpack_sorted(r["words"]) for r in rows]
     words, index = np.unique(np.concatenate(lists), return_inverse=True)
     total = np.bincount(index, weights=np.concatenate([unpack(r["count"]).astype(np.int64) for r in rows]), minlength=len(words)).astype(np.int64)
     at = np.cumsum([0, *map(len, lists)])
-    answers = [{"chunk": r["chunk"], "count": pack(small(total[index[at[i] : at[i + 1]]]))} for i, r in enumerate(rows)]
+    answers = [
+        {"chunk": r["chunk"], "count": pack(small(total[index[at[i] : at[i + 1]]])), "number": pack_sorted(index[at[i] : at[i + 1]])}
+        for i, r in enumerate(rows)
+    ]
     seen = total > 0
     n = np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2]
-    return answers, {"words": pack_hashes(words[seen]), "count": pack(small(total[seen]))}, np.array([total.sum(), seen.sum(), *n])
+    model = {"words": pack_sorted(words[seen]), "count": pack(small(total[seen])), "number": pack_sorted(np.flatnonzero(seen))}
+    return answers, model, np.array([total.sum(), seen.sum(), *n])
 
 
 # --------------------------------------------------------------- Spark jobs
@@ -390,7 +412,7 @@ _BLOBS = ["histories", "followers", "hot", "words", "word_index", "count", "word
 REQUEST = T.StructType(
     [T.StructField("bucket", T.IntegerType()), T.StructField("chunk", T.LongType())] + [T.StructField(b, T.BinaryType()) for b in _BLOBS]
 )
-_STORED = ["histories", "followers", "words", "word_index", "count", "flags", "low", "covered"]
+_STORED = ["histories", "followers", "words", "word_index", "count", "number", "flags", "low", "covered"]
 REPLY = T.StructType(
     [T.StructField("kind", T.StringType()), T.StructField("bucket", T.IntegerType()), T.StructField("chunk", T.LongType())]
     + [T.StructField(b, T.BinaryType()) for b in _STORED]
@@ -421,13 +443,17 @@ def write_chunks(df: DataFrame, path: str, *, id_col: str, text_col: str, chunk_
     ])
 
     def build(number: int, ids: list, held: list[bool], docs: list[list[int]], index: dict[bytes, int]) -> pd.DataFrame:
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in index), dtype=np.uint64, count=len(index))
-        words, rank = np.unique(hashes, return_inverse=True)
-        tokens = rank[np.concatenate([np.array(d, dtype=np.int64) for d in docs])]
+        words = np.fromiter((xxhash.xxh64_intdigest(w) for w in index), dtype=np.uint64, count=len(index))
+        tokens = np.concatenate([np.array(d, dtype=np.int64) for d in docs])
+        # most frequent first: small numbers, which pack well
+        order = np.argsort(-np.bincount(tokens, minlength=len(words)), kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        words, tokens = words[order], rank[tokens]
         lengths = np.array([len(d) for d in docs])
         train = np.repeat(~np.array(held), lengths)
         row = {
-            "chunk": (TaskContext.get().partitionId() << 32) + number, "ids": ids, "words": pack_hashes(words),
+            "chunk": (TaskContext.get().partitionId() << 32) + number, "ids": ids, "words": pack(words),
             "count": pack(small(np.bincount(tokens[train], minlength=len(words)))), "tokens": pack(small(tokens)),
             "lengths": pack(small(lengths)), "held": pack(np.array(held).view(np.uint8)),
         }
@@ -488,7 +514,7 @@ def _read(spark: SparkSession, path: str, kind: str) -> DataFrame:
 def _answers(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
     out = None
     for k, path in paths.items():
-        one = _read(spark, path, "answer").select("chunk", "bucket", "count", "flags", "low", "covered", F.lit(k).alias("level"))
+        one = _read(spark, path, "answer").select("chunk", "bucket", "count", "number", "flags", "low", "covered", F.lit(k).alias("level"))
         out = one if out is None else out.union(one)
     return out
 
@@ -524,13 +550,11 @@ def fit(
     def ask_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for r in frame.to_dict("records"):
-                words, count = unpack_hashes(r["words"]), unpack(r["count"])
-                bucket = words % np.uint64(buckets)
-                rows = []
-                for b in np.unique(bucket):
-                    own = bucket == b
-                    rows.append({"bucket": int(b), "chunk": r["chunk"], "words": pack_hashes(words[own]), "count": pack(small(count[own]))})
-                yield _frame(rows, REQUEST)
+                words, count = unpack(r["words"]), unpack(r["count"])
+                yield _frame([
+                    {"bucket": b, "chunk": r["chunk"], "words": pack_sorted(words[at]), "count": pack(small(count[at]))}
+                    for b, at in by_bucket(words, buckets)
+                ], REQUEST)
 
     paths = {1: f"{base}/order=1"}
     stats = _reduce_and_store(table.select("chunk", "words", "count").mapInPandas(ask_words, REQUEST), paths[1], known, 1)
@@ -572,10 +596,29 @@ def score(model: Model, spark: SparkSession, *, id_name: str = "doc_id") -> Data
     return table.groupBy("chunk").cogroup(_answers(spark, model.paths).groupBy("chunk")).applyInPandas(evaluate, schema)
 
 
+def vocabulary(model: Model, spark: SparkSession) -> DataFrame:
+    """The words seen in training: (number, hash, count, prob)."""
+    known = model.known
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                number = unpack_sorted(r["number"]) * np.uint64(known.buckets) + np.uint64(r["bucket"])
+                count = unpack(r["count"]).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number.view(np.int64)), pa.array(unpack_sorted(r["words"]).view(np.int64)), pa.array(count), pa.array(known.unigram(count))],
+                    names=["number", "hash", "count", "prob"],
+                )
+
+    stored = _read(spark, model.paths[1], "model").select("bucket", "words", "count", "number")
+    return stored.mapInArrow(rows, "number long, hash long, count long, prob double")
+
+
 def tables(model: Model, spark: SparkSession, order: int) -> tuple[DataFrame, DataFrame]:
-    """The stored order as plain rows: n-grams (history, word, count, prob)
-    and backoff (history, total, weight), both by hash. Histories that were
-    spread over buckets are added up."""
+    """A stored order from 2 on as plain rows: n-grams (history, word, count,
+    prob) and backoff (history, total, weight); words by number, histories by
+    number (order 2) or hash. Histories that were spread over buckets are
+    added up."""
     known = model.known
     d = known.discount(order)
     stored = _read(spark, model.paths[order], "model")
@@ -583,8 +626,8 @@ def tables(model: Model, spark: SparkSession, order: int) -> tuple[DataFrame, Da
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                h = np.repeat(unpack_hashes(r["histories"]), unpack(r["followers"]))
-                w = unpack_hashes(r["words"])[unpack(r["word_index"])]
+                h = np.repeat(unpack_sorted(r["histories"]), unpack(r["followers"]))
+                w = unpack_sorted(r["words"])[unpack(r["word_index"])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(w.view(np.int64)), pa.array(unpack(r["count"]).astype(np.int64))],
                     names=["history", "word", "count"],
@@ -597,7 +640,7 @@ def tables(model: Model, spark: SparkSession, order: int) -> tuple[DataFrame, Da
                 followers = unpack(r["followers"]).astype(np.int64)
                 total = np.add.reduceat(unpack(r["count"]).astype(np.int64), np.cumsum(followers) - followers) if len(followers) else followers
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(unpack_hashes(r["histories"]).view(np.int64)), pa.array(total), pa.array(low), pa.array(unpack(r["covered"]))],
+                    [pa.array(unpack_sorted(r["histories"]).view(np.int64)), pa.array(total), pa.array(low), pa.array(unpack(r["covered"]))],
                     names=["history", "total", "low", "covered"],
                 )
 
@@ -614,4 +657,4 @@ def tables(model: Model, spark: SparkSession, order: int) -> tuple[DataFrame, Da
     return rows.select("history", "word", "count", share.alias("prob")), backoff
 
 
-__all__ = ["Chunk", "Globals", "Model", "Scorer", "discounts", "fit", "layout", "score", "tables"]
+__all__ = ["Chunk", "Globals", "Model", "Scorer", "discounts", "fit", "layout", "score", "tables", "vocabulary"]

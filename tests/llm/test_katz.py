@@ -91,10 +91,10 @@ def test_backoff_is_normalised(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(25)
     model = katz.fit(docs, chunk_tokens=900)
     known = model.known
-    one = katz._read(spark, model.paths[1], "model").select("words", "count").collect()
-    vocab = {int(w): int(c) for r in one for w, c in zip(katz.unpack_hashes(r["words"]).view(np.int64), katz.unpack(r["count"]))}
-    assert len(vocab) == known.types and sum(vocab.values()) == known.tokens
-    p1 = dict(zip(vocab, known.unigram(np.array(list(vocab.values())))))
+    one = katz.vocabulary(model, spark).collect()
+    assert len({r["number"] for r in one}) == len({r["hash"] for r in one}) == known.types
+    assert sum(r["count"] for r in one) == known.tokens
+    p1 = {r["number"]: r["prob"] for r in one}
     unknown = float(known.unigram(np.array([0]))[0])
     assert sum(p1.values()) + unknown == pytest.approx(1, abs=1e-12)
     grams, backoff = katz.tables(model, spark, 2)
