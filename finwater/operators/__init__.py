@@ -7,6 +7,8 @@ from finwater.operators.cohorts import (  # noqa: F401
     cohort_rows,
     coverage_filter,
     entity_cohorts,
+    entity_stage,
+    place_by_key,
 )
 from finwater.operators.eligibility import (  # noqa: F401
     dedup_statements,

@@ -188,74 +188,73 @@ def cohort_chain(dd: DataFrame, worklist: DataFrame, cut_lineage=None) -> DataFr
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def assign_cohorts_by_key(dd: DataFrame) -> DataFrame:
-    """The waterfall with the source batch's key-only single-annual step.
+def _ladder(stages):
+    expr = None
+    for tag, m, n, t in stages:
+        cond = F.lit(m) * F.least(F.lit(n), F.col(_count_col(m))) == F.lit(t)
+        expr = F.when(cond, F.lit(tag)) if expr is None else expr.when(cond, F.lit(tag))
+    return expr
+
+
+def _kept(stages):
+    return reduce(
+        lambda a, b: a | b,
+        [(F.col("CF_Type") == tag) & (F.col("statementmonths") == m) & (F.col("_rn_kind") <= n) for tag, m, n, _ in stages],
+    )
 
-    Equal to ``cohort_chain`` row for row, without its stage-by-stage work
-    list: cohorts before the single-annual one are decided by per-entity
-    counts; that cohort takes, among entities still open, every row whose key
-    text is the key of a lone 12-month statement of *any* open entity (so a
-    colliding key carries another entity along); later cohorts are decided
-    by counts again.  The cross-entity step is a window over the key text,
-    so the plan is a straight line of windows over entity / key partitions
-    (every group small: an entity's deduplicated statements, or one key).
-    """
-    split = next(i for i, (tag, *_rest) in enumerate(WATERFALL) if tag in SINGLE_STATEMENT)
-    single_tag, single_m, _, single_t = WATERFALL[split]
-    before, after = WATERFALL[:split], WATERFALL[split + 1 :]
-    kinds = sorted({m for _, m, _, _ in WATERFALL})
 
-    def ladder(stages):
-        expr = None
-        for tag, m, n, t in stages:
-            cond = F.lit(m) * F.least(F.lit(n), F.col(_count_col(m))) == F.lit(t)
-            expr = F.when(cond, F.lit(tag)) if expr is None else expr.when(cond, F.lit(tag))
-        return expr
+_SPLIT = next(i for i, (tag, *_rest) in enumerate(WATERFALL) if tag in SINGLE_STATEMENT)
+_BEFORE, _SINGLE, _AFTER = WATERFALL[:_SPLIT], WATERFALL[_SPLIT], WATERFALL[_SPLIT + 1 :]
+_KINDS = sorted({m for _, m, _, _ in WATERFALL})
 
-    def kept(stages):
-        return reduce(
-            lambda a, b: a | b,
-            [(F.col("CF_Type") == tag) & (F.col("statementmonths") == m) & (F.col("_rn_kind") <= n) for tag, m, n, _ in stages],
-        )
 
+def entity_stage(dd: DataFrame) -> DataFrame:
+    """Rows hashed by entity, with the entity's counts, the ranks, the cohorts
+    decided before the single-statement one (``_early``) and whether the row
+    is the lone single-kind row of its key (``_lone``)."""
     w_entity = Window.partitionBy("entityid")
-    # entity stage: counts and the rank within a statement kind share one
-    # (entity; months, newest first) order; the residual rank needs its own
+    # counts and the rank within a statement kind share one (entity; months,
+    # newest first) order; the residual rank needs its own
     ties = [F.col(c) for c in KEY_TIES if c in dd.columns and c != "statementmonths"]
     by_kind = Window.partitionBy("entityid").orderBy(F.col("statementmonths"), *newest_first(), *ties)
-    staged = dd.repartition("entityid").withColumn("_rn_e", F.row_number().over(by_kind))
-    cols = {_count_col(m): F.sum((F.col("statementmonths") == m).cast("int")).over(w_entity) for m in kinds}
+    staged = dd.repartition("entityid").distinct().withColumn("_rn_e", F.row_number().over(by_kind))
+    cols = {_count_col(m): F.sum((F.col("statementmonths") == m).cast("int")).over(w_entity) for m in _KINDS}
     cols["_start"] = F.min("_rn_e").over(Window.partitionBy("entityid", "statementmonths"))
     staged = staged.withColumns(cols).withColumn("_rn_kind", F.col("_rn_e") - F.col("_start") + 1)
     staged = staged.withColumn("_rn_all", F.row_number().over(Window.partitionBy("entityid").orderBy(*key_order(dd))))
-    staged = staged.withColumn("_early", ladder(before))
-    # key stage: both windows below share one (key, entity) order
-    staged = staged.repartition("pkid_").withColumn(
-        "_same_key_single",
-        F.sum((F.col("statementmonths") == single_m).cast("int")).over(Window.partitionBy("pkid_", "entityid")),
-    )
-    lone = (
-        F.col("_early").isNull()
-        & (F.col("statementmonths") == single_m)
-        & (F.lit(single_m) * F.col("_same_key_single") == F.lit(single_t))
-    )
-    # key text held by a lone single-kind statement of any open entity
-    staged = staged.withColumn("_lone", lone.cast("int"))
-    hit = F.max("_lone").over(Window.partitionBy("pkid_")) == 1
-    staged = staged.withColumn("_hit", F.col("_early").isNull() & hit)
-    staged = staged.repartition("entityid").withColumn(
-        "_single", F.max(F.col("_hit").cast("int")).over(w_entity) == 1
-    )
+    staged = staged.withColumn("_early", _ladder(_BEFORE))
+    tag, m, _, t = _SINGLE
+    same_key = F.sum((F.col("statementmonths") == m).cast("int")).over(Window.partitionBy("entityid", "pkid_"))
+    lone = F.col("_early").isNull() & (F.col("statementmonths") == m) & (F.lit(m) * F.col("_same_key") == F.lit(t))
+    return staged.withColumn("_same_key", same_key).withColumn("_lone", lone.cast("int"))
+
+
+def place_by_key(staged: DataFrame, cross_keys: DataFrame | None = None) -> DataFrame:
+    """Tags and ranks from ``entity_stage`` rows, on their own partitioning.
+
+    A row is hit when its key holds a lone single-kind row of an open entity:
+    of its own entity (a window), or of another one, whose keys come in
+    ``cross_keys`` (a small table ``pkid_``, broadcast by the caller)."""
+    own = F.max("_lone").over(Window.partitionBy("entityid", "pkid_")) == 1
+    if cross_keys is None:
+        staged = staged.withColumn("_own", own).withColumn("_cross", F.lit(False))
+    else:
+        keys = cross_keys.select(F.col("pkid_").alias("_ck"))
+        staged = staged.withColumn("_own", own).join(keys, F.col("pkid_") == F.col("_ck"), "left")
+        staged = staged.withColumn("_cross", F.col("_ck").isNotNull()).drop("_ck")
+    staged = staged.withColumn("_hit", F.col("_early").isNull() & (F.col("_own") | F.col("_cross")))
+    staged = staged.withColumn("_single", F.max(F.col("_hit").cast("int")).over(Window.partitionBy("entityid")) == 1)
+    single_tag = _SINGLE[0]
     tag = (
         F.when(F.col("_early").isNotNull(), F.col("_early"))
         .when(F.col("_single"), F.lit(single_tag))
-        .otherwise(ladder(after).otherwise(F.lit(RESIDUAL)))
+        .otherwise(_ladder(_AFTER).otherwise(F.lit(RESIDUAL)))
     )
     tagged = staged.withColumn("CF_Type", tag)
     keep = (
-        (F.col("_early").isNotNull() & kept(before))
+        (F.col("_early").isNotNull() & _kept(_BEFORE))
         | ((F.col("CF_Type") == single_tag) & F.col("_hit"))
-        | (F.col("_early").isNull() & ~F.col("_single") & (kept(after) | (F.col("CF_Type") == RESIDUAL)))
+        | (F.col("_early").isNull() & ~F.col("_single") & (_kept(_AFTER) | (F.col("CF_Type") == RESIDUAL)))
     )
     rank = (
         F.when(F.col("CF_Type") == single_tag, F.lit(1))
@@ -263,7 +262,25 @@ def assign_cohorts_by_key(dd: DataFrame) -> DataFrame:
         .otherwise(F.col("_rn_kind"))
     )
     out = tagged.filter(keep).withColumn("ranked_order", rank.cast("bigint"))
-    drop = [_count_col(m) for m in kinds] + [
-        "_rn_e", "_start", "_rn_kind", "_rn_all", "_same_key_single", "_lone", "_early", "_hit", "_single"
-    ]
-    return out.drop(*drop)
+    return out.drop(
+        *[_count_col(m) for m in _KINDS],
+        "_rn_e", "_start", "_rn_kind", "_rn_all", "_same_key", "_lone", "_early", "_own", "_cross", "_hit", "_single",
+    )
+
+
+def assign_cohorts_by_key(dd: DataFrame) -> DataFrame:
+    """The waterfall with the source batch's key-only single-annual step.
+
+    Equal to ``cohort_chain`` row for row, without its stage-by-stage work
+    list: cohorts before the single-annual one are decided by per-entity
+    counts; that cohort takes, among entities still open, every row whose key
+    text is the key of a lone 12-month statement of *any* open entity (so a
+    colliding key carries another entity along); later cohorts are decided
+    by counts again.  This form hashes all rows by key text in between; the
+    all-snapshots plan corrects only the keys that collide instead.
+    """
+    staged = entity_stage(dd).repartition("pkid_")
+    cross = F.max("_lone").over(Window.partitionBy("pkid_")) == 1
+    staged = staged.withColumn("_crossed", cross).repartition("entityid")
+    staged = staged.withColumn("_lone", F.when(F.col("_crossed"), F.lit(1)).otherwise(F.col("_lone"))).drop("_crossed")
+    return place_by_key(staged)

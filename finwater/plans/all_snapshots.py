@@ -8,9 +8,10 @@ metric rows weighs S x K.  Here that product is not materialised: the slice
 rows are joined to the history once on the key, the distinct snapshot dates
 of each slice row are counted with a window on the join's partitioning, the
 metric rows are de-duplicated there, and the count becomes a weight of the
-sums.  The selection uses the key-set dedup and the key-only single-annual
-step (``assign_cohorts_by_key``), so key collisions behave as in the source;
-``literal_chain=True`` runs the stage-by-stage work-list chain instead.
+sums.  The selection has the key-set dedup and the key-only single-annual
+step, so key collisions behave as in the source; only keys that do collide
+leave the per-entity path.  ``literal_chain=True`` runs the stage-by-stage
+work-list chain instead.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finwater.functions import key_concat
-from finwater.operators.cohorts import assign_cohorts_by_key, cohort_chain
-from finwater.operators.eligibility import dedup_statements_by_key_set, eligible
+from finwater.operators.cohorts import assign_cohorts_by_key, cohort_chain, entity_stage, place_by_key
+from finwater.operators.eligibility import DEDUP_KEYS, dedup_statements_by_key_set, eligible
 from finwater.operators.metrics import metric_columns
 from finwater.operators.periods import assign_period
 from finwater.operators.snapshot import latest_snapshot
@@ -38,18 +39,69 @@ def reliable_cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def select_statements_all(stmts: DataFrame, literal_chain: bool = False, as_of=None) -> DataFrame:
+#: Key texts (and their groups and entities) up to which corrections are
+#: broadcast; about 100 bytes each.
+MAX_COLLIDING = 200_000
+
+
+def _small(df: DataFrame, limit: int) -> DataFrame | None:
+    """``df`` stored and marked for broadcast, if it has at most ``limit`` rows."""
+    stored = reliable_cut(df)
+    return F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else None
+
+
+def colliding_rows(elig: DataFrame, limit: int = MAX_COLLIDING) -> tuple[DataFrame, DataFrame] | None:
+    """(keys, entities): the key texts that several (entity, date, type)
+    groups hold and that are the greatest of one of them, and the entities of
+    their rows -- the only rows for which the key-set forms differ from the
+    per-group ones.  None if any set on the way is too large to broadcast."""
+    group = F.struct(*DEDUP_KEYS)
+    shared = elig.groupBy("pkid_").agg(F.min(group).alias("a"), F.max(group).alias("b")).filter("a != b").select("pkid_")
+    if (keys := _small(shared, limit)) is None:
+        return None
+    groups = _small(elig.join(keys, "pkid_", "left_semi").select(*DEDUP_KEYS).distinct(), limit)
+    if groups is None:
+        return None
+    on = [elig[c].eqNullSafe(groups[c]) for c in DEDUP_KEYS]
+    greatest = elig.join(groups, on, "left_semi").groupBy(*DEDUP_KEYS).agg(F.max("pkid_").alias("pkid_"))
+    passing = _small(greatest.join(keys, "pkid_", "left_semi").select("pkid_").distinct(), limit)
+    if passing is None:
+        return None
+    entities = _small(elig.join(passing, "pkid_", "left_semi").select("entityid").distinct(), limit)
+    return None if entities is None else (passing, entities)
+
+
+def _dedup_with(elig: DataFrame, passing: DataFrame) -> DataFrame:
+    """Key-set dedup, given the shared keys that pass it (rows may repeat)."""
+    newest_key = Window.partitionBy(*DEDUP_KEYS).orderBy(F.col("pkid_").desc())
+    top = elig.withColumn("_rank", F.rank().over(newest_key)).filter("_rank = 1").drop("_rank")
+    return top.join(passing, "pkid_", "left_anti").unionByName(elig.join(passing, "pkid_", "left_semi"))
+
+
+def select_statements_all(stmts: DataFrame, literal_chain: bool = False, as_of=None, limit: int = MAX_COLLIDING) -> DataFrame:
     """Newest snapshot -> eligible -> key-set dedup -> waterfall.
 
-    ``literal_chain`` runs the work-list chain stage by stage (lineage cut
-    by checkpoints); the default computes the same rows in one job.
+    Key texts held by one group only cannot reach beyond it, so they are
+    deduplicated and placed per group and entity (two exchanges); the few that
+    collide are found first, and what they change is broadcast.  With more
+    than ``limit`` of them all rows are hashed by key text instead.
+    ``literal_chain`` runs the work-list chain stage by stage (lineage cut by
+    checkpoints).
     """
     latest = latest_snapshot(stmts.select(*KEY_COLUMNS), as_of)
     elig = eligible(latest)
-    dd = dedup_statements_by_key_set(elig).distinct()
     if literal_chain:
+        dd = dedup_statements_by_key_set(elig).distinct()
         return cohort_chain(reliable_cut(dd), elig, cut_lineage=reliable_cut)
-    return assign_cohorts_by_key(dd)
+    found = colliding_rows(elig, limit)
+    if found is None:
+        return assign_cohorts_by_key(dedup_statements_by_key_set(elig))
+    passing, entities = found
+    # lone single-kind keys among the colliding ones, from their entities alone
+    theirs = entity_stage(_dedup_with(elig.join(entities, "entityid", "left_semi"), passing))
+    lone = theirs.filter("_lone = 1").join(passing, "pkid_", "left_semi").select("pkid_").distinct()
+    cross = F.broadcast(reliable_cut(lone))  # a subset of ``passing``
+    return place_by_key(entity_stage(_dedup_with(elig, passing)), cross)
 
 
 def statement_snapshots(stmts: DataFrame, periods: DataFrame) -> DataFrame:
@@ -60,19 +112,28 @@ def statement_snapshots(stmts: DataFrame, periods: DataFrame) -> DataFrame:
     return slices.join(hist, slices["pkid_"] == hist["_key"], "left").select(*SLICE_KEYS, "AOD").distinct()
 
 
-def slice_metrics_all(stmts: DataFrame, periods: DataFrame) -> DataFrame:
+#: Slice keys up to which the history is filtered by a broadcast of them.
+MAX_FILTER_KEYS = 1_000_000
+
+
+def slice_metrics_all(stmts: DataFrame, periods: DataFrame, filter_keys: int = MAX_FILTER_KEYS) -> DataFrame:
     """Per slice row: its distinct metric rows, weighted by the number of
     snapshot dates of its key.
 
-    One join of the (small) slice rows with the history on the key text; the
-    distinct snapshot dates are counted with a ``dense_rank`` window and the
-    metric rows de-duplicated after the join, both on the join's own key
+    The slice rows are stored once.  Every slice key is in the history (its
+    own row is), so the lookup is an inner join on the key text; up to
+    ``filter_keys`` keys the history is cut to them before it is shuffled.
+    The distinct snapshot dates are counted with a ``dense_rank`` window and
+    the metric rows de-duplicated after the join, both on the join's own key
     partitioning (no further exchange).  Groups are one statement's rows
     across snapshots, bounded by the number of snapshots.
     """
     hist = stmts.select(key_concat("entityid", "statementid").alias("_key"), F.col("asofdate").alias("_aod"), *MEASURES)
-    slices = periods.select(*SLICE_KEYS).distinct()
-    joined = slices.join(hist, slices["pkid_"] == hist["_key"], "left")
+    slices = reliable_cut(periods.select(*SLICE_KEYS).distinct())
+    keys = slices.select(F.col("pkid_").alias("_key"))
+    if keys.count() <= filter_keys:
+        hist = hist.join(F.broadcast(keys), "_key", "left_semi")
+    joined = slices.join(hist, slices["pkid_"] == hist["_key"])
     lines = joined.select(*SLICE_KEYS, "_aod", *metric_columns())
     per_slice = Window.partitionBy(*SLICE_KEYS)
     lines = lines.withColumn("_aod_rank", F.dense_rank().over(per_slice.orderBy("_aod")))

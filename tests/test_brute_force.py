@@ -112,3 +112,6 @@ def test_selection_matches_brute_force(spark, stmts):
     assert ladder == brute(rows, by_key=False)
     by_key = {tuple(r) for r in select_statements_all(df).select(*cols).collect()}
     assert by_key == brute(rows, by_key=True)
+    # too many collisions to broadcast: all rows by key text
+    whole = {tuple(r) for r in select_statements_all(df, limit=0).select(*cols).collect()}
+    assert whole == by_key

@@ -103,3 +103,21 @@ def test_bridge_join_is_free_of_the_hot_entity(spark):
     # the aggregate combines the copies before its exchange, which hashes all columns
     parts = st.distinct().repartition(1).count()
     assert parts == 12 + 1200
+
+
+def test_all_snapshots_plan(spark):
+    """Few exchanges, and the history cut to the chosen keys before its own."""
+    st = fixture_statements(spark, SF)
+    as_of = snapshot_dates(spark, fixture_history_path(spark, SF))[-1]
+    from finwater.operators.periods import assign_period
+    from finwater.plans.all_snapshots import select_statements_all
+
+    selection = plan_of(assign_period(select_statements_all(st, as_of=as_of)))
+    hashed = lambda plan: [e for e in exchanges(plan) if e[0] == "hashpartitioning"]
+    assert len(hashed(selection)) == 2, hashed(selection)  # dedup group, entity
+    report = plan_of(client_financials(st, as_of=as_of, snapshots="all"))
+    assert len(hashed(report)) <= 3, hashed(report)  # slices, history, totals
+    # the history is cut by a broadcast of the chosen keys between its scan and its exchange
+    after = report[: report.index("FileScan parquet")]
+    assert "LeftSemi" in after[after.rindex("Exchange hashpartitioning") :]
+    assert len(hashed(selection)) + len(hashed(report)) + 1 <= 6  # and one to find colliding keys
