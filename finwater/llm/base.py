@@ -10,14 +10,28 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Texts are handled in groups of about this many bytes inside a task, so
 #: that a task's memory does not depend on the rows of an Arrow batch.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 19
+
+
+#: Bytes of an Arrow batch between the JVM and Python, where the session has
+#: Spark's default (64 MB): rows hold whole texts of any length, and both sides
+#: keep several batches per task.
+ARROW_BYTES = 4 << 20
+_ARROW_CONF, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, unless the session was given a bound."""
+    if spark.conf.get(_ARROW_CONF).rstrip("bB") == str(_ARROW_DEFAULT):
+        spark.conf.set(_ARROW_CONF, str(ARROW_BYTES))
 
 
 def col(name: str):
@@ -47,6 +61,7 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: list[T.Stru
     """``work(list of UTF-8 texts) -> list of column arrays``, run over groups
     of rows inside Arrow batches; the ``keep`` columns pass through by
     position, so that input names may clash with result names."""
+    bound_batches(df.sparkSession)
     names = [f"_k{i}" for i in range(len(keep))]
     source = df.select(*[col(k).alias(n) for k, n in zip(keep, names)])
     if text_col in keep:
@@ -58,9 +73,10 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: list[T.Stru
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(at))
-            for a, b in groups(map(len, texts)):
-                made = work(texts[a:b])
+            column = batch.column(at).cast(pa.binary())
+            # bytes objects are made group by group, not for the whole batch
+            for a, b in groups(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+                made = work(texts_of(column.slice(a, b - a)))
                 kept = [batch.column(i).slice(a, b - a) for i in range(len(names))]
                 arrays = [c if c.type == f.type else c.cast(f.type) for c, f in zip(kept, arrow)]
                 arrays += [pa.array(c, type=f.type) for c, f in zip(made, list(arrow)[len(names):])]
@@ -70,4 +86,4 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: list[T.Stru
     return done.select(*[col(n).alias(k) for n, k in zip(names, keep)], *[col(f.name) for f in fields])
 
 
-__all__ = ["GROUP_BYTES", "col", "groups", "map_texts", "texts_of"]
+__all__ = ["ARROW_BYTES", "GROUP_BYTES", "bound_batches", "col", "groups", "map_texts", "texts_of"]

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from .base import col, map_texts
 
 #: Matches remembered per Python worker before the memory is started anew.
-PIECE_CACHE = 400_000
+PIECE_CACHE = 100_000
 
 
 def byte_chars() -> list[str]:
@@ -68,11 +68,10 @@ class ByteBPE:
             if t[:i] in ranks and t[i:] in ranks
         ]
         vocab = {name[t]: r for t, r in ranks.items()}
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces = Tokenizer(models.BPE(vocab=vocab, merges=merges, ignore_merges=True))
-        self.pieces.pre_tokenizer = level
-        self.whole = Tokenizer(models.BPE(vocab=vocab, merges=merges, ignore_merges=True))
-        self.whole.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), level])
+        self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.cutting = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), self.level])
+        self.model = Tokenizer(models.BPE(vocab=vocab, merges=merges, ignore_merges=True, cache_capacity=0))
+        self.model.pre_tokenizer = self.level  # matches are cut beforehand
         self.matches = regex.compile(pattern).findall
         self.cache = cache
         self._forget()
@@ -94,7 +93,7 @@ class ByteBPE:
         self.at = np.zeros(1, dtype=np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
-        done = self.pieces.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        done = self.model.encode(pieces, is_pretokenized=True, add_special_tokens=False)
         lengths = np.bincount(np.array(done.word_ids, dtype=np.int64), minlength=len(pieces))
         self.ids = np.concatenate([self.ids, np.array(done.ids, dtype=np.uint32)])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lengths)])
@@ -118,7 +117,9 @@ class ByteBPE:
     def encode_offsets(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids and character offsets of one text; a token that holds a part of
         a character spans that character."""
-        done = self.whole.encode(text, add_special_tokens=False)
+        self.model.pre_tokenizer = self.cutting
+        done = self.model.encode(text, add_special_tokens=False)
+        self.model.pre_tokenizer = self.level
         return done.ids, done.offsets
 
     def decode(self, ids: np.ndarray) -> bytes:

@@ -45,7 +45,7 @@ SIZES = (2, 3, 4)
 #: Fixed-point steps per unit of a subword's score.
 SCALE = 1 << 16
 #: Start positions hashed at a time.
-WINDOW = 1 << 19
+WINDOW = 1 << 17
 
 _LETTER = regex.compile(r"\p{L}").search
 # ASCII other than letters counts as space
