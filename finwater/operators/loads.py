@@ -103,6 +103,16 @@ def map_rep_columns(validated: DataFrame, name_width: int = TARGET_NAME_WIDTH) -
     )
 
 
+def range_sorted(df: DataFrame, order_cols: list[str]) -> DataFrame:
+    """Rows in ``order_cols`` order with their partition and position in it
+    (one range exchange and a sort per partition)."""
+    # a unique last sort key: rows equal on ``order_cols`` (a file delivered
+    # twice) still spread over range partitions instead of one
+    ordered = df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order_cols, "_tie")
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.withColumns({"_pid": F.spark_partition_id(), "_pos": position}).drop("_tie")
+
+
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "ID") -> DataFrame:
     """Dense 1..n IDs in ``order_cols`` order without a single-partition window.
 
@@ -115,12 +125,7 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "ID") -> DataF
     """
     spark = df.sparkSession
     path = shared_scratch(spark, "sorted_ids", unique=True)
-    # a unique last sort key: rows equal on ``order_cols`` (a file delivered
-    # twice) still spread over range partitions instead of one
-    ordered = df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order_cols, "_tie")
-    ordered.withColumns({"_pid": F.spark_partition_id(), "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}).drop(
-        "_tie"
-    ).write.parquet(path)
+    range_sorted(df, order_cols).write.parquet(path)
     stored = spark.read.parquet(path)
     counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.max("_pos").alias("last")).orderBy("_pid").collect()
     if any(r["n"] != r["last"] + 1 for r in counts):

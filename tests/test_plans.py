@@ -121,3 +121,14 @@ def test_all_snapshots_plan(spark):
     after = report[: report.index("FileScan parquet")]
     assert "LeftSemi" in after[after.rindex("Exchange hashpartitioning") :]
     assert len(hashed(selection)) + len(hashed(report)) + 1 <= 6  # and one to find colliding keys
+
+
+def test_load_plan_has_one_range_exchange(spark):
+    from finwater.operators.loads import good_lines, map_rep_columns, range_sorted, validate_fields
+    from finwater.plans.rep_load import ID_ORDER
+    from finwater.sources.csv_drop import read_drop_text, sales_target_drop
+
+    rows = good_lines(validate_fields(read_drop_text(spark, sales_target_drop(spark, SF))))
+    plan = plan_of(range_sorted(map_rep_columns(rows), ID_ORDER))
+    assert plan.count("FileScan csv") == 1 and [e[0] for e in exchanges(plan)] == ["rangepartitioning"]
+    assert "BatchEvalPython" not in plan and "MapInArrow" not in plan
