@@ -39,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from finwater.session import shared_scratch
 
-from .base import bound_batches, col
+from .base import col, prepare
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
@@ -176,6 +176,7 @@ def mix(
     ``target``, ``taken`` and ``place`` (where the row lies and what its shard
     takes), in that order and by position: kept names may clash."""
     spark = df.sparkSession
+    prepare(spark)
     keep = df.columns if keep is None else keep
     path = shared_scratch(spark, "mix_sizes", unique=True)
     placed = with_place(df, id_col, text_col, source_col)
@@ -242,7 +243,6 @@ def materialise(
     for every whole pass, and one with the taken passages (each as it stands
     in the text, parted by a line end) for the rest. ``length_col`` is set to
     the text's characters in rows whose text was cut."""
-    bound_batches(df.sparkSession)
     mixed = mix(df, id_col=id_col, text_col=text_col, source_col=source_col, block_words=block_words, shard_docs=shard_docs)
     names = [f"_k{i}" for i in range(len(df.columns))]
     plain = mixed.toDF(*names, "size", "source_size", "target", "taken", "place").filter("taken > 0").select(*names, "size", "place")

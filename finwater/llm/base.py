@@ -7,7 +7,10 @@ lower-cases A-Z only.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,10 +31,27 @@ ARROW_BYTES = 4 << 20
 _ARROW_CONF, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Bounds Arrow batches by bytes, unless the session was given a bound."""
+_SHIPPED: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """What operators with Python in their tasks need from the session.
+
+    Arrow batches are bounded by bytes, unless the session was given a bound;
+    and the package goes to the executors (once per application, a zip of its
+    sources), whose workers otherwise import it only where it is installed.
+    """
     if spark.conf.get(_ARROW_CONF).rstrip("bB") == str(_ARROW_DEFAULT):
         spark.conf.set(_ARROW_CONF, str(ARROW_BYTES))
+    sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if sc.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="finwater-")) / "finwater.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
 
 
 def col(name: str):
@@ -61,7 +81,7 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: list[T.Stru
     """``work(list of UTF-8 texts) -> list of column arrays``, run over groups
     of rows inside Arrow batches; the ``keep`` columns pass through by
     position, so that input names may clash with result names."""
-    bound_batches(df.sparkSession)
+    prepare(df.sparkSession)
     names = [f"_k{i}" for i in range(len(keep))]
     source = df.select(*[col(k).alias(n) for k, n in zip(keep, names)])
     if text_col in keep:
@@ -86,4 +106,4 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, fields: list[T.Stru
     return done.select(*[col(n).alias(k) for n, k in zip(names, keep)], *[col(f.name) for f in fields])
 
 
-__all__ = ["ARROW_BYTES", "GROUP_BYTES", "bound_batches", "col", "groups", "map_texts", "texts_of"]
+__all__ = ["ARROW_BYTES", "GROUP_BYTES", "col", "groups", "map_texts", "prepare", "texts_of"]

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .base import col, map_texts
+from .base import col, map_texts, prepare
 
 #: Matches remembered per Python worker before the memory is started anew.
 PIECE_CACHE = 100_000
@@ -195,6 +195,7 @@ def encode(
 def decode(df: DataFrame, ranks_path: str, pattern: str, *, keep: list[str], ids_col: str = "ids") -> DataFrame:
     """The ``keep`` columns, the ``decoded`` bytes of each row's ids and their
     ``text`` (bytes that are no UTF-8 become U+FFFD); null ids give both null."""
+    prepare(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     names = [f"_k{i}" for i in range(len(keep))]
     source = df.select(*[col(k).alias(n) for k, n in zip(keep, names)], col(ids_col).alias("_ids"))

@@ -53,7 +53,7 @@ from pyspark.sql import types as T
 
 from finwater.session import shared_scratch
 
-from .base import bound_batches, col, texts_of
+from .base import col, prepare, texts_of
 
 ORDER, K = 2, 5
 #: Tokens of a chunk, and chunks per bucket: both bound a task's memory.
@@ -478,7 +478,7 @@ def write_chunks(df: DataFrame, path: str, *, id_col: str, text_col: str, chunk_
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    bound_batches(df.sparkSession)
+    prepare(df.sparkSession)
     arrow = to_arrow_schema(schema)
     rows = df.select(col(id_col).alias("id"), held_out(id_col).alias("held"), col(text_col).alias("text"))
     rows.mapInArrow(read, schema).write.option("compression", "none").parquet(path)

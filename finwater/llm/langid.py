@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from .base import col, map_texts
+from .base import col, map_texts, prepare
 
 UND = "und"
 #: Bounds of the sample that the model is fitted on.
@@ -136,6 +136,7 @@ def passages(text: bytes, seed: int) -> list[bytes]:
 def sample(labelled: DataFrame, *, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, int, bytes]]:
     """(language, document key, passage), at most ``DOCS_PER_LANG`` documents
     of each language, drawn by hash, in a fixed order."""
+    prepare(labelled.sparkSession)
     rows = labelled.select(
         col(lang_col).cast("string").alias("lang"), F.xxhash64(col(id_col), col(text_col)).alias("key"), col(text_col).alias("text")
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())

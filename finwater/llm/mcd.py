@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from finwater.session import ensure_checkpoint_dir, shared_scratch
 
-from .base import col, map_texts
+from .base import col, map_texts, prepare
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SYMBOLS = b"#*$%&|<>"
@@ -174,6 +174,7 @@ def fit(vectors: DataFrame, *, support: float = SUPPORT, steps: int = STEPS, min
     mean, the precision and the distance's scale: (g1, g2, rows, mean,
     precision, scale). Groups of fewer than ``min_rows`` rows are left out."""
     ensure_checkpoint_dir(vectors.sparkSession)
+    prepare(vectors.sparkSession)
     # start: medians, and variances from the median absolute deviations. Exact
     # percentiles keep a count per distinct fixed-point value, a bounded number
     middle = vectors.groupBy("g1", "g2").agg(

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from finwater.session import ensure_checkpoint_dir, shared_scratch
 
-from .base import col
+from .base import col, prepare
 from .components import components
 
 #: Passes, bits of a pass's key, neighbours compared after each vector.
@@ -127,19 +127,33 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _compare_sorted(keys: DataFrame, window: int, threshold: float) -> DataFrame:
-    """Links inside sorted partitions, and each partition's border rows."""
+    """Links inside sorted partitions, and each partition's border rows. Of the
+    pairs found, a link is kept if it joins two sets not yet joined in its
+    partition: what they connect stays the same, in at most a link a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         block, cls, vecs = [], [], []  # the last rows seen, a window of them
-        seen = 0
+        seen, parent = 0, {}
+
+        def root(k: str) -> str:
+            while (up := parent.get(k, k)) != k:
+                parent[k] = parent.get(up, up)
+                k = up
+            return k
+
+        def joins(pair: tuple[str, str]) -> bool:
+            a, b = map(root, pair)
+            parent[max(a, b)] = min(a, b)
+            return a != b
+
         for batch in batches:
             b, c, v = (batch.column(i).to_pylist() for i in range(3))
             out = [(_HEAD, k, None, part, seen + i, g, x) for i, (g, k, x) in enumerate(zip(b, c, v)) if seen + i < window]
             seen += len(b)
             held = len(block)
             block, cls, vecs = block + b, cls + c, vecs + v
-            out += [(_LINK, min(p), max(p), None, None, None, None) for p in _near(block, cls, vecs, held, window, threshold)]
+            out += [(_LINK, *p, None, None, None, None) for p in _near(block, cls, vecs, held, window, threshold) if joins(p)]
             block, cls, vecs = block[-window:], cls[-window:], vecs[-window:]
             yield _rows(out)
         n = len(block)
@@ -219,6 +233,7 @@ def near_duplicates(
     """(id, ``n_links``, ``component_id``, ``kept``), one row per input row."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    prepare(spark)
     rows = df.select(col(id_col).alias("id"), col(label_col).alias("label"), col(vec_col).cast("array<double>").alias("vec"))
     rows = rows.withColumn("ok", _usable("vec", "label", "id"))
     text = F.concat_ws("|", F.col("label").cast("string"), F.concat_ws(",", F.col("vec").cast("array<string>")))

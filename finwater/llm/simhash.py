@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from finwater.session import ensure_checkpoint_dir, shared_scratch
 
-from .base import col, map_texts
+from .base import col, map_texts, prepare
 from .components import components
 
 SEED = 42
@@ -122,6 +122,7 @@ def links(fps: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
     what all pairs within ``radius`` bits connect."""
     spark = fps.sparkSession
     ensure_checkpoint_dir(spark)
+    prepare(spark)
     level_masks = [0]
     table = fps.select("fp").withColumn("mask", F.lit(0).cast("long"))
     found, level = None, 0

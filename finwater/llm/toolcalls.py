@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from finwater.session import ensure_checkpoint_dir, shared_scratch
 
-from .base import bound_batches
+from .base import prepare
 
 #: Tools whose schemas are sent to the tasks.
 MAX_TOOLS = 10_000
@@ -217,7 +217,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
 
 
 def _serialised(flat: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    bound_batches(flat.sparkSession)
+    prepare(flat.sparkSession)
     kept = ["conv_id", "call_id", "level", "position", "status", "n_calls", "n_results", "missing"]
     out = T.StructType(
         [flat.schema[k] for k in kept]

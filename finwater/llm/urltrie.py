@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import col
+from .base import col, prepare
 
 #: Entries up to which the trie is broadcast (about 300 bytes each in a worker).
 MAX_ENTRIES = 200_000
@@ -129,6 +129,7 @@ def judge(
 
 
 def _by_trie(source: DataFrame, entries: dict, names: list[str]) -> DataFrame:
+    prepare(source.sparkSession)
     trie = source.sparkSession.sparkContext.broadcast(build_trie(entries))
     schema = T.StructType([*source.schema.fields, T.StructField("_rule", T.StringType()), T.StructField("_verdict", T.StringType())])
 
