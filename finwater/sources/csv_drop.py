@@ -105,7 +105,8 @@ def _read_lines(spark: SparkSession, path: str, fmt: DropFormat, check_header: b
     )
     first = fmt.skip_header_rows
     out_of = first + int(fmt.header) + fmt.skip_rows
-    wanted = fmt.sep.join(CSV_FIELDS)
+    wanted = fmt.sep.join(CSV_FIELDS) if fmt.header and check_header else None
+    charset = fmt.charset  # plain values only: tasks need not import this module
 
     def skip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, seen, partial = None, 0, False
@@ -117,7 +118,7 @@ def _read_lines(spark: SparkSession, path: str, fmt: DropFormat, check_header: b
                         raise ValueError(f"{file[0]}: the lines to skip reach beyond the first block")
                     file, seen, partial = (name, start), 0, start == 0 and length < size
                 if start == 0 and seen < out_of:
-                    if fmt.header and check_header and seen == first and line.decode(fmt.charset) != wanted:
+                    if wanted is not None and seen == first and line.decode(charset) != wanted:
                         raise ValueError(f"{name}: header {line!r}")
                     seen += 1
                 elif line:
