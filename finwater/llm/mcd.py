@@ -42,7 +42,7 @@ DIM = len(COUNTS)
 #: Fixed-point steps per unit of a transformed statistic.
 SCALE = 1024
 #: Least standard deviation of each transformed statistic, in units.
-FLOOR = [0.25, 0.05, 0.25, 0.5, 0.5]
+FLOOR = [0.25, 0.05, 0.5, 0.5, 0.5]
 #: Median of the chi-squared distribution with five degrees of freedom.
 CHI2_MEDIAN = 4.35146
 SUPPORT, STEPS, MIN_ROWS = 0.75, 4, 30
