@@ -147,6 +147,25 @@ FROM ok
 """
 
 
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.vec_id AS i, b.vec_id AS j FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(vec_id, root) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT p.j, r.root FROM reach r JOIN pairs p ON p.i = r.vec_id WHERE r.root < p.j),
+least AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+links AS (SELECT i, count(*) AS n FROM pairs GROUP BY i)
+SELECT l.vec_id, coalesce(n, 0) AS n_links, component_id, l.vec_id = component_id AS kept
+FROM least l LEFT JOIN links ON l.vec_id = links.i
+"""
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -170,4 +189,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_revisit": OP5_SQL, "op8_url_filter": OP8_SQL}
+    return {"op5_warc_revisit": OP5_SQL, "op8_url_filter": OP8_SQL, "op10_projection_dedup": OP10_SQL}

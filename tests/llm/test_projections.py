@@ -3,9 +3,10 @@
 import numpy as np
 from pyspark.sql import types as T
 
-from finwater.llm import projections, queries
+from finwater.llm import projections
 
 SF = "/root/testdata/sf0.1"
+NOISE = 0.014  # per part of a unit vector of 64: copies at about 0.985 of each other
 
 
 def usable(label, vec):
@@ -37,11 +38,21 @@ def brute(rows, threshold=0.98):
 
 
 def test_recall_on_the_table(spark):
+    """The table's vectors, every third one with two noisy copies whose cosines
+    lie on both sides of the threshold."""
+    rng = np.random.default_rng(3)
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    copies = [
+        (100_000 * k + i, (np.array(v) + NOISE * rng.standard_normal(len(v))).tolist(), label)
+        for k in (1, 2) for i, v, label in rows[::3] if v is not None
+    ]
+    rows += copies
     want = {r[0]: r for r in brute(rows)}
-    got = {r[0]: tuple(r) for r in queries.op10_projection_dedup(spark, SF).collect()}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r[0]: tuple(r) for r in projections.near_duplicates(df).collect()}
     assert set(got) == set(want)
     links = sum(r[1] for r in want.values())
+    assert links > 1000 and links < 6 * len(copies) / 2
     assert sum(min(got[i][1], want[i][1]) for i in want) >= 0.98 * links
     assert all(got[i][1] <= want[i][1] for i in want)  # no link below the threshold
     assert sum(got[i][2] == want[i][2] for i in want) >= 0.99 * len(want)
