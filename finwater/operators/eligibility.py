@@ -33,7 +33,7 @@ def distinct_entities(df: DataFrame) -> DataFrame:
     return eligible(df).select("entityid").distinct()
 
 
-def dedup_statements(df: DataFrame) -> DataFrame:
+def dedup_statements(df: DataFrame, distinct: bool = True) -> DataFrame:
     """The statements of the greatest key text per (entity, statement date, type).
 
     ``pkid_`` is compared as text, so statement 9 beats statement 10.  A key
@@ -41,11 +41,13 @@ def dedup_statements(df: DataFrame) -> DataFrame:
     other key columns or in measures).  ``rank() = 1`` plans a
     ``WindowGroupLimit``: every map task ships only the rows of its own
     greatest keys, so an entity holding a huge share of the rows arrives as a
-    few rows per task; the DISTINCT needs no further shuffle.
+    few rows per task; the DISTINCT needs no further shuffle.  It is left out
+    (``distinct=False``) where later steps rank densely and end in a DISTINCT
+    of their own.
     """
     newest_key = Window.partitionBy(*DEDUP_KEYS).orderBy(F.col("pkid_").desc())
     top = df.withColumn("_rank", F.rank().over(newest_key)).filter(F.col("_rank") == 1).drop("_rank")
-    return top.distinct()
+    return top.distinct() if distinct else top
 
 
 def dedup_statements_by_key_set(df: DataFrame) -> DataFrame:

@@ -44,7 +44,9 @@ def select_statements(
 ) -> DataFrame:
     """Newest snapshot -> eligible -> dedup -> cohort ladder (tagged rows).
 
-    ``measures=False`` reads and shuffles the key columns only.
+    ``measures=False`` reads and shuffles the key columns only.  Rows that are
+    alike in every column are ranked as one and may repeat; what is made of
+    them (cohort rows, statement lines) is distinct.
 
     ``window=(report_date, months)`` keeps only statements dated within that
     many months up to the report date before selection (the batch declares
@@ -53,7 +55,7 @@ def select_statements(
     latest = latest_snapshot(stmts.select(*KEY_COLUMNS, *(MEASURES if measures else [])), as_of)
     if window is not None:
         latest = trailing_window(latest, window[0], window[1])
-    return assign_cohorts(dedup_statements(eligible(latest)), include_residual=include_residual)
+    return assign_cohorts(dedup_statements(eligible(latest), distinct=False), include_residual=include_residual)
 
 
 def report_columns(totals: DataFrame) -> DataFrame:
