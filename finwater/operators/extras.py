@@ -35,7 +35,9 @@ def contiguous_coverage(dd: DataFrame) -> DataFrame:
     whether it covers 24 and 12 months.  Rows per entity are bounded after
     dedup, so the windows stay small.
     """
-    dd = dd.select("entityid", "statementmonths", "statementdatekey_", "pkid_").distinct()
+    # one exchange serves the DISTINCT and the windows
+    rows = dd.select("entityid", "statementmonths", "statementdatekey_", "pkid_")
+    dd = rows.repartition("entityid", "statementmonths").distinct()
     w = newest_first_window("entityid", "statementmonths")
     newer = F.lag("statementdatekey_").over(w)
     expected = F.last_day(F.add_months(newer, -F.col("statementmonths")))
