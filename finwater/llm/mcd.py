@@ -9,10 +9,13 @@ before the shuffle, so that a group of any size is fitted without gathering
 it; statistics are fixed-point integers, which makes sums exact and reruns
 equal. Only one row per group (mean and precision) goes through numpy.
 
-A row is rejected when its squared distance, scaled so that the group's median
-equals the chi-squared median, is above ``cutoff``. The spread of every
-statistic has a floor, so that a group in which a statistic never varies does
-not reject the first row that has some.
+The estimate is then reweighted: mean and covariance once more, of all rows
+within the chi-squared 97.5% point of the first estimate. Squared distances
+are scaled so that the group's median equals the chi-squared median, and a row
+is rejected when its own is above ``cutoff``, a chi-squared quantile. A
+statistic's spread counts as its floor where it is less, so that a group in
+which it never varies does not reject the first row that has some. In the
+concentration steps the floors are a ridge; they only order the rows.
 
 Cases: a null text has no words; rows that fail the base rules are rejected
 and take no part in the fit. Null languages and sources are groups of their
@@ -41,13 +44,16 @@ SPACES = " \t\n\x0b\x0c\r"
 DIM = len(COUNTS)
 #: Fixed-point steps per unit of a transformed statistic.
 SCALE = 1024
-#: Least standard deviation of each transformed statistic, in units.
+#: Least standard deviation of each transformed statistic, in units; and the
+#: share of its variance that is always added, which keeps matrices regular.
 FLOOR = [0.25, 0.05, 0.5, 0.5, 0.5]
-#: Median of the chi-squared distribution with five degrees of freedom.
-CHI2_MEDIAN = 4.35146
+RIDGE = 0.01
+#: Median and 97.5% point of the chi-squared distribution with five degrees of
+#: freedom.
+CHI2_MEDIAN, CHI2_INNER = 4.35146, 12.8325
 SUPPORT, STEPS, MIN_ROWS = 0.75, 4, 30
-#: Squared distance beyond which a row is rejected.
-CUTOFF = 100.0
+#: Squared distance beyond which a row is rejected: the 99.99% point.
+CUTOFF = 25.7448
 #: Groups up to which the fitted parameters are broadcast (about 250 bytes each).
 MAX_BROADCAST_GROUPS = 20_000
 
@@ -122,17 +128,23 @@ def _distance():
     return sum((d[i] * d[j] * F.col("precision")[k] for k, (i, j) in enumerate(pairs)), F.lit(0.0))
 
 
+def _bin():
+    """The distance on a log scale, as a whole number."""
+    return F.round(F.log2(F.greatest(_distance(), F.lit(0.0)) + 1) * 256).cast("long")
+
+
 PARAMS = T.StructType([
     T.StructField("g1", T.StringType()), T.StructField("g2", T.StringType()), T.StructField("rows", T.LongType()),
     T.StructField("mean", T.ArrayType(T.DoubleType())), T.StructField("precision", T.ArrayType(T.DoubleType())),
 ])
 
 
-def _params(sums: DataFrame) -> DataFrame:
-    """Group rows of (g1, g2, rows, n, s, q) to mean and precision."""
+def _params(sums: DataFrame, *, minimum: bool = False) -> DataFrame:
+    """Group rows of (g1, g2, rows, n, s, q) to mean and precision. The floors
+    are a ridge, or with ``minimum`` the least variance of each statistic."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tri = np.triu_indices(DIM)
+        tri, floor = np.triu_indices(DIM), (np.array(FLOOR) * SCALE) ** 2
         for f in frames:
             means, precisions = [], []
             for n, s, q in zip(f["n"], f["s"], f["q"]):
@@ -140,8 +152,8 @@ def _params(sums: DataFrame) -> DataFrame:
                 cov = np.zeros((DIM, DIM))
                 cov[tri] = np.array(q, dtype=float) / n
                 cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(mean, mean)
-                # ridge: the floor's variance is added to each statistic's own
-                inverse = np.linalg.inv(cov + np.diag((np.array(FLOOR) * SCALE) ** 2))
+                added = np.maximum(floor - np.diag(cov), RIDGE * floor) if minimum else floor
+                inverse = np.linalg.inv(cov + np.diag(added))
                 means.append(mean)
                 precisions.append((2 * inverse - np.diag(np.diag(inverse)))[tri])
             yield pd.DataFrame({"g1": f["g1"], "g2": f["g2"], "rows": f["rows"], "mean": means, "precision": precisions})
@@ -190,18 +202,35 @@ def fit(vectors: DataFrame, *, support: float = SUPPORT, steps: int = STEPS, min
         for i in range(DIM) for j in range(i, DIM)
     ]
     now = spread.select("g1", "g2", "rows", "mean", F.array(*precision).alias("precision")).checkpoint()
-    bin_of = F.round(F.log2(F.greatest(_distance(), F.lit(0.0)) + 1) * 256).cast("long")
     for _ in range(steps):
-        near = _grouped(vectors, now).select("g1", "g2", "rows", "x", bin_of.alias("bin"))
+        near = _grouped(vectors, now).select("g1", "g2", "rows", "x", _bin().alias("bin"))
         bound = near.groupBy("g1", "g2").agg(F.percentile("bin", support).alias("bound")).checkpoint()
         inside = _grouped(near, bound).filter(F.col("bin") <= F.col("bound"))
         now = _params(_moments(inside)).checkpoint()
-    last = _grouped(vectors, now).select("g1", "g2", bin_of.alias("bin"))
+    return _scaled(vectors, now)
+
+
+def _scaled(vectors: DataFrame, now: DataFrame) -> DataFrame:
+    """An estimate with the scale that brings each group's median distance to
+    the chi-squared median, 1 at least."""
+    last = _grouped(vectors, now).select("g1", "g2", _bin().alias("bin"))
     scale = last.groupBy("g1", "g2").agg(F.percentile("bin", 0.5).alias("mid"))
     scale = scale.select("g1", "g2", F.greatest((F.pow(F.lit(2.0), F.col("mid") / 256) - 1) / CHI2_MEDIAN, F.lit(1.0)).alias("scale"))
     return _grouped(now, scale.checkpoint()).checkpoint()
 
 
+def reweighted(vectors: DataFrame, fitted: DataFrame, *, inner: float = CHI2_INNER) -> DataFrame:
+    """``fitted`` once more, from all rows within ``inner`` of it, with the
+    floors as least spreads."""
+    near = _grouped(vectors, fitted).filter(_distance() / F.col("scale") <= inner)
+    return _scaled(vectors, _params(_moments(near), minimum=True).checkpoint())
+
+
+def estimate(vectors: DataFrame) -> DataFrame:
+    """The reweighted fit of each group."""
+    return reweighted(vectors, fit(vectors))
+
+
 def _keys(df: DataFrame, lang: str, source: str) -> DataFrame:
     return df.withColumns({"g1": col(lang).cast("string"), "g2": col(source).cast("string"), "x": _vector()})
 
@@ -217,7 +246,7 @@ def judge(
     named = df.select(col(id_col).alias("_id"), col(text_col).alias("_text"), col(lang_col).alias("_l"), col(source_col).alias("_s"))
     counted(named, keep=["_id", "_l", "_s"], text_col="_text").write.parquet(path)
     rows = _keys(spark.read.parquet(path), "_l", "_s")
-    found = _verdict(rows, fit(rows.filter(~base_failed()).select("g1", "g2", "x")), cutoff)
+    found = _verdict(rows, estimate(rows.filter(~base_failed()).select("g1", "g2", "x")), cutoff)
     return found.select(
         F.col("_id").alias(id_col), *[F.col(f"_{c}").alias(c) for c in COUNTS], "base_failed", "distance", "kept"
     )
@@ -241,11 +270,11 @@ def keep_inliers(
     path = shared_scratch(spark, "text_counts", unique=True)
     named = df.select(col(text_col).alias("_text"), col(lang_col).alias("_l"), col(source_col).alias("_s"))
     counted(named, keep=["_l", "_s"], text_col="_text").write.parquet(path)
-    fitted = fit(_keys(spark.read.parquet(path), "_l", "_s").filter(~base_failed()).select("g1", "g2", "x"))
+    fitted = estimate(_keys(spark.read.parquet(path), "_l", "_s").filter(~base_failed()).select("g1", "g2", "x"))
     own = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     plain = df.select(*[col(c).alias(n) for c, n in own.items()])
     rows = _keys(counted(plain, keep=list(own.values()), text_col=own[text_col]), own[lang_col], own[source_col])
     return _verdict(rows, fitted, cutoff).filter("kept").select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
-__all__ = ["counted", "fit", "judge", "keep_inliers", "repeat_words", "text_counts"]
+__all__ = ["counted", "estimate", "fit", "judge", "keep_inliers", "repeat_words", "reweighted", "text_counts"]

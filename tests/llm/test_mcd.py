@@ -1,5 +1,6 @@
 """Text statistics and robust outliers against plain versions."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -98,3 +99,30 @@ def test_outliers_go_and_clean_stay(spark):
     got = {r["doc_id"]: r["kept"] for r in mcd.judge(df).collect()}
     assert all(got[i] for i, *_ in clean) and not any(got[i] for i, *_ in junk)
     assert {r["doc_id"] for r in mcd.keep_inliers(df).collect()} == {i for i, k in got.items() if k}
+
+
+def test_cutoff_is_a_chi_squared_quantile():
+    tail = lambda x: math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+    assert tail(mcd.CUTOFF) == pytest.approx(1e-4, rel=1e-3)
+    assert tail(mcd.CHI2_INNER) == pytest.approx(0.025, rel=1e-3)
+    assert tail(mcd.CHI2_MEDIAN) == pytest.approx(0.5, rel=1e-3)
+
+
+def test_each_statistic_rejects_alone(spark):
+    """Clean texts, and for each statistic one that breaks it alone."""
+    rng = random.Random(9)
+    vocab = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(3000)]
+    words = lambda n: rng.choices(vocab, k=n)
+    clean = [(i, " ".join(words(int(rng.lognormvariate(5.6, 0.5)) + 50)), "en", "s") for i in range(600)]
+    hashed = [w[:-1] + "#" if i % 3 == 0 else w for i, w in enumerate(words(300))]
+    planted = {
+        "n_words": " ".join(words(40_000)),
+        "word_chars": " ".join(w * 3 for w in words(300)),
+        "n_symbols": " ".join(hashed),
+        "n_dup_lines": "\n".join("abc defgh" if i % 2 else " ".join(words(3)) for i in range(120)),
+        "n_repeat_words": " ".join(" ".join(words(5)) + (" abc defgh cab" if i % 2 else " " + " ".join(words(3))) for i in range(40)),
+    }
+    rows = clean + [(1000 + i, t, "en", "s") for i, t in enumerate(planted.values())]
+    got = {r["doc_id"]: r for r in mcd.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {c for i, c in enumerate(planted) if got[1000 + i]["kept"] or got[1000 + i]["base_failed"]} == set()
+    assert all(got[i]["kept"] for i, *_ in clean)
