@@ -19,8 +19,9 @@ concentration steps the floors are a ridge; they only order the rows.
 
 Cases: a null text has no words; rows that fail the base rules are rejected
 and take no part in the fit. Null languages and sources are groups of their
-own. Groups with fewer than ``min_rows`` rows to fit reject nothing beyond the
-base rules. Repeated rows count each. An empty table gives an empty result.
+own. Groups with fewer than ``MIN_ROWS`` rows to fit are judged by the estimate
+of all rows of their language, and where that has too few by that of all rows;
+only a table with fewer in all has the base rules alone. Repeated rows count each. An empty table gives an empty result.
 Other columns are carried or ignored, whatever their names.
 """
 
@@ -226,9 +227,34 @@ def reweighted(vectors: DataFrame, fitted: DataFrame, *, inner: float = CHI2_INN
     return _scaled(vectors, _params(_moments(near), minimum=True).checkpoint())
 
 
+def _levels(vectors: DataFrame, langs: DataFrame, whole: bool) -> DataFrame:
+    """Each row in its group (g2 with an ``s`` before it), with ``langs`` in its
+    language (g2 ``l``), and with ``whole`` among all rows (g2 ``a``)."""
+    key = lambda g1, g2: F.struct(g1.cast("string").alias("g1"), g2.cast("string").alias("g2"))
+    keys = [key(F.col("g1"), F.concat(F.lit("s"), F.col("g2"))), F.when(F.col("_l").isNotNull(), key(F.col("g1"), F.lit("l")))]
+    keys += [key(F.lit(None), F.lit("a"))] * whole
+    marked = vectors.join(_bounded(langs.select(F.col("g1").alias("_g1"), F.lit(1).alias("_l"))), F.col("g1").eqNullSafe(F.col("_g1")), "left")
+    return marked.select("x", F.explode(F.array_compact(F.array(*keys))).alias("key")).select("key.g1", "key.g2", "x")
+
+
 def estimate(vectors: DataFrame) -> DataFrame:
-    """The reweighted fit of each group."""
-    return reweighted(vectors, fit(vectors))
+    """The reweighted fit of each group; groups of fewer than ``MIN_ROWS`` rows
+    have their language's, or else that of all rows, from the same steps."""
+    ensure_checkpoint_dir(vectors.sparkSession)
+    sizes = vectors.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    small = sizes.filter(F.col("n") < MIN_ROWS)
+    langs = sizes.groupBy("g1").agg(F.sum("n").alias("total"), F.min("n").alias("least")).filter(F.col("least") < MIN_ROWS).checkpoint()
+    whole = not langs.filter(F.col("total") < MIN_ROWS).isEmpty()
+    rows = _levels(vectors, langs.filter(F.col("total") >= MIN_ROWS), whole)
+    found = reweighted(rows, fit(rows))
+    values = [c for c in found.columns if c not in ("g1", "g2")]
+    own = found.filter(F.coalesce(F.col("g2").startswith("s"), F.lit(True))).withColumn("g2", F.expr("substring(g2, 2)"))
+    # the few languages take the estimate of all rows first, then their groups theirs
+    lang = found.filter(F.col("g2") == "l").select("g1", *values)
+    rest = langs.filter(F.col("total") < MIN_ROWS).select("g1").crossJoin(F.broadcast(found.filter(F.col("g2") == "a").select(*values)))
+    wide = lang.unionByName(rest).withColumnRenamed("g1", "_l").checkpoint()
+    lent = small.select("g1", "g2").join(_bounded(wide), F.col("g1").eqNullSafe(F.col("_l"))).drop("_l")
+    return own.unionByName(lent).checkpoint()
 
 
 def _keys(df: DataFrame, lang: str, source: str) -> DataFrame:

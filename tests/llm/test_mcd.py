@@ -126,3 +126,18 @@ def test_each_statistic_rejects_alone(spark):
     got = {r["doc_id"]: r for r in mcd.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert {c for i, c in enumerate(planted) if got[1000 + i]["kept"] or got[1000 + i]["base_failed"]} == set()
     assert all(got[i]["kept"] for i, *_ in clean)
+
+
+def test_small_groups_meet_a_wider_estimate(spark):
+    """The same junk goes in groups of 30, 29 and 1 rows, and in a rare language."""
+    rng = random.Random(6)
+    vocab = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(3000)]
+    text = lambda: " ".join(rng.choices(vocab, k=int(rng.lognormvariate(5.6, 0.4)) + 50))
+    junk = " ".join(w + "###" for w in rng.choices(vocab, k=200))
+    groups = [("en", "big", 200), ("en", "host30", 29), ("en", "host29", 28), ("en", None, 0), (None, "x", 3), ("rare", "y", 2)]
+    rows = [(text(), *g) for *g, n in groups for _ in range(n)] + [(junk, *g) for *g, _ in groups]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in mcd.judge(df).collect()}
+    assert len(got) == len(rows) and all(r["distance"] is not None and not r["base_failed"] for r in got.values())
+    assert [got[i]["kept"] for i in range(len(rows) - len(groups), len(rows))] == [False] * len(groups)
+    assert all(got[i]["kept"] for i in range(len(rows) - len(groups)))
