@@ -11,6 +11,8 @@ from finwater.sources.tables import read_table
 from . import apportion, bytebpe, katz, langid, mcd, projections, simhash, toolcalls, urltrie, warc_revisit
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Longest n-grams of the Katz query.
+KATZ_ORDER = 3
 
 #: Fixed values of the url query: verdict, host, path.
 URL_RULES = [
@@ -32,7 +34,7 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 
 
 def op1_katz(spark: SparkSession, sf: str) -> DataFrame:
-    return katz.score(katz.fit(read_table(spark, sf, "documents")), spark)
+    return katz.score(katz.fit(read_table(spark, sf, "documents"), order=KATZ_ORDER), spark)
 
 
 def op2_tool_calls(spark: SparkSession, sf: str) -> DataFrame:

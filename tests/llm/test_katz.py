@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from finwater.llm import katz
+from finwater.llm import katz, queries
 
 SF = "/root/testdata/sf0.001"
 END, START = "</s>", "<s>"
@@ -126,3 +126,10 @@ def test_discounts():
     assert ((d > 0) & (d < 1)).all()
     d = katz.discounts([3, 0, 0, 0, 0, 0])
     assert ((d > 0) & (d < 1)).all()
+
+
+def test_query_scores_trigrams(spark, scratch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40).coalesce(2)
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{scratch}/documents.parquet").collect()]
+    compare(queries.op1_katz(spark, scratch).collect(), brute(rows, 3))
