@@ -8,9 +8,14 @@ sample of labelled passages; prediction reads whole texts in Arrow batches
 with table and softmax folded into one fixed-point score per subword and
 language, so that sums are exact and do not depend on batches.
 
-Probabilities are calibrated: a temperature is chosen on validation passages,
-and texts whose confidence is below the ``reject_rate`` quantile of correctly
-labelled validation documents (``max_threshold`` at most) are rejected.
+Probabilities are calibrated: a temperature is chosen on validation passages.
+Whole validation documents (a quarter of the sample) set two bounds, and texts
+beyond either are rejected: confidence below the ``REJECT_RATE`` quantile of
+those told rightly, and a share of subwords never seen in training above their
+upper ``REJECT_RATE`` quantile (``UNSEEN`` at least, as small samples tell
+little). The share is its lower bound by chance, so that a few new subwords in
+a short text count little. It also rejects where one or two languages were
+learnt and the best probability is high for any text.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0 and
 rejected. Empty and very long texts are read whole. Rows with a null language
@@ -23,7 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +45,7 @@ UND = "und"
 DOCS_PER_LANG, PASSAGES_PER_DOC, PASSAGE_BYTES, MAX_LANGS = 300, 6, 400, 256
 PASSAGE_WORDS = (1, 2, 4, 8, 16, 32)
 BUCKETS, EMBED, EPOCHS, BATCH, RATE, SEED = 1 << 16, 16, 12, 64, 0.5, 7
-REJECT_RATE, MAX_THRESHOLD = 0.002, 0.5
+REJECT_RATE, UNSEEN = 0.002, 0.25
 SIZES = (2, 3, 4)
 #: Fixed-point steps per unit of a subword's score.
 SCALE = 1 << 16
@@ -91,26 +96,36 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    seen: np.ndarray  # [BUCKETS] whether training held a subword of the row
+    unseen: float = 1.0
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], list[float], list[bool]]:
+        lang, score, strange = self.measure(texts)
+        return lang, score, [x == UND or p < self.threshold or u > self.unseen for x, p, u in zip(lang, score, strange)]
+
+    def measure(self, texts: list[bytes]) -> tuple[list[str], list[float], list[float]]:
+        """Language, confidence and share of unseen subwords of each text."""
         letters = [_LETTER(t.decode("utf-8", "replace")) is not None for t in texts]
         buffer, starts = buffer_of(texts)
         sums = np.zeros((len(texts), len(self.langs)))
-        n = np.zeros(len(texts))
+        n, new = np.zeros(len(texts)), np.zeros(len(texts))
         for at, hashed in subwords(buffer):
             doc = np.searchsorted(starts, at, side="right") - 1
             n += np.bincount(doc, minlength=len(texts))
+            new += np.bincount(doc[~self.seen[hashed]], minlength=len(texts))
             for k in range(len(self.langs)):  # whole numbers: exact in doubles
                 sums[:, k] += np.bincount(doc, weights=self.table[hashed, k], minlength=len(texts))
         p = _softmax((sums / np.maximum(n, 1)[:, None] / SCALE + self.bias) / self.temperature)
         best = p.argmax(axis=1) if self.langs else np.zeros(len(texts), int)
-        lang, score, out = [], [], []
+        share, n = new / np.maximum(n, 1), np.maximum(n, 1)
+        # subwords overlap: about nine hold the same letters
+        strange = np.maximum(share - 3 * np.sqrt(9 * share * (1 - share) / n), 0.0)
+        lang, score = [], []
         for i, ok in enumerate(letters):
             ok = ok and bool(self.langs)
             lang.append(self.langs[best[i]] if ok else UND)
             score.append(float(p[i, best[i]]) if ok else 0.0)
-            out.append(not ok or score[-1] < self.threshold)
-        return lang, score, out
+        return lang, score, strange.tolist()
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -136,6 +151,12 @@ def passages(text: bytes, seed: int) -> list[bytes]:
 def sample(labelled: DataFrame, *, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, int, bytes]]:
     """(language, document key, passage), at most ``DOCS_PER_LANG`` documents
     of each language, drawn by hash, in a fixed order."""
+    few = drawn(labelled, id_col=id_col, text_col=text_col, lang_col=lang_col)
+    return [] if few is None else _passages(few)
+
+
+def drawn(labelled: DataFrame, *, id_col: str, text_col: str, lang_col: str) -> DataFrame | None:
+    """The sample's documents (lang, key, text); None without any."""
     prepare(labelled.sparkSession)
     rows = labelled.select(
         col(lang_col).cast("string").alias("lang"), F.xxhash64(col(id_col), col(text_col)).alias("key"), col(text_col).alias("text")
@@ -144,12 +165,15 @@ def sample(labelled: DataFrame, *, id_col: str, text_col: str, lang_col: str) ->
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not counts:
-        return []
+        return None
     # a threshold on the hash first, so that few texts are shuffled
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2 * DOCS_PER_LANG / n)))])
     few = rows.filter(F.pmod("key", F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20))
     order = Window.partitionBy("lang").orderBy("key", "text")
-    few = few.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= DOCS_PER_LANG)
+    return few.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= DOCS_PER_LANG).select("lang", "key", "text")
+
+
+def _passages(few: DataFrame) -> list[tuple[str, int, bytes]]:
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("key", T.LongType()), T.StructField("part", T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +192,7 @@ def train(rows: list[tuple[str, int, bytes]]) -> Model:
     documents calibrates."""
     langs = sorted({r[0] for r in rows})
     if not langs:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 1.0)
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 1.0, np.zeros(BUCKETS, dtype=bool))
     y = np.array([langs.index(r[0]) for r in rows])
     x = [features(r[2]) for r in rows]
     held = np.array([zlib.crc32(str(r[1]).encode()) % 4 == 0 for r in rows])
@@ -199,17 +223,27 @@ def train(rows: list[tuple[str, int, bytes]]) -> Model:
             np.add.at(change, inverse, back)
             embed[rows_used] -= rate * 4 * change
     table = np.round(embed @ weight * SCALE)
+    seen = np.zeros(BUCKETS, dtype=bool)
+    for i in fit:
+        seen[x[i]] = True
     valid = np.flatnonzero(held & usable)
     if not len(valid):
-        return Model(langs, table, bias, 1.0, 0.0)
+        return Model(langs, table, bias, 1.0, 0.0, seen)
     logits = np.array([table[x[i]].mean(axis=0) / SCALE + bias for i in valid])
     heats = np.geomspace(0.02, 20, 61)
     loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(valid)), y[valid]], 1e-300)).mean() for t in heats]
     heat = float(heats[int(np.argmin(loss))])
-    p = _softmax(logits / heat)
-    long_right = [p[j, y[i]] for j, i in enumerate(valid) if p[j].argmax() == y[i] and len(x[i]) >= 100]
-    bound = float(np.quantile(long_right, REJECT_RATE)) if long_right else 0.0
-    return Model(langs, table, bias, heat, min(bound, MAX_THRESHOLD))
+    return Model(langs, table, bias, heat, 0.0, seen)
+
+
+def calibrated(model: Model, right: list[tuple[float, float]]) -> Model:
+    """With bounds from (confidence, unseen share) of validation documents
+    told rightly; without any, nothing but texts without letters is rejected."""
+    if not right:
+        return model
+    score, strange = np.array(right).T
+    bound = max(float(np.quantile(strange, 1 - REJECT_RATE)), UNSEEN)
+    return replace(model, threshold=float(np.quantile(score, REJECT_RATE)), unseen=bound)
 
 
 def predict(df: DataFrame, model: Model, *, keep: list[str], text_col: str = "text", prefix: str = "") -> DataFrame:
@@ -230,7 +264,16 @@ def held_out(id_col: str = "doc_id"):
 
 def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model learnt from the rows of ``df`` that are not held out."""
-    return train(sample(df.filter(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col))
+    few = drawn(df.filter(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col)
+    model = train([] if few is None else _passages(few))
+    if few is None:
+        return model
+    # whole texts are measured in tasks; a small row each comes back
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    whole = few.filter(F.pmod(F.crc32(F.col("key").cast("string").cast("binary")), F.lit(4)) == 0)
+    fields = [T.StructField("told", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("strange", T.DoubleType())]
+    made = map_texts(whole, ["lang"], "text", fields, lambda texts: list(shared.value.measure(texts))).filter(F.col("told") == F.col("lang"))
+    return calibrated(model, [(r["score"], r["strange"]) for r in made.select("score", "strange").collect()])
 
 
 def keep_identified(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

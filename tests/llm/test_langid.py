@@ -64,3 +64,16 @@ def test_prediction_is_independent_of_grouping():
     texts = [b"aa1xyz bb", b"", b"bb0xyz " * 70_000, b"aa2"]
     one = [tuple(c[0] for c in model.predict([t])) for t in texts]
     assert one == list(zip(*model.predict(texts)))
+
+
+def test_foreign_texts_go_with_one_two_or_four_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.default_rng(5)
+    odd = ["".join(rng.choice(list(a), 6)) for a in ("бвгджзклмнп", "漢字仮名交文日本", "qxzjkvwQXZ") for _ in range(60)]
+    foreign = [" ".join(odd[k : k + 60]).encode() for k in (0, 60, 120)]
+    for langs in (["en"], ["en", "de"], ["en", "de", "fr", "es"]):
+        some = docs.filter(docs["lang"].isin(langs))
+        model = langid.fit(some)
+        assert model.predict(foreign)[2] == [True] * 3
+        kept = [not r["rejected"] for r in langid.predict(some.filter(langid.held_out()), model, keep=["doc_id"]).collect()]
+        assert np.mean(kept) > 0.97
