@@ -172,20 +172,25 @@ def near_duplicates(
 
 def keep_first(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """The rows of ``df`` without near-duplicates: of each group the row that
-    names it stays. Rows that share the naming id, and groups without any id,
-    keep their row with the least text."""
+    names it stays. Rows of a group that share the naming id, and groups without
+    any id, keep their row with the least text."""
     names = [f"_c{i}" for i in range(len(df.columns))]
     ident, text = (names[df.columns.index(c)] for c in (id_col, text_col))
     plain = df.select(*[col(c).alias(n) for c, n in zip(df.columns, names)])
     groups = near_duplicates(plain, id_col=ident, text_col=text, shingle=shingle, radius=radius)
-    own = groups.filter(F.col(ident) == F.col("component_id")).groupBy(F.col(ident).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    names_it = F.col(ident) == F.col("component_id")
+    own = groups.groupBy(F.col(ident).alias("_id")).agg(F.count(F.lit(1)).alias("_n"), F.max(names_it).alias("_own")).filter("_own")
     kept = plain.join(own, F.col(ident) == F.col("_id"))
     once = kept.filter("_n = 1").select(*names)
     least = F.struct(text, *[n for n in names if n != text])
     unpacked = [F.col("r")[n].alias(n) for n in names]
     most = own.agg(F.max("_n")).first()[0]
     if most is not None and most > 1:
-        once = once.union(kept.filter("_n > 1").groupBy("_id").agg(F.min(least).alias("r")).select(*unpacked))
+        # an id on several rows may name several groups, or lie in others' too
+        rows = fingerprints(kept.filter("_n > 1"), keep=names, text_col=text, shingle=shingle)
+        roots = groups.filter(names_it).select(F.col(ident).alias("_id"), F.col("fp").alias("_fp"), "root").distinct()
+        rows = rows.join(roots, (F.col(ident) == F.col("_id")) & (F.col("fp") == F.col("_fp")))
+        once = once.union(rows.groupBy("_id", "root").agg(F.min(least).alias("r")).select(*unpacked))
     nameless = groups.filter(F.col("component_id").isNull()).select("fp", "root").distinct()
     if not nameless.isEmpty():
         rows = fingerprints(plain.filter(F.col(ident).isNull()), keep=names, text_col=text, shingle=shingle)

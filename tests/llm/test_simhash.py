@@ -110,3 +110,12 @@ def test_components_chain_and_odd_edges(spark):
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_keep_first_with_ids_on_unrelated_texts(spark):
+    """An id that names two groups keeps a row in each; one that also lies in
+    another's group goes there."""
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in ("red", "sea", "oak")]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (5, texts[2]), (5, "something else " + texts[0][::-1]), (5, texts[0])]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == sorted([rows[0], rows[1], rows[2], rows[4]])
