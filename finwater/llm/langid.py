@@ -242,8 +242,17 @@ def calibrated(model: Model, right: list[tuple[float, float]]) -> Model:
     if not right:
         return model
     score, strange = np.array(right).T
+    odds = np.log(np.maximum(score, 1e-15)) - np.log(np.maximum(1 - score, 1e-15))
+    least = float(np.quantile(odds, REJECT_RATE))
+    if 2 < len(right) < 1 / REJECT_RATE:
+        # too few to hold the quantile: log-odds go on below the median as they
+        # fell from it to the least (an exponential tail)
+        middle = float(np.median(odds))
+        least = middle - (middle - float(odds.min())) * np.log(0.5 / REJECT_RATE) / np.log(0.5 * len(right))
+    elif len(right) <= 2:
+        least = -np.inf
     bound = max(float(np.quantile(strange, 1 - REJECT_RATE)), UNSEEN)
-    return replace(model, threshold=float(np.quantile(score, REJECT_RATE)), unseen=bound)
+    return replace(model, threshold=float(1 / (1 + np.exp(-least))), unseen=bound)
 
 
 def predict(df: DataFrame, model: Model, *, keep: list[str], text_col: str = "text", prefix: str = "") -> DataFrame:
