@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finwater.session import shared_scratch
 from finwater.sources.tables import read_table
 
-from . import apportion, bytebpe, katz, langid, mcd, projections, simhash, toolcalls, urltrie, warc_revisit
+from . import apportion, bytebpe, huffman, katz, langid, mcd, projections, simhash, toolcalls, urltrie, warc_revisit
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Tokenizer and end id of the id files.
+ID_TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 #: Longest n-grams of the Katz query.
 KATZ_ORDER = 3
 
@@ -168,6 +171,13 @@ FROM least l LEFT JOIN links ON l.vec_id = links.i
 """
 
 
+def op11_id_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_scratch(spark, "id_files", unique=True)
+    huffman.write(read_table(spark, sf, "documents"), path, public_tokenizers.path(ID_TOKENIZER), end_id=END_ID)
+    found = huffman.read(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -187,6 +197,7 @@ def queries() -> dict:
         "op8_url_filter": op8_url_filter,
         "op9_simhash": op9_simhash,
         "op10_projection_dedup": op10_projection_dedup,
+        "op11_id_files": op11_id_files,
     }
 
 
