@@ -1,14 +1,16 @@
 """Texts as parts that tokenizers handle one by one, with a memory of parts.
 
 ``spaced`` cuts before a space that follows a character other than white space
-and is not the text's last character. ``byte_level`` also cuts where the usual
-byte-level pre-tokenizer must end a match: around runs of ASCII letters,
-digits and punctuation. The tokenizers of this package never join what stands
-on the two sides of such a cut: byte-level matches hold white space only at
-their start and do not mix the three kinds, but for an apostrophe; and no
-piece of the piece vocabulary has U+2581 after another character
-(``safe_pieces`` checks it). So a part's tokens are the same alone as inside
-its text.
+and is not the text's last character; ``runs`` also where the usual byte-level
+pre-tokenizer must end a match: after an ASCII letter that no letter follows.
+The tokenizers of this package never join what stands on the two sides of such
+a cut: byte-level matches hold white space only at their start and nothing
+after a letter but letters, and no piece of the piece vocabulary has U+2581
+after another character (``safe_pieces`` checks it). So a part's tokens are
+the same alone as inside its text.
+
+A group of texts is cut in Arrow, and only its distinct parts are looked up;
+texts with other white space at a space are cut in Python, to the same parts.
 """
 
 from __future__ import annotations
@@ -17,28 +19,26 @@ import re
 from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Parts remembered per Python worker, and the characters that those over
-#: ``LONG_PART`` characters may hold in all, before the memory starts anew.
-PART_CACHE, LONG_PART, LONG_CHARS = 400_000, 64, 4_000_000
+#: Parts remembered per Python worker, and the bytes of their texts.
+PART_CACHE, CACHE_BYTES = 1_500_000, 48 << 20
 
 _SPACED = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
-_BYTE_LEVEL = re.compile(
-    r" ?[A-Za-z]++(?![^\x00-\x7f])"  # a run of one kind that the next character ends
-    r"| ?[!-&(-/:-@\[-`{-~]++(?=[0-9A-Za-z\s]|\Z)"
-    r"| ?[0-9]++(?![^\x00-\x7f])"
-    r"|\n(?=\S)"
-    r"|.+?(?:(?<=\S)(?= .)|\Z)",  # anything else up to the next cut at a space
-    re.DOTALL,
+#: An ASCII letter and what is certain to begin another match.
+_RUN_END = r"([A-Za-z])([\n!-@\[-`{-~])"
+#: What ``_arrow_cut`` does not cut rightly: white space before a space, a
+#: space (or nothing) at an end, and the character it cuts with.
+_ODD = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] |^ | $|^$|\x00"
 )
 
 
 def spaced(text: str) -> list[str]:
-    """The parts, without the space that each of them but the first starts with."""
-    return _SPACED.split(text)
-
-
-byte_level = _BYTE_LEVEL.findall
+    """The parts of a text, each with the space it starts with."""
+    first, *rest = _SPACED.split(text)
+    return [first, *(" " + p for p in rest)]
 
 
 def safe_pieces(pieces: Iterable[str]) -> bool:
@@ -46,16 +46,33 @@ def safe_pieces(pieces: Iterable[str]) -> bool:
     return not any("▁" in p.lstrip("▁") for p in pieces)
 
 
-class _Slots(dict):
-    """Part -> number; an unknown part gets the next one and is noted."""
-
-    def __init__(self) -> None:
-        self.new: list[str] = []
-
-    def __missing__(self, part: str) -> int:
-        self[part] = number = len(self)
-        self.new.append(part)
-        return number
+def _arrow_cut(texts: pa.Array, runs: bool) -> pa.Array:
+    cut = pc.replace_substring(texts, " ", "\0 ")
+    if runs:
+        cut = pc.replace_substring_regex(cut, _RUN_END, "\\1\0\\2")
+    return pc.split_pattern(cut, "\0")
+
+
+def numbers(texts: list[str], memory: Memory, runs: bool = False, whole: bool = False) -> list[np.ndarray]:
+    """Numbers of the parts of each text of a group; ``whole`` leaves the texts
+    uncut."""
+    if not texts:
+        return []
+    column = pa.array(texts, pa.string())
+    if whole:
+        lists, odd = pa.array([[t] for t in texts], pa.list_(pa.string())), np.zeros(len(texts), dtype=bool)
+    else:
+        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False).astype(bool)
+        lists = _arrow_cut(column.filter(pa.array(~odd)), runs)
+    rest = pa.array([spaced(t) for t, o in zip(texts, odd) if o], pa.list_(pa.string()))
+    parts = pa.concat_arrays([lists.flatten(), rest.flatten()]).dictionary_encode()
+    found = memory.numbers(parts.dictionary)[parts.indices.to_numpy()]
+    lengths = np.empty(len(texts), dtype=np.int64)
+    lengths[~odd], lengths[odd] = (pc.list_value_length(x).to_numpy() for x in (lists, rest))
+    starts = np.empty(len(texts), dtype=np.int64)
+    order = np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])
+    starts[order] = np.cumsum(lengths[order]) - lengths[order]
+    return [found[a : a + n] for a, n in zip(starts, lengths)]
 
 
 class Memory:
@@ -65,20 +82,21 @@ class Memory:
 
     def __init__(self, learn: Callable[[list[str]], None], forget: Callable[[], None], limit: int = PART_CACHE):
         self.learn, self.forget, self.limit = learn, forget, limit
-        self.slots, self.long = _Slots(), 0
+        self.known = pa.array([], pa.string())
 
-    def numbers(self, cut: list[list[str]]) -> list[np.ndarray]:
-        """Numbers of the parts of each text of a group."""
-        if len(self.slots) > self.limit or self.long > LONG_CHARS:
-            self.slots, self.long = _Slots(), 0
+    def numbers(self, parts: pa.Array) -> np.ndarray:
+        """Numbers of distinct parts."""
+        if len(self.known) > self.limit or self.known.nbytes > CACHE_BYTES:
+            self.known = pa.array([], pa.string())
             self.forget()
-        get = self.slots.__getitem__
-        numbers = [np.fromiter(map(get, c), dtype=np.int64, count=len(c)) for c in cut]
-        if new := self.slots.new:
-            self.learn(new)
-            self.long += sum(len(p) for p in new if len(p) > LONG_PART)
-            self.slots.new = []
-        return numbers
+        at = pc.index_in(parts, value_set=self.known)
+        new = parts.filter(pc.is_null(at))
+        found = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        if len(new):
+            found[found < 0] = np.arange(len(self.known), len(self.known) + len(new))
+            self.learn(new.to_pylist())
+            self.known = pa.concat_arrays([self.known, new])
+        return found
 
 
 def gather(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -108,4 +126,4 @@ class Growing:
         return self.room[: self.n]
 
 
-__all__ = ["Growing", "LONG_PART", "Memory", "PART_CACHE", "byte_level", "gather", "safe_pieces", "spaced"]
+__all__ = ["Growing", "Memory", "PART_CACHE", "gather", "numbers", "safe_pieces", "spaced"]

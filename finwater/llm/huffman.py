@@ -38,23 +38,27 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from finwater.session import shared_scratch
+from finwater.session import delete_path, shared_scratch
 
 from . import cuts
-from .base import col, map_texts, prepare
+from .base import col, groups, prepare, texts_of
 
 #: Longest code; ids of a block (at least); ids between two checkpoints.
 MAX_BITS, BLOCK_IDS, STEP = 16, 1 << 16, 256
+#: Bytes of text that a task cuts at a time.
+TEXT_BYTES = 4 << 20
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -150,9 +154,6 @@ class Coder:
         return found.T[np.arange(steps) < counts[:, None]]
 
 
-_TOKENIZERS: dict[tuple[str, bool], Tokens] = {}
-
-
 class Tokens:
     """Byte-level tokenizer file of the ``tokenizers`` library, over parts."""
 
@@ -162,6 +163,8 @@ class Tokens:
 
         self.model = Tokenizer.from_str(config)
         self.model.encode_special_tokens = not special_strings
+        # a special token's string is cut out of a text before anything else
+        self.whole = special_strings and bool(self.model.get_added_tokens_decoder())
         self.memory = cuts.Memory(self._learn, self._forget, limit)
         self._forget()
 
@@ -171,13 +174,17 @@ class Tokens:
 
     def _learn(self, parts: list[str]) -> None:
         done = [e.ids for e in self.model.encode_batch_fast(parts, add_special_tokens=False)]
-        self.at.extend(self.at.values[-1] + np.cumsum([len(i) for i in done]))
-        self.ids.extend([i for ids in done for i in ids])
+        self.at.extend(self.at.values[-1] + np.cumsum(list(map(len, done))))
+        self.ids.extend(list(chain.from_iterable(done)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        numbers = self.memory.numbers([cuts.byte_level(t) for t in texts])
+        """Ids of each text of a group."""
+        found = cuts.numbers(texts, self.memory, runs=True, whole=self.whole)
         ids, at = self.ids.values, self.at.values
-        return [cuts.gather(ids, at[n], at[n + 1] - at[n]) for n in numbers]
+        return [cuts.gather(ids, at[n], at[n + 1] - at[n]) for n in found]
+
+
+_TOKENIZERS: dict[tuple[str, bool], Tokens] = {}
 
 
 def _tokens(config: str, special_strings: bool) -> Tokens:
@@ -188,32 +195,50 @@ def _tokens(config: str, special_strings: bool) -> Tokens:
     return _TOKENIZERS[key]
 
 
-def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str, special_strings: bool) -> DataFrame:
-    """(id, tie, n, ids): token ids of each text with the end id, as
-    little-endian unsigned 32-bit integers, and the text's hash."""
+def _width(ids: int) -> str:
+    """Type of stored ids: two bytes where they fit."""
+    return "<u2" if ids <= 1 << 16 else "<u4"
+
+
+def token_table(
+    docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str, special_strings: bool,
+) -> tuple[DataFrame, str]:
+    """(id, tie, ids) -- the token ids of each text with the end id, and the
+    text's hash -- and the type of the stored ids."""
+    from tokenizers import Tokenizer
+
     with open(tokenizer, encoding="utf-8") as f:  # a vocabulary: fixed size
-        config = docs.sparkSession.sparkContext.broadcast(f.read())
+        text = f.read()
+    config = docs.sparkSession.sparkContext.broadcast(text)
+    width = _width(max(end_id + 1, *(i + 1 for i in Tokenizer.from_str(text).get_vocab().values())))
     own = docs.select(col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("tie"), col(text_col).alias("text"))
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype=width).tobytes()
+    kinds = {"id": docs.schema[id_col].dataType, "tie": T.LongType(), "ids": T.BinaryType()}
+    schema = T.StructType([T.StructField(n, k) for n, k in kinds.items()])
+    arrow = to_arrow_schema(schema)
 
-    def work(texts: list[bytes]) -> list[list]:
-        done = _tokens(config.value, special_strings).encode([t.decode("utf-8", "replace") for t in texts])
-        return [[len(i) + 1 for i in done], [i.astype("<u4").tobytes() + end for i in done]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = _tokens(config.value, special_strings)
+        for batch in batches:
+            column = batch.column(2).cast(pa.binary())
+            for a, b in groups(pc.fill_null(pc.binary_length(column), 0).to_pylist(), TEXT_BYTES):
+                texts = [t.decode("utf-8", "replace") for t in texts_of(column.slice(a, b - a))]
+                ids = [i.astype(width).tobytes() + end for i in tokens.encode(texts)]
+                kept = [batch.column(i).slice(a, b - a).cast(arrow.field(i).type) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(ids, pa.binary())], schema=arrow)
 
-    fields = [T.StructField("n", T.LongType()), T.StructField("ids", T.BinaryType())]
-    return map_texts(own, ["id", "tie"], "text", fields, work)
+    return own.mapInArrow(run, schema), width
 
 
-def id_counts(table: DataFrame) -> DataFrame:
+def id_counts(table: DataFrame, width: str) -> DataFrame:
     """(id, count) over the ``ids`` of all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for raw in batch.column(0):
-                here = np.bincount(np.frombuffer(raw.as_buffer(), dtype="<u4"), minlength=len(total))
-                here[: len(total)] += total
-                total = here
+            here = np.bincount(_joined(batch.column(0), width), minlength=len(total))
+            here[: len(total)] += total
+            total = here
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "count"])
 
@@ -221,8 +246,14 @@ def id_counts(table: DataFrame) -> DataFrame:
     return partial.groupBy("id").agg(F.sum("count").alias("count"))
 
 
-def _code(ordered: DataFrame, codebook, id_type: T.DataType, block_ids: int, step: int) -> DataFrame:
+def _joined(column: pa.Array, width: str) -> np.ndarray:
+    """The ids of a column of rows, one row after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=width)
+
+
+def _code(ordered: DataFrame, codebook, width: str, block_ids: int, step: int) -> DataFrame:
     """The blocks of sorted (id, ids) rows; a partition is a shard."""
+    id_type = ordered.schema["id"].dataType
     schema = T.StructType([
         T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("first", T.LongType()),
         T.StructField("n_ids", T.LongType()), T.StructField("docs", T.ArrayType(id_type)),
@@ -244,9 +275,9 @@ def _code(ordered: DataFrame, codebook, id_type: T.DataType, block_ids: int, ste
 
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for doc, raw in zip(ids, batch.column(1)):
+            for doc, raw in zip(ids, batch.column(1).to_pylist()):
                 docs.append(doc)
-                held.append(np.frombuffer(raw.as_py(), dtype="<u4"))
+                held.append(np.frombuffer(raw, dtype=width))
                 size += len(held[-1])
                 if size >= block_ids:
                     yield made()
@@ -266,9 +297,10 @@ def write(
     spark = docs.sparkSession
     prepare(spark)
     tokens = shared_scratch(spark, "token_ids", unique=True)
-    token_table(docs, tokenizer, end_id, id_col, text_col, special_strings).write.parquet(tokens)
+    table, width = token_table(docs, tokenizer, end_id, id_col, text_col, special_strings)
+    table.write.parquet(tokens)
     stored = spark.read.parquet(tokens)
-    found = id_counts(stored).orderBy("id").toPandas()  # a row per id of the vocabulary at most
+    found = id_counts(stored, width).orderBy("id").toPandas()  # a row per id of the vocabulary at most
     ids, counts = found["id"].to_numpy(dtype=np.int64), found["count"].to_numpy(dtype=np.int64)
     bits = code_lengths(counts, max_bits)
     book = pd.DataFrame({"id": ids, "count": counts, "bits": bits})
@@ -277,7 +309,8 @@ def write(
     order = ["id", "tie", "row"]
     rows = stored.withColumn("row", F.monotonically_increasing_id())
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "ids")
-    _code(ordered, codebook, stored.schema["id"].dataType, block_ids, step).write.parquet(f"{path}/blocks")
+    _code(ordered, codebook, width, block_ids, step).write.parquet(f"{path}/blocks")
+    delete_path(spark, tokens)
     blocks = spark.read.parquet(f"{path}/blocks")
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()  # a row per partition
     starts, total = [], 0
