@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from finwater.session import shared_scratch
 from finwater.sources.tables import read_table
 
-from . import apportion, bytebpe, huffman, katz, langid, mcd, projections, simhash, toolcalls, urltrie, warc_revisit
+from . import apportion, bytebpe, cross_align, hard_negatives, huffman, katz, langid, mcd, projections, simhash, toolcalls, urltrie, warc_revisit
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: The two tokenizers that are aligned.
+ALIGN_A, ALIGN_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Tokenizer and end id of the id files.
 ID_TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 #: Longest n-grams of the Katz query.
@@ -178,6 +180,36 @@ def op11_id_files(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows, moved = read_table(spark, sf, "embeddings"), F.col("vec_id") % 7 == 0
+    return hard_negatives.mine(rows.withColumn("label", F.when(moved, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS same, CAST(list_dot_product(a.e, v.e) AS BIGINT) AS score
+  FROM v a JOIN v ON len(a.e) = len(v.e) AND a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER)
+    AS rank, id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+def op13_cross_align(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    return cross_align.align(docs, public_tokenizers.path(ALIGN_A), public_tokenizers.path(ALIGN_B))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -198,8 +230,12 @@ def queries() -> dict:
         "op9_simhash": op9_simhash,
         "op10_projection_dedup": op10_projection_dedup,
         "op11_id_files": op11_id_files,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_cross_align": op13_cross_align,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc_revisit": OP5_SQL, "op8_url_filter": OP8_SQL, "op10_projection_dedup": OP10_SQL}
+    return {
+        "op5_warc_revisit": OP5_SQL, "op8_url_filter": OP8_SQL, "op10_projection_dedup": OP10_SQL, "op12_hard_negatives": OP12_SQL,
+    }
