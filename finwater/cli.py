@@ -103,7 +103,7 @@ def parser() -> argparse.ArgumentParser:
     ld.add_argument("--encoding", default="windows-1252")
     ld.add_argument("--sep", default=",", help="column delimiter")
     ld.add_argument("--quote", help="text qualifier (default: none)")
-    ld.add_argument("--line-sep", help="row delimiter, one character (default: CR, LF or both)")
+    ld.add_argument("--line-sep", default="\r\n", help="row delimiter (default: CR LF)")
     ld.add_argument("--no-header", dest="header", action="store_false", help="no column names in the first row")
     ld.add_argument("--skip-header-rows", type=int, default=0, help="lines to leave out before the header")
     ld.add_argument("--skip-rows", type=int, default=0, help="data lines to leave out after the header")

@@ -8,16 +8,15 @@ layout (``enforceSchema=False``).  Everything runs in the CSV scan's tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finwater.schema import CSV_FIELDS, CSV_SCHEMA, CSV_WIDTHS
 from finwater.session import path_exists, publish_once, shared_scratch, source_tag
+from finwater.sources.records import MAX_BLOCKS, lines_of, records
 from finwater.sources.tables import read_table, table_path
 
 CORRUPT = "_corrupt_record"
@@ -28,17 +27,17 @@ CODE_PAGE_1252 = {"windows-1252", "cp1252", "1252"}
 class DropFormat:
     """The reader parameters of a drop.
 
-    ``skip_header_rows`` lines are left out before the header,
-    ``skip_rows`` data lines after it, in every file. ``quote`` is the text
-    qualifier (none by default), ``line_sep`` one character (default: CR, LF
-    or both).
+    ``skip_header_rows`` rows are left out before the header, ``skip_rows``
+    data rows after it, in every file. ``quote`` is the text qualifier (none by
+    default); between qualifiers, row and column delimiters are text.
+    ``line_sep`` alone ends a row (default: CR LF; a bare CR or LF is text).
     """
 
     encoding: str = "windows-1252"
     sep: str = ","
     header: bool = True
     quote: str | None = None
-    line_sep: str | None = None
+    line_sep: str = "\r\n"
     skip_header_rows: int = 0
     skip_rows: int = 0
 
@@ -51,9 +50,9 @@ class DropFormat:
     def options(self) -> dict:
         own = {
             "header": self.header, "sep": self.sep, "quote": self.quote or "\u0000", "encoding": self.charset,
-            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "lineSep": self.line_sep,
         }
-        return own | ({"lineSep": self.line_sep} if self.line_sep else {})
+        return own | ({"escape": self.quote} if self.quote else {})  # a doubled qualifier stands for itself
 
 
 DEFAULT_FORMAT = DropFormat()
@@ -87,50 +86,38 @@ def read_drop_text(spark: SparkSession, path: str, fmt: DropFormat = DEFAULT_FOR
     """All five fields as text; an empty field reads as NULL.  A line with
     the wrong number of fields keeps its raw text in ``_corrupt_record``
     (a wrong header still fails the read)."""
-    if fmt.skip_header_rows or fmt.skip_rows:
-        return _read_lines(spark, path, fmt, check_header)
+    if needs_records(fmt):
+        return parse_lines(drop_lines(spark.read, path, fmt), fmt, check_header)
     reader = spark.read.schema(TEXT_SCHEMA).options(**fmt.options()).option("enforceSchema", not check_header)
     return decoded(reader.csv(path), fmt)
 
 
-def _read_lines(spark: SparkSession, path: str, fmt: DropFormat, check_header: bool) -> DataFrame:
-    """The same for drops whose first lines are to be left out.  The task that
-    reads a file's first block leaves them out; a file whose lines to skip
-    reach beyond that block fails the read."""
-    reader = spark.read.option("lineSep", fmt.line_sep) if fmt.line_sep else spark.read
-    lines = reader.text(path).select(
-        F.col("value").cast("binary").alias("line"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_block_length").alias("length"),
-        F.col("_metadata.file_size").alias("size"),
-    )
-    first = fmt.skip_header_rows
-    out_of = first + int(fmt.header) + fmt.skip_rows
-    wanted = fmt.sep.join(CSV_FIELDS) if fmt.header and check_header else None
-    charset = fmt.charset  # plain values only: tasks need not import this module
-
-    def skip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, seen, partial = None, 0, False
-        for batch in batches:
-            keep = []
-            for line, name, start, length, size in zip(*(c.to_pylist() for c in batch.columns)):
-                if (name, start) != file:
-                    if partial and seen < out_of:
-                        raise ValueError(f"{file[0]}: the lines to skip reach beyond the first block")
-                    file, seen, partial = (name, start), 0, start == 0 and length < size
-                if start == 0 and seen < out_of:
-                    if wanted is not None and seen == first and line.decode(charset) != wanted:
-                        raise ValueError(f"{name}: header {line!r}")
-                    seen += 1
-                elif line:
-                    keep.append(line)
-            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.binary())], names=["line"])
-        if partial and seen < out_of:
-            raise ValueError(f"{file[0]}: the lines to skip reach beyond the first block")
-
-    text = F.decode(F.col("line"), fmt.charset)
-    options = {k: str(v) for k, v in fmt.options().items() if k not in ("header", "encoding", "lineSep")}
+def needs_records(fmt: DropFormat) -> bool:
+    """Formats whose rows Spark's CSV reader cannot find in splittable files."""
+    return bool(fmt.skip_header_rows or fmt.skip_rows or fmt.quote)
+
+
+def drop_lines(reader, path: str, fmt: DropFormat) -> DataFrame:
+    """Raw lines of a drop, from a batch or streaming reader."""
+    return lines_of(reader, path, fmt.line_sep)
+
+
+def parse_lines(lines: DataFrame, fmt: DropFormat, check_header: bool = True, limit: int = MAX_BLOCKS) -> DataFrame:
+    """The text layout of raw lines: rows are told by the text qualifier, and
+    rows to skip are left out of every file, however deep they lie."""
+    head = fmt.skip_header_rows
+    out_of = head + int(fmt.header) + fmt.skip_rows
+    found = records(
+        lines, sep=fmt.sep, quote=fmt.quote, charset=fmt.charset, line_sep=fmt.line_sep, numbered=out_of, limit=limit
+    ).withColumn("line", F.decode("text", fmt.charset))
+    keep = (F.col("number") >= out_of) & (F.col("line") != "")
+    if fmt.header and check_header:
+        names = F.replace("line", F.lit(fmt.quote), F.lit("")) if fmt.quote else F.col("line")
+        wrong = (F.col("number") == head) & (names != fmt.sep.join(CSV_FIELDS))
+        keep = F.when(wrong, F.raise_error(F.concat("file", F.lit(": header "), "line"))).otherwise(keep)
+    options = {k: str(v) for k, v in fmt.options().items() if k not in ("header", "encoding")} | {"multiLine": "true"}
     schema = ", ".join(f"`{f.name}` STRING" for f in TEXT_SCHEMA.fields)
-    parsed = lines.mapInArrow(skip, "line binary").select(F.from_csv(text, schema, options).alias("r"))
+    parsed = found.filter(keep).select(F.from_csv(F.col("line"), schema, options).alias("r"))
     return decoded(parsed.select(*[F.col("r")[f.name].alias(f.name) for f in TEXT_SCHEMA.fields]), fmt)
 
 

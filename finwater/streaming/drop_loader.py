@@ -20,15 +20,16 @@ from finwater.operators.loads import dense_ids, good_lines, map_rep_columns, qua
 from finwater.plans.rep_load import ID_ORDER
 from finwater.schema import TARGET_COLUMNS
 from finwater.session import path_exists
-from finwater.sources.csv_drop import DEFAULT_FORMAT, TEXT_SCHEMA, DropFormat, decoded
+from finwater.sources.csv_drop import DEFAULT_FORMAT, TEXT_SCHEMA, DropFormat, decoded, drop_lines, needs_records, parse_lines
 
 
 def drop_stream(spark: SparkSession, drop_dir: str, fmt: DropFormat = DEFAULT_FORMAT, max_files: int | None = None) -> DataFrame:
-    if fmt.skip_header_rows or fmt.skip_rows:
-        raise ValueError("the streaming reader cannot skip lines")
-    reader = spark.readStream.schema(TEXT_SCHEMA).options(**fmt.options()).option("enforceSchema", False)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    """New files of the folder: fields as text, or raw lines where rows are told
+    per micro-batch (``parse_lines``; a file lies whole in one of them)."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if max_files else spark.readStream
+    if needs_records(fmt):
+        return drop_lines(reader, drop_dir, fmt)
+    reader = reader.schema(TEXT_SCHEMA).options(**fmt.options()).option("enforceSchema", False)
     return decoded(reader.csv(drop_dir), fmt)
 
 
@@ -47,9 +48,11 @@ def _max_id_before(spark: SparkSession, target_path: str, epoch_id: int) -> int:
     return int(value or 0)
 
 
-def load_batch(batch: DataFrame, epoch_id: int, target_path: str, quarantine_path: str) -> None:
+def load_batch(
+    batch: DataFrame, epoch_id: int, target_path: str, quarantine_path: str, fmt: DropFormat = DEFAULT_FORMAT
+) -> None:
     spark = batch.sparkSession
-    validated = validate_fields(batch)
+    validated = validate_fields(parse_lines(batch, fmt) if needs_records(fmt) else batch)
     base = _max_id_before(spark, target_path, epoch_id)
     rows = dense_ids(map_rep_columns(good_lines(validated)), ID_ORDER).withColumn("ID", F.col("ID") + F.lit(base))
     out = f"{target_path.rstrip('/')}/epoch={epoch_id}"
@@ -75,7 +78,7 @@ def start_drop_loader(
     (in several micro-batches when ``max_files_per_trigger`` is set)."""
     writer = (
         drop_stream(spark, drop_dir, fmt, max_files=max_files_per_trigger)
-        .writeStream.foreachBatch(lambda df, epoch: load_batch(df, epoch, target_path, quarantine_path))
+        .writeStream.foreachBatch(lambda df, epoch: load_batch(df, epoch, target_path, quarantine_path, fmt))
         .option("checkpointLocation", checkpoint_location)
     )
     if available_now:

@@ -177,7 +177,7 @@ def test_reader_parameters(spark, scratch):
     assert sorted(r["LastName"] for r in rows) == ["Lee", "Lee", "Ng", "Ng", "Wu", "Wu"]
     assert load_rep_targets(spark, scratch + "/c", scratch + "/t", "quarantine", scratch + "/q", fmt=skip).count() == 4
     assert {r["raw_line"] for r in spark.read.parquet(scratch + "/q").collect()} == {"Cy,Wu,5"}
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="header"):
         read_drop_text(spark, scratch + "/c", DropFormat(skip_header_rows=2, skip_rows=1)).collect()
 
 
