@@ -31,7 +31,7 @@ from finwater.operators.snapshot import (  # noqa: E402
 )
 from finwater.operators.totals import period_totals  # noqa: E402
 from finwater.plans.client_financials import client_financials, select_statements  # noqa: E402
-from finwater.schema import KEY_COLUMNS, MEASURES  # noqa: E402
+from finwater.schema import CSV_FIELDS, KEY_COLUMNS, MEASURES  # noqa: E402
 from finwater.sources.statements import (  # noqa: E402
     fixture_customers,
     fixture_latest_asof,
@@ -211,6 +211,13 @@ def q_csv_typed_scan(spark, sf):
     )
 
 
+def q_csv_qualified_scan(spark, sf):
+    """A drop with qualified fields over several lines and rows to skip."""
+    from finwater.sources.csv_drop import QUALIFIED, qualified_drop, read_drop_text
+
+    return read_drop_text(spark, qualified_drop(spark, sf), QUALIFIED).select(*CSV_FIELDS)
+
+
 def q_csv_strict_checks(spark, sf):
     return _validated(spark, sf).select(
         F.col("_line").alias("raw_line"), "FirstName_fits", "LastName_fits", "SalesQuantity_converts",
@@ -334,6 +341,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs.update(
         {
             "csv_typed_scan": q_csv_typed_scan,
+            "csv_qualified_scan": q_csv_qualified_scan,
             "csv_strict_checks": q_csv_strict_checks,
             "csv_quarantine": q_csv_quarantine,
             "csv_empty_defaults": q_csv_empty_defaults,
@@ -436,6 +444,7 @@ def oracle_sql() -> dict[str, str]:
                 'LastName, CASE WHEN ErrorColumn IS NULL THEN q END AS SalesQuantity, CASE WHEN ErrorColumn IS NULL THEN r END AS '
                 '"SalesRevenue ", CASE WHEN ErrorColumn IS NULL THEN y END AS Year, ErrorColumn, ErrorCode FROM drop_err',
             ),
+            "csv_qualified_scan": sqlref.QUALIFIED_SELECT,
             "csv_strict_checks": sqlref.with_ctes(
                 drop,
                 "SELECT raw_line, FirstName_fits, LastName_fits, SalesQuantity_converts, SalesRevenue_converts, "

@@ -141,52 +141,75 @@ def sales_target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     Nation names run to 8 letters (over the 7-letter width), a quantity of
     five times the balance overflows SMALLINT for rich customers, a negative
     balance leaves the quantity empty, and some last names hold the bytes
-    0x80 and 0x9C -- so the drop carries every kind of line the load has to
-    handle.
+    0x80 and 0x9C or a bare LF -- so the drop carries every kind of line the
+    load has to handle.
     """
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     rows = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
+    odd = F.when(F.col("c_custkey") % 40 == 0, "\x80\x9c").when(F.col("c_custkey") % 40 == 7, "\n").otherwise("")
     return rows.select(
         F.regexp_replace("n_name", "_", "").alias("FirstName"),
-        F.concat(
-            F.lit("Rep"), F.when(F.col("c_custkey") % 40 == 0, "\x80\x9c").otherwise(""), F.col("c_custkey").cast("string")
-        ).alias("LastName"),
+        F.concat(F.lit("Rep"), odd, F.col("c_custkey").cast("string")).alias("LastName"),
         F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") * 5).cast("string")).alias("SalesQuantity"),
         F.floor(F.col("c_acctbal") * 100).cast("string").alias("SalesRevenue "),
         (F.lit(2000) + F.col("n_regionkey")).cast("string").alias("Year"),
     )
 
 
-def write_drop(df: DataFrame, path: str) -> str:
-    """Write lines as a CSV drop: header, comma, CRLF, empty for NULL."""
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
-        .option("sep", ",")
-        .option("lineSep", "\r\n")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("quote", "\u0000")
-        .option("encoding", "ISO-8859-1")
-        .option("emptyValue", "")
-        .option("nullValue", "")
-        .csv(path)
-    )
+def qualified_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines with last names that need a text qualifier: row and
+    column delimiters and qualifiers inside."""
+    key = F.regexp_extract("LastName", "([0-9]+)$", 1).cast("long")
+    name = F.when(key % 3 == 0, F.concat(F.lit('of "'), key, F.lit('",\r\n'))).when(key % 3 == 1, F.concat(key, F.lit("\r\n\r\n"))).otherwise(key.cast("string"))
+    return sales_target_rows(spark, sf_dir).withColumn("LastName", name)
+
+
+def write_drop(df: DataFrame, path: str, fmt: DropFormat = DEFAULT_FORMAT, before: list[str] = (), after: list[str] = ()) -> str:
+    """Write lines as a CSV drop in the format's delimiters: every file has the
+    header, with the rows ``before`` and ``after`` it; empty for NULL."""
+    value = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit(""))
+    if fmt.quote:
+        own = F.lit(fmt.quote)
+        needs = lambda c: F.contains(value(c), own) | F.contains(value(c), F.lit(fmt.sep)) | F.contains(value(c), F.lit(fmt.line_sep))
+        shown = [F.when(needs(c), F.concat(own, F.replace(value(c), own, F.concat(own, own)), own)).otherwise(value(c)) for c in df.columns]
+    else:
+        shown = [value(c) for c in df.columns]
+    top = [*before, *([fmt.sep.join(df.columns)] if fmt.header else []), *after]
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of a file's rows
+    line = F.concat_ws(fmt.sep, *shown)
+    if top:
+        line = F.when(first, F.concat(F.lit(fmt.line_sep.join(top) + fmt.line_sep), line)).otherwise(line)
+    # the text writer takes the bytes as they are
+    raw = df.select(F.encode(line, fmt.charset).cast("string").alias("value"))
+    raw.write.mode("overwrite").option("lineSep", fmt.line_sep).text(path)
     return path
 
 
 # bump when the derivation rule changes
-DROP_VERSION = 2
+DROP_VERSION = 3
+#: Format of the qualified drop: two rows (one of them over two lines) before
+#: the header, and a row of units after it.
+QUALIFIED = DropFormat(quote='"', skip_header_rows=2, skip_rows=1)
+QUALIFIED_TOP = (['Sales targets', '"of all\r\nregions",x'], ["text,text,pieces,cents,year"])
 
 
-def sales_target_drop(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the derived drop for ``sf_dir`` under the shared scratch folder
-    (written once per state of the source files)."""
+def _derived_drop(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Path of a derived drop under the shared scratch folder (written once per
+    state of the source files)."""
     tag = source_tag(spark, table_path(sf_dir, "customer"), table_path(sf_dir, "nation"))
-    path = shared_scratch(spark, f"drops/sales_target_v{DROP_VERSION}_{tag}.csv")
+    path = shared_scratch(spark, f"drops/{name}_v{DROP_VERSION}_{tag}.csv")
     if not path_exists(spark, path + "/_SUCCESS"):
         staging = shared_scratch(spark, "staging/drop", unique=True)
-        write_drop(sales_target_rows(spark, sf_dir), staging)
+        write(staging)
         publish_once(spark, staging, path)
     return path
+
+
+def sales_target_drop(spark: SparkSession, sf_dir: str) -> str:
+    return _derived_drop(spark, sf_dir, "sales_target", lambda to: write_drop(sales_target_rows(spark, sf_dir), to))
+
+
+def qualified_drop(spark: SparkSession, sf_dir: str) -> str:
+    write = lambda to: write_drop(qualified_rows(spark, sf_dir), to, QUALIFIED, *QUALIFIED_TOP)
+    return _derived_drop(spark, sf_dir, "qualified", write)

@@ -253,8 +253,16 @@ def base_ctes(dedup: str = "group") -> list[str]:
 
 # ------------------------------------------------------------ sales-target drop
 
+QUALIFIED_SELECT = """SELECT replace(n_name, '_', '') AS FirstName,
+  CASE c_custkey % 3 WHEN 0 THEN 'of "' || c_custkey || '",' || chr(13) || chr(10)
+    WHEN 1 THEN c_custkey || chr(13) || chr(10) || chr(13) || chr(10) ELSE CAST(c_custkey AS VARCHAR) END AS LastName,
+  CASE WHEN c_acctbal >= 0 THEN CAST(CAST(floor(c_acctbal*5) AS BIGINT) AS VARCHAR) END AS SalesQuantity,
+  CAST(CAST(floor(c_acctbal*100) AS BIGINT) AS VARCHAR) AS "SalesRevenue ",
+  CAST(2000 + n_regionkey AS VARCHAR) AS Year
+  FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
 DROP_CTES = [
-    """drop_text AS (SELECT replace(n_name, '_', '') AS FirstName, 'Rep' || CASE WHEN c_custkey % 40 = 0 THEN '€œ' ELSE '' END || CAST(c_custkey AS VARCHAR) AS LastName,
+    """drop_text AS (SELECT replace(n_name, '_', '') AS FirstName, 'Rep' || CASE WHEN c_custkey % 40 = 0 THEN '€œ' WHEN c_custkey % 40 = 7 THEN chr(10) ELSE '' END || CAST(c_custkey AS VARCHAR) AS LastName,
   CASE WHEN c_acctbal >= 0 THEN CAST(CAST(floor(c_acctbal*5) AS BIGINT) AS VARCHAR) END AS SalesQuantity,
   CAST(CAST(floor(c_acctbal*100) AS BIGINT) AS VARCHAR) AS "SalesRevenue ",
   CAST(2000 + n_regionkey AS VARCHAR) AS Year
