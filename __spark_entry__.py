@@ -252,6 +252,41 @@ def q_surrogate_key(spark, sf):
     return prepare_targets(good_lines(_validated(spark, sf))).select("ID", "LastName")
 
 
+def q_sink_errors(spark, sf):
+    """Rows of the drop that a target with these limits refuses."""
+    from finwater.operators.constraints import with_limits
+    from finwater.plans.rep_load import REP_TARGET, checked_lines, sink_errors
+
+    limits = {"LastName": {"width": 6}, "TargetSalesQuantity": {"most": 20000}, "TargetSalesRevenue": {"least": 0, "most": 250000}}
+    return sink_errors(checked_lines(_validated(spark, sf), with_limits(REP_TARGET, **limits)))
+
+
+def q_sink_defaults(spark, sf):
+    """Zero-length quantities as 0 (the source's default), and retained as NULL
+    and replaced by the DEFAULT that the catalogue declares for the column."""
+    import uuid
+
+    from finwater.operators.constraints import declared_columns
+    from finwater.operators.loads import validate_fields
+    from finwater.plans.rep_load import checked_lines
+    from finwater.sources.csv_drop import read_drop_text, sales_target_drop
+
+    table = f"rep_defaults_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {table} (LastName STRING, TargetSalesQuantity INT DEFAULT -1, TargetYear INT DEFAULT 1900) USING parquet")
+    try:
+        columns = declared_columns(spark, table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+    text = read_drop_text(spark, sales_target_drop(spark, sf))
+    both = [checked_lines(validate_fields(text, retain_nulls=retain), columns) for retain in (False, True)]
+    names = ("empty_default", "null_default")
+    parts = [
+        df.filter(F.col("ErrorColumn").isNull()).select(F.lit(name).alias("mode"), F.col("_line").alias("raw_line"), "TargetSalesQuantity")
+        for name, df in zip(names, both)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def q_load_rep_targets(spark, sf):
     from finwater.plans.rep_load import load_rep_targets
     from finwater.session import shared_scratch
@@ -347,6 +382,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "csv_empty_defaults": q_csv_empty_defaults,
             "map_rep_columns": q_map_rep_columns,
             "surrogate_key": q_surrogate_key,
+            "sink_errors": q_sink_errors,
+            "sink_defaults": q_sink_defaults,
             "load_rep_targets": q_load_rep_targets,
             "stream_rep_targets": q_stream_rep_targets,
             "trailing_window": q_trailing_window,
@@ -461,6 +498,17 @@ def oracle_sql() -> dict[str, str]:
             "map_rep_columns": sqlref.with_ctes(
                 drop, "SELECT * REPLACE (CAST(TargetSalesRevenue AS DOUBLE) AS TargetSalesRevenue) FROM targets"
             ),
+            "sink_errors": sqlref.with_ctes(
+                drop,
+                "SELECT raw_line, CASE WHEN length(ln) > 6 THEN 2 ELSE 3 END AS ErrorCode, CASE WHEN length(ln) > 6 THEN 3 "
+                "WHEN q > 20000 THEN 4 ELSE 5 END AS ErrorColumn FROM drop_err WHERE ErrorColumn IS NULL "
+                "AND (length(ln) > 6 OR q > 20000 OR r < 0 OR r > 250000)",
+            ),
+            "sink_defaults": sqlref.with_ctes(
+                drop,
+                "SELECT m.mode, raw_line, CASE WHEN m.mode = 'null_default' AND raw_q IS NULL THEN -1 ELSE CAST(q AS INTEGER) END "
+                "AS TargetSalesQuantity FROM drop_err, (VALUES ('empty_default'), ('null_default')) m(mode) WHERE ErrorColumn IS NULL",
+            ),
             "surrogate_key": sqlref.with_ctes(drop, "SELECT ID, LastName FROM targets_id"),
             "stream_rep_targets": sqlref.with_ctes(
                 drop, "SELECT * REPLACE (CAST(TargetSalesRevenue AS DOUBLE) AS TargetSalesRevenue) FROM targets_id"

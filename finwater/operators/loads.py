@@ -36,23 +36,25 @@ def empty_defaults(df: DataFrame) -> DataFrame:
     return out
 
 
-def validate_fields(text_df: DataFrame) -> DataFrame:
-    """Per-field checks on the text layout.
+def validate_fields(text_df: DataFrame, retain_nulls: bool = False) -> DataFrame:
+    """Per-field checks on the text layout. ``retain_nulls`` leaves zero-length
+    fields NULL, for the target's own defaults.
 
     Adds the typed values (NULL where a field does not convert), one flag per
     check, and the first failing field (``ErrorColumn``) with its kind
     (``ErrorCode``: 'truncation' or 'conversion').
     """
-    df = empty_defaults(text_df.withColumn("_line", raw_line(text_df)))
+    df = text_df.withColumn("_line", raw_line(text_df))
+    df = df if retain_nulls else empty_defaults(df)
     checks = []
     for name in TEXT_FIELDS:
         flag = f"{name}_fits"
-        df = df.withColumn(flag, F.length(_c(name)) <= CSV_WIDTHS[name])
+        df = df.withColumn(flag, F.coalesce(F.length(_c(name)), F.lit(0)) <= CSV_WIDTHS[name])
         checks.append((name, flag, "truncation"))
     for name, typ in NUMERIC_FIELDS:
         flag = f"{name.strip()}_converts"
         df = df.withColumn(f"_typed_{name.strip()}", _c(name).try_cast(typ))
-        df = df.withColumn(flag, F.col(f"_typed_{name.strip()}").isNotNull())
+        df = df.withColumn(flag, F.col(f"_typed_{name.strip()}").isNotNull() | _c(name).isNull())
         checks.append((name, flag, "conversion"))
     if CORRUPT in df.columns:  # wrong number of fields: the line's layout is bad
         df = df.withColumn("_layout_ok", F.col(CORRUPT).isNull())
@@ -85,18 +87,22 @@ def quarantine(validated: DataFrame) -> DataFrame:
     )
 
 
-def map_rep_columns(validated: DataFrame, name_width: int = TARGET_NAME_WIDTH) -> DataFrame:
+def map_rep_columns(validated: DataFrame, name_width: int | None = TARGET_NAME_WIDTH, keep: list[str] = ()) -> DataFrame:
     """Source -> target names and widened types.
 
     SalesQuantity -> TargetSalesQuantity (int), "SalesRevenue " ->
     TargetSalesRevenue (decimal(19,4), currency), Year -> TargetYear (int);
-    names keep their text, checked against the target's name width (50; an
-    older target build had 255).
+    names keep their text. A name wider than the target's width (50; an older
+    target build had 255) fails the job; with None it is left to the target's
+    declaration.
     """
-    width = F.lit(name_width)
+    names = {n: F.col(n) for n in TEXT_FIELDS}
+    if name_width is not None:
+        width = F.lit(name_width)
+        names = {n: F.when(F.length(n) > width, F.raise_error(F.lit(f"{n} too long"))).otherwise(F.col(n)) for n in TEXT_FIELDS}
     return validated.select(
-        F.when(F.length("FirstName") <= width, F.col("FirstName")).otherwise(F.raise_error(F.lit("FirstName too long"))).alias("FirstName"),
-        F.when(F.length("LastName") <= width, F.col("LastName")).otherwise(F.raise_error(F.lit("LastName too long"))).alias("LastName"),
+        *keep,
+        *[c.alias(n) for n, c in names.items()],
         F.col("_typed_SalesQuantity").cast("int").alias("TargetSalesQuantity"),
         F.col("_typed_SalesRevenue").cast("decimal(19,4)").alias("TargetSalesRevenue"),
         F.col("_typed_Year").cast("int").alias("TargetYear"),

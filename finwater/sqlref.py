@@ -269,7 +269,7 @@ DROP_CTES = [
   FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
     """drop_checked AS (SELECT concat_ws(',', coalesce(FirstName,''), coalesce(LastName,''), coalesce(SalesQuantity,''),
     coalesce("SalesRevenue ",''), coalesce(Year,'')) AS raw_line,
-  coalesce(FirstName,'') AS fn, coalesce(LastName,'') AS ln,
+  coalesce(FirstName,'') AS fn, coalesce(LastName,'') AS ln, SalesQuantity AS raw_q,
   SalesQuantity IS NULL OR "SalesRevenue " IS NULL OR Year IS NULL OR FirstName IS NULL OR LastName IS NULL AS has_empty,
   TRY_CAST(coalesce(SalesQuantity,'0') AS SMALLINT) AS q, TRY_CAST(coalesce("SalesRevenue ",'0') AS INTEGER) AS r,
   TRY_CAST(coalesce(Year,'0') AS SMALLINT) AS y FROM drop_text)""",

@@ -16,10 +16,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from finwater.operators.loads import dense_ids, good_lines, map_rep_columns, quarantine, validate_fields
-from finwater.plans.rep_load import ID_ORDER
+from finwater.operators.loads import dense_ids, validate_fields
+from finwater.plans.rep_load import (
+    ID_ORDER,
+    accepted,
+    checked_lines,
+    sink_error_path,
+    sink_errors,
+    source_errors,
+    store_checked,
+    target_columns,
+)
 from finwater.schema import TARGET_COLUMNS
-from finwater.session import path_exists
+from finwater.session import delete_path, path_exists, shared_scratch
 from finwater.sources.csv_drop import DEFAULT_FORMAT, TEXT_SCHEMA, DropFormat, decoded, drop_lines, needs_records, parse_lines
 
 
@@ -51,16 +60,22 @@ def _max_id_before(spark: SparkSession, target_path: str, epoch_id: int) -> int:
 def load_batch(
     batch: DataFrame, epoch_id: int, target_path: str, quarantine_path: str, fmt: DropFormat = DEFAULT_FORMAT
 ) -> None:
+    """One parse of the micro-batch: every line is stored with its checks, and
+    target, quarantine and the sink's errors are taken from that copy."""
     spark = batch.sparkSession
     validated = validate_fields(parse_lines(batch, fmt) if needs_records(fmt) else batch)
+    path = shared_scratch(spark, "staging/checked", unique=True)
+    stored, _ = store_checked(checked_lines(validated, target_columns()), path)
     base = _max_id_before(spark, target_path, epoch_id)
-    rows = dense_ids(map_rep_columns(good_lines(validated)), ID_ORDER).withColumn("ID", F.col("ID") + F.lit(base))
+    rows = dense_ids(accepted(stored), ID_ORDER).withColumn("ID", F.col("ID") + F.lit(base))
     out = f"{target_path.rstrip('/')}/epoch={epoch_id}"
     rows.select(*TARGET_COLUMNS).write.mode("overwrite").parquet(out)
-    quarantine(validated).write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/epoch={epoch_id}")
+    for errors, to in ((source_errors, quarantine_path), (sink_errors, sink_error_path(quarantine_path))):
+        errors(stored).write.mode("overwrite").parquet(f"{to.rstrip('/')}/epoch={epoch_id}")
     # the marker is written last: a replayed batch rewrites data and marker
     top = spark.read.parquet(out).agg(F.max("ID").alias("max_id")).withColumn("max_id", F.coalesce("max_id", F.lit(base)))
     top.coalesce(1).write.mode("overwrite").parquet(f"{_ids_path(target_path)}/epoch={epoch_id}")
+    delete_path(spark, path)
 
 
 def start_drop_loader(
