@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from finwater.functions import key_concat
 from finwater.operators.cohorts import assign_cohorts_by_key, cohort_chain, entity_stage, place_by_key
 from finwater.operators.eligibility import DEDUP_KEYS, dedup_statements_by_key_set, eligible
+from finwater.operators.key_filter import key_filter, passing, size_for
 from finwater.operators.metrics import metric_columns
 from finwater.operators.periods import assign_period
 from finwater.operators.snapshot import latest_snapshot
@@ -104,25 +105,40 @@ def select_statements_all(stmts: DataFrame, literal_chain: bool = False, as_of=N
     return place_by_key(entity_stage(_dedup_with(elig, passing)), cross)
 
 
-def statement_snapshots(stmts: DataFrame, periods: DataFrame) -> DataFrame:
+#: Slice keys up to which the history is filtered by a broadcast of them.
+MAX_FILTER_KEYS = 1_000_000
+
+
+def _cut_history(hist: DataFrame, slices: DataFrame, filter_keys: int) -> DataFrame:
+    """The history's rows (with their ``_key``) that can meet a slice row: by a
+    broadcast of the slices' keys, or beyond ``filter_keys`` of them by a Bloom
+    filter of bounded size, so only what is needed is shuffled."""
+    keys = slices.select(F.col("pkid_").alias("_key"))
+    n = keys.count()
+    if n <= filter_keys:
+        return hist.join(F.broadcast(keys), "_key", "left_semi")
+    words = size_for(n)
+    return passing(hist, F.col("_key"), key_filter(keys, "_key", words), words)
+
+
+def statement_snapshots(stmts: DataFrame, periods: DataFrame, filter_keys: int = MAX_FILTER_KEYS) -> DataFrame:
     """Each period-tagged statement with every snapshot date holding its key
-    text (a left join into the whole history, as the source batch does)."""
+    text (a left join into the whole history, as the source batch does). The
+    slice rows are stored once and cut the history before its exchange; every
+    slice key is in the history, but the join stays a left one."""
     hist = stmts.select(key_concat("entityid", "statementid").alias("_key"), F.col("asofdate").alias("AOD"))
-    slices = periods.select(*SLICE_KEYS).distinct()
+    slices = reliable_cut(periods.select(*SLICE_KEYS).distinct())
+    hist = _cut_history(hist, slices, filter_keys)
     return slices.join(hist, slices["pkid_"] == hist["_key"], "left").select(*SLICE_KEYS, "AOD").distinct()
 
 
-#: Slice keys up to which the history is filtered by a broadcast of them.
-MAX_FILTER_KEYS = 1_000_000
-
-
 def slice_metrics_all(stmts: DataFrame, periods: DataFrame, filter_keys: int = MAX_FILTER_KEYS) -> DataFrame:
     """Per slice row: its distinct metric rows, weighted by the number of
     snapshot dates of its key.
 
     The slice rows are stored once.  Every slice key is in the history (its
-    own row is), so the lookup is an inner join on the key text; up to
-    ``filter_keys`` keys the history is cut to them before it is shuffled.
+    own row is), so the lookup is an inner join on the key text, and the
+    history is cut to them before it is shuffled (``_cut_history``).
     The distinct snapshot dates are counted with a ``dense_rank`` window and
     the metric rows de-duplicated after the join, both on the join's own key
     partitioning (no further exchange).  Groups are one statement's rows
@@ -130,9 +146,7 @@ def slice_metrics_all(stmts: DataFrame, periods: DataFrame, filter_keys: int = M
     """
     hist = stmts.select(key_concat("entityid", "statementid").alias("_key"), F.col("asofdate").alias("_aod"), *MEASURES)
     slices = reliable_cut(periods.select(*SLICE_KEYS).distinct())
-    keys = slices.select(F.col("pkid_").alias("_key"))
-    if keys.count() <= filter_keys:
-        hist = hist.join(F.broadcast(keys), "_key", "left_semi")
+    hist = _cut_history(hist, slices, filter_keys)
     joined = slices.join(hist, slices["pkid_"] == hist["_key"])
     lines = joined.select(*SLICE_KEYS, "_aod", *metric_columns())
     per_slice = Window.partitionBy(*SLICE_KEYS)
