@@ -308,6 +308,50 @@ def q_trailing_window(spark, sf):
     )
 
 
+def q_months_in_window(spark, sf):
+    from finwater.operators.extras import months_in_window, newest_statement_date
+
+    elig = eligible(_keys(spark, sf))
+    return months_in_window(elig, 1, newest_statement_date(elig), 24).select("entityid", "pkid_", "statementdatekey_", "statementmonths")
+
+
+def q_collated_dedup(spark, sf):
+    """Groups, greatest keys and ranks of text keys under a collation, with
+    the system ids that a collated join finds."""
+    from finwater.operators import collated as cl
+
+    latest = cl.text_keys(_keys(spark, sf))
+    top = cl.dedup_collated(latest, ["entityid", "statementdatekey_", "statementtype"], "pkid_")
+    ranked = cl.ranked_collated(top, ["entityid"], ["statementdatekey_", "pkid_"])
+    ids = latest.select("entityid").distinct().select(
+        F.lower(F.rtrim("entityid")).alias("entityid"), F.concat(F.lit("SYS"), F.lower(F.rtrim("entityid"))).alias("systemid")
+    ).distinct()
+    shown = lambda c: F.lower(F.rtrim(c)).alias(c)
+    return cl.join_collated(ranked, ids, "entityid").select(
+        "systemid", shown("entityid"), "statementdatekey_", shown("statementtype"), shown("pkid_"), "statementid", "ranked_order"
+    )
+
+
+def q_client_financials_from_tables(spark, sf):
+    """The report from catalogue tables, found by three-part names; snapshot
+    dates from the catalogue's partitions."""
+    from finwater.sources.resolve import read_source
+    from finwater.sources.statements import customers_from_customer, fixture_history_path, read_statements, snapshot_dates
+    from finwater.sources.tables import table_path
+
+    path = fixture_history_path(spark, sf)
+    history, customer = (f"fw_{name}_{abs(hash((path, sf))):x}" for name in ("history", "customer"))
+    if not spark.catalog.tableExists(history):
+        spark.catalog.createTable(history, path=path, source="parquet")
+        spark.catalog.recoverPartitions(history)
+    if not spark.catalog.tableExists(customer):
+        spark.catalog.createTable(customer, path=table_path(sf, "customer"), source="parquet")
+    full = lambda t: f"[{spark.catalog.currentCatalog()}].[{spark.catalog.currentDatabase()}].[{t}]"
+    dates = snapshot_dates(spark, full(history))
+    customers = customers_from_customer(read_source(spark, full(customer)).select("c_custkey", "c_name"))
+    return client_financials(read_statements(spark, full(history)), customers, as_of=dates[-1])
+
+
 def q_contiguous_coverage(spark, sf):
     from finwater.operators.extras import contiguous_coverage
 
@@ -387,6 +431,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "load_rep_targets": q_load_rep_targets,
             "stream_rep_targets": q_stream_rep_targets,
             "trailing_window": q_trailing_window,
+            "months_in_window": q_months_in_window,
+            "collated_dedup": q_collated_dedup,
+            "client_financials_from_tables": q_client_financials_from_tables,
             "contiguous_coverage": q_contiguous_coverage,
             "entity_system_ids": q_entity_system_ids,
         }
@@ -526,6 +573,20 @@ def oracle_sql() -> dict[str, str]:
                 "BETWEEN CAST((SELECT max(statementdatekey_) FROM elig) - INTERVAL 12 MONTH AS DATE) "
                 "AND (SELECT max(statementdatekey_) FROM elig)"
             ),
+            "months_in_window": _sql(
+                "SELECT entityid, pkid_, statementdatekey_, statementmonths FROM elig WHERE statementmonths = 1 AND statementdatekey_ "
+                "BETWEEN CAST((SELECT max(statementdatekey_) FROM elig) - INTERVAL 24 MONTH AS DATE) "
+                "AND (SELECT max(statementdatekey_) FROM elig)"
+            ),
+            "collated_dedup": _sql(
+                """SELECT 'SYS' || 'ent' || entityid AS systemid, 'ent' || entityid AS entityid, statementdatekey_, t AS statementtype,
+  key AS pkid_, statementid, CAST(dense_rank() OVER (PARTITION BY entityid ORDER BY statementdatekey_ DESC, key COLLATE NOCASE DESC)
+  AS INTEGER) AS ranked_order FROM (
+    SELECT *, max(key) OVER (PARTITION BY entityid, statementdatekey_, t COLLATE NOCASE) AS top FROM (
+      SELECT *, lower(rtrim(statementtype)) AS t, 'ent' || entityid || '-' || (statementid % 50) AS key FROM latest))
+WHERE top = key"""
+            ),
+            "client_financials_from_tables": _sql(sqlref.report_select(), sqlref.metrics_ctes("latest") + sqlref.TOTAL_CTES),
             "contiguous_coverage": _sql(
                 """SELECT entityid, statementmonths, max(statementdatekey_) AS newest_date, min(statementdatekey_) AS oldest_date,
   count(*) AS run_statements, CAST(count(*) * statementmonths AS BIGINT) AS run_months,

@@ -37,6 +37,7 @@ def cmd_report(spark: SparkSession, a) -> dict:
     from pyspark.sql import functions as F
 
     from finwater.plans.client_financials import client_financials
+    from finwater.sources.resolve import read_source
     from finwater.sources.statements import read_statements, snapshot_dates
 
     stmts = read_statements(spark, a.history)
@@ -46,7 +47,7 @@ def cmd_report(spark: SparkSession, a) -> dict:
         as_of = dates[-1] if dates else None
     customers = None
     if a.customers:
-        customers = spark.read.parquet(a.customers).select(F.col(a.customer_id).cast("bigint").alias("customerid"))
+        customers = read_source(spark, a.customers).select(F.col(a.customer_id).cast("bigint").alias("customerid"))
     window = (dt.date.fromisoformat(a.report_date), a.window_months) if a.window_months else None
     df = client_financials(stmts, customers, as_of=as_of, snapshots=a.snapshots, window=window)
     _write(df, a.out, a.format)
@@ -81,8 +82,8 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="cmd", required=True)
 
     r = sub.add_parser("report", help="client-financials report")
-    r.add_argument("--history", required=True, help="statement history (parquet, partitioned by asofdate)")
-    r.add_argument("--customers", help="customer table (parquet)")
+    r.add_argument("--history", required=True, help="statement history: a Parquet folder or a table name of up to three parts, partitioned by asofdate")
+    r.add_argument("--customers", help="customer table: a Parquet folder or a table name")
     r.add_argument("--customer-id", default="customerid")
     r.add_argument("--snapshots", choices=["latest", "all"], default="latest")
     r.add_argument("--as-of", help="snapshot date (default: newest)")

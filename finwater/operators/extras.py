@@ -21,6 +21,12 @@ def trailing_window(df: DataFrame, as_of: dt.date, months: int = 12) -> DataFram
     return df.filter(F.col("statementdatekey_").between(start, F.lit(as_of)))
 
 
+def months_in_window(df: DataFrame, statement_months: int, as_of: dt.date, months: int = 12) -> DataFrame:
+    """Statements of one length that also lie in the trailing window; both
+    conditions reach the scan."""
+    return trailing_window(df, as_of, months).filter(F.col("statementmonths") == statement_months)
+
+
 def newest_statement_date(df: DataFrame) -> dt.date | None:
     """One scalar to the driver (the newest statement date)."""
     return df.select(F.max("statementdatekey_").alias("m")).first()["m"]

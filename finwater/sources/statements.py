@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from finwater.functions import key_concat, to_statement_date, try_statement_date
 from finwater.schema import MEASURES, STATEMENT_SCHEMA
 from finwater.session import path_exists, publish_once, shared_scratch, source_tag
+from finwater.sources.resolve import is_path, partition_dates, read_source
 from finwater.sources.tables import read_table, table_path
 from pyspark.sql import types as T
 
@@ -32,11 +33,12 @@ SIGNED_MEASURES = ("netopprofit", "retainedearnings", "netprofit")
 def unreadable_dates(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a history whose statement date is given but is no date."""
     date = F.col("statementdatekey_")
-    return spark.read.parquet(path).filter(date.isNotNull() & try_statement_date("statementdatekey_").isNull())
+    return read_source(spark, path).filter(date.isNotNull() & try_statement_date("statementdatekey_").isNull())
 
 
 def read_statements(spark: SparkSession, path: str, bad_dates: str = "raise") -> DataFrame:
-    """Read a statement history dataset and normalise its key columns.
+    """Read a statement history (a Parquet folder or a catalogue table of up to
+    three name parts) and normalise its key columns.
 
     ``asofdate`` is truncated to a date (a time part on the newest day would
     otherwise miss the latest-snapshot filter); ``statementdatekey_`` may be a
@@ -47,7 +49,7 @@ def read_statements(spark: SparkSession, path: str, bad_dates: str = "raise") ->
     """
     if bad_dates not in ("raise", "quarantine"):
         raise ValueError(f"bad_dates must be 'raise' or 'quarantine', not {bad_dates!r}")
-    df = spark.read.parquet(path)
+    df = read_source(spark, path)
     cols = set(df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     if not isinstance(types["asofdate"], T.DateType):
@@ -69,7 +71,10 @@ def read_statements(spark: SparkSession, path: str, bad_dates: str = "raise") ->
 
 def snapshot_dates(spark: SparkSession, path: str, column: str = "asofdate") -> list[dt.date]:
     """Snapshot dates of a history partitioned by ``column``, from the
-    partition folder names alone (no file is opened)."""
+    partition folder names, or a table's partitions in the catalogue, alone (no
+    file is opened). Empty if there are no such partitions."""
+    if not is_path(path):
+        return partition_dates(spark, path, column) or []
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
