@@ -1,25 +1,37 @@
 """Tool calls linked to their results, ordered, validated and serialised.
 
-Calls and results meet by an equi-join on (conversation, identifier) after
-both sides are grouped, so that repeated identifiers are combined before the
-shuffle. Calls are ordered by layers of their dependencies: layer 0 depends on
-nothing, layer k on calls of lower layers; (conversation, level, position) is
-a topological order. Layers come off in rounds of anti-joins over the slim
-dependency edges, stored per round, so that one conversation may be of any
-size. Arguments are parsed and validated against the tool's schema, and every
-message is serialised as canonical JSON (keys in UTF-16 order, no spaces,
-shortest numbers), in Arrow batches.
-
-Statuses: ``answered`` (a result after the call), ``early`` (the first result
-lies before the call), ``unanswered``, ``orphan`` (a result without a call),
-``no_id`` (null identifier or conversation), ``cycle`` (the call depends on
-itself, directly or not, or on such a call; level null).
-
-Cases: of calls or results that share an identifier in a conversation the
-first by position (then content) is linked, ``n_calls`` and ``n_results`` tell
-how many there were. Dependencies on calls that do not exist are counted in
-``missing`` and otherwise ignored. Null or empty arguments are not JSON. Empty
-tables give an empty result. Other columns are ignored.
+Identifiers may come again in a conversation (``call_0`` in every turn). The
+calls and results of an identifier, by position (calls first), make rounds: a
+run of calls and the run of results after it. In a round of k calls and m
+results the i-th call has the i-th result; with fewer results than calls the
+last m calls have them, with more the rest are extra. A dependency means the
+latest earlier call of its identifier, or else the next one.
+
+Both need neighbours inside an identifier, which may hold any share of the
+rows, so slim events (identifier, position, kind, row) are range-sorted and
+stored once; windows run inside the sorted partitions, and what they need from
+other partitions is carried over by one small row per partition. Rounds, calls
+and results then meet in equi-joins on numbers that no two rows of a side
+share, so no key is hot. Calls are ordered by layers of their dependencies:
+layer 0 depends on nothing, layer k on calls of lower layers; (conversation,
+level, position) is a topological order. A conversation with up to
+``MAX_EDGES`` dependencies is ordered in one grouped step, a larger one by
+rounds of anti-joins, a layer each. Arguments are parsed and validated against
+the tool's schema, and every message is serialised as canonical JSON (keys in
+UTF-16 order, no spaces, shortest numbers), in Arrow batches.
+
+One row per call and per result without a call of its own. Statuses:
+``answered``, ``unanswered``, ``cycle`` (the call depends on itself, directly
+or not, or on such a call; level null) for calls; ``extra`` (its round has no
+call left), ``early`` (before the identifier's first call), ``orphan`` (no call
+has the identifier) for results; ``no_id`` (null identifier or conversation)
+for both, which take part in nothing.
+
+Cases: ``n_calls`` and ``n_results`` count the identifier's rows. Equal
+positions are ordered by content. Dependencies on calls that do not exist are
+counted in ``missing`` and otherwise ignored. Null or empty arguments are not
+JSON; arguments and contents of any length are taken whole. Empty tables give
+an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,16 +41,19 @@ from collections.abc import Iterator
 from decimal import Decimal
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finwater.operators.loads import range_sorted
 from finwater.session import ensure_checkpoint_dir, shared_scratch
 
 from .base import prepare
 
 #: Tools whose schemas are sent to the tasks.
 MAX_TOOLS = 10_000
+#: Dependencies of a conversation up to which one grouped step orders its calls.
+MAX_EDGES = 50_000
 TYPES = {
     "object": dict, "array": list, "string": str, "boolean": bool, "number": (int, float), "integer": int, "null": type(None),
 }
@@ -145,79 +160,211 @@ def violation(value, schema: dict, at: str = "$") -> str | None:
     return None
 
 
-def levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level, missing) for calls (conv_id, call_id,
-    depends_on), one row per call; level is null inside and behind cycles."""
+_CALL, _RESULT, _LOOKUP = 0, 1, -1
+_KEY = ["conv_id", "call_id"]
+
+
+def _events(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """Calls, results and dependencies in (identifier, position, kind) order,
+    stored with partition and place."""
     spark = calls.sparkSession
-    ensure_checkpoint_dir(spark)
-    named = calls.select("conv_id", "call_id")
-    wanted = calls.select("conv_id", "call_id", F.explode(F.array_distinct("depends_on")).alias("dep")).filter(F.col("dep").isNotNull())
-    there = named.select(F.col("conv_id").alias("_c"), F.col("call_id").alias("_d"))
-    edges = wanted.join(there, (F.col("conv_id") == F.col("_c")) & (F.col("dep") == F.col("_d")), "left")
-    edges = edges.select("conv_id", "call_id", "dep", F.col("_d").isNull().alias("absent")).checkpoint()
-    absent = edges.filter("absent").groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("missing"))
-    left = edges.filter("NOT absent").drop("absent")
-    path = shared_scratch(spark, "call_levels", unique=True)
-    bound = left.select("conv_id", "call_id").distinct()
-    front, level = named.join(bound, ["conv_id", "call_id"], "left_anti"), 0
-    schema = T.StructType([named.schema["conv_id"], named.schema["call_id"], T.StructField("level", T.LongType())])
+    known = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    event = lambda df, kind, tie: df.filter(known).select(
+        *_KEY, "position", F.lit(kind).alias("kind"), tie.alias("tie"), "row"
+    )
+    looked = calls.filter(known).select("conv_id", F.explode(F.array_distinct("depends_on")).alias("call_id"), "position", "row")
+    every = event(calls, _CALL, F.xxhash64("name", "arguments", "depends_on")).unionByName(
+        event(results, _RESULT, F.xxhash64("content"))
+    ).unionByName(event(looked, _LOOKUP, F.lit(0).cast("long")))
+    path = shared_scratch(spark, "call_events", unique=True)
+    range_sorted(every, [*_KEY, "position", "kind", "tie", "row"]).drop("tie", "position").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _carried(found: DataFrame, take: list[str], backwards: list[str] = ()) -> DataFrame:
+    """(_pid, c_*): for each partition the last value that is not null in the
+    partitions before it (``backwards``: after it), from a row per partition."""
+    rows = sorted(found.collect(), key=lambda r: r["_pid"])
+    out: dict[int, dict] = {r["_pid"]: {} for r in rows}
+    for name in take:
+        held = None
+        for r in reversed(rows) if name in backwards else rows:
+            out[r["_pid"]][name] = held
+            held = r[name] if r[name] is not None else held
+    schema = T.StructType([T.StructField("_pid", T.IntegerType())] + [T.StructField(f"c_{n}", found.schema[n].dataType) for n in take])
+    return found.sparkSession.createDataFrame([(p, *(v[n] for n in take)) for p, v in out.items()], schema)
+
+
+def _totals(found: DataFrame, take: list[str]) -> DataFrame:
+    """(_pid, o_*): sums over the partitions before each."""
+    rows, held, out = sorted(found.collect(), key=lambda r: r["_pid"]), [0] * len(take), []
+    for r in rows:
+        out.append((r["_pid"], *held))
+        held = [h + (r[n] or 0) for h, n in zip(held, take)]
+    return found.sparkSession.createDataFrame(out, "_pid int, " + ", ".join(f"o_{n} long" for n in take))
+
+
+def _neighbours(events: DataFrame) -> DataFrame:
+    """Events with marks where rounds and runs begin, and with the call that a
+    dependency means (``target``) and whether a call of the identifier follows."""
+    there = Window.partitionBy("_pid").orderBy("_pos")
+    back = Window.partitionBy("_pid").orderBy(F.desc("_pos"))
+    before, after = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (there, back))
+    real, is_call = F.col("kind") >= 0, F.col("kind") == _CALL
+    event, call = F.when(real, F.struct(*_KEY, "kind")), F.when(is_call, F.struct(*_KEY, "row"))
+    edge = events.groupBy("_pid").agg(
+        F.max_by(event, F.when(real, F.col("_pos"))).alias("event"), F.max_by(call, F.when(is_call, F.col("_pos"))).alias("call"),
+        F.min_by(call, F.when(is_call, F.col("_pos"))).alias("next"),
+    )
+    seen = events.withColumns({
+        "event": F.last(event, ignorenulls=True).over(before), "call": F.last(call, ignorenulls=True).over(before),
+        "next": F.last(call, ignorenulls=True).over(after),
+    }).join(F.broadcast(_carried(edge, ["event", "call", "next"], ["next"])), "_pid")  # a row per partition
+    names = ("event", "call", "next")
+    seen = seen.withColumns({n: F.coalesce(n, f"c_{n}") for n in names}).drop(*(f"c_{n}" for n in names))
+    same = lambda n: F.coalesce((F.col(f"{n}.conv_id") == F.col("conv_id")) & (F.col(f"{n}.call_id") == F.col("call_id")), F.lit(False))
+    begins = real & (~same("event") | (is_call & (F.col("event.kind") == _RESULT)))
+    marked = seen.withColumn("round", F.coalesce(begins, F.lit(False)))
+    turns = real & (F.col("round") | (F.col("event.kind") != F.col("kind")))
+    return marked.select(
+        "_pid", "_pos", *_KEY, "kind", "row", "round", F.coalesce(turns, F.lit(False)).alias("run"), real.alias("real"),
+        F.when(same("call"), F.col("call.row")).when(same("next"), F.col("next.row")).alias("target"), same("next").alias("later"),
+    ).checkpoint()
+
+
+def _placed(marked: DataFrame) -> DataFrame:
+    """(conv_id, call_id, kind, row, later, round_no, index): calls and results
+    with their round and their place in its run."""
+    upto = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    count = lambda c: F.sum(F.col(c).cast("long")).over(upto)
+    here = marked.withColumns({"rounds": count("round"), "reals": count("real")})
+    size = here.groupBy("_pid").agg(
+        F.max("rounds").alias("rounds"), F.max("reals").alias("reals"), F.max(F.when(F.col("run"), F.col("reals"))).alias("start")
+    )
+    offsets = _totals(size, ["rounds", "reals"])
+    starts = size.join(offsets, "_pid").select("_pid", (F.col("start") + F.col("o_reals")).alias("start"))
+    here = here.join(F.broadcast(offsets), "_pid").join(F.broadcast(_carried(starts, ["start"])), "_pid")  # a row per partition each
+    number = F.col("reals") + F.col("o_reals")
+    start = F.coalesce(F.last(F.when(F.col("run"), number), ignorenulls=True).over(upto), F.col("c_start"))
+    here = here.withColumn("index", number - start)
+    return here.filter("real").select(*_KEY, "kind", "row", "later", (F.col("rounds") + F.col("o_rounds")).alias("round_no"), "index")
+
+
+def _matched(placed: DataFrame) -> DataFrame:
+    """(call_row, result_row, call_state): links, and each unlinked result
+    with its status."""
+    count = lambda kind: F.count_if(F.col("kind") == kind)
+    rounds = placed.groupBy("round_no").agg(count(_CALL).alias("k"), count(_RESULT).alias("m"))
+    both = placed.join(rounds, "round_no")
+    shift = F.greatest(F.col("k") - F.col("m"), F.lit(0))
+    calls = both.filter(F.col("kind") == _CALL).select("round_no", (F.col("index") - shift).alias("slot"), F.col("row").alias("call_row"))
+    said = F.when(F.col("k") > 0, "extra").when(F.col("later"), "early").otherwise("orphan")
+    slot = F.when(F.col("index") < F.col("k"), F.col("index")).otherwise(-1 - F.col("row"))  # a slot of its own
+    results = both.filter(F.col("kind") == _RESULT).select("round_no", slot.alias("slot"), F.col("row").alias("result_row"), said.alias("said"))
+    return results.join(calls.filter("slot >= 0"), ["round_no", "slot"], "left").select(
+        "call_row", "result_row", F.when(F.col("call_row").isNull(), F.col("said")).alias("said")
+    )
+
+
+def _layers_of(edges: pa.Table) -> pa.Table:
+    """Layers of one conversation's calls that depend on others."""
+    waits: dict[int, set[int]] = {}
+    behind: dict[int, list[int]] = {}
+    for row, target in zip(edges.column("row").to_pylist(), edges.column("target").to_pylist()):
+        waits.setdefault(row, set()).add(target)
+        behind.setdefault(target, []).append(row)
+    level, front, now = {}, [t for t in behind if t not in waits], 0
+    while front:
+        level.update(dict.fromkeys(front, now))
+        following = []
+        for done in front:
+            for row in behind.get(done, ()):
+                left = waits[row]
+                left.discard(done)
+                if not left and row not in level:
+                    following.append(row)
+        front, now = list(dict.fromkeys(following)), now + 1
+    rows = list(waits)
+    return pa.table({"row": pa.array(rows, pa.int64()), "level": pa.array([level.get(r) for r in rows], pa.int64())})
+
+
+def _layers_by_rounds(edges: DataFrame) -> DataFrame:
+    """The same for any number of edges, a round per layer."""
+    spark, path = edges.sparkSession, shared_scratch(edges.sparkSession, "call_levels", unique=True)
+    nodes, left, level = edges.select("row").distinct(), edges.checkpoint(), 1
+    spark.createDataFrame([], "row long").write.parquet(f"{path}/level=0")
+    solved = left.select(F.col("target").alias("row")).distinct().join(nodes, "row", "left_anti")
     while True:
-        at = f"{path}/level={level}"
-        front.write.parquet(at)
-        front = spark.read.schema(named.schema).parquet(at)
-        if front.isEmpty():
+        rest = left.join(solved.select(F.col("row").alias("target")), "target", "left_anti").select("row", "target").checkpoint()
+        front = left.select("row").distinct().join(rest.select("row").distinct(), "row", "left_anti")
+        front.write.parquet(f"{path}/level={level}")
+        solved = spark.read.schema("row long").parquet(f"{path}/level={level}")
+        if solved.isEmpty():
             break
-        solved = front.select(F.col("conv_id").alias("_c"), F.col("call_id").alias("_d"))
-        rest = left.join(solved, (F.col("conv_id") == F.col("_c")) & (F.col("dep") == F.col("_d")), "left_anti").checkpoint()
-        front = left.select("conv_id", "call_id").distinct().join(rest.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
         left, level = rest, level + 1
-    found = spark.read.schema(schema).parquet(path)
-    return named.join(found, ["conv_id", "call_id"], "left").join(absent, ["conv_id", "call_id"], "left").withColumn(
-        "missing", F.coalesce("missing", F.lit(0).cast("long"))
-    )
+    found = spark.read.schema("row long, level long").parquet(path)
+    return nodes.join(found, "row", "left")
+
+
+def _layers(edges: DataFrame, limit: int) -> DataFrame:
+    """(row, level) of the calls that have edges (conv_id, row, target); level
+    is null inside and behind cycles."""
+    sizes = edges.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    small = edges.join(sizes.filter(F.col("n") <= limit), "conv_id", "left_semi").select("conv_id", "row", "target")
+    found = small.groupBy("conv_id").applyInArrow(_layers_of, "row long, level long")
+    large = edges.join(sizes.filter(F.col("n") > limit), "conv_id", "left_semi").select("row", "target")
+    return found if large.isEmpty() else found.unionByName(_layers_by_rounds(large))
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row per identifier and conversation: conv_id, call_id, level,
+def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], max_edges: int = MAX_EDGES) -> DataFrame:
+    """One row per call and per result without a call: conv_id, call_id, level,
     position, status, n_calls, n_results, missing, valid, error, message.
 
     ``calls``: conv_id, call_id, position, name, arguments, depends_on;
     ``results``: conv_id, call_id, position, content. ``valid`` and ``error``
-    tell of the arguments (null for orphans)."""
+    tell of the arguments (null for results)."""
     if len(schemas) > MAX_TOOLS:
         raise ValueError(f"more than {MAX_TOOLS} tools")
-    first = calls.groupBy("conv_id", "call_id").agg(
-        F.min(F.struct("position", "name", "arguments", "depends_on")).alias("c"), F.count(F.lit(1)).alias("n_calls")
-    )
-    first = first.select("conv_id", "call_id", "c", "n_calls").checkpoint()
-    layer = levels(first.filter(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()).select("conv_id", "call_id", "c.depends_on"))
-    answer = results.groupBy(F.col("conv_id").alias("r_conv"), F.col("call_id").alias("r_call")).agg(
-        F.min(F.struct("position", "content")).alias("r"), F.count(F.lit(1)).alias("n_results")
-    )
-    both = first.join(layer, ["conv_id", "call_id"], "left").join(
-        answer, (F.col("conv_id") == F.col("r_conv")) & (F.col("call_id") == F.col("r_call")), "full"
-    )
-    conv, call = F.coalesce("conv_id", "r_conv"), F.coalesce("call_id", "r_call")
-    status = (
-        F.when(conv.isNull() | call.isNull(), "no_id")
-        .when(F.col("c").isNull(), "orphan")
-        .when(F.col("level").isNull(), "cycle")
-        .when(F.col("r").isNull(), "unanswered")
-        .when(F.col("r.position") < F.col("c.position"), "early")
-        .otherwise("answered")
+    spark = calls.sparkSession
+    ensure_checkpoint_dir(spark)
+    prepare(spark)
+    row = F.monotonically_increasing_id().alias("row")
+    c = calls.select("conv_id", "call_id", "position", "name", "arguments", "depends_on", row).checkpoint()
+    r = results.select("conv_id", "call_id", "position", "content", row).checkpoint()
+    marked = _neighbours(_events(c, r))
+    placed = _placed(marked).checkpoint()
+    links = _matched(placed).checkpoint()
+    looked = marked.filter(F.col("kind") == _LOOKUP)
+    absent = looked.filter("target IS NULL").groupBy("row").agg(F.count(F.lit(1)).alias("missing"))
+    layers = _layers(looked.filter("target IS NOT NULL").select("conv_id", "row", "target"), max_edges)
+    # one row per call that depends on something
+    layers = layers.select("row", "level", F.lit(True).alias("waits")).join(absent, "row", "full")
+    said = placed.groupBy(*_KEY).agg(
+        F.count_if(F.col("kind") == _CALL).alias("n_calls"), F.count_if(F.col("kind") == _RESULT).alias("n_results")
     )
+    known = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    answers = links.filter("call_row IS NOT NULL").join(r.select(F.col("row").alias("result_row"), "content"), "result_row")
+    called = c.join(layers, "row", "left").join(answers.select(F.col("call_row").alias("row"), "result_row", "content"), "row", "left")
     none = F.lit(0).cast("long")
-    flat = both.select(
-        conv.alias("conv_id"), call.alias("call_id"), "level", F.coalesce("c.position", "r.position").alias("position"),
-        status.alias("status"), F.coalesce("n_calls", none).alias("n_calls"), F.coalesce("n_results", none).alias("n_results"),
-        F.coalesce("missing", none).alias("missing"), F.col("c").isNotNull().alias("called"), F.col("c.name").alias("name"),
-        F.col("c.arguments").alias("arguments"), F.col("c.depends_on").alias("depends_on"), F.col("r.content").alias("content"),
+    level = F.when(known, F.when(F.col("waits"), F.col("level")).otherwise(none))
+    status = F.when(~known, "no_id").when(level.isNull(), "cycle").when(F.col("result_row").isNull(), "unanswered").otherwise("answered")
+    called = called.select(
+        *_KEY, level.alias("level"), "position", status.alias("status"), F.coalesce("missing", none).alias("missing"),
+        F.lit(True).alias("called"), "name", "arguments", "depends_on", "content",
+    )
+    empty = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in c.schema.fields}
+    alone = r.join(links.filter("said IS NOT NULL").select(F.col("result_row").alias("row"), "said"), "row", "left")
+    alone = alone.filter(F.col("said").isNotNull() | ~known).select(
+        *_KEY, F.lit(None).cast("long").alias("level"), "position", F.coalesce("said", F.lit("no_id")).alias("status"), none.alias("missing"),
+        F.lit(False).alias("called"), empty["name"], empty["arguments"], empty["depends_on"], "content",
     )
+    flat = called.unionByName(alone).join(said, _KEY, "left").withColumns({
+        "n_calls": F.coalesce("n_calls", F.col("called").cast("long")), "n_results": F.coalesce("n_results", (~F.col("called")).cast("long")),
+    })
     return _serialised(flat, schemas)
 
 
 def _serialised(flat: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    prepare(flat.sparkSession)
     kept = ["conv_id", "call_id", "level", "position", "status", "n_calls", "n_results", "missing"]
     out = T.StructType(
         [flat.schema[k] for k in kept]
@@ -296,4 +443,4 @@ def derived_records(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
-__all__ = ["TOOLS", "canonical", "derived_records", "levels", "link", "parse", "violation"]
+__all__ = ["TOOLS", "canonical", "derived_records", "link", "parse", "violation"]
