@@ -1,21 +1,28 @@
 """Robust multivariate outliers among text statistics, per language and source.
 
-Each text gives a vector of five transformed statistics. Per (language,
-source) group a minimum-covariance-determinant estimate is fitted by
-concentration steps: from the coordinate-wise medians and spreads, the
-``support`` share of rows nearest by Mahalanobis distance gives the next mean
-and covariance. Every step covers all rows with grouped aggregates, combined
-before the shuffle, so that a group of any size is fitted without gathering
-it; statistics are fixed-point integers, which makes sums exact and reruns
-equal. Only one row per group (mean and precision) goes through numpy.
+Each text gives a vector of five transformed statistics: logarithms of length
+and word length, and square roots of three rates. Per (language, source) group
+the minimum covariance determinant is sought: from three deterministic starts
+(medians with median deviations, mean and covariance of all rows, medians with
+the covariance of spatial signs), concentration steps take mean and covariance
+of the nearer half of the rows until the determinant no longer falls, and the
+start with the least determinant is kept. Every step covers all rows with
+grouped aggregates, combined before the shuffle, so that a group of any size
+is fitted without gathering it; statistics are fixed-point integers, which
+makes sums exact and reruns equal. Only one row per group and start (mean and
+precision) goes through numpy.
 
 The estimate is then reweighted: mean and covariance once more, of all rows
 within the chi-squared 97.5% point of the first estimate. Squared distances
 are scaled so that the group's median equals the chi-squared median, and a row
 is rejected when its own is above ``cutoff``, a chi-squared quantile. A
 statistic's spread counts as its floor where it is less, so that a group in
-which it never varies does not reject the first row that has some. In the
-concentration steps the floors are a ridge; they only order the rows.
+which it never varies does not reject the first row that has some; in the
+concentration steps the floors are a ridge. A rate that most rows lack has no
+spread inside a group. If between ``HABIT`` shares of a language's rows, or of
+all rows, have it (tables have bars, for instance), it is a habit there, and
+the median of those that have it counts as the 97.5% point of its spread: the
+floor is that, or the lesser one if both levels have the habit.
 
 Cases: a null text has no words; rows that fail the base rules are rejected
 and take no part in the fit. Null languages and sources are groups of their
@@ -47,12 +54,19 @@ DIM = len(COUNTS)
 SCALE = 1024
 #: Least standard deviation of each transformed statistic, in units; and the
 #: share of its variance that is always added, which keeps matrices regular.
-FLOOR = [0.25, 0.05, 0.5, 0.5, 0.5]
+FLOOR = [0.25, 0.1, 0.8, 0.8, 0.8]
 RIDGE = 0.01
+#: Places of the rates, and the shares of rows between which one is a habit.
+RATES, HABIT = (2, 3, 4), (0.02, 0.3)
+#: Square root of the 97.5% point of the chi-squared distribution with one
+#: degree of freedom.
+CHI1_INNER = 2.24140
 #: Median and 97.5% point of the chi-squared distribution with five degrees of
 #: freedom.
 CHI2_MEDIAN, CHI2_INNER = 4.35146, 12.8325
-SUPPORT, STEPS, MIN_ROWS = 0.75, 4, 30
+SUPPORT, MIN_ROWS = 0.5, 30
+#: Most concentration steps, and the least fall of a log-determinant that counts.
+STEPS, FALL = 20, 1e-6
 #: Squared distance beyond which a row is rejected: the 99.99% point.
 CUTOFF = 25.7448
 #: Groups up to which the fitted parameters are broadcast (about 250 bytes each).
@@ -112,10 +126,11 @@ def base_failed():
 
 
 def _vector():
-    """Transformed statistics: length, word length, and rates per 100 words
-    of symbols, repeated lines and repeated windows, all on log scales."""
+    """Transformed statistics: logarithms of length and word length, and square
+    roots of the rates per 100 words of symbols, repeated lines and repeated
+    windows (the spread of counts grows with them)."""
     words = F.greatest(F.col("_n_words"), F.lit(1))
-    rate = lambda c: F.log1p(100.0 * F.col(c) / words)
+    rate = lambda c: F.sqrt(100.0 * F.col(c) / words)
     parts = [F.log(words), F.log(F.greatest(F.col("_word_chars"), F.lit(1)) / words), rate("_n_symbols"),
              rate("_n_dup_lines"), rate("_n_repeat_words")]
     return F.array(*[F.round(p * SCALE).cast("long") for p in parts])
@@ -134,40 +149,43 @@ def _bin():
     return F.round(F.log2(F.greatest(_distance(), F.lit(0.0)) + 1) * 256).cast("long")
 
 
-PARAMS = T.StructType([
-    T.StructField("g1", T.StringType()), T.StructField("g2", T.StringType()), T.StructField("rows", T.LongType()),
-    T.StructField("mean", T.ArrayType(T.DoubleType())), T.StructField("precision", T.ArrayType(T.DoubleType())),
-])
+_GROUP, _START = ["g1", "g2"], ["g1", "g2", "st"]
+_KINDS = {"g1": "string", "g2": "string", "st": "int"}
 
 
-def _params(sums: DataFrame, *, minimum: bool = False) -> DataFrame:
-    """Group rows of (g1, g2, rows, n, s, q) to mean and precision. The floors
-    are a ridge, or with ``minimum`` the least variance of each statistic."""
+def _params(sums: DataFrame, keys: list[str], *, floors: bool = False) -> DataFrame:
+    """Rows of (keys, rows, n, s, q) to mean, precision and log-determinant.
+    The floors are a ridge, or (from a column ``floor``) the least standard
+    deviation of each statistic."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tri, floor = np.triu_indices(DIM), (np.array(FLOOR) * SCALE) ** 2
+        tri, ridge = np.triu_indices(DIM), (np.array(FLOOR) * SCALE) ** 2
         for f in frames:
-            means, precisions = [], []
-            for n, s, q in zip(f["n"], f["s"], f["q"]):
+            means, precisions, logs = [], [], []
+            for at, (n, s, q) in enumerate(zip(f["n"], f["s"], f["q"])):
                 mean = np.array(s, dtype=float) / n
                 cov = np.zeros((DIM, DIM))
                 cov[tri] = np.array(q, dtype=float) / n
                 cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(mean, mean)
-                added = np.maximum(floor - np.diag(cov), RIDGE * floor) if minimum else floor
-                inverse = np.linalg.inv(cov + np.diag(added))
+                least = (np.array(f["floor"].iloc[at], dtype=float) * SCALE) ** 2 if floors else ridge
+                cov += np.diag(np.maximum(least - np.diag(cov), RIDGE * least) if floors else ridge)
+                inverse = np.linalg.inv(cov)
                 means.append(mean)
                 precisions.append((2 * inverse - np.diag(np.diag(inverse)))[tri])
-            yield pd.DataFrame({"g1": f["g1"], "g2": f["g2"], "rows": f["rows"], "mean": means, "precision": precisions})
+                logs.append(np.linalg.slogdet(cov)[1])
+            made = {k: f[k] for k in keys} | {"rows": f["rows"], "mean": means, "precision": precisions, "logdet": logs}
+            yield pd.DataFrame(made)
 
-    return sums.mapInPandas(run, PARAMS)
+    shown = ", ".join(f"{k} {_KINDS[k]}" for k in keys)
+    return sums.mapInPandas(run, f"{shown}, rows long, mean array<double>, precision array<double>, logdet double")
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    x = [F.col("x")[i] for i in range(DIM)]
-    products = [F.sum(x[i] * x[j]) for i in range(DIM) for j in range(i, DIM)]
-    return rows.groupBy("g1", "g2").agg(
+def _moments(rows: DataFrame, keys: list[str], x: str = "x") -> DataFrame:
+    v = [F.col(x)[i] for i in range(DIM)]
+    products = [F.sum(v[i] * v[j]) for i in range(DIM) for j in range(i, DIM)]
+    return rows.groupBy(*keys).agg(
         F.max("rows").alias("rows"), F.count(F.lit(1)).alias("n"),
-        F.array(*[F.sum(c) for c in x]).alias("s"), F.array(*products).alias("q"),
+        F.array(*[F.sum(c) for c in v]).alias("s"), F.array(*products).alias("q"),
     )
 
 
@@ -176,55 +194,123 @@ def _bounded(small: DataFrame) -> DataFrame:
     return F.broadcast(small) if small.count() <= MAX_BROADCAST_GROUPS else small
 
 
-def _grouped(left: DataFrame, small: DataFrame) -> DataFrame:
-    right = small.select(F.col("g1").alias("_g1"), F.col("g2").alias("_g2"), *[c for c in small.columns if c not in ("g1", "g2")])
-    on = F.col("g1").eqNullSafe(F.col("_g1")) & F.col("g2").eqNullSafe(F.col("_g2"))
-    return left.join(_bounded(right), on).drop("_g1", "_g2")
+def _grouped(left: DataFrame, small: DataFrame, keys: list[str] = _GROUP, send: bool | None = None) -> DataFrame:
+    """``left`` with the per-group columns of ``small``; ``send`` tells whether
+    that table is small enough to broadcast, where it has been counted."""
+    right = small.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in small.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    right = _bounded(right) if send is None else F.broadcast(right) if send else right
+    return left.join(right, on).drop(*[f"_{k}" for k in keys])
 
 
-def fit(vectors: DataFrame, *, support: float = SUPPORT, steps: int = STEPS, min_rows: int = MIN_ROWS) -> DataFrame:
-    """Per group of ``vectors`` (g1, g2, x: array of fixed-point longs) the
-    mean, the precision and the distance's scale: (g1, g2, rows, mean,
-    precision, scale). Groups of fewer than ``min_rows`` rows are left out."""
-    ensure_checkpoint_dir(vectors.sparkSession)
-    prepare(vectors.sparkSession)
-    # start: medians, and variances from the median absolute deviations. Exact
-    # percentiles keep a count per distinct fixed-point value, a bounded number
-    middle = vectors.groupBy("g1", "g2").agg(
+def _diagonal(variances: list) -> list:
+    """Upper triangle of the precision of independent statistics."""
+    return [1 / variances[i] if i == j else F.lit(0.0) for i in range(DIM) for j in range(i, DIM)]
+
+
+def starts(vectors: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    """(g1, g2, st, rows, mean, precision, logdet): the three starts of each
+    group with ``min_rows`` rows."""
+    # exact percentiles keep a count per distinct fixed-point value, a bounded number
+    middle = vectors.groupBy(*_GROUP).agg(
         F.count(F.lit(1)).alias("rows"), F.array(*[F.percentile(F.col("x")[i], 0.5) for i in range(DIM)]).alias("mean")
     ).filter(F.col("rows") >= min_rows).checkpoint()
-    spread = _grouped(vectors, middle).groupBy("g1", "g2").agg(
+    send = 3 * middle.count() <= MAX_BROADCAST_GROUPS
+    spread = _grouped(vectors, middle, send=send).groupBy(*_GROUP).agg(
         F.max("rows").alias("rows"), F.first("mean").alias("mean"),
         F.array(*[F.percentile(F.abs(F.col("x")[i] - F.col("mean")[i]), 0.5) for i in range(DIM)]).alias("mad"),
     )
-    diagonal = {(i, i): i for i in range(DIM)}
-    precision = [
-        1 / (F.pow(1.4826 * F.col("mad")[i], 2) + (FLOOR[i] * SCALE) ** 2) if (i, j) in diagonal else F.lit(0.0)
-        for i in range(DIM) for j in range(i, DIM)
-    ]
-    now = spread.select("g1", "g2", "rows", "mean", F.array(*precision).alias("precision")).checkpoint()
-    for _ in range(steps):
-        near = _grouped(vectors, now).select("g1", "g2", "rows", "x", _bin().alias("bin"))
-        bound = near.groupBy("g1", "g2").agg(F.percentile("bin", support).alias("bound")).checkpoint()
-        inside = _grouped(near, bound).filter(F.col("bin") <= F.col("bound"))
-        now = _params(_moments(inside)).checkpoint()
-    return _scaled(vectors, now)
+    own = [F.pow(1.4826 * F.col("mad")[i], 2) + (FLOOR[i] * SCALE) ** 2 for i in range(DIM)]
+    spread = spread.withColumn("unit", F.array(*[F.sqrt(v) for v in own])).checkpoint()
+    far = F.lit(float("inf")).alias("logdet")
+    kept = ["rows", "mean", "precision", "logdet"]
+    first = spread.select(*_GROUP, F.lit(0).alias("st"), "rows", "mean", F.array(*_diagonal(own)).alias("precision"), far)
+    every = _params(_moments(_grouped(vectors, middle.select(*_GROUP, "rows"), send=send), _GROUP), _GROUP)
+    second = every.select(*_GROUP, F.lit(1).alias("st"), *kept[:3], far)
+    # spatial signs: directions from the medians in units of the spreads
+    away = F.array(*[(F.col("x")[i] - F.col("mean")[i]) / F.col("unit")[i] for i in range(DIM)])
+    length = F.sqrt(sum((F.col("away")[i] * F.col("away")[i] for i in range(DIM)), F.lit(0.0)))
+    sign = F.array(*[F.coalesce(F.round(F.col("away")[i] * SCALE / F.nullif("length", F.lit(0.0))), F.lit(0.0)).cast("long") for i in range(DIM)])
+    signs = _grouped(vectors, spread, send=send).withColumn("away", away).withColumn("length", length).withColumn("sign", sign)
+    turned = _params(_moments(signs, _GROUP, "sign"), _GROUP).select(*_GROUP, F.col("precision").alias("p"))
+    pairs = [(i, j) for i in range(DIM) for j in range(i, DIM)]
+    unit = [F.col("p")[k] / (F.col("unit")[i] * F.col("unit")[j]) for k, (i, j) in enumerate(pairs)]
+    third = _grouped(spread, turned, send=send).select(*_GROUP, F.lit(2).alias("st"), "rows", "mean", F.array(*unit).alias("precision"), far)
+    return first.unionByName(second).unionByName(third).checkpoint()
 
 
-def _scaled(vectors: DataFrame, now: DataFrame) -> DataFrame:
-    """An estimate with the scale that brings each group's median distance to
-    the chi-squared median, 1 at least."""
-    last = _grouped(vectors, now).select("g1", "g2", _bin().alias("bin"))
-    scale = last.groupBy("g1", "g2").agg(F.percentile("bin", 0.5).alias("mid"))
-    scale = scale.select("g1", "g2", F.greatest((F.pow(F.lit(2.0), F.col("mid") / 256) - 1) / CHI2_MEDIAN, F.lit(1.0)).alias("scale"))
-    return _grouped(now, scale.checkpoint()).checkpoint()
+def concentrated(vectors: DataFrame, now: DataFrame, support: float = SUPPORT, send: bool | None = None) -> DataFrame:
+    """One concentration step of every group and start, beside the estimate it
+    began with (struct ``old``). One job: a row per group and start is stored."""
+    near = _grouped(vectors, now, send=send).select(*_START, "rows", "x", _bin().alias("bin"))
+    bound = near.groupBy(*_START).agg(F.percentile("bin", support).alias("bound"))
+    inside = _grouped(near, bound, _START, send).filter(F.col("bin") <= F.col("bound"))
+    made = _params(_moments(inside, _START), _START)
+    old = now.select(*_START, F.struct("rows", "mean", "precision", "logdet").alias("old"))
+    return _grouped(made, old, _START, send).checkpoint()
 
 
-def reweighted(vectors: DataFrame, fitted: DataFrame, *, inner: float = CHI2_INNER) -> DataFrame:
+def fit(vectors: DataFrame, *, support: float = SUPPORT, steps: int = STEPS, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Per group of ``vectors`` (g1, g2, x: array of fixed-point longs) the
+    estimate of least determinant and the distance's scale: (g1, g2, rows, mean,
+    precision, logdet, scale). Groups of fewer than ``min_rows`` rows are left
+    out."""
+    ensure_checkpoint_dir(vectors.sparkSession)
+    prepare(vectors.sparkSession)
+    now, ended = starts(vectors, min_rows), None
+    send = now.count() <= MAX_BROADCAST_GROUPS
+    for _ in range(steps):
+        if now.isEmpty():
+            break
+        step = concentrated(vectors, now, support, send)
+        fell = F.col("logdet") < F.col("old.logdet") - FALL
+        still = step.filter(~fell).select(*_START, "old.*")
+        ended = still if ended is None else ended.unionByName(still)
+        now = step.filter(fell).drop("old")
+    found = now if ended is None else ended.unionByName(now)
+    least = F.min_by(F.struct("rows", "mean", "precision", "logdet"), F.struct("logdet", "st"))
+    return _scaled(vectors, found.groupBy(*_GROUP).agg(least.alias("e")).select(*_GROUP, "e.*").checkpoint(), send)
+
+
+def _scaled(vectors: DataFrame, now: DataFrame, send: bool | None = None) -> DataFrame:
+    """An estimate with the scale that brings each group's median distance to
+    the chi-squared median, 1 at least."""
+    last = _grouped(vectors, now, send=send).select(*_GROUP, _bin().alias("bin"))
+    scale = last.groupBy(*_GROUP).agg(F.percentile("bin", 0.5).alias("mid"))
+    scale = scale.select(*_GROUP, F.greatest((F.pow(F.lit(2.0), F.col("mid") / 256) - 1) / CHI2_MEDIAN, F.lit(1.0)).alias("scale"))
+    return _grouped(now, scale, send=send).checkpoint()
+
+
+def _habit() -> list:
+    """Per rate the habit's spread in a group of rows, or null."""
+    out = []
+    for i in RATES:
+        has = F.col("x")[i] > 0
+        share = F.try_divide(F.count_if(has), F.count(F.lit(1)))
+        spread = F.percentile(F.when(has, F.col("x")[i]), 0.5) / (CHI1_INNER * SCALE)
+        out.append(F.when(share.between(*HABIT), spread).alias(f"h{i}"))
+    return out
+
+
+def floors(vectors: DataFrame) -> tuple[DataFrame, list[float]]:
+    """(g1, floor) of each language, and the floors of all rows."""
+    whole = vectors.agg(*_habit()).first()  # one row
+    every = {i: whole[f"h{i}"] for i in RATES}
+    least = lambda i: F.greatest(F.lit(FLOOR[i]), F.least(F.col(f"h{i}"), F.lit(every[i]).cast("double")))
+    langs = vectors.groupBy("g1").agg(*_habit())
+    found = langs.select("g1", F.array(*[least(i) if i in RATES else F.lit(FLOOR[i]) for i in range(DIM)]).alias("floor"))
+    return found.checkpoint(), [max(f, every.get(i) or 0.0) for i, f in enumerate(FLOOR)]
+
+
+def reweighted(vectors: DataFrame, fitted: DataFrame, spreads: tuple[DataFrame, list[float]], *, inner: float = CHI2_INNER) -> DataFrame:
     """``fitted`` once more, from all rows within ``inner`` of it, with the
     floors as least spreads."""
+    langs, every = spreads
     near = _grouped(vectors, fitted).filter(_distance() / F.col("scale") <= inner)
-    return _scaled(vectors, _params(_moments(near), minimum=True).checkpoint())
+    sums = _moments(near, _GROUP).join(
+        _bounded(langs.withColumnRenamed("g1", "_l")), F.col("g1").eqNullSafe(F.col("_l")), "left"
+    ).withColumn("floor", F.coalesce("floor", F.array(*[F.lit(f) for f in every])))
+    return _scaled(vectors, _params(sums, _GROUP, floors=True).checkpoint())
 
 
 def _levels(vectors: DataFrame, langs: DataFrame, whole: bool) -> DataFrame:
@@ -246,7 +332,7 @@ def estimate(vectors: DataFrame) -> DataFrame:
     langs = sizes.groupBy("g1").agg(F.sum("n").alias("total"), F.min("n").alias("least")).filter(F.col("least") < MIN_ROWS).checkpoint()
     whole = not langs.filter(F.col("total") < MIN_ROWS).isEmpty()
     rows = _levels(vectors, langs.filter(F.col("total") >= MIN_ROWS), whole)
-    found = reweighted(rows, fit(rows))
+    found = reweighted(rows, fit(rows), floors(vectors))
     values = [c for c in found.columns if c not in ("g1", "g2")]
     own = found.filter(F.coalesce(F.col("g2").startswith("s"), F.lit(True))).withColumn("g2", F.expr("substring(g2, 2)"))
     # the few languages take the estimate of all rows first, then their groups theirs
@@ -303,4 +389,4 @@ def keep_inliers(
     return _verdict(rows, fitted, cutoff).filter("kept").select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
-__all__ = ["counted", "estimate", "fit", "judge", "keep_inliers", "repeat_words", "reweighted", "text_counts"]
+__all__ = ["counted", "estimate", "fit", "floors", "judge", "keep_inliers", "repeat_words", "reweighted", "starts", "text_counts"]
