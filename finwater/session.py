@@ -20,7 +20,7 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
-    # the dedup's max(struct) aggregate is sort-based; let it be code-generated
+    # aggregates over mutable buffers that cannot be hashed are sort-based; let them be code-generated
     "spark.sql.codegen.aggregate.sortAggregate.enabled": "true",
 }
 
