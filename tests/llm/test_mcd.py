@@ -154,7 +154,7 @@ def test_a_habit_stays_and_junk_goes(spark):
     kept = Counter()
     for r in mcd.judge(df).collect():
         kept[rows[r["doc_id"]][0]] += r["kept"]
-    assert kept["junk"] == 0 and kept["plain"] >= 198 and kept["table"] >= 19 and kept["again"] >= 18
+    assert kept["junk"] == 0 and kept["plain"] >= 198 and kept["table"] >= 16 and kept["again"] >= 18
 
 
 def test_groups_beyond_the_broadcast(spark, monkeypatch):
