@@ -1,8 +1,10 @@
 """Language identification: held-out accuracy, rejection, awkward rows."""
 
+import math
 import zlib
 
 import numpy as np
+import pytest
 from odd import TEXTS, documents
 
 from finwater.llm import langid, queries
@@ -77,3 +79,43 @@ def test_foreign_texts_go_with_one_two_or_four_languages(spark):
         assert model.predict(foreign)[2] == [True] * 3
         kept = [not r["rejected"] for r in langid.predict(some.filter(langid.held_out()), model, keep=["doc_id"]).collect()]
         assert np.mean(kept) > 0.97
+
+
+def plain_prediction(model, text):
+    """Language, confidence and rejection from sums over the model's table,
+    subword by subword."""
+    raw = b" " + (text or "").lower().encode().translate(bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))) + b" "
+    sums, n, new = [0] * len(model.langs), 0, 0
+    for size in (2, 3, 4):
+        for at in range(len(raw) - size + 1):
+            part = raw[at : at + size]
+            if b" " in part[1:-1] or (part[:1] == b" " == part[-1:]):
+                continue
+            value = int.from_bytes(part, "little") ^ (0x9E3779B9 * size & 0xFFFFFFFF)
+            row = (value * 2654435761 & 0xFFFFFFFF) >> 16
+            n += 1
+            new += not model.seen[row]
+            sums = [s + int(model.table[row, k]) for k, s in enumerate(sums)]
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0, True
+    z = [(s / max(n, 1) / langid.SCALE + b) / model.temperature for s, b in zip(sums, model.bias.tolist())]
+    e = [math.exp(x - max(z)) for x in z]
+    p = [x / sum(e) for x in e]
+    best = p.index(max(p))  # a tie goes to the first language by name
+    share = new / max(n, 1)
+    strange = max(share - 3 * math.sqrt(9 * share * (1 - share) / max(n, 1)), 0.0)
+    return model.langs[best], p[best], p[best] < model.threshold or strange > model.unseen
+
+
+def test_predictions_equal_plain_sums(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs)
+    rows = [(r["doc_id"], r["text"]) for r in docs.filter("length(text) < 3000").collect()]
+    rows += [(-1, None), (-2, "12 34 !?"), (-3, "漢字 kana"), (-4, "a"), (-5, "xqzj " * 40), (-6, "theé\u0000 A.b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in langid.predict(df, model, keep=["doc_id"]).collect()}
+    assert model.langs == sorted(model.langs) and len(got) == len(rows)
+    for i, text in rows:
+        lang, score, rejected = plain_prediction(model, text)
+        assert (got[i]["lang_pred"], got[i]["rejected"]) == (lang, rejected), i
+        assert got[i]["score"] == pytest.approx(score, rel=1e-9, abs=1e-12)
