@@ -5,8 +5,8 @@ and word length, and square roots of three rates. Per (language, source) group
 the minimum covariance determinant is sought: from three deterministic starts
 (medians with median deviations, mean and covariance of all rows, medians with
 the covariance of spatial signs), concentration steps take mean and covariance
-of the nearer half of the rows until the determinant no longer falls, and the
-start with the least determinant is kept. Every step covers all rows with
+of the nearer half of the rows until the determinant no longer falls (``STEPS``
+at most), and the estimate with the least determinant is kept. Every step covers all rows with
 grouped aggregates, combined before the shuffle, so that a group of any size
 is fitted without gathering it; statistics are fixed-point integers, which
 makes sums exact and reruns equal. Only one row per group and start (mean and
@@ -66,7 +66,7 @@ CHI1_INNER = 2.24140
 CHI2_MEDIAN, CHI2_INNER = 4.35146, 12.8325
 SUPPORT, MIN_ROWS = 0.5, 30
 #: Most concentration steps, and the least fall of a log-determinant that counts.
-STEPS, FALL = 20, 1e-6
+STEPS, FALL = 6, 1e-3
 #: Squared distance beyond which a row is rejected: the 99.99% point.
 CUTOFF = 25.7448
 #: Groups up to which the fitted parameters are broadcast (about 250 bytes each).
@@ -153,8 +153,9 @@ _GROUP, _START = ["g1", "g2"], ["g1", "g2", "st"]
 _KINDS = {"g1": "string", "g2": "string", "st": "int"}
 
 
-def _params(sums: DataFrame, keys: list[str], *, floors: bool = False) -> DataFrame:
-    """Rows of (keys, rows, n, s, q) to mean, precision and log-determinant.
+def _params(sums: DataFrame, keys: list[str], carry: list[str] = (), *, floors: bool = False) -> DataFrame:
+    """Rows of (keys, rows, n, s, q) to mean, precision and log-determinant;
+    ``carry`` are further columns of doubles.
     The floors are a ridge, or (from a column ``floor``) the least standard
     deviation of each statistic."""
 
@@ -173,18 +174,19 @@ def _params(sums: DataFrame, keys: list[str], *, floors: bool = False) -> DataFr
                 means.append(mean)
                 precisions.append((2 * inverse - np.diag(np.diag(inverse)))[tri])
                 logs.append(np.linalg.slogdet(cov)[1])
-            made = {k: f[k] for k in keys} | {"rows": f["rows"], "mean": means, "precision": precisions, "logdet": logs}
-            yield pd.DataFrame(made)
+            made = {k: f[k] for k in [*keys, *carry]}
+            yield pd.DataFrame(made | {"rows": f["rows"], "mean": means, "precision": precisions, "logdet": logs})
 
-    shown = ", ".join(f"{k} {_KINDS[k]}" for k in keys)
+    shown = ", ".join([*(f"{k} {_KINDS[k]}" for k in keys), *(f"{k} double" for k in carry)])
     return sums.mapInPandas(run, f"{shown}, rows long, mean array<double>, precision array<double>, logdet double")
 
 
 def _moments(rows: DataFrame, keys: list[str], x: str = "x") -> DataFrame:
     v = [F.col(x)[i] for i in range(DIM)]
     products = [F.sum(v[i] * v[j]) for i in range(DIM) for j in range(i, DIM)]
+    carried = [F.max("before").alias("before")] if "before" in rows.columns else []
     return rows.groupBy(*keys).agg(
-        F.max("rows").alias("rows"), F.count(F.lit(1)).alias("n"),
+        *carried, F.max("rows").alias("rows"), F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(c) for c in v]).alias("s"), F.array(*products).alias("q"),
     )
 
@@ -240,34 +242,29 @@ def starts(vectors: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
 
 
 def concentrated(vectors: DataFrame, now: DataFrame, support: float = SUPPORT, send: bool | None = None) -> DataFrame:
-    """One concentration step of every group and start, beside the estimate it
-    began with (struct ``old``). One job: a row per group and start is stored."""
-    near = _grouped(vectors, now, send=send).select(*_START, "rows", "x", _bin().alias("bin"))
+    """One concentration step of every group and start, with the determinant it
+    began with (``before``). One job: a row per group and start is stored."""
+    near = _grouped(vectors, now, send=send).select(*_START, "rows", "x", F.col("logdet").alias("before"), _bin().alias("bin"))
     bound = near.groupBy(*_START).agg(F.percentile("bin", support).alias("bound"))
     inside = _grouped(near, bound, _START, send).filter(F.col("bin") <= F.col("bound"))
-    made = _params(_moments(inside, _START), _START)
-    old = now.select(*_START, F.struct("rows", "mean", "precision", "logdet").alias("old"))
-    return _grouped(made, old, _START, send).checkpoint()
+    return _params(_moments(inside, _START), _START, ["before"]).checkpoint()
 
 
 def fit(vectors: DataFrame, *, support: float = SUPPORT, steps: int = STEPS, min_rows: int = MIN_ROWS) -> DataFrame:
     """Per group of ``vectors`` (g1, g2, x: array of fixed-point longs) the
-    estimate of least determinant and the distance's scale: (g1, g2, rows, mean,
-    precision, logdet, scale). Groups of fewer than ``min_rows`` rows are left
-    out."""
+    estimate of least determinant over all starts and steps, and the distance's
+    scale: (g1, g2, rows, mean, precision, logdet, scale). Groups of fewer than
+    ``min_rows`` rows are left out."""
     ensure_checkpoint_dir(vectors.sparkSession)
     prepare(vectors.sparkSession)
-    now, ended = starts(vectors, min_rows), None
+    now, found = starts(vectors, min_rows), None
     send = now.count() <= MAX_BROADCAST_GROUPS
     for _ in range(steps):
+        step = concentrated(vectors, now, support, send)
+        found = step if found is None else found.unionByName(step)
+        now = step.filter(F.col("logdet") < F.col("before") - FALL).drop("before")
         if now.isEmpty():
             break
-        step = concentrated(vectors, now, support, send)
-        fell = F.col("logdet") < F.col("old.logdet") - FALL
-        still = step.filter(~fell).select(*_START, "old.*")
-        ended = still if ended is None else ended.unionByName(still)
-        now = step.filter(fell).drop("old")
-    found = now if ended is None else ended.unionByName(now)
     least = F.min_by(F.struct("rows", "mean", "precision", "logdet"), F.struct("logdet", "st"))
     return _scaled(vectors, found.groupBy(*_GROUP).agg(least.alias("e")).select(*_GROUP, "e.*").checkpoint(), send)
 
