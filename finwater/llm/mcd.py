@@ -54,7 +54,7 @@ DIM = len(COUNTS)
 SCALE = 1024
 #: Least standard deviation of each transformed statistic, in units; and the
 #: share of its variance that is always added, which keeps matrices regular.
-FLOOR = [0.25, 0.1, 0.8, 0.8, 0.8]
+FLOOR = [0.3, 0.1, 0.8, 0.8, 0.8]
 RIDGE = 0.01
 #: Places of the rates, and the shares of rows between which one is a habit.
 RATES, HABIT = (2, 3, 4), (0.02, 0.3)
