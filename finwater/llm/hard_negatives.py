@@ -10,16 +10,16 @@ Filter: vectors are rotated by a fixed random rotation. A row keeps its norm,
 the signs of its rotated unit vector y as one bit a dimension (the code, read
 as the unit vector b with entries +-1/sqrt(d)) and its alignment a = <b, y>.
 An anchor's rotated unit vector z is rounded to ``LEVELS`` levels a dimension,
-so <b, z> comes from popcounts of the code with z's bit planes. As y = a b + r
+so <b, z> comes from products of whole numbers, levels and signs of the code,
+of many anchors and rows at once. As y = a b + r
 with r at right angles to b and |r| = sqrt(1 - a^2), Cauchy-Schwarz gives
 
     | <y, z> - a <b, z> |  <=  sqrt(1 - a^2) sqrt(1 - <b, z>^2)
 
 plus the rounding of z, whose length is stored with the anchor. The interval
 is certain, not probable: a row is dropped only if its interval cannot reach
-the best rows (the least of the best lower ends) or the wanted window. What
-survives is scored with integers, so results are exact and do not depend on
-rotation or levels.
+the best rows found so far or the wanted window. What survives is scored with
+whole numbers, so results are exact and do not depend on rotation or levels.
 
 On Spark: rows are packed into blocks of ``BLOCK`` rows (codes, alignments,
 integers) that are stored once. The anchors, a stated set of queries, are
@@ -55,11 +55,10 @@ from .base import col, prepare
 
 #: Rows of a block, anchors of a pack, rows of a tile of scores.
 BLOCK, PACK, TILE = 8192, 512, 2048
-#: Rounding levels of an anchor's rotated components (bit planes: log2).
-PLANES, SEED, SCALE = 6, 23, 256
+#: Rounding levels of an anchor's rotated components.
+LEVELS, SEED, SCALE = 63, 23, 256
 #: Squared length up to which the window's arithmetic fits 64 bits.
 TOP = float(1 << 55)
-LEVELS = (1 << PLANES) - 1
 #: Room for rounding in the double-precision bounds, relative to the norms.
 SLACK = 1e-9
 
@@ -116,44 +115,62 @@ class Codes:
     def part(self, at: slice) -> Codes:
         return Codes(self.dim, self.words[at], self.norm[at], self.align[at])
 
+    def signs(self) -> np.ndarray:
+        """The code's bits as +1 and -1."""
+        bits = np.unpackbits(np.ascontiguousarray(self.words).view(np.uint8), axis=1, count=self.dim)
+        return 2.0 * bits - 1.0
+
 
 class Queries:
-    """Rotated anchors, rounded to levels, as bit planes."""
+    """Rotated anchors, rounded to levels."""
 
     def __init__(self, x: np.ndarray):
         self.norm, z = _units(x, rotation(x.shape[1]))
         low, high = (f(z, axis=1, initial=0.0) for f in (np.min, np.max))
         self.low, self.step = low, np.where(high > low, (high - low) / LEVELS, 1.0)
         level = np.rint((z - low[:, None]) / self.step[:, None]).astype(np.int64)
-        self.planes = [_words((level >> k) & 1 == 1) for k in range(PLANES)]
-        self.total = level.sum(axis=1)
+        self.levels = level.astype(np.float64)
         rounded = low[:, None] + self.step[:, None] * level
         self.off = np.sqrt(((z - rounded) ** 2).sum(axis=1)) + SLACK
 
     def bounds(self, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
         """Certain lower and upper ends of all scores (anchors x rows)."""
-        # sum of the levels where the code's bit is one, by popcounts
-        ones = np.zeros((len(self.norm), len(codes.norm)), dtype=np.int64)
-        for k, plane in enumerate(self.planes):
-            for w in range(codes.words.shape[1]):
-                ones += np.bitwise_count(plane[:, w, None] & codes.words[None, :, w]).astype(np.int64) << k
-        # <b, rounded z>: +1 where the bit is one, -1 elsewhere
-        signed = 2 * ones - self.total[:, None]
-        dot = (self.step[:, None] * signed + self.low[:, None] * (2 * codes.ones - codes.dim)[None, :]) / np.sqrt(max(codes.dim, 1))
+        # <b, levels>: +1 where the code's bit is one, -1 elsewhere; whole
+        # numbers, so the product is exact
+        root = np.sqrt(max(codes.dim, 1))
+        dot = self.levels @ codes.signs().T
+        dot *= (self.step / root)[:, None]
+        dot += (self.low / root)[:, None] * (2 * codes.ones - codes.dim)[None, :]
         off = self.off[:, None]
         # the least |<b, z>| that the rounding leaves possible
-        across = np.sqrt(np.clip(1 - np.clip(np.abs(dot) - off, 0, None) ** 2, 0, None))
-        wide = codes.rest[None, :] * across + codes.align[None, :] * off + SLACK
+        across = np.abs(dot)
+        across -= off
+        np.maximum(across, 0, out=across)
+        np.multiply(across, across, out=across)
+        np.subtract(1, across, out=across)
+        np.maximum(across, 0, out=across)
+        np.sqrt(across, out=across)
         scale = self.norm[:, None] * codes.norm[None, :]
-        mid, wide = codes.align[None, :] * dot * scale, wide * scale + SLACK
-        return mid - wide, mid + wide
-
-
-def _floor_of_best(lower: np.ndarray, k: int) -> np.ndarray:
-    """k-th greatest lower end of each anchor (minus infinity if fewer)."""
-    if lower.shape[1] < k:
-        return np.full(len(lower), -np.inf)
-    return np.partition(lower, lower.shape[1] - k, axis=1)[:, lower.shape[1] - k]
+        wide = across
+        wide *= codes.rest[None, :]
+        wide += codes.align[None, :] * off + SLACK
+        wide *= scale
+        wide += SLACK
+        dot *= codes.align[None, :]
+        dot *= scale
+        return dot - wide, dot + wide
+
+
+def _raised(floor: np.ndarray, anchors: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """``floor`` (per anchor), raised to the k-th greatest of the scores found
+    for an anchor in a tile, if there are as many."""
+    order = np.lexsort((-scores, anchors))
+    number = np.bincount(anchors, minlength=len(floor))
+    enough = number >= k
+    place = (np.cumsum(number) - number + k - 1)[enough]
+    floor = floor.copy()
+    floor[enough] = np.maximum(floor[enough], scores[order][place])
+    return floor
 
 
 class _Step:
@@ -167,6 +184,8 @@ class _Step:
         self.a_keys, self.a_labels = (read(pack, n) for n in ("keys", "labels"))
         self.a = np.frombuffer(pack["ints"], dtype="<i4").reshape(pack["n"], dim).astype(np.int64)
         self.wanted = read(pack, "wanted").reshape(pack["n"], -1)
+        most = [int(np.abs(v).max(initial=0)) for v in (self.a, self.x)]
+        self.exact, self.a_float = most[0] * most[1] * dim < 1 << 53, self.a.astype(np.float64)
         words = np.frombuffer(block["words"], dtype="<u8").reshape(block["n"], -1)
         codes = Codes(dim, words, *(np.frombuffer(block[n], dtype="<f8") for n in ("norms", "aligns")))
         self.codes = [codes.part(slice(i, i + TILE)) for i in range(0, len(self.x), TILE)]
@@ -177,12 +196,17 @@ class _Step:
         for i, codes in enumerate(self.codes):
             yield (i * TILE, *self.queries.bounds(codes))
 
-    def scores(self, anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Integer inner products of the surviving (anchor, row) places."""
-        out = np.empty(len(anchors), dtype=np.int64)
+    def scores(self, live: np.ndarray, here: slice) -> np.ndarray:
+        """Integer inner products of the anchors with a tile's rows, where
+        ``live``: pair by pair if these are few, else as one product, whose
+        sums of whole numbers below 2^53 are exact."""
+        if self.exact and np.count_nonzero(live) * 16 > live.size:
+            return self.a_float @ self.x[here].astype(np.float64).T
+        out = np.zeros(live.shape, dtype=np.int64)
+        anchors, rows = np.nonzero(live)
         for i in range(0, len(anchors), TILE * 16):
-            part = slice(i, i + TILE * 16)
-            out[part] = np.einsum("ij,ij->i", self.a[anchors[part]], self.x[rows[part]])
+            a, r = anchors[i : i + TILE * 16], rows[i : i + TILE * 16]
+            out[a, r] = np.einsum("ij,ij->i", self.a[a], self.x[here][r])
         return out
 
     def best(self, slot: np.ndarray, anchors: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int) -> pa.RecordBatch:
@@ -201,16 +225,16 @@ class _Step:
 def positives_in(step: _Step, k: int) -> pa.RecordBatch:
     """The first k other rows of the anchors' labels in a block."""
     found, floor = [], np.full(len(step.a), -np.inf)
-    for first, lower, upper in step.tiles():
-        here = slice(first, first + lower.shape[1])
-        other = (step.labels[None, here] == step.a_labels[:, None]) & (step.keys[None, here] != step.a_keys[:, None])
-        floor = np.maximum(floor, _floor_of_best(np.where(other, lower, -np.inf), k))
-        at = np.nonzero(other & (upper >= floor[:, None]))
-        found.append((at[0], at[1] + first, upper[at]))
-    anchors, rows, upper = (np.concatenate([f[i] for f in found]) for i in range(3))
-    live = upper >= floor[anchors]
-    anchors, rows = anchors[live], rows[live]
-    return step.best(np.zeros(len(rows), dtype=np.int64), anchors, rows, step.scores(anchors, rows), k)
+    for first, _, upper in step.tiles():
+        here = slice(first, first + upper.shape[1])
+        live = (step.labels[None, here] == step.a_labels[:, None]) & (step.keys[None, here] != step.a_keys[:, None])
+        live &= upper >= floor[:, None]
+        scores = step.scores(live, here)
+        at = np.nonzero(live & (scores >= floor[:, None]))
+        floor = _raised(floor, at[0], scores[at], k)
+        found.append((at[0], at[1] + first, scores[at].astype(np.int64)))
+    anchors, rows, scores = (np.concatenate([f[i] for f in found]) for i in range(3))
+    return step.best(np.zeros(len(rows), dtype=np.int64), anchors, rows, scores, k)
 
 
 def negatives_in(step: _Step, k: int, low: int, high: int) -> pa.RecordBatch:
@@ -219,24 +243,27 @@ def negatives_in(step: _Step, k: int, low: int, high: int) -> pa.RecordBatch:
     scores stand in slots, then their number."""
     slots, number = step.wanted[:, :-1], step.wanted[:, -1]
     valid = np.arange(slots.shape[1])[None, :] < number[:, None]
-    least, most = (np.where(valid, v, e) for v, e in ((slots * (low / high), np.inf), (slots.astype(np.float64), -np.inf)))
+    least = -((-low * slots) // high)  # the least whole s with low p <= high s
     margin = 1 + SLACK * np.abs(slots)  # for the ends' rounding: scores are whole
     found, floor = [], np.full(slots.shape, -np.inf)
     for first, lower, upper in step.tiles():
-        here = slice(first, first + lower.shape[1])
+        here = slice(first, first + upper.shape[1])
         other = step.labels[None, here] != step.a_labels[:, None]
+        # a slot's rows: their interval meets the window and the best so far
+        live = []
         for j in range(slots.shape[1]):
-            lo, hi, m = least[:, j, None], most[:, j, None], margin[:, j, None]
-            inside = other & (lower >= lo + m) & (upper <= hi - m)
-            floor[:, j] = np.maximum(floor[:, j], _floor_of_best(np.where(inside, lower, -np.inf), k))
-            at = np.nonzero(other & (upper >= lo - m) & (lower <= hi + m) & (upper >= floor[:, j, None]))
-            found.append((np.full(len(at[0]), j), at[0], at[1] + first, upper[at]))
-    slot, anchors, rows, upper = (np.concatenate([f[i] for f in found]) for i in range(4))
-    live = upper >= floor[anchors, slot]
-    slot, anchors, rows = slot[live], anchors[live], rows[live]
-    scores, p = step.scores(anchors, rows), slots[anchors, slot]
-    ok = (low * p <= high * scores) & (scores <= p)
-    return step.best(slot[ok], anchors[ok], rows[ok], scores[ok], k)
+            reach = np.where(valid[:, j], np.maximum(least[:, j] - margin[:, j], floor[:, j]), np.inf)
+            live.append(other & (upper >= reach[:, None]) & (lower <= (slots[:, j] + margin[:, j])[:, None]))
+        scores = step.scores(np.logical_or.reduce(live, axis=0) if live else other & False, here)
+        for j, mine in enumerate(live):
+            mine &= scores >= floor[:, j, None]
+            mine &= scores >= least[:, j, None].astype(scores.dtype)
+            mine &= scores <= slots[:, j, None].astype(scores.dtype)
+            at = np.nonzero(mine)
+            floor[:, j] = _raised(floor[:, j], at[0], scores[at], k)
+            found.append((np.full(len(at[0]), j), at[0], at[1] + first, scores[at].astype(np.int64)))
+    slot, anchors, rows, scores = (np.concatenate([f[i] for f in found]) for i in range(4))
+    return step.best(slot, anchors, rows, scores, k)
 
 
 def _usable(vec: str) -> Column:

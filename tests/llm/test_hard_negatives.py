@@ -89,3 +89,30 @@ def test_odd_rows_and_empty_table(spark):
     assert hn.mine(df.filter("vec_id % 100 > 0")).collect() == []
     with pytest.raises(Exception, match="too large"):
         hn.mine(spark.createDataFrame([(0, [1e30], 1, "", "")], SCHEMA)).collect()
+
+
+def test_most_pairs_are_scored_by_products(monkeypatch):
+    """Vectors of one cluster: no interval drops a pair, and the work per pair
+    must not be a gathered sum (it grew with anchors times rows)."""
+    rng = np.random.default_rng(9)
+    x = hn.integers((1 + rng.normal(0, 0.05, (1000, 64))).tolist())
+    codes = hn.Codes.of(x)
+    long = lambda v: np.asarray(v, dtype="<i8").tobytes()
+    ids, labels = np.arange(1000), np.arange(1000) % 3
+    block = {"dim": 64, "n": 1000, "keys": long(ids), "ids": long(ids), "labels": long(labels), "ints": x.astype("<i4").tobytes(),
+             "words": codes.words.tobytes(), "norms": codes.norm.tobytes(), "aligns": codes.align.tobytes()}
+    scores = x[:20] @ x.T
+    top = [sorted((s for j, s in enumerate(row) if j != i and j % 3 == i % 3), reverse=True)[:5] for i, row in enumerate(scores.tolist())]
+    pack = {"n": 20, "keys": long(ids[:20]), "labels": long(labels[:20]), "ints": x[:20].astype("<i4").tobytes(),
+            "wanted": long([[*t, 5] for t in top])}
+    gathered, whole = [], np.einsum
+    monkeypatch.setattr(np, "einsum", lambda spec, a, b: gathered.append(len(a)) or whole(spec, a, b))
+    best = hn.positives_in(hn._Step(block, pack), 5).to_pydict()
+    assert best["score"] == [s for t in top for s in t]
+    found = hn.negatives_in(hn._Step(block, pack), 5, 80, 100).to_pydict()
+    want = [
+        s for i, t in enumerate(top) for p in t
+        for s in sorted((int(s) for j, s in enumerate(scores[i]) if j % 3 != i % 3 and 80 * p <= 100 * s <= 100 * p), reverse=True)[:5]
+    ]
+    assert found["score"] == want
+    assert sum(gathered) <= 20 * 1000 / 16
