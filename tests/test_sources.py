@@ -75,3 +75,21 @@ def test_unreadable_statement_dates(spark, scratch):
     good, bad = read_statements(spark, scratch + "/h", bad_dates="quarantine"), unreadable_dates(spark, scratch + "/h")
     assert {r["statementid"] for r in bad.collect()} <= {1, 2} and bad.count() > 0
     assert good.count() + bad.count() == src.count() and good.filter("statementdatekey_ IS NULL").count() == 0
+
+
+def test_history_is_written_without_moving_wide_rows(spark, tmp_path, monkeypatch):
+    """Only narrow rows are shuffled, and no sort by snapshot precedes the write."""
+    from finwater.sources.statements import materialize_history
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    widths, writers, before = [], [], spark.conf.get(key, None)
+    frame = spark.range(1)
+    dealt, written = type(frame).repartition, type(frame.write).parquet
+    monkeypatch.setattr(type(frame), "repartition", lambda self, *a: widths.append(len(self.columns)) or dealt(self, *a))
+    monkeypatch.setattr(type(frame.write), "parquet", lambda self, *a, **k: writers.append(spark.conf.get(key, None)) or written(self, *a, **k))
+    src = derived_statements(spark, SF)
+    path = materialize_history(src, str(tmp_path / "history"))
+    assert max(widths, default=0) <= 5 and writers and int(writers[-1] or 0) >= 2
+    assert spark.conf.get(key, None) == before
+    got, want = spark.read.parquet(path).select(*src.columns), derived_statements(spark, SF)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
