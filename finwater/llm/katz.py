@@ -18,7 +18,8 @@ How it runs: texts are read once into chunks (about ``CHUNK_TOKENS`` tokens:
 distinct words as 64-bit hashes and token positions), stored as a table. Words
 are counted first and numbered by the buckets that count them (the number's
 remainder by the buckets is the bucket), so that later requests carry short
-differences of numbers instead of hashes. Per
+differences of numbers instead of hashes; n-grams that are histories of the
+next order are numbered alike. Per
 order, every chunk sends its distinct n-grams with their training counts to
 buckets by history; a bucket adds up, stores its part of the model (counts,
 and per history what the backoff weight is made of) and answers each chunk
@@ -110,6 +111,17 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys ascending, a place of each, and the number of every key."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(len(key), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    number = np.empty(len(key), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], number
+
+
 # ---------------------------------------------------------------- discounts
 
 
@@ -132,6 +144,11 @@ def factor(r: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.concatenate([[0.0], d, [1.0]])[np.minimum(r, K + 1).astype(np.int64)]
 
 
+def seen_share(r: np.ndarray, total: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Probability of n-grams seen r times after a history seen ``total`` times."""
+    return factor(r, d) * r / total
+
+
 @dataclass
 class Globals:
     """What the driver knows: N, V, training texts, discounts per order."""
@@ -141,6 +158,7 @@ class Globals:
     texts: int = 0
     n: dict[int, list[int]] = field(default_factory=dict)
     buckets: int = MIN_BUCKETS
+    order: int = ORDER
 
     def discount(self, order: int) -> np.ndarray:
         return discounts(self.n[order])
@@ -163,7 +181,8 @@ class Chunk:
     Words are stored as hashes, most frequent first, and renumbered by their
     global numbers once these are known; the start symbol follows them. The n-grams of
     order k are numbered by (history, word); a history of order k is an
-    (k-1)-gram, for k = 2 a word or the start."""
+    (k-1)-gram, for k = 2 a word or the start, in ascending order of its global
+    number, which the buckets gave it (``name``)."""
 
     def __init__(self, words: bytes, tokens: bytes, lengths: bytes, held: bytes):
         self.words, self.tokens = unpack(words), unpack(tokens).astype(np.int64)
@@ -197,24 +216,28 @@ class Chunk:
     def _next(self, k: int) -> dict:
         below, width = self.grams(k - 1), len(self.words) + 1
         at = np.flatnonzero(self.place >= k - 2)
+        lower = np.full(len(self.tokens), -1, dtype=np.int64)
+        lower[below["at"]] = below["id"]
         if k == 2:
             before = np.where(self.place > 0, np.roll(self.tokens, 1), len(self.words))
-            hashes = np.append(self.words, np.uint64(START))
+            hashes, place = np.append(self.words, np.uint64(START)), None
         else:
-            ids = np.full(len(self.tokens), -1, dtype=np.int64)
-            ids[below["at"]] = below["id"]
-            before = np.roll(ids, 1)
-            hashes = below["hash"]
-        key, first, ids = np.unique(before[at] * width + self.tokens[at], return_index=True, return_inverse=True)
+            place = np.argsort(below["number"], kind="stable")
+            rank = np.empty(len(place), dtype=np.int64)
+            rank[place] = np.arange(len(place))
+            before, hashes = rank[np.roll(lower, 1)], below["number"][place]
+        key, first, ids = distinct(before[at] * width + self.tokens[at])
         history, word = key // width, key % width
-        lower = np.full(len(self.tokens), -1, dtype=np.int64)
-        lower[below["at"]] = below["id"]
         return {
             "at": at, "id": ids, "n": len(key), "history": history, "word": word, "lower": lower[at[first]],
-            "history_hash": hashes, "hash": mix(hashes[history], self.words[word]),
+            "history_hash": hashes, "history_place": place, "hash": mix(hashes[history], self.words[word]),
             "count": np.bincount(ids[self.train[at]], minlength=len(key)),
         }
 
+    def name(self, k: int, numbers: np.ndarray) -> None:
+        """Takes the global numbers of the chunk's k-grams."""
+        self.grams(k)["number"] = numbers
+
 
 @dataclass
 class Part:
@@ -239,7 +262,9 @@ def layout(g: dict, history_count: np.ndarray, buckets: int, share: float) -> La
     spread by word."""
     history, index = np.unique(g["history"], return_inverse=True)
     spread = np.clip(np.ceil(history_count[history] / max(share, 1.0)), 1, buckets).astype(np.int64)
-    home = (g["history_hash"][history] % np.uint64(buckets)).astype(np.int64)
+    named = g["history_hash"][history]
+    # numbers of n-grams hold their bucket as remainder: they are dealt anew
+    home = ((named if g["history_place"] is None else mix(named, np.uint64(2))) % np.uint64(buckets)).astype(np.int64)
     word = (mix(g["hash"], np.uint64(1)) % spread[index].astype(np.uint64)).astype(np.int64)
     bucket = (home[index] + word) % buckets
     # every history is asked of all buckets it is spread over
@@ -274,28 +299,35 @@ class Scorer:
     def history_count(self, k: int) -> np.ndarray:
         if k == 2:
             return np.append(self.word_count, self.known.texts)
-        return self.level(k - 1)[0]
+        return self.level(k - 1)[0][self.chunk.grams(k)["history_place"]]
 
     def layout(self, k: int) -> Layout:
-        return layout(self.chunk.grams(k), self.history_count(k), self.known.buckets, self.known.tokens / self.known.buckets)
-
-    def level(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Training count and probability of each of the chunk's k-grams."""
+        if k not in self.__dict__.setdefault("_layouts", {}):
+            if k > 2:
+                self.level(k - 1)  # names the histories
+            self._layouts[k] = layout(self.chunk.grams(k), self.history_count(k), self.known.buckets, self.known.tokens / self.known.buckets)
+        return self._layouts[k]
+
+    def level(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """Training count and probability of each of the chunk's k-grams, and
+        what the count of a seen one is divided by."""
         if k not in self.__dict__.setdefault("_levels", {}):
             self._levels[k] = self._level(k)
         return self._levels[k]
 
     def _level(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         if k == 1:
-            return self.word_count, self.known.unigram(self.word_count)
-        g, asked, d = self.chunk.grams(k), self.layout(k), self.known.discount(k)
-        r = np.zeros(g["n"], dtype=np.int64)
+            return self.word_count, self.known.unigram(self.word_count), None
+        asked, g, d = self.layout(k), self.chunk.grams(k), self.known.discount(k)
+        r, number = np.zeros(g["n"], dtype=np.int64), np.zeros(g["n"] if k < self.known.order else 0, dtype=np.uint64)
         low = np.zeros((len(asked.history), K), dtype=np.int64)  # followers seen 1..K times
         any_low = np.zeros(len(asked.history), dtype=bool)
         covered = np.zeros(len(asked.history))  # what P' gives to followers
         for part in asked.parts:
             answer = self.answers[k, part.bucket]
             r[part.grams] = unpack(answer["count"])
+            if len(number):
+                number[part.grams] = unpack_sorted(answer["number"]) * np.uint64(self.known.buckets) + np.uint64(part.bucket)
             flags = unpack(answer["flags"])
             any_low[part.entries] |= (flags & 1).astype(bool)
             told = part.entries[(flags & 2).astype(bool)]
@@ -307,8 +339,9 @@ class Scorer:
         left = np.where(any_low, low @ ((1 - d) * np.arange(1, K + 1)), 1.0)
         weight = np.where(count > 0, left / total / np.maximum(1 - covered, 1e-300), 1.0)
         below = self.level(k - 1)[1][g["lower"]]
-        seen = factor(r, d) * r / total[index]
-        return r, np.where(r > 0, seen, weight[index] * below)
+        if k < self.known.order:
+            self.chunk.name(k, number)
+        return r, np.where(r > 0, seen_share(r, total[index], d), weight[index] * below), total[index]
 
     def scores(self, order: int) -> dict[str, np.ndarray]:
         c, known = self.chunk, self.known
@@ -323,9 +356,10 @@ class Scorer:
         }
 
     def requests(self, k: int) -> Iterator[dict]:
-        g, asked = self.chunk.grams(k), self.layout(k)
+        asked, g = self.layout(k), self.chunk.grams(k)
         hot = asked.spread > 1
-        below = None if k == 2 else self.level(k - 1)[1]
+        if k > 2:  # what P' of a seen n-gram is made of
+            low_count, _, low_total = (None if v is None else v[g["lower"]] for v in self.level(k - 1))
         for part in asked.parts:
             words, index = np.unique(g["word"][part.grams], return_inverse=True)
             yield {
@@ -334,12 +368,22 @@ class Scorer:
                 "followers": pack(small(part.followers)), "hot": pack(hot[part.entries].view(np.uint8)),
                 "words": pack_sorted(self.chunk.words[words]), "word_index": pack(small(index)),
                 "count": pack(small(g["count"][part.grams])),
-                # P' of a word follows from its count; of longer n-grams it is sent
+                # P' of a word follows from its count; of longer n-grams from
+                # theirs and their history's total, which n-grams of one history share
                 "word_count": pack(small(self.word_count[words])) if k == 2 else None,
-                "below": None if k == 2 else pack(below[g["lower"][part.grams]]),
+                "low_count": None if k == 2 else pack(small(low_count[part.grams])),
+                "low_total": None if k == 2 else pack(small(_firsts(low_total[part.grams], part.followers).astype(np.int64))),
             }
 
 
+def _firsts(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The first value of each run (1 for empty runs)."""
+    out = np.ones(len(lengths), dtype=values.dtype)
+    some = lengths > 0
+    out[some] = values[(np.cumsum(lengths) - lengths)[some]]
+    return out
+
+
 # ------------------------------------------------------------------ buckets
 
 
@@ -355,37 +399,46 @@ def add_up(rows: list[dict], known: Globals, k: int) -> tuple[list[dict], dict,
     gram_h = np.concatenate([np.repeat(h_index[h_at[i] : h_at[i + 1]], f) for i, f in enumerate(followers)])
     gram_w = np.concatenate([w_index[w_at[i] : w_at[i + 1]][unpack(r["word_index"])] for i, r in enumerate(rows)])
     count = np.concatenate([unpack(r["count"]).astype(np.int64) for r in rows])
-    key, first, gram = np.unique(gram_h * len(words) + gram_w, return_index=True, return_inverse=True)
+    key, first, gram = distinct(gram_h * len(words) + gram_w)
     del gram_h, gram_w
     total = np.bincount(gram, weights=count, minlength=len(key)).astype(np.int64)
     key_h, key_w = key // max(len(words), 1), key % max(len(words), 1)
     if k == 2:
-        below = known.unigram(np.concatenate([unpack(r["word_count"]) for r in rows]).astype(np.int64)[w_first])[key_w]
+        word_count = np.concatenate([unpack(r["word_count"]) for r in rows]).astype(np.int64)[w_first]
+        below = known.unigram(word_count)[key_w]
     else:
-        below = np.concatenate([unpack(r["below"]) for r in rows])[first]
-    seen = total > 0
+        low_count = np.concatenate([unpack(r["low_count"]).astype(np.int64) for r in rows])[first]
+        low_total = np.concatenate([np.repeat(unpack(r["low_total"]).astype(float), f) for r, f in zip(rows, followers)])[first]
+        below = seen_share(low_count, low_total, known.discount(k - 1))  # a seen n-gram's end has been seen
+    seen, named = total > 0, k < known.order
     low = np.stack([np.bincount(key_h[total == r], minlength=len(histories)) for r in range(1, K + 1)], axis=1)
     covered = np.bincount(key_h[seen], weights=below[seen], minlength=len(histories))
     any_low = low.any(axis=1)
     answers, at = [], 0
     for i, r in enumerate(rows):
         n = int(followers[i].sum())
-        mine, own = total[gram[at : at + n]], h_index[h_at[i] : h_at[i + 1]]
+        asked, own = gram[at : at + n], h_index[h_at[i] : h_at[i + 1]]
+        mine = total[asked]
         at += n
         entry = np.repeat(np.arange(len(own)), followers[i])
         # sums are told where some follower is unseen, and of spread histories
         told = (np.bincount(entry[mine == 0], minlength=len(own)) > 0) | unpack(r["hot"]).astype(bool)
         flags = any_low[own].astype(np.uint8) | (told.astype(np.uint8) << 1)
         answers.append({
-            "chunk": r["chunk"], "count": pack(small(mine)), "flags": pack(flags),
+            "chunk": r["chunk"], "count": pack(small(mine)), "number": pack_sorted(asked) if named else None, "flags": pack(flags),
             "low": pack(small(low[own[told]].reshape(-1))), "covered": pack(covered[own[told]]),
         })
     kept_h, kept_followers = np.unique(key_h[seen], return_counts=True)
     kept_w, kept_index = np.unique(key_w[seen], return_inverse=True)
+    # what P' of the followers is made of: their sum per history follows
+    made_of = {"word_count": pack(small(word_count[kept_w]))} if k == 2 else {
+        "low_count": pack(small(low_count[seen])),
+        "low_total": pack(small(_firsts(low_total[seen], kept_followers).astype(np.int64))),
+    }
     model = {
         "histories": pack_sorted(histories[kept_h]), "followers": pack(small(kept_followers)), "words": pack_sorted(words[kept_w]),
         "word_index": pack(small(kept_index)), "count": pack(small(total[seen])), "low": pack(small(low[kept_h].reshape(-1))),
-        "covered": pack(covered[kept_h]),
+        "number": pack_sorted(np.flatnonzero(seen)) if named else None, **made_of,
     }
     n = np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2]
     return answers, model, np.array([total.sum(), seen.sum(), *n])
@@ -408,11 +461,11 @@ def add_up_words(rows: list[dict]) -> tuple[list[dict], dict, np.ndarray]:
 
 # --------------------------------------------------------------- Spark jobs
 
-_BLOBS = ["histories", "followers", "hot", "words", "word_index", "count", "word_count", "below"]
+_BLOBS = ["histories", "followers", "hot", "words", "word_index", "count", "word_count", "low_count", "low_total"]
 REQUEST = T.StructType(
     [T.StructField("bucket", T.IntegerType()), T.StructField("chunk", T.LongType())] + [T.StructField(b, T.BinaryType()) for b in _BLOBS]
 )
-_STORED = ["histories", "followers", "words", "word_index", "count", "number", "flags", "low", "covered"]
+_STORED = ["histories", "followers", "words", "word_index", "count", "number", "flags", "low", "covered", "word_count", "low_count", "low_total"]
 REPLY = T.StructType(
     [T.StructField("kind", T.StringType()), T.StructField("bucket", T.IntegerType()), T.StructField("chunk", T.LongType())]
     + [T.StructField(b, T.BinaryType()) for b in _STORED]
@@ -539,7 +592,7 @@ def fit(
     chunks = f"{base}/chunks"
     write_chunks(df, chunks, id_col=id_col, text_col=text_col, chunk_tokens=chunk_tokens)
     table = spark.read.parquet(chunks)
-    known = Globals(buckets=max(MIN_BUCKETS, table.count() // CHUNKS_PER_BUCKET))
+    known = Globals(buckets=max(MIN_BUCKETS, table.count() // CHUNKS_PER_BUCKET), order=order)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -617,8 +670,9 @@ def vocabulary(model: Model, spark: SparkSession) -> DataFrame:
 
 def tables(model: Model, spark: SparkSession, order: int) -> tuple[DataFrame, DataFrame]:
     """A stored order from 2 on as plain rows: n-grams (history, word, count,
-    prob) and backoff (history, total, weight); words by number, histories by
-    number (order 2) or hash. Histories that were spread over buckets are
+    prob, number) and backoff (history, total, weight); words and histories by
+    number, of words (order 2) or of the n-grams of one order less. The last
+    order's n-grams have no number. Histories that were spread over buckets are
     added up."""
     known = model.known
     d = known.discount(order)
@@ -629,9 +683,13 @@ def tables(model: Model, spark: SparkSession, order: int) -> tuple[DataFrame, Da
             for r in batch.to_pylist():
                 h = np.repeat(unpack_sorted(r["histories"]), unpack(r["followers"]))
                 w = unpack_sorted(r["words"])[unpack(r["word_index"])]
+                count = unpack(r["count"]).astype(np.int64)
+                number = pa.nulls(len(count), pa.int64())
+                if r["number"] is not None:
+                    number = pa.array((unpack_sorted(r["number"]) * np.uint64(known.buckets) + np.uint64(r["bucket"])).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(w.view(np.int64)), pa.array(unpack(r["count"]).astype(np.int64))],
-                    names=["history", "word", "count"],
+                    [pa.array(h.view(np.int64)), pa.array(w.view(np.int64)), pa.array(count), number],
+                    names=["history", "word", "count", "number"],
                 )
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -639,13 +697,22 @@ def tables(model: Model, spark: SparkSession, order: int) -> tuple[DataFrame, Da
             for r in batch.to_pylist():
                 low = unpack(r["low"]).reshape(-1, K) @ ((1 - d) * np.arange(1, K + 1))
                 followers = unpack(r["followers"]).astype(np.int64)
-                total = np.add.reduceat(unpack(r["count"]).astype(np.int64), np.cumsum(followers) - followers) if len(followers) else followers
+                if order == 2:
+                    below = known.unigram(unpack(r["word_count"]).astype(np.int64))[unpack(r["word_index"])]
+                else:
+                    low_total = np.repeat(unpack(r["low_total"]).astype(float), followers)
+                    below = seen_share(unpack(r["low_count"]).astype(np.int64), low_total, known.discount(order - 1))
+                entry = np.repeat(np.arange(len(followers)), followers)
+                total = np.bincount(entry, weights=unpack(r["count"]).astype(np.int64), minlength=len(followers)).astype(np.int64)
+                covered = np.bincount(entry, weights=below, minlength=len(followers))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(unpack_sorted(r["histories"]).view(np.int64)), pa.array(total), pa.array(low), pa.array(unpack(r["covered"]))],
+                    [pa.array(unpack_sorted(r["histories"]).view(np.int64)), pa.array(total), pa.array(low), pa.array(covered)],
                     names=["history", "total", "low", "covered"],
                 )
 
-    blobs = stored.select("histories", "followers", "words", "word_index", "count", "low", "covered")
+    blobs = stored.select(
+        "bucket", "histories", "followers", "words", "word_index", "count", "number", "low", "word_count", "low_count", "low_total"
+    )
     sums = blobs.mapInArrow(parts, "history long, total long, low double, covered double").groupBy("history").agg(
         F.sum("total").alias("seen"), F.sum("low").alias("low"), F.sum("covered").alias("covered")
     )
@@ -653,9 +720,9 @@ def tables(model: Model, spark: SparkSession, order: int) -> tuple[DataFrame, Da
     left = F.when(F.col("low") > 0, F.col("low")).otherwise(F.lit(1.0))
     backoff = sums.select("history", total.alias("total"), (left / total / (1 - F.col("covered"))).alias("weight"))
     table = F.array(*[F.lit(float(x)) for x in (0.0, *d, 1.0)])
-    rows = blobs.mapInArrow(grams, "history long, word long, count long").join(backoff.select("history", "total"), "history")
+    rows = blobs.mapInArrow(grams, "history long, word long, count long, number long").join(backoff.select("history", "total"), "history")
     share = F.element_at(table, F.least(F.col("count"), F.lit(K + 1)).cast("int") + 1) * F.col("count") / F.col("total")
-    return rows.select("history", "word", "count", share.alias("prob")), backoff
+    return rows.select("history", "word", "count", share.alias("prob"), "number"), backoff
 
 
 __all__ = ["Chunk", "Globals", "Model", "Scorer", "discounts", "fit", "layout", "score", "tables", "vocabulary"]

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finwater.llm import katz, queries
@@ -133,3 +134,25 @@ def test_query_scores_trigrams(spark, scratch):
     docs.write.parquet(f"{scratch}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{scratch}/documents.parquet").collect()]
     compare(queries.op1_katz(spark, scratch).collect(), brute(rows, 3))
+
+
+def test_third_order_moves_and_stores_numbers(spark):
+    """Histories of order 3 are numbers of the stored bigrams (they were 64-bit
+    hashes, and probabilities were sent and stored beside them)."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).coalesce(2)
+    model = katz.fit(docs, order=3, chunk_tokens=20_000)
+    two, _ = katz.tables(model, spark, 2)
+    three, backoff = katz.tables(model, spark, 3)
+    p2 = {r["number"]: r for r in two.collect()}
+    assert len(p2) == two.count() and None not in p2
+    words_of = defaultdict(list)
+    for r in three.collect():
+        words_of[r["history"]].append((r["word"], r["prob"]))
+    assert set(words_of) <= set(p2) and len(words_of) > 100
+    by_pair = {(r["history"], r["word"]): r["prob"] for r in p2.values()}
+    weights = {r["history"]: r["weight"] for r in backoff.collect()}
+    for h, found in words_of.items():
+        lower = sum(by_pair[p2[h]["word"], w] for w, _ in found)
+        assert sum(p for _, p in found) + weights[h] * (1 - lower) == pytest.approx(1, abs=1e-9)
+    stored = katz._read(spark, model.paths[3], "model").agg(F.sum(F.length("histories"))).first()[0]
+    assert stored < 4 * len(words_of)
