@@ -9,6 +9,8 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -74,6 +76,22 @@ def shared_scratch(spark: SparkSession, name: str, unique: bool = False) -> str:
     return f"{base}/finwater/{leaf}"
 
 
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Settings for the jobs of a block; the session's own come back after it."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def path_exists(spark: SparkSession, uri: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(uri)
@@ -148,6 +166,7 @@ __all__ = [
     "delete_path",
     "local_session",
     "ensure_checkpoint_dir",
+    "session_conf",
     "shared_scratch",
     "path_exists",
     "publish_once",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from finwater.functions import key_concat, to_statement_date, try_statement_date
 from finwater.schema import MEASURES, STATEMENT_SCHEMA
-from finwater.session import path_exists, publish_once, shared_scratch, source_tag
+from finwater.session import path_exists, publish_once, session_conf, shared_scratch, source_tag
 from finwater.sources.resolve import is_path, partition_dates, read_source
 from finwater.sources.tables import read_table, table_path
 from pyspark.sql import types as T
@@ -165,9 +165,10 @@ def derived_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statements_from_orders(orders.repartition(spark.sparkContext.defaultParallelism, *orders.columns))
 
 
-#: Files that a task of a history keeps open (one per snapshot); rows of
-#: further snapshots are sorted first.
-OPEN_FILES = 4
+#: While a history is written. A task keeps a few files open (one per snapshot;
+#: rows of further snapshots are sorted first), and wide rows are not made by
+#: one generated method: the JVM leaves methods beyond 8000 bytes uncompiled.
+WRITE_CONF = {"spark.sql.maxConcurrentOutputFileWriters": "4", "spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def materialize_history(df: DataFrame, path: str, files_per_snapshot: int | None = None) -> str:
@@ -182,17 +183,9 @@ def materialize_history(df: DataFrame, path: str, files_per_snapshot: int | None
     if path_exists(spark, path + "/_SUCCESS"):
         return path
     staging = shared_scratch(spark, "staging/history", unique=True)
-    writers = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(writers, None)
-    spark.conf.set(writers, str(OPEN_FILES))
-    try:
+    with session_conf(spark, WRITE_CONF):
         dealt = df.repartition(files_per_snapshot) if files_per_snapshot else df
         dealt.write.mode("overwrite").partitionBy("asofdate").parquet(staging)
-    finally:
-        if before is None:
-            spark.conf.unset(writers)
-        else:
-            spark.conf.set(writers, before)
     return publish_once(spark, staging, path)
 
 
