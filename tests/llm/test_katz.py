@@ -156,3 +156,50 @@ def test_third_order_moves_and_stores_numbers(spark):
         assert sum(p for _, p in found) + weights[h] * (1 - lower) == pytest.approx(1, abs=1e-9)
     stored = katz._read(spark, model.paths[3], "model").agg(F.sum(F.length("histories"))).first()[0]
     assert stored < 4 * len(words_of)
+
+
+def _spread_and_local():
+    """Texts over several chunks: pairs that all hold, pairs of one text only,
+    one pair frequent enough to be spread, and held-out texts."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(60):
+        words_ = [f"w{rng.integers(12)}" if rng.random() < 0.7 else f"r{i}_{rng.integers(40)}" for _ in range(80)]
+        rows.append((i, " ".join(words_ + ["a b"] * int(rng.integers(15)) + ["a b c"] * 3)))
+    return rows
+
+
+@pytest.mark.parametrize("order,chunk", [(3, 700), (3, 10**6), (4, 900)])
+def test_ngrams_of_one_chunk_stay_in_it(spark, order, chunk):
+    """Of the last order, those with a history or an end that only one chunk
+    holds are neither sent nor stored again (all were), and scores stay those of
+    the definition."""
+    rows = _spread_and_local()
+    model = katz.fit(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), order=order, chunk_tokens=chunk)
+    compare(katz.score(model, spark).collect(), brute(rows, order))
+    want = defaultdict(Counter)
+    for i, t in rows:
+        s = [START, *words(t), END]
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            for j in range(order - 1, len(s)):
+                want[tuple(s[j - order + 1 : j])][s[j]] += 1
+    grams, backoff = katz.tables(model, spark, order)
+    seen = defaultdict(list)
+    for r in grams.collect():
+        seen[r["history"]].append(r["count"])
+    assert sorted(sorted(v) for v in seen.values()) == sorted(sorted(c.values()) for c in want.values())
+    assert {r["history"] for r in backoff.collect()} == set(seen)
+    sent = sum(
+        int(katz.unpack(r["followers"]).sum()) for r in katz._read(spark, model.paths[order], "model").collect() if r["followers"] is not None
+    )
+    assert sent < 0.6 * sum(map(len, seen.values()))
+
+
+def test_chunks_without_hashes(spark):
+    """What later steps read of a chunk are places of words (hashes before)."""
+    model = katz.fit(spark.createDataFrame(_spread_and_local(), "doc_id long, text string").coalesce(2), order=3, chunk_tokens=900)
+    for r in spark.read.parquet(model.chunks).collect():
+        hashes, places = katz.unpack_sorted(r["words"]), katz.unpack_sorted(r["places"])
+        assert (np.diff(hashes.astype(object)) > 0).all() and sorted(places) == list(range(len(hashes)))
+        assert len(r["places"]) < 3 * len(places) + 40
+    assert not {"words", "count"} & set(katz._chunks(spark, model.chunks).columns)
