@@ -89,9 +89,12 @@ class Memory:
         if len(self.known) > self.limit or self.known.nbytes > CACHE_BYTES:
             self.known = pa.array([], pa.string())
             self.forget()
-        at = pc.index_in(parts, value_set=self.known)
-        new = parts.filter(pc.is_null(at))
-        found = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        # the group's parts are hashed and the remembered ones looked up in them:
+        # a hash table of the whole memory would be made anew for every group
+        at = pc.index_in(self.known, value_set=parts)
+        found = np.full(len(parts), -1, dtype=np.int64)
+        found[at.drop_null().to_numpy()] = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+        new = parts.filter(pa.array(found < 0))
         if len(new):
             found[found < 0] = np.arange(len(self.known), len(self.known) + len(new))
             self.learn(new.to_pylist())

@@ -36,9 +36,10 @@ texts are ordinary text, unless ``special_strings`` is set.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -54,11 +55,21 @@ from finwater.session import delete_path, shared_scratch
 
 from . import cuts
 from .base import col, groups, prepare, texts_of
+from .bytebpe import byte_chars
 
 #: Longest code; ids of a block (at least); ids between two checkpoints.
 MAX_BITS, BLOCK_IDS, STEP = 16, 1 << 16, 256
 #: Bytes of text that a task cuts at a time.
 TEXT_BYTES = 4 << 20
+#: Parts that the byte-level pattern takes as a single match, whatever Unicode
+#: version it knows: a space at most, then letters of blocks without gaps,
+#: digits or ASCII punctuation. So many of them are given to the library at once.
+_LONE, LONE_PARTS = (
+    r"^ ?([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}\x{400}-\x{481}\x{48a}-\x{52f}\x{4e00}-\x{9fa5}\x{ac00}-\x{d7a3}]+"
+    r"|[0-9]+|[!-/:-@\[-`{-~]+)$"
+), 256
+#: Code point of each byte's character; byte 0 stands between parts.
+_POINTS = np.array([ord(" "), *map(ord, byte_chars()[1:])], dtype="<u4")
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -154,17 +165,36 @@ class Coder:
         return found.T[np.arange(steps) < counts[:, None]]
 
 
+def _byte_sizes(config: dict) -> np.ndarray | None:
+    """Bytes of each id, if the file is plain byte-level BPE: the usual pattern,
+    nothing done to texts before it and no token but the model's found in them."""
+    model, cut = config["model"], config.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type") == "BPE" and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space", True) and cut.get("use_regex", True)
+        and not any(config.get(k) for k in ("normalizer", "truncation", "padding"))
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+        and all(t["special"] for t in config.get("added_tokens") or []) and all(c in model["vocab"] for c in byte_chars())
+    )
+    if not plain:
+        return None
+    sizes = np.zeros(max(model["vocab"].values()) + 1, dtype=np.int64)
+    sizes[list(model["vocab"].values())] = list(map(len, model["vocab"]))
+    return sizes
+
+
 class Tokens:
     """Byte-level tokenizer file of the ``tokenizers`` library, over parts."""
 
     def __init__(self, config: str, special_strings: bool = False, limit: int = cuts.PART_CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_str(config)
         self.model.encode_special_tokens = not special_strings
         # a special token's string is cut out of a text before anything else
         self.whole = special_strings and bool(self.model.get_added_tokens_decoder())
+        self.sizes = None if special_strings else _byte_sizes(json.loads(config))
+        self.cutting, self.between = self.model.pre_tokenizer, pre_tokenizers.CharDelimiterSplit(" ")
         self.memory = cuts.Memory(self._learn, self._forget, limit)
         self._forget()
 
@@ -173,9 +203,39 @@ class Tokens:
         self.at.extend([0])
 
     def _learn(self, parts: list[str]) -> None:
-        done = [e.ids for e in self.model.encode_batch_fast(parts, add_special_tokens=False)]
-        self.at.extend(self.at.values[-1] + np.cumsum(list(map(len, done))))
-        self.ids.extend(list(chain.from_iterable(done)))
+        lone = np.zeros(len(parts), dtype=bool)
+        if self.sizes is not None:
+            lone = pc.match_substring_regex(pa.array(parts, pa.string()), _LONE).to_numpy(zero_copy_only=False)
+        done = [e.ids for e in self.model.encode_batch_fast(list(compress(parts, ~lone)), add_special_tokens=False)]
+        ids, counts = self._matches(list(compress(parts, lone)))
+        flat = np.concatenate([ids, np.fromiter(chain.from_iterable(done), dtype=np.uint32)])
+        order = np.concatenate([np.flatnonzero(lone), np.flatnonzero(~lone)])
+        length, start = np.empty((2, len(parts)), dtype=np.int64)
+        length[order] = np.concatenate([counts, np.fromiter(map(len, done), dtype=np.int64, count=len(done))])
+        start[order] = np.cumsum(length[order]) - length[order]
+        self.at.extend(self.at.values[-1] + np.cumsum(length))
+        self.ids.extend(cuts.gather(flat, start, length))
+
+    def _matches(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts that are single matches, and the number of each one's.
+        They go to the library many at a time, as bytes' characters with spaces
+        between them: there is nothing left to cut or to map, and the ids'
+        bytes tell where a part ends."""
+        if not parts:
+            return np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)
+        raw = ["\0".join(parts[i : i + LONE_PARTS]).encode() for i in range(0, len(parts), LONE_PARTS)]
+        shown = [_POINTS[np.frombuffer(r, dtype=np.uint8)].tobytes().decode("utf-32-le") for r in raw]
+        self.model.pre_tokenizer = self.between
+        try:
+            done = self.model.encode_batch_fast(shown, add_special_tokens=False)
+        finally:
+            self.model.pre_tokenizer = self.cutting
+        ids = np.fromiter(chain.from_iterable(e.ids for e in done), dtype=np.uint32)
+        end, goal = np.cumsum(self.sizes[ids]), np.cumsum(pc.binary_length(pa.array(parts, pa.string())).to_numpy(), dtype=np.int64)
+        at = np.searchsorted(end, goal)
+        if len(end) <= at[-1] or (end[at] != goal).any():
+            raise ValueError("ids that do not spell their text")
+        return ids, np.diff(at + 1, prepend=0)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text of a group."""

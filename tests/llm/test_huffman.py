@@ -3,10 +3,13 @@ the tokenizers library text by text."""
 
 import heapq
 import itertools
+import json
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -109,6 +112,69 @@ def test_memory_starts_anew(library):
         assert tokens.encode([text, text])[1].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, model):
+        self.__dict__.update(model=model, given=0)
+
+    def __setattr__(self, name, value):
+        setattr(self.model, name, value)
+
+    def encode_batch_fast(self, texts, **options):
+        self.__dict__["given"] += len(texts)
+        return self.model.encode_batch_fast(texts, **options)
+
+
+def test_single_matches_go_to_the_library_together(library):
+    with open(FILE, encoding="utf-8") as f:
+        tokens = huffman.Tokens(f.read())
+    words = [a + b + c for a in "aéЖ中한" for b in map(chr, range(ord("a"), ord("z") + 1)) for c in ("", "xq", "tion", "ß")]
+    text = " ".join([*words, *map(str, range(300)), "<|endoftext|>", "x's", "a\n\nb", "...", "'", "1.5", "½", "\ufffd"])
+    tokens.model = Counted(tokens.model)
+    assert tokens.encode([text, "é"])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert tokens.model.given < 20  # one by one: more than 800
+
+
+def test_characters_of_single_matches(library):
+    """The library's pattern takes all characters that count as certain as one match."""
+    kinds = re.findall(r"\[(.+?)\]\+", huffman._LONE)
+    assert len(kinds) == 3
+    for kind in kinds:
+        found = re.compile("[" + re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), kind) + "]")
+        text = "".join(filter(found.match, map(chr, range(0xD800))))
+        for t in (text, " " + text, text[::-1]):
+            assert len(library.pre_tokenizer.pre_tokenize_str(t)) == 1
+
+
+@settings(max_examples=300, deadline=None, derandomize=True)
+@given(st.lists(st.text(alphabet="aZqéßøȺЖя҂中한07.,'<|^_ \n\0×", max_size=12), max_size=6))
+def test_mixed_parts_give_the_library_s_ids(library, tokens, texts):
+    assert [i.tolist() for i in tokens.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_only_plain_byte_level_files_skip_the_cutting():
+    with open(FILE, encoding="utf-8") as f:
+        config = json.load(f)
+    assert huffman._byte_sizes(config)[config["model"]["vocab"]["Ġthe"]] == 4
+    token = {**config["added_tokens"][0], "special": False}
+    for other in (
+        {"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": None}, {"pre_tokenizer": {**config["pre_tokenizer"], "add_prefix_space": True}},
+        {"added_tokens": [token]}, {"model": {**config["model"], "dropout": 0.1}}, {"model": {"type": "Unigram", "vocab": []}},
+    ):
+        assert huffman._byte_sizes({**config, **other}) is None
+
+
+def test_memory_is_not_hashed_anew_for_each_group(monkeypatch):
+    told, sets, look = [], [], cuts.pc.index_in
+    monkeypatch.setattr(cuts.pc, "index_in", lambda values, value_set: sets.append(len(value_set)) or look(values, value_set=value_set))
+    memory = cuts.Memory(told.extend, told.clear)
+    for first in (0, 3, 40, 20):
+        parts = [f"p{i}" for i in range(first, first + 30)][::-1]
+        assert [told[n] for n in memory.numbers(pa.array(parts))] == parts
+    assert len(told) == 70 and max(sets) <= 30
+
+
 def test_query_equals_the_library(spark, library):
     docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
     got = queries.op11_id_files(spark, SF)
